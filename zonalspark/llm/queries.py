@@ -10,13 +10,17 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, ngram_join, suffix_dedup, token_output, toxicity
+from . import decontaminate, exact_topk, html_density, ngram_join, suffix_dedup, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_density.report(_table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -35,6 +39,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.report(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
