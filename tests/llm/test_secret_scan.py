@@ -1,0 +1,54 @@
+import random
+
+import pytest
+
+from zonalspark.llm import secret_scan as ss
+
+
+@pytest.fixture(scope="module")
+def forest(spark):
+    return ss.train(ss.labelled_findings(spark))
+
+
+def test_held_out_findings(spark, forest):
+    table = ss.labelled_findings(spark, 8000).offset(ss.FINDINGS)
+    fields = ", ".join(f"'{k}', cast({sql} as double)" for k, sql in ss.FEATURES.items())
+    got = table.selectExpr("label", f"named_struct({fields}) as f").selectExpr(f"avg(if(({forest} >= 0.5) = (label = 1), 1, 0)) as right").collect()[0]["right"]
+    assert got > 0.97
+
+
+def test_planted_secrets(spark, forest):
+    rng = random.Random(6)
+    hexed = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    prose = ["the and that thingre erhaes", "mit verlichkeitungenschaft und", "commit " + hexed(40) + " fixed", "id 4015506619449245 and", "see http://www.example.com/some/long-path-name/2024 or"]
+    rows, want = [], []
+    for i in range(200):
+        text, secrets = "", []
+        for _ in range(rng.randrange(6)):
+            text += rng.choice(prose) + " "
+            if rng.random() < 0.4:
+                value = rng.choice([hexed(40), "AKIA" + "".join(rng.choice("ABCDEFGHJKLM23456789") for _ in range(16)), hexed(18)])
+                lead = "" if value.startswith("AKIA") else rng.choice(['token = "', "password="])
+                text += "é " + lead
+                secrets.append((i, len(text), len(value), value))
+                text += value + ('"' if lead.endswith('"') else "") + "\n"
+        rows.append((i, text, "src1"))
+        want += secrets
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r)[:4] for r in ss.findings(docs, forest).collect()]
+    assert len(set(got) & set(want)) >= 0.97 * len(want) and len(set(got) - set(want)) <= 0.03 * len(want)
+    clean = {r["doc_id"]: r["text"] for r in ss.redact(docs, forest).collect()}
+    for i, text, _ in rows:
+        own = [g for g in got if g[0] == i]
+        for _, start, n, _ in sorted(own, reverse=True):
+            text = text[:start] + ss.MASK + text[start + n :]
+        assert clean[i] == text
+
+
+def test_edges(spark, forest):
+    docs = spark.createDataFrame([(1, None, None, 1), (2, "", "s", 1), (None, 'token = "' + "ab12" * 10 + '"', None, 1), (3, "x1" * 40_000, "s", 1), (3, "word " * 30_000, "s", 1)], "doc_id long, text string, source string, c int")
+    out = ss.redact(docs, forest)
+    assert out.columns == docs.columns and out.count() == 5
+    assert {r["text"] is None for r in out.collect() if r["doc_id"] == 1} == {True}
+    assert ss.findings(docs.limit(0), forest).count() == 0
+    assert "ArrowEvalPython" not in docs._jdf.queryExecution().toString() + out._jdf.queryExecution().toString()

@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_topk, html_density, ngram_join, suffix_dedup, token_output, toxicity
+from . import decontaminate, exact_topk, html_density, license_scan, ngram_join, packing, secret_scan, suffix_dedup, token_output, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,14 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.report(_table(spark, sf_dir, "pages"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf_dir, "documents"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(spark, _table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -39,6 +47,10 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk.report(_table(spark, sf_dir, "embeddings"))
 
