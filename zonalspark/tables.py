@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Counted buckets in their order, the composite, and the unclassified.
 BUCKETS = ("F", "A", "G", "U")
@@ -16,12 +15,10 @@ COMPOSITE = "I"
 UNCLASSIFIED = "X"
 BUCKET_NAMES = {"F": "Forest", "A": "Agricultural Land", "G": "Grassland", "U": "Urban Areas"}
 
-CELL = T.StructType.fromDDL("zone INT, region INT, class INT, raster_id INT, bucket STRING, year INT, value DOUBLE, area DOUBLE")
-ZONAL = T.StructType.fromDDL("year INT, zone INT, class INT, n BIGINT, mean DOUBLE, std_pop DOUBLE, min DOUBLE, max DOUBLE")
-TREND = T.StructType.fromDDL(
-    "zone INT, class INT, n_years INT, ols_slope DOUBLE, ols_intercept DOUBLE, ols_r2 DOUBLE, ols_pvalue DOUBLE, theilsen_slope DOUBLE, theilsen_intercept DOUBLE, slope_disagreement DOUBLE, flagged BOOLEAN, most_influential_year INT"
-)
-HIST = T.StructType.fromDDL("series STRING, bin INT, bin_left DOUBLE, bin_right DOUBLE, count BIGINT, share DOUBLE")
+CELL = "zone INT, region INT, class INT, raster_id INT, bucket STRING, year INT, value DOUBLE, area DOUBLE"
+ZONAL = "year INT, zone INT, class INT, n BIGINT, mean DOUBLE, std_pop DOUBLE, min DOUBLE, max DOUBLE"
+TREND = "zone INT, class INT, n_years INT, ols_slope DOUBLE, ols_intercept DOUBLE, ols_r2 DOUBLE, ols_pvalue DOUBLE, theilsen_slope DOUBLE, theilsen_intercept DOUBLE, slope_disagreement DOUBLE, flagged BOOLEAN, most_influential_year INT"
+HIST = "series STRING, bin INT, bin_left DOUBLE, bin_right DOUBLE, count BIGINT, share DOUBLE"
 
 #: p_type by class id; class 5 counts as forest, class 6 is unclassified.
 TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
