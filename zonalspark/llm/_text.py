@@ -36,7 +36,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
-def trim_powers(keep: int = 1 << 22) -> None:
+def trim_powers(keep: int = 1 << 21) -> None:
     """Forget the powers that one very long document needed."""
     for k in (0, 1):
         if len(_POWERS[k]) > keep:
@@ -56,7 +56,9 @@ class Hashes:
         n = len(data)
         pw, self.inverse = powers(n)
         self.prefix = np.zeros(n + 1, U64)
-        np.cumsum((_FOLDED if fold else _TABLE)[data] * pw[:n], out=self.prefix[1:])
+        terms = (_FOLDED if fold else _TABLE)[data]
+        terms *= pw[:n]
+        np.cumsum(terms, out=self.prefix[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.prefix[end] - self.prefix[start]) * self.inverse[start])

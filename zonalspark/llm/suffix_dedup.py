@@ -47,7 +47,9 @@ LENGTH = 200
 SEED = 80
 #: Stretches of one seed, and stretches in one sort.
 GROUP = 10_000
-CHUNK = 20_000
+CHUNK = 4_000
+#: Bytes of stretches in one batch.
+CONTEXTS = 8 << 20
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
@@ -218,8 +220,10 @@ def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        names, kinds = ("seed", "digest", "hot", "doc", "mark", "first", "at", "context"), (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("seed", "digest", "salt", "doc", "mark", "first", "at", "context")}
+            out: dict[str, list] = {k: [] for k in names}
+            held = 0
             for doc, mark, packed, wants in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 text = unpack(packed)
                 data = np.frombuffer(text, np.uint8)
@@ -228,10 +232,14 @@ def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
                 for w in wants:
                     first, last = w["first"], w["last"]
                     place = int(np.argmax(hashes[first : first + length - seed + 1] == w["seed"]))
-                    for k, v in (("seed", w["seed"]), ("digest", w["digest"]), ("salt", w["hot"]), ("doc", doc), ("mark", mark), ("first", first), ("at", place), ("context", text[first : last + length])):
+                    for k, v in zip(names, (w["seed"], w["digest"], w["hot"], doc, mark, first, place, text[first : last + length]), strict=True):
                         out[k].append(v)
+                    held += last + length - first
+                if held > CONTEXTS:
+                    yield pa.RecordBatch.from_pydict(out, pa.schema(list(zip(names, kinds, strict=True))))
+                    out, held = {k: [] for k in names}, 0
                 trim_powers()
-            yield pa.RecordBatch.from_pydict(out, pa.schema([("seed", pa.int64()), ("digest", pa.int64()), ("salt", pa.bool_()), ("doc", pa.int64()), ("mark", pa.int32()), ("first", pa.int32()), ("at", pa.int32()), ("context", pa.binary())]))
+            yield pa.RecordBatch.from_pydict(out, pa.schema(list(zip(names, kinds, strict=True))))
 
     return wanted.mapInArrow(run, "seed long, digest long, hot boolean, doc long, mark int, first int, at int, context binary")
 
@@ -241,6 +249,7 @@ def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
 
     def settle(rows: list[tuple]) -> pa.RecordBatch:
         starts = repeated_starts([r[4] for r in rows], [r[3] for r in rows], length)
+        trim_powers()
         spans = [[{"start": r[2] + s["start"], "end": r[2] + s["end"]} for s in _spans(x, length)] for r, x in zip(rows, starts, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array(spans, _SPANS)], names=["doc", "mark", "spans"])
 
