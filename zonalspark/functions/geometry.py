@@ -44,12 +44,13 @@ def centroid(ring: Column) -> Column:
     """struct(x, y) weighted by the shoelace; the mean of the points if the area is 0."""
     a = signed_area(ring)
     cross = lambda e: e["x1"] * e["y2"] - e["x2"] * e["y1"]
-    out = []
-    for k in ("x", "y"):
-        weighted = _sum(edges(ring), lambda e, k=k: (e[f"{k}1"] + e[f"{k}2"]) * cross(e)) / F.nullif(6 * a, F.lit(0.0))
-        plain = _sum(F.transform(ring, lambda p, k=k: p[k]), lambda v: v) / F.size(ring)
-        out.append(F.coalesce(weighted, plain).alias(k))
-    return F.struct(*out)
+
+    def middle(k: str) -> Column:
+        weighted = _sum(edges(ring), lambda e: (e[f"{k}1"] + e[f"{k}2"]) * cross(e)) / F.nullif(6 * a, F.lit(0.0))
+        plain = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p[k]) / F.size(ring)
+        return F.coalesce(weighted, plain).alias(k)
+
+    return F.struct(middle("x"), middle("y"))
 
 
 def within(x: Column, y: Column, rings: Column) -> Column:

@@ -162,7 +162,7 @@ def dissolve(polygons: DataFrame, *, region: str = "region", least_m2: float = 0
 
     sized = rings.withColumn("area", F.abs(geometry.signed_area(F.col("ring"))))
     largest = F.max("area").over(Window.partitionBy(region))
-    return sized.filter((F.col("area") >= least_m2) | (largest < least_m2))
+    return sized.withColumn("largest", largest).filter((F.col("area") >= least_m2) | (F.col("largest") < least_m2)).drop("largest")
 
 
 def adjacency(polygons: DataFrame, key: str = "zone") -> DataFrame:
