@@ -26,7 +26,7 @@ def stream_zonal(spark, d):
     folder = _folder(spark)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).option("pathGlobFilter", "events.parquet").parquet(d)
     zonal.write_partials(_cells(stream), folder).awaitTermination()
-    return even(zonal.merge(spark, folder), 5)
+    return even(zonal.merge(spark, folder), 7)
 
 
 def stream_windows(spark, d):
@@ -39,6 +39,6 @@ _E = "WITH c AS (SELECT 2024 AS year, user_id + 1 AS zone, ascii(event_type) - 9
 _S = "count(value) AS n, avg(value) AS mean, min(value) AS min, max(value) AS max"
 
 QUERIES = {
-    "stream_zonal": (stream_zonal, even_sql(f"{_E} --\nSELECT year, zone, class, {_S}, stddev_pop(value) AS std_pop FROM c WHERE zone > 0 AND value IS NOT NULL GROUP BY year, zone, class", "year zone class n", "mean std_pop min max", digits=5)),
+    "stream_zonal": (stream_zonal, even_sql(f"{_E} --\nSELECT year, zone, class, {_S}, stddev_pop(value) AS std_pop FROM c WHERE zone > 0 AND value IS NOT NULL GROUP BY year, zone, class", "year zone class n", "mean std_pop min max", digits=7)),
     "stream_windows": (stream_windows, even_sql(f"{_E} --\nSELECT start, zone, {_S} FROM c GROUP BY start, zone", "start zone n", "mean min max")),
 }

@@ -26,16 +26,17 @@ def _field(c: Column) -> Column:
     return F.when(text.rlike('[",\n\r]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
 
 
-def download_lines(df: DataFrame) -> DataFrame:
-    """(line) of each row: quotes only around fields with a quote, comma or line end."""
-    return df.select(F.concat_ws(",", *(_field(F.col(c)) for c in df.columns)).alias("line"))
+def line(df: DataFrame) -> Column:
+    """A row as text: quotes only around fields with a quote, comma or line end."""
+    return F.concat_ws(",", *(_field(F.col(c)) for c in df.columns))
 
 
 def write_download(df: DataFrame, path: str, order: list[str], mode: str = "error") -> None:
     """One file with a byte order mark, a header and CRLF line ends: a report of zones and years, by their order."""
-    lines = download_lines(df.orderBy(*order))
-    head = df.sparkSession.createDataFrame([(BOM + ",".join(df.columns),)], "line string")
-    head.union(lines).coalesce(1).write.mode(mode).option("lineSep", "\r\n").text(path)
+    lines = df.select(F.lit(1).alias("__row"), *(F.col(c).alias(f"__{c}") for c in order), line(df).alias("line"))
+    head = df.sparkSession.range(1).select(F.lit(0).alias("__row"), F.lit(BOM + ",".join(df.columns)).alias("line"))
+    whole = head.unionByName(lines, allowMissingColumns=True).coalesce(1).sortWithinPartitions("__row", *(f"__{c}" for c in order))
+    whole.select("line").write.mode(mode).option("lineSep", "\r\n").text(path)
 
 
 def features(df: DataFrame, polygons: str = "polygons") -> DataFrame:
