@@ -31,7 +31,8 @@ def rounded_sign(x: Column) -> Column:
 
 
 def comparison(x: Column) -> Column:
-    return F.element_at(F.array(F.lit("below"), F.lit("same"), F.lit("above")), rounded_sign(x) + 2)
+    sign = rounded_sign(x)
+    return F.when(sign < 0, "below").when(sign == 0, "same").when(sign > 0, "above")
 
 
 def significance(p: Column, level: float = 0.05) -> Column:
