@@ -19,7 +19,7 @@ def zonal_stats(spark, d):
 def zonal_merged(spark, d):
     """Statistics by blocks (one for each raster id), merged."""
     parts = zonal.zonal_partials(cells(spark, d), ("year", "zone", "class", "raster_id"))
-    return even(zonal.merge_partials(parts), 8)
+    return even(zonal.merge_partials(parts), 6)
 
 
 def zonal_matrix(spark, d):
@@ -115,7 +115,7 @@ _MATRIX = f"{_STATS}, matrix AS (SELECT year, zone, " + ", ".join(f"max(CASE WHE
 
 QUERIES = {
     "zonal_stats": (zonal_stats, even_sql(f"{_STATS} --\nSELECT * FROM zonal", "year zone class n", "mean std_pop min max")),
-    "zonal_merged": (zonal_merged, even_sql(f"{_STATS} --\nSELECT * FROM zonal", "year zone class n", "mean std_pop min max", digits=8)),
+    "zonal_merged": (zonal_merged, even_sql(f"{_STATS} --\nSELECT * FROM zonal", "year zone class n", "mean std_pop min max", digits=6)),
     "zonal_matrix": (zonal_matrix, even_sql(f"{_MATRIX} --\nSELECT * FROM matrix", "year zone", " ".join(f"c{c}" for c in CLASSES))),
     "zonal_masked_nodata": (zonal_masked_nodata, even_sql(f"{_Z} --\nSELECT zone, class, {STATS} FROM cells WHERE value IS NOT NULL GROUP BY zone, class", "zone class n", "mean std_pop min max")),
     "zonal_matrix_years": (zonal_matrix_years, even_sql(f"{_Z} --\nSELECT zone, " + ", ".join(f"avg(CASE WHEN year = {y} THEN value END) AS y{y}" for y in range(1995, 2002)) + " FROM cells WHERE value IS NOT NULL GROUP BY zone", "zone", " ".join(f"y{y}" for y in range(1995, 2002)))),
