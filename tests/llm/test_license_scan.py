@@ -28,3 +28,57 @@ def test_scan(spark):
     assert got[:2] == [(0, 0, "all-rights-reserved"), (1, 7, "MIT")]
     assert ls.scan(docs.limit(0)).count() == 0
     assert ls.blocks("a\nlicense\nb\ncopyright\n\nx", re.compile(ls.CUE)) == [(2, "license\nb\ncopyright")]
+
+
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.""",
+}
+WRAPPED["BSD-3-Clause"] = (
+    WRAPPED["BSD-2-Clause"]
+    + """
+
+3. Neither the name of Example Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+)
+
+
+def test_wrapped_headers(spark):
+    marks = ["", "# ", " * ", "// "]
+    rows = [(f"{name} {k}", "\n".join(mark + line for line in ["def one(): pass", "", *text.split("\n"), "", "word and word"])) for name, text in WRAPPED.items() for k, mark in enumerate(marks)]
+    got = sorted((r["doc_id"], r["license"]) for r in ls.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect())
+    assert got == sorted((i, i.split()[0]) for i, _ in rows)
+
+
+def test_every_licence_of_a_text():
+    scanner = ls.Scanner(ls.TEMPLATES)
+    text = "\n".join(["Copyright 2020 Someone. All rights reserved.", *WRAPPED.values(), "word", WRAPPED["MIT"], "Licensed under CC BY-SA 4.0."])
+    got = scanner.confirmed("é " * 3000 + text + " the copy" * 3000)
+    assert [x["license"] for _, _, x in got] == ["all-rights-reserved", *WRAPPED, "MIT", "CC-BY-SA-4.0"]
+    assert all(b <= c for (_, b, _), (c, _, _) in zip(got, got[1:]))

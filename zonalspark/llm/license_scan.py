@@ -1,19 +1,24 @@
 """Operator 2: licence scan by conditional compression.
 
-Candidate blocks are runs of lines with a licence word. Each is compressed alone
-and with every template as a raw zstandard dictionary; the template that saves
-most is the likeliest licence. The best few are confirmed by their exact wording:
-the words of the template that the block has in order, and what differs.
-
-Null and empty texts have no blocks. A block that no template confirms is
-reported as unknown, with its best template. Repeated rows are each scanned.
-Extra columns play no part.
+Candidate texts have a licence word. Every place of a text where a template could
+stand, whatever lines it is wrapped into, is aligned with it: the words of the
+template that the place has in order, and what differs. Only places that have too
+few of the template's words, in any order, are left out. A place with the wording
+is a confirmed licence; of several on the same words the best one. Runs of lines
+with a licence word that hold no confirmed licence are reported as unknown.
+
+Each row's text is compressed alone and with every template as a raw zstandard
+dictionary; the template that saves most is the likeliest licence of an unknown
+block, and decides between templates whose wording fits alike.
+
+Null and empty texts have no blocks. Repeated rows are each scanned. Extra columns
+play no part.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +53,6 @@ TEMPLATES = {
     "all-rights-reserved": "All rights reserved.",
 }
 CUE = r"(?i)licen[cs]|copyright|\(c\)|©|warrant|permission|redistribut|public domain|rights reserved|creative commons|\bCC[ -]BY|free software|as is|copies|conditions|notice"
-BEST = 4
 CONFIRMED = 0.9
 _WORDS = re.compile(r"[\w.]*\w", re.U)
 
@@ -57,12 +61,38 @@ def words(text: str) -> list[str]:
     return [w.lower() for w in _WORDS.findall(text)]
 
 
+def align(template: np.ndarray, own: np.ndarray) -> list[tuple[int, int]]:
+    """(place in template, place in own) of the words of the best alignment of the whole template: most words, fewest missing and in between."""
+    n, at = len(template), np.arange(len(own) + 1)
+    best = np.zeros((n + 1, len(own) + 1), np.int32)
+    for a in range(n):
+        row = best[a] - 1
+        row[1:] = np.maximum(row[1:], np.where(own == template[a], best[a, :-1] + 1, -n - 1))
+        best[a + 1] = np.maximum.accumulate(row + at) - at
+    pairs, a, b = [], n, int(best[n].argmax())
+    while a and b:
+        if own[b - 1] == template[a - 1] and best[a, b] == best[a - 1, b - 1] + 1:
+            a, b = a - 1, b - 1
+            pairs.append((a, b))
+        elif best[a, b] == best[a - 1, b] - 1:
+            a -= 1
+        else:
+            b -= 1
+    return pairs[::-1]
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.names = list(templates)
         self.words = [words(t) for t in templates.values()]
         self.plain = zstandard.ZstdCompressor(level=3)
         self.with_template = [zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(t.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for t in templates.values()]
+        self.number = {w: i for i, w in enumerate(sorted({w for t in self.words for w in t}), 1)}
+        self.codes = [np.array([self.number[w] for w in t]) for t in self.words]
+        self.counts = [Counter(t.tolist()) for t in self.codes]
+        self.member = np.zeros((len(self.number) + 1, len(self.words)), np.int32)
+        for k, t in enumerate(self.codes):
+            self.member[t, k] = 1
 
     def reductions(self, block: str) -> np.ndarray:
         """Share of the block's compressed size that each template saves."""
@@ -70,25 +100,67 @@ class Scanner:
         alone = len(self.plain.compress(raw))
         return np.array([1 - len(c.compress(raw)) / alone for c in self.with_template])
 
-    def wording(self, k: int, own: list[str]) -> tuple[float, list[str], list[str]]:
-        """Share of the template's words that the block has in order; missing words; words in between."""
-        template = self.words[k]
-        matches = [m for m in difflib.SequenceMatcher(None, template, own, autojunk=False).get_matching_blocks() if m.size]
-        have = sum(m.size for m in matches)
-        kept = {i for m in matches for i in range(m.a, m.a + m.size)}
-        first, last = (matches[0].b, matches[-1].b + matches[-1].size) if matches else (0, 0)
-        held = {i for m in matches for i in range(m.b, m.b + m.size)}
-        return have / len(template), [w for i, w in enumerate(template) if i not in kept], [own[i] for i in range(first, last) if i not in held]
+    def wording(self, k: int, own: list[str], pairs: list[tuple[int, int]]) -> tuple[float, list[str], list[str]]:
+        """Share of the template's words that are aligned; missing words; words in between."""
+        kept, held = {a for a, _ in pairs}, {b for _, b in pairs}
+        between = [own[i] for i in range(pairs[0][1], pairs[-1][1]) if i not in held] if pairs else []
+        return len(pairs) / len(self.words[k]), [w for i, w in enumerate(self.words[k]) if i not in kept], between
+
+    def places(self, k: int, codes: np.ndarray, sums: np.ndarray) -> list[list[tuple[int, int]]]:
+        """Alignments of template k that have its wording, in one piece; each with words of its own."""
+        n = len(self.codes[k])
+        extra = int((1 - CONFIRMED) * n + 1)
+        need, reach, m = int(np.ceil(CONFIRMED * n - 1e-9)), n + extra, len(codes)
+        ends = np.minimum(np.arange(m) + reach, m)
+        fits = np.flatnonzero(sums[ends, k] - sums[:m, k] >= need)
+        if not len(fits):
+            return []
+        runs = np.split(fits, np.flatnonzero(np.diff(fits) > 1) + 1)
+        # pieces of two windows, one window apart, so that each window is whole in one of them
+        stack = [(lo, min(lo + 2 * reach, r[-1] + reach, m)) for r in runs for lo in range(r[0], r[-1] + 1, reach)]
+        out = {}
+        while stack:
+            lo, hi = stack.pop()
+            if sum((Counter(codes[lo:hi].tolist()) & self.counts[k]).values()) < need:
+                continue
+            pairs = [(a, int(b + lo)) for a, b in align(self.codes[k], codes[lo:hi])]
+            if len(pairs) >= need and pairs[-1][1] - pairs[0][1] + 1 - len(pairs) <= extra:
+                out[pairs[0][1], pairs[-1][1]] = pairs
+                stack += [(lo, pairs[0][1]), (pairs[-1][1] + 1, hi)]
+        return list(out.values())
+
+    def confirmed(self, text: str) -> list[tuple[int, int, dict]]:
+        """(start, end, finding) of every licence in the text, in order."""
+        found = list(_WORDS.finditer(text))
+        own = [m[0].lower() for m in found]
+        codes = np.array([self.number.get(w, 0) for w in own], np.int64)
+        sums = np.concatenate((np.zeros((1, len(self.words)), np.int32), np.cumsum(self.member[codes], axis=0, dtype=np.int32)))
+        judged = []
+        for k in range(len(self.words)):
+            for pairs in self.places(k, codes, sums):
+                share, missing, between = self.wording(k, own, pairs)
+                first, last = pairs[0][1], pairs[-1][1]
+                start, end = found[first].start(), found[last].end()
+                judged.append((len(pairs) - len(missing) - len(between), k, first, last, start, end, share, missing, between))
+        saved = {j[4:6]: self.reductions(text[j[4] : j[5]]) for j in judged}
+        taken, out = np.zeros(len(own), bool), []
+        for _, k, first, last, start, end, share, missing, between in sorted(judged, key=lambda j: (-j[0], -saved[j[4:6]][j[1]], j[1], j[2])):
+            if not taken[first : last + 1].any():
+                taken[first : last + 1] = True
+                out.append((start, end, {"license": self.names[k].removesuffix("-short").removesuffix("-long"), "template": self.names[k], "reduction": round(float(saved[start, end][k]), 6), "wording": round(share, 6), "missing": missing, "between": between}))
+        return sorted(out, key=lambda x: x[:2])
+
+    def unknown(self, block: str) -> dict:
+        """The likeliest template of a block that has no confirmed licence."""
+        saved, own = self.reductions(block), words(block)
+        k = int(saved.argmax())
+        share, missing, between = self.wording(k, own, align(self.codes[k], np.array([self.number.get(w, 0) for w in own], np.int64)))
+        return {"license": "unknown", "template": self.names[k], "reduction": round(float(saved[k]), 6), "wording": round(share, 6), "missing": missing, "between": between}
 
     def scan(self, block: str) -> dict:
-        saved = self.reductions(block)
-        own = words(block)
-        rank = sorted(range(len(saved)), key=lambda k: (-saved[k], k))[:BEST]
-        judged = [(k, *self.wording(k, own)) for k in rank]
-        # a winner has the wording, in one piece; of several the one with the most words of its template
-        good = [j for j in judged if j[1] >= CONFIRMED and len(j[3]) <= (1 - CONFIRMED) * len(self.words[j[0]]) + 1]
-        k, share, missing, between = max(good, key=lambda j: (len(self.words[j[0]]) * j[1] - len(j[2]) - len(j[3]), -j[0])) if good else judged[0]
-        return {"license": self.names[k].removesuffix("-short").removesuffix("-long") if good else "unknown", "template": self.names[k], "reduction": round(float(saved[k]), 6), "wording": round(share, 6), "missing": missing, "between": between}
+        """The licence of a block that is held to have one: the one with the most words of its template."""
+        good = [x for _, _, x in self.confirmed(block)]
+        return max(good, key=lambda x: len(self.words[self.names.index(x["template"])]) - 2 * len(x["missing"]) - len(x["between"])) if good else self.unknown(block)
 
 
 def blocks(text: str, cue: re.Pattern) -> list[tuple[int, str]]:
@@ -114,7 +186,7 @@ _OUT = "start int, length int, license string, template string, reduction double
 
 
 def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
-    """One row per candidate block: doc_id, its place in characters, licence, savings and wording."""
+    """One row per confirmed licence and per unknown block: doc_id, its place in characters, licence, savings and wording."""
     templates = templates or TEMPLATES
     some = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(F.col("text").rlike(CUE))
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -126,12 +198,18 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", templat
         for batch in batches:
             rows, owners = [], []
             for i, body in enumerate(batch.column(1).to_pylist()):
+                good = scanner.confirmed(body)
+                found = [(start, end - start, x) for start, end, x in good]
                 for start, block in blocks(body, cue):
+                    if any(a < start + len(block) and start < b for a, b, _ in good):
+                        continue
                     if block not in known:
                         if len(known) > 10_000:
                             known.clear()
-                        known[block] = scanner.scan(block)
-                    rows.append({"start": start, "length": len(block), **known[block]})
+                        known[block] = scanner.unknown(block)
+                    found.append((start, len(block), known[block]))
+                for start, length, x in sorted(found, key=lambda f: f[:2]):
+                    rows.append({"start": start, "length": length, **x})
                     owners.append(i)
             table = pa.Table.from_pylist(rows, pa.schema([("start", pa.int32()), ("length", pa.int32()), ("license", pa.string()), ("template", pa.string()), ("reduction", pa.float64()), ("wording", pa.float64()), ("missing", strings), ("between", strings)])).combine_chunks()
             ids = batch.column(0).take(pa.array(owners, pa.int64()))
