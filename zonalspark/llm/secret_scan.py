@@ -19,11 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Keys of known forms, values after an assignment, and long runs with a digit.
+#: Private keys from BEGIN to END (or to their last long line), values after an assignment, and long runs with a digit.
+#: No upper bounds: possessive quantifiers and a run's one start keep it linear.
+_BEGIN, _END = (rf"-----{k} [A-Z ]{{0,30}}PRIVATE KEY(?: BLOCK)?-----" for k in ("BEGIN", "END"))
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"
-    r"|(?<=[=:]['\" ]{0,2})[A-Za-z0-9!@#$%^&*+/_~-]{8,512}={0,2}"
-    r"|(?<![A-Za-z0-9])(?=[A-Za-z+/_-]{0,64}[0-9])[A-Za-z0-9+/_-]{16,4096}={0,2}"
+    rf"{_BEGIN}(?:(?:\s|\\[nr])*+[A-Z][A-Za-z-]{{1,30}}+: [^\r\n\\]*+)*+(?:[A-Za-z0-9+/=\s\\\"',;:#*>|]|-(?!----(?:BEGIN|END) ))*+{_END}"
+    rf"|{_BEGIN}(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{{40,}}+={{0,2}})*+"
+    r"|(?<=[=:]['\" ]{0,2})[A-Za-z0-9!@#$%^&*+/_~-]{8,}+={0,2}"
+    r"|(?:(?<![A-Za-z0-9+/_-])|(?<=KEY-----))(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2}"
 )
 #: Fixed words that, before a candidate, speak for or against a secret.
 CUES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|passphrase"
@@ -77,17 +80,20 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
     no = pick(["commit ", "sha256: ", "md5 = ", "checksum: ", "version ", "id=", "order ", "etag: \"", "see ", "revision ", "build: ", "card "], "hd")
     prose = pick(["the rest of ", "and then ", "sont dans ", "und der ", "de la ", "", "in the "], "he")
     after = pick(["", " and the rest", "\" the others", " und so weiter", ". Then", "\"", ", etc"], "hc")
-    kind = "cast(conv(substr(he, 3, 4), 16, 10) as int) % 20"
+    kind = "cast(conv(substr(he, 3, 4), 16, 10) as int) % 24"
+    long = "left(repeat(replace(base64(unhex(concat(ha, hb, hc, hd, he, sha2(ha, 256)))), '\\n', ''), 42), 200 + cast(conv(substr(hd, 9, 4), 16, 10) as int) % 10000)"
+    own = f"({kind} < 10 or {kind} in (20, 21))"
     value = F.expr(
         f"""case {kind} when 0 then {hexed(40)} when 1 then {hexed(32)} when 2 then {hexed(18)} when 3 then {hexed(64)} when 4 then concat('AKIA', {upper})
         when 5 then concat('AKIA', {upper}) when 6 then {b64} when 7 then concat('ghp_', substr({b64}, 1, 36)) when 8 then concat('eyJ', {b64}) when 9 then concat(substr({b64}, 1, 12), '!', substr(hb, 1, 3))
         when 10 then {hexed(40)} when 11 then {hexed(32)} when 12 then {hexed(64)} when 13 then {longer} when 14 then translate(substr(ha, 1, 16), 'abcdef', '012345')
         when 15 then concat_ws('-', substr(ha, 1, 8), substr(ha, 9, 4), substr(ha, 13, 4), substr(ha, 17, 4), substr(ha, 21, 12)) when 16 then concat('your_', {word}, '_1234')
-        when 17 then concat('xxxxxxxxxxxx', substr(ha, 1, 1)) when 18 then concat({word}, '/', {word}, '/2024-01-', 10 + id % 19) else concat({word}, id % 10) end"""
+        when 17 then concat('xxxxxxxxxxxx', substr(ha, 1, 1)) when 18 then concat({word}, '/', {word}, '/2024-01-', 10 + id % 19) when 20 then {long} when 21 then concat('-----BEGIN ', {pick(['RSA ', 'EC ', '', 'OPENSSH '], 'hb')}, 'PRIVATE KEY-----\\n', regexp_replace(left({long}, 200 + id % 3000), '(.{{64}})', '$1\\n'), '\\n-----END PRIVATE KEY-----')
+        when 22 then {long} when 23 then {long} else concat({word}, id % 10) end"""
     )
-    before = F.expr(f"case when {kind} in (4, 5, 7, 8) then concat({prose}, if(id % 3 = 0, {cue}, '')) when {kind} < 10 then concat({prose}, {cue}) when {kind} in (16, 17) then concat({prose}, {cue}) when {kind} = 14 then concat({prose}, if(id % 2 = 0, {no}, '')) when {kind} in (13, 18, 19) then concat({prose}, if(id % 4 = 0, 'http://www.', '')) else concat({prose}, {no}) end")
-    path = F.expr(f"if({kind} >= 10 and id % 5 = 0, {pick(['src/test/x', 'docs/a.md', 'examples/b'], 'ha')}, {pick(['src3', 'app/main', 'web', 'config/prod'], 'hb')})")
-    return df.select(value.alias("c"), before.alias("b"), F.expr(after).alias("a"), path.alias("p"), F.expr(f"cast({kind} < 10 as double)").alias("label"))
+    before = F.expr(f"case when {kind} in (4, 5, 7, 8, 21) then concat({prose}, if(id % 3 = 0, {cue}, '')) when {kind} < 10 or {kind} = 20 then concat({prose}, {cue}) when {kind} in (16, 17) then concat({prose}, {cue}) when {kind} = 14 then concat({prose}, if(id % 2 = 0, {no}, '')) when {kind} in (13, 18, 19) then concat({prose}, if(id % 4 = 0, 'http://www.', '')) when {kind} = 22 then concat({prose}, {pick(['<img src="data:image/png;base64,', 'url(data:font/woff2;base64,', '"image": "', '"data": "', ''], 'hd')}) else concat({prose}, {no}) end")
+    path = F.expr(f"if(not {own} and id % 5 = 0, {pick(['src/test/x', 'docs/a.md', 'examples/b'], 'ha')}, {pick(['src3', 'app/main', 'web', 'config/prod'], 'hb')})")
+    return df.select(value.alias("c"), before.alias("b"), F.expr(after).alias("a"), path.alias("p"), F.expr(f"cast({own} as double)").alias("label"))
 
 
 def train(findings: DataFrame, *, trees: int = TREES, depth: int = DEPTH) -> str:
