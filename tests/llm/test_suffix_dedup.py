@@ -55,3 +55,12 @@ def test_sorted_suffixes(text, length):
     for k in range(1, len(order)):
         a, b = cut[order[k - 1]], cut[order[k]]
         assert shared[k] == next((i for i in range(length) if a[i] != b[i]), length)
+
+
+def test_texts_without_id_and_with_one_32_bit_hash(spark):
+    passages = ["".join(chr(97 + (i * i * k) % 23) for i in range(260)) for k in (7, 11)]
+    many = spark.range(400_000).selectExpr("id % 2 as side", f"concat(sha2(string(id), 256), if(id % 2 = 0, '{passages[0]}', '{passages[1]}' || ' longer'), 'end') as text")
+    pair = many.groupBy(sd.F.hash("text").alias("h")).agg(sd.F.min_by("text", "side").alias("a"), sd.F.max_by("text", "side").alias("b"), sd.F.countDistinct("side").alias("n")).filter("n = 2").orderBy("h").first()
+    texts = [pair["a"], pair["b"], *passages]
+    docs = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (1, texts[2]), (2, texts[3])], "doc_id long, text string")
+    assert sorted(tuple(r)[1:] for r in sd.report(docs).collect()) == sorted(sd.brute_force(texts))

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ._text import U64, Hashes, slices, trim_powers, written
@@ -80,27 +80,32 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
     return document, first, last, least[first]
 
 
+def _mark(text: str) -> Column:
+    """128 bits of a text's SHA-256."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), 1, 32))
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """A text's key is its id and a hash of it, so that repeated ids do no harm."""
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), F.hash(F.coalesce(text, F.lit(""))).alias("mark"), F.col(text).alias("text"))
+    """A text's key is its id and a 128-bit digest of it, so that repeated and missing ids do no harm."""
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), _mark(text).alias("mark"), F.col(text).alias("text"))
 
 
 def stretch_rows(keyed: DataFrame, length: int, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, marks = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             for first_doc, _, data, offsets in slices(batch.column(2)):
                 document, first, last, least = stretches(data, offsets, length, seed)
                 raw = memoryview(data.tobytes())
                 digest = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)), U64, len(first))
                 base = offsets[document]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(least.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[first_doc + document]), pa.array(marks[first_doc + document]), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
+                    [pa.array(least.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[first_doc + document]), batch.column(1).take(pa.array(first_doc + document)), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
                     names=["seed", "digest", "doc", "mark", "first", "last"],
                 )
                 trim_powers()
 
-    return keyed.mapInArrow(run, "seed long, digest long, doc long, mark int, first int, last int")
+    return keyed.mapInArrow(run, "seed long, digest long, doc long, mark binary, first int, last int")
 
 
 def common_extension(hashes: Hashes, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -204,7 +209,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, key and the text as zstandard: what travels in a shuffle."""
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), F.hash(F.coalesce(text, F.lit(""))).alias("mark"), F.col(text).alias("text"))
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), _mark(text).alias("mark"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -212,7 +217,7 @@ def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             packed = pa.array([pack((t or "").encode()) for t in batch.column(3).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], packed], names=["doc_id", "doc", "mark", "packed"])
 
-    return keyed.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, doc long, mark int, packed binary")
+    return keyed.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, doc long, mark binary, packed binary")
 
 
 def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
@@ -220,7 +225,7 @@ def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        names, kinds = ("seed", "digest", "hot", "doc", "mark", "first", "at", "context"), (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        names, kinds = ("seed", "digest", "hot", "doc", "mark", "first", "at", "context"), (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
             out: dict[str, list] = {k: [] for k in names}
             held = 0
@@ -241,7 +246,7 @@ def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
                 trim_powers()
             yield pa.RecordBatch.from_pydict(out, pa.schema(list(zip(names, kinds, strict=True))))
 
-    return wanted.mapInArrow(run, "seed long, digest long, hot boolean, doc long, mark int, first int, at int, context binary")
+    return wanted.mapInArrow(run, "seed long, digest long, hot boolean, doc long, mark binary, first int, at int, context binary")
 
 
 def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
@@ -251,7 +256,7 @@ def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
         starts = repeated_starts([r[4] for r in rows], [r[3] for r in rows], length)
         trim_powers()
         spans = [[{"start": r[2] + s["start"], "end": r[2] + s["end"]} for s in _spans(x, length)] for r, x in zip(rows, starts, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array(spans, _SPANS)], names=["doc", "mark", "spans"])
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array(spans, _SPANS)], names=["doc", "mark", "spans"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -268,7 +273,7 @@ def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
         if rows or group:
             yield settle(rows + group)
 
-    return rims.select("seed", "doc", "mark", "first", "at", "context").repartition("seed").sortWithinPartitions("seed").mapInArrow(run, f"doc long, mark int, spans {SPANS}")
+    return rims.select("seed", "doc", "mark", "first", "at", "context").repartition("seed").sortWithinPartitions("seed").mapInArrow(run, f"doc long, mark binary, spans {SPANS}")
 
 
 def _counted_rims(rims: DataFrame, length: int) -> DataFrame:
@@ -279,9 +284,9 @@ def _counted_rims(rims: DataFrame, length: int) -> DataFrame:
             for doc, mark, first, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 digests = [xxhash.xxh3_128_digest(context[i : i + length]) for i in range(len(context) - length + 1)]
                 n = len(digests)
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.int32()), pa.array(range(first, first + n), pa.int32())], names=["digest", "doc", "mark", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.binary()), pa.array(range(first, first + n), pa.int32())], names=["digest", "doc", "mark", "start"])
 
-    strings = rims.select("doc", "mark", "first", "context").mapInArrow(run, "digest binary, doc long, mark int, start int")
+    strings = rims.select("doc", "mark", "first", "context").mapInArrow(run, "digest binary, doc long, mark binary, start int")
     often = strings.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
     span = F.struct(F.col("start"), (F.col("start") + length).alias("end"))
     return strings.join(often, "digest").select("doc", "mark", F.array(span).alias("spans"))
