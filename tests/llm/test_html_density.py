@@ -37,3 +37,12 @@ def test_report(spark):
     got = hd.report(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", hd.F.lit(1)))
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((r["text"], r["n_chars"]) for r in got.collect()) == [("", 0), ("é é", 3), ("é é", 3)]
+
+
+def test_page_inside_a_form_and_named_headings():
+    body = "".join(f"<p>Paragraph {i} has quite a few words about one subject.</p>" for i in range(8))
+    for wrap in ("form", "fieldset", "header"):
+        got = hd.extract(f"<html><body><{wrap}><div><h2 class='section-header'>Title here</h2>{body}</div></{wrap}><form><p>Search this site</p></form></body></html>")
+        assert got.startswith("Title here Paragraph 0") and got.endswith("one subject.") and "Search" not in got
+    got = hd.extract(f"<body><form><main><p>A main text that is the longer one.</p></main></form><form>{'<p>Pick one of these.</p>'}</form></body>")
+    assert got == "A main text that is the longer one."

@@ -46,6 +46,9 @@ CUT_NAMES = frozenset(
     "warning modal popup popover overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget widgets toolbar "
     "pagination pager copyright disclaimer legal popular trending feedback skip form forms search".split()
 )
+#: Cut unless they hold an article, main or most of the text that is in no other cut.
+WRAPPERS = frozenset("form header fieldset".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BESIDE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl table figure section article main".split())
 
 
@@ -58,14 +61,14 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _named_cut(attributes: str) -> bool:
+def _named_cut(attributes: str, heading: bool = False) -> bool:
     for name, value in _NAMES.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
             return True
         if name == "role" and CUT_ROLES.intersection(value.split()):
             return True
-        if name in ("class", "id") and CUT_NAMES.intersection(re.split(r"[\s_\-:.]+|(?<=[a-z])\d+", value)):
+        if not heading and name in ("class", "id") and CUT_NAMES.intersection(re.split(r"[\s_\-:.]+|(?<=[a-z])\d+", value)):
             return True
     return False
 
@@ -130,7 +133,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                 node.children.append(child)
                 child.cut = tag in CUT_TAGS
                 if attributes and tag not in ("html", "body", "article", "main"):
-                    child.named = _named_cut(attributes)
+                    child.named = _named_cut(attributes, tag in HEADINGS)
                 if tag in RAW:
                     child.cut = True
                     stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
@@ -148,6 +151,30 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     return root, pieces
 
 
+def _spare_wrappers(root: Node, pieces: list[tuple[Node, str | None]]) -> None:
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        if (node.cut and node.tag not in WRAPPERS) or (node.named and not _holds_article(node)):
+            continue
+        order.append(node)
+        stack += node.children
+    if not any(x.cut for x in order):
+        return
+    chars, whole = dict.fromkeys(map(id, order), 0), set()
+    for node, text in pieces:
+        if text and id(node) in chars:
+            chars[id(node)] += len("".join(text.split()))
+    for node in reversed(order):
+        if node is not root:
+            chars[id(node.parent)] += chars[id(node)]
+            if node.tag in ("article", "main") or id(node) in whole:
+                whole.add(id(node.parent))
+    for node in order:
+        if node.cut and (id(node) in whole or 2 * chars[id(node)] > chars[id(root)]):
+            node.cut = False
+
+
 def _holds_article(node: Node) -> bool:
     stack = list(node.children)
     while stack:
@@ -160,6 +187,7 @@ def _holds_article(node: Node) -> bool:
 
 def _measure(root: Node, pieces: list[tuple[Node, str | None]]) -> list[Node]:
     """Fills counts, densities and sums; returns the elements outside of cuts, parents first."""
+    _spare_wrappers(root, pieces)
     order, stack = [], [root]
     while stack:
         node = stack.pop()
