@@ -31,7 +31,7 @@ def test_against_brute_force(spark):
 
 
 def test_hot_seeds_and_short_strings(spark, monkeypatch):
-    monkeypatch.setattr(sd, "GROUP", 2)
+    monkeypatch.setattr(sd, "CHUNK", 2)
     texts = corpus(2, 40)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [tuple(r)[1:] for r in sorted(sd.report(docs, length=40, seed=12).collect())]
@@ -45,6 +45,33 @@ def test_repeated_rows_nulls_and_empty(spark):
     assert sd.report(docs.limit(0)).count() == 0
 
 
+def test_a_seed_with_more_stretches_than_one_sort_holds(spark, monkeypatch):
+    monkeypatch.setattr(sd, "CHUNK", 8)
+    rng = random.Random(4)
+    letters = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
+    hot, sides = letters(30), [letters(40) for _ in range(4)]
+    texts = [letters(20) + rng.choice(sides)[-rng.randrange(1, 40) :] + hot + rng.choice(sides)[: rng.randrange(1, 40)] + letters(20) for _ in range(120)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(r)[1:] for r in sorted(sd.report(docs, length=60, seed=12).collect())]
+    assert got == sd.brute_force(texts, 60) and sum(r[1] for r in got) > 1000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 30), st.integers(1, 30), st.data())
+def test_longer_seeds_keep_every_start_once(seed, more, data):
+    length, width = seed + more, more
+    at = data.draw(st.integers(0, width))
+    last = data.draw(st.integers(0, at))  # starts 0..last, each with the seed in it
+    context = bytes(i % 251 for i in range(last + length))
+    starts = []
+    for cut, rest, place, part in sd.longer_seeds(context, at, width, length):
+        assert context[cut : cut + len(part)] == part and cut + place in (at, at - (width + 1) // 2)
+        own = range(len(part) - length + 1)
+        assert all(s <= place and place + length - rest <= s + length for s in own)  # each string holds the longer seed
+        starts += [cut + s for s in own]
+    assert sorted(starts) == list(range(last + 1))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text("ab", min_size=1, max_size=80), st.integers(1, 20))
 def test_sorted_suffixes(text, length):

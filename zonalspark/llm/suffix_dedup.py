@@ -7,26 +7,32 @@ any substring at once, so suffixes compare by hashes:
 1. In each text, neighbouring starts whose strings have the same smallest seed
    hash form a stretch. Equal strings have equal smallest seeds in equal places,
    so a string that occurs again has a stretch with the same seed there. A
-   stretch is one row: its seed, a digest of all the bytes it spans, its place.
-2. Stretches whose seed occurs once hold no repeat. Those with the same seed and
-   digest are repeats at every start.
-3. The rest are the rims of repeated passages. One stretch for each digest goes
-   on, with its bytes. The suffixes that begin at the seeds are mergesorted, and
-   so are the prefixes before them, read backwards: two suffixes compare by
-   their common extension, found by binary search on the prefix hashes. In
-   sorted order, neighbours that share enough bytes form classes, and a start is
-   a repeat if another stretch is in its class on both sides. Neighbours that
-   count as equal are compared byte by byte.
+   stretch is one row: its seed, a digest of all the bytes it spans (128 bits of
+   BLAKE2b), its place. The rows are written once and all later steps read them.
+2. Stretches whose seed occurs once hold no repeat. Stretches with the same bytes
+   are one suffix: with the same seed and digest they are repeats at every start.
+3. One stretch for each digest of a seed with several goes on, with its bytes.
+   The suffixes that begin at the seeds are mergesorted, and so are the prefixes
+   before them, read backwards: two suffixes compare by their common extension,
+   found by binary search on the prefix hashes. In sorted order, neighbours that
+   share enough bytes form classes, and a start is a repeat if another stretch is
+   in its class on both sides. Neighbours that count as equal are compared byte
+   by byte.
+4. A seed with more stretches than one sort holds (``CHUNK``) is made longer: the
+   starts in the first half before the seed all hold some bytes more before it,
+   the others some bytes more after it. The stretch becomes two with longer
+   seeds, which meet fewer others. After at most log2(length - seed) such steps
+   the seed is the string.
 
 All starts of a corpus as suffixes would take 8 bytes for each byte of text;
 the stretches are about one row for 55 bytes. Counts are combined before every
-shuffle, and joins on a popular seed can be split by Spark. A seed with more
-than ``GROUP`` different stretches is not sorted in one task: its strings meet
-by 128-bit digest instead, counted before the shuffle.
+shuffle, and joins on a popular seed are joins of files, which Spark can split.
 
 Null is the empty text. Texts shorter than ``length`` lose nothing. Repeated
-rows repeat each other: all their bytes that strings of ``length`` cover go.
-Other columns play no part.
+rows, with or without an id, repeat each other: all their bytes that strings of
+``length`` cover go. A text of any length is taken whole, in one row; its bytes
+have to fit a task. An empty table gives no rows. Other columns play no part,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -45,8 +51,7 @@ from ._text import U64, Hashes, slices, trim_powers, written
 
 LENGTH = 200
 SEED = 80
-#: Stretches of one seed, and stretches in one sort.
-GROUP = 10_000
+#: Stretches in one sort.
 CHUNK = 4_000
 #: Bytes of stretches in one batch.
 CONTEXTS = 8 << 20
@@ -97,15 +102,20 @@ def stretch_rows(keyed: DataFrame, length: int, seed: int) -> DataFrame:
             for first_doc, _, data, offsets in slices(batch.column(2)):
                 document, first, last, least = stretches(data, offsets, length, seed)
                 raw = memoryview(data.tobytes())
-                digest = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)), U64, len(first))
-                base = offsets[document]
+                base, one, two = offsets[document], *digests([raw[a:b] for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(least.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(ids[first_doc + document]), batch.column(1).take(pa.array(first_doc + document)), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
-                    names=["seed", "digest", "doc", "mark", "first", "last"],
+                    [pa.array(least.view(np.int64)), one, two, pa.array(ids[first_doc + document]), batch.column(1).take(pa.array(first_doc + document)), pa.array((first - base).astype(np.int32)), pa.array((last - base).astype(np.int32))],
+                    names=["seed", "d1", "d2", "doc", "mark", "first", "last"],
                 )
                 trim_powers()
 
-    return keyed.mapInArrow(run, "seed long, digest long, doc long, mark binary, first int, last int")
+    return keyed.mapInArrow(run, "seed long, d1 long, d2 long, doc long, mark binary, first int, last int")
+
+
+def digests(parts: list) -> tuple[pa.Array, pa.Array]:
+    """128 bits of each part's BLAKE2b, as two columns."""
+    both = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=16).digest() for x in parts), np.int64).reshape(-1, 2)
+    return pa.array(both[:, 0].copy()), pa.array(both[:, 1].copy())
 
 
 def common_extension(hashes: Hashes, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
@@ -220,14 +230,17 @@ def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return keyed.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, doc long, mark binary, packed binary")
 
 
+_RIM = "key long, width int, doc long, mark binary, first int, at int, context binary"
+_RIM_KINDS = pa.schema([("key", pa.int64()), ("width", pa.int32()), ("doc", pa.int64()), ("mark", pa.binary()), ("first", pa.int32()), ("at", pa.int32()), ("context", pa.binary())])
+
+
 def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
-    """The bytes of each wanted stretch, and where its seed begins in them."""
+    """The bytes of each wanted stretch, and where its seed begins in them; width: how far at most a start is before it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
-        names, kinds = ("seed", "digest", "hot", "doc", "mark", "first", "at", "context"), (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in names}
+            out: list[tuple] = []
             held = 0
             for doc, mark, packed, wants in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 text = unpack(packed)
@@ -237,16 +250,47 @@ def _rims(wanted: DataFrame, length: int, seed: int) -> DataFrame:
                 for w in wants:
                     first, last = w["first"], w["last"]
                     place = int(np.argmax(hashes[first : first + length - seed + 1] == w["seed"]))
-                    for k, v in zip(names, (w["seed"], w["digest"], w["hot"], doc, mark, first, place, text[first : last + length]), strict=True):
-                        out[k].append(v)
+                    out.append((w["seed"], length - seed, doc, mark, first, place, text[first : last + length]))
                     held += last + length - first
                 if held > CONTEXTS:
-                    yield pa.RecordBatch.from_pydict(out, pa.schema(list(zip(names, kinds, strict=True))))
-                    out, held = {k: [] for k in names}, 0
+                    yield _rim_batch(out)
+                    out, held = [], 0
                 trim_powers()
-            yield pa.RecordBatch.from_pydict(out, pa.schema(list(zip(names, kinds, strict=True))))
+            yield _rim_batch(out)
+
+    return wanted.mapInArrow(run, _RIM)
+
 
-    return wanted.mapInArrow(run, "seed long, digest long, hot boolean, doc long, mark binary, first int, at int, context binary")
+def _rim_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * len(_RIM_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RIM_KINDS, strict=True)], schema=_RIM_KINDS)
+
+
+def longer_seeds(context: bytes, at: int, width: int, length: int) -> list[tuple[int, int, int, bytes]]:
+    """(bytes cut off in front, width, place of the seed, bytes) of the two stretches with longer seeds that have the starts of this one."""
+    half, out = (width + 1) // 2, []
+    if at >= half:  # starts half bytes before the seed or more
+        out.append((0, width - half, at - half, context[: at - half + length]))
+    first = max(0, at - half + 1)
+    if len(context) - first >= length:
+        out.append((first, half - 1, at - first, context[first:]))
+    return out
+
+
+def _longer(rims: DataFrame, length: int) -> DataFrame:
+    """Stretches as two each with longer seeds, keyed by them, and their digests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for _, width, doc, mark, first, at, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for cut, rest, place, part in longer_seeds(context, at, width, length):
+                    key = xxhash.xxh3_64_intdigest(part[place : place + length - rest], rest + 1)
+                    out.append((key - (key >> 63 << 64), rest, doc, mark, first + cut, place, part))
+            whole = _rim_batch(out)
+            yield pa.RecordBatch.from_arrays([*whole.columns, *digests(whole.column(6).to_pylist())], names=[*_RIM_KINDS.names, "d1", "d2"])
+
+    return rims.select(*_RIM_KINDS.names).mapInArrow(run, _RIM + ", d1 long, d2 long")
 
 
 def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
@@ -263,59 +307,57 @@ def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
         group: list[tuple] = []
         current = None
         for batch in batches:
-            for seed, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if seed != current:
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != current:
                     if len(rows) + len(group) > CHUNK and rows:
                         yield settle(rows)
                         rows = []
-                    rows, group, current = rows + group if group else rows, [], seed
+                    rows, group, current = rows + group if group else rows, [], key
                 group.append(tuple(row))
         if rows or group:
             yield settle(rows + group)
 
-    return rims.select("seed", "doc", "mark", "first", "at", "context").repartition("seed").sortWithinPartitions("seed").mapInArrow(run, f"doc long, mark binary, spans {SPANS}")
-
+    return rims.select("key", "doc", "mark", "first", "at", "context").repartition("key").sortWithinPartitions("key").mapInArrow(run, f"doc long, mark binary, spans {SPANS}")
 
-def _counted_rims(rims: DataFrame, length: int) -> DataFrame:
-    """The same for seeds with very many stretches: their strings meet by 128-bit digest."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc, mark, first, context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                digests = [xxhash.xxh3_128_digest(context[i : i + length]) for i in range(len(context) - length + 1)]
-                n = len(digests)
-                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array([doc] * n, pa.int64()), pa.array([mark] * n, pa.binary()), pa.array(range(first, first + n), pa.int32())], names=["digest", "doc", "mark", "start"])
-
-    strings = rims.select("doc", "mark", "first", "context").mapInArrow(run, "digest binary, doc long, mark binary, start int")
-    often = strings.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-    span = F.struct(F.col("start"), (F.col("start") + length).alias("end"))
-    return strings.join(often, "digest").select("doc", "mark", F.array(span).alias("spans"))
+def _settled(rims: DataFrame, length: int) -> Iterator[DataFrame]:
+    """Spans (doc, mark, spans) of the repeats inside the rims; seeds with too many stretches are made longer until all fit a sort."""
+    while True:
+        hot = written(rims.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK).select("key"), "hot")
+        if hot.isEmpty():
+            yield _sorted_rims(rims, length)
+            return
+        yield _sorted_rims(rims.join(hot, "key", "left_anti"), length)
+        parts = written(_longer(rims.join(hot, "key", "left_semi"), length), "longer")
+        classes = written(parts.groupBy("key", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("width", "doc", "mark", "first", "at", "context")).alias("one")), "classes")
+        span = F.struct(F.col("first").alias("start"), (F.col("first") + F.length("context")).alias("end"))
+        yield parts.join(written(classes.filter("n > 1").select("key", "d1", "d2"), "equal"), ["key", "d1", "d2"]).select("doc", "mark", F.array(span).alias("spans"))
+        rims = classes.filter("one.width > 0").select("key", "one.*")
 
 
 def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """Spans of bytes to remove, by document key (doc, mark); they may overlap."""
-    keyed = _keyed(docs, doc_id, text)
-    rows = stretch_rows(keyed, length, seed)
-    seeds = rows.groupBy("seed").agg(F.count("*").alias("n"), (F.min("digest") < F.max("digest")).alias("mixed")).filter("n > 1").select("seed", "mixed")
+    rows = written(stretch_rows(_keyed(docs, doc_id, text), length, seed), "stretches")
+    differ = (F.min("d1") < F.max("d1")) | (F.min("d2") < F.max("d2"))
+    seeds = written(rows.groupBy("seed").agg(F.count("*").alias("n"), differ.alias("mixed")).filter("n > 1").select("seed", "mixed"), "seeds")
     again = written(rows.join(seeds, "seed"), "repeats")
     full = F.array(F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))).alias("spans")
     mixed = again.filter("mixed").drop("mixed")
-    classes = written(mixed.groupBy("seed", "digest").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "first", "last")).alias("one")), "rims")
-    sizes = classes.groupBy("seed").agg((F.count("*") > GROUP).alias("hot"))
-    wants = classes.join(sizes, "seed").groupBy("one.doc", "one.mark").agg(F.collect_list(F.struct("seed", "digest", "hot", "one.first", "one.last")).alias("wants"))
-    rims = _rims(_packed(docs, doc_id, text).drop("doc_id").dropDuplicates(["doc", "mark"]).join(wants, ["doc", "mark"]), length, seed)
-    rims = written(rims, "contexts")
-    return (
-        again.filter("not mixed").select("doc", "mark", full)
-        .union(mixed.join(classes.filter("n > 1").select("seed", "digest"), ["seed", "digest"]).select("doc", "mark", full))
-        .union(_sorted_rims(rims.filter("not hot"), length))
-        .union(_counted_rims(rims.filter("hot"), length))
-    )
+    classes = written(mixed.groupBy("seed", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "first", "last")).alias("one")), "classes")
+    equal = written(classes.filter("n > 1").select("seed", "d1", "d2"), "equal")
+    wants = classes.groupBy("one.doc", "one.mark").agg(F.collect_list(F.struct("seed", "one.first", "one.last")).alias("wants"))
+    rims = written(_rims(_packed(docs, doc_id, text).drop("doc_id").dropDuplicates(["doc", "mark"]).join(wants, ["doc", "mark"]), length, seed), "rims")
+    out = again.filter("not mixed").select("doc", "mark", full).union(mixed.join(equal, ["seed", "d1", "d2"]).select("doc", "mark", full))
+    for found in _settled(rims, length):
+        out = out.union(found)
+    return out
 
 
 def cut_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """doc_id, n_bytes, spans (merged, in bytes) and kept (the remaining bytes) of every document."""
-    spans = repeated_spans(docs, doc_id=doc_id, text=text, length=length, seed=seed).groupBy("doc", "mark").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    found = repeated_spans(docs, doc_id=doc_id, text=text, length=length, seed=seed)
+    # a set: rows with one id and text have the same spans
+    spans = written(found.groupBy("doc", "mark").agg(F.flatten(F.collect_set("spans")).alias("spans")), "spans")
     joined = _packed(docs, doc_id, text).join(spans, ["doc", "mark"], "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
