@@ -61,6 +61,25 @@ def test_against_brute_force(spark):
     assert kept == {c for _, c, _ in brute_force(rows)}
 
 
+def test_chained_buckets_and_near_copies_are_split(spark, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdé") for _ in range(rng.randrange(1, 6))) for _ in range(300)]
+    chain = [rng.choice(words) for _ in range(800)]
+    texts = [" ".join(chain[i : i + 60]) for i in range(600)]  # each like the next, the ends unlike
+    base = [rng.choice(words) for _ in range(300)]
+    for _ in range(40):
+        base[rng.randrange(300)] = rng.choice(words)
+        texts.append(" ".join(base))
+    rows = [(None if i % 3 == 0 else i % 50, t) for i, t in enumerate(texts)]  # ids repeat and miss
+    want = brute_force([(-1 if i is None else i, t) for i, t in rows])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    plans = []
+    monkeypatch.setattr(nj, "_groups", lambda nodes, block, own=nj._groups: plans.append(own(nodes, block)) or plans[-1])
+    got = nj.report(docs, block=16, recall=0.9999)
+    assert sorted((-1 if a is None else a, -1 if b is None else b, c) for a, b, c in map(tuple, got.collect())) == want
+    assert {r["band"] >= 0 for r in plans[0].select("band").distinct().collect()} == {True, False}
+
+
 def test_repeated_rows_extra_columns_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b c d e f", "k"), (1, "a b c d e f", "k"), (1, "z", "k"), (None, "q r", "k"), (5, None, "k"), (5, None, "k")], "doc_id long, text string, node string")
     out = nj.one_of_each(docs)

@@ -31,7 +31,7 @@ def test_against_brute_force(spark):
 
 
 def test_hot_seeds_and_short_strings(spark, monkeypatch):
-    monkeypatch.setattr(sd, "CHUNK", 2)
+    monkeypatch.setattr(sd, "GROUP", 2)
     texts = corpus(2, 40)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = [tuple(r)[1:] for r in sorted(sd.report(docs, length=40, seed=12).collect())]
@@ -46,7 +46,7 @@ def test_repeated_rows_nulls_and_empty(spark):
 
 
 def test_a_seed_with_more_stretches_than_one_sort_holds(spark, monkeypatch):
-    monkeypatch.setattr(sd, "CHUNK", 8)
+    monkeypatch.setattr(sd, "GROUP", 8)
     rng = random.Random(4)
     letters = lambda k: "".join(rng.choice("abcdefgh") for _ in range(k))
     hot, sides = letters(30), [letters(40) for _ in range(4)]

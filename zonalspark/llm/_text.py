@@ -11,6 +11,8 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -137,13 +139,20 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, n: int):
     return out, out_bounds
 
 
+def text_mark(text: str) -> Column:
+    """128 bits of a text's SHA-256; with an id the key of a text, so that repeated and missing ids do no harm."""
+    return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), 1, 32))
+
+
 def shared_folder(spark, kind: str) -> str:
     """A fresh folder in the one that the cluster shares (spark.checkpoint.dir).
 
-    Only where that setting is absent, as in tests, a folder of this machine.
+    Only on one machine and where that setting is absent, as in tests, a folder of this machine.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         import tempfile
 
         root = "file://" + tempfile.mkdtemp(prefix="shared-")
@@ -155,4 +164,14 @@ def written(df, kind: str):
     """df as a table in the shared folder: lineage ends there and survives lost executors."""
     path = shared_folder(df.sparkSession, kind)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def forget(*tables) -> None:
+    """Deletes tables of ``written`` that nothing reads any more: all that was made of them is written too."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

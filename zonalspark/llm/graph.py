@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import written
+from ._text import forget, written
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -20,11 +20,13 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u > v").distinct()
-        now = written(small, "edges")
+        # written, so that the join with the edges of a hub is one of files, which Spark can split
+        leasts = [written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "least")]
+        large = written(both.join(leasts[0], "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        leasts.append(written(large.groupBy("u").agg(F.min("v").alias("m")), "least"))
+        small = large.join(leasts[1], "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u > v").distinct()
+        old, now = now, written(small, "edges")
+        forget(old, large, *leasts)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).collect()
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

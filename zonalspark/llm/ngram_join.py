@@ -8,14 +8,23 @@ with the same word sequence are one node; only one of them goes on.
    is asked for at the threshold.
 2. Nodes that share a band meet by a shuffle on the band's hash. A bucket gives
    one edge for each member, to its smallest: never all pairs.
-3. Components of these edges hold all candidates. A component's nodes meet with
-   their n-gram sets in blocks of bounded size; tasks take one or two blocks and
-   count the links of each node exactly. A large component is more tasks, not a
-   larger one; the links come out as counts and as a forest, never as pairs.
+3. Components of these edges hold all candidates. A small component is one task.
+   A large one is split into blocks of ``block`` nodes, and a task takes one or two
+   blocks and counts the links of each node exactly. What is split is the
+   component, if its nodes share most buckets (many near copies), or each of its
+   buckets, if chance hits chain many small groups: whichever sends fewer n-gram
+   sets. In buckets, a pair counts in the first band that it shares. A hot group
+   is more tasks, not a larger one; the links come out as counts and as a forest,
+   never as pairs.
 4. Components of the verified forest are the classes.
 
 Texts without a word (null, empty, marks only) are alone and have no links.
-Repeated rows are copies: same class. A null doc_id sorts before all others.
+Repeated rows are copies: same class, and only one of them goes on. Ids may repeat
+and be null: a text is named by its id and 128 bits of its SHA-256. A null doc_id
+sorts before all others; of several smallest ids none is preferred, they are the
+same. A text is taken whole, whatever its length; its n-gram set has to fit a task.
+An empty table gives no rows. Other columns play no part in ``report``, and stay as
+they are in ``one_of_each``, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._text import U64, mix, shingle_hashes, slices, word_hashes, written
+from ._text import U64, forget, mix, shingle_hashes, slices, text_mark, word_hashes, written
 from .graph import components
 
 N = 5
@@ -92,23 +101,19 @@ def with_bands(docs: DataFrame, text: str, bands: int, rows: int, n: int) -> Dat
 
 
 def _with_grams(wanted: DataFrame, n: int) -> DataFrame:
-    """(comp, node, nb, grams): the n-gram set of each wanted text as sorted 64-bit hashes."""
+    """(node, bands, groups, grams): the n-gram set of each wanted text as sorted 64-bit hashes."""
+    schema = T.StructType([wanted.schema[c] for c in ("node", "bands", "groups")] + [T.StructField("grams", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, sets = [], []
-            expected = batch.column(2).to_pylist()
+            sets = []
             for first, last, data, offsets in slices(batch.column(0)):
                 words, _, _, bounds = word_hashes(data, offsets)
                 grams, at = shingle_hashes(words, bounds, n)
-                for d in range(last - first):
-                    if _node(words[bounds[d] : bounds[d + 1]]) == expected[first + d]:  # else another text with that id
-                        keep.append(first + d)
-                        sets.append(np.unique(grams[at[d] : at[d + 1]]).tobytes())
-            rest = pa.RecordBatch.from_arrays(batch.columns[1:], names=["comp", "node", "nb"]).take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(sets, pa.binary())], names=["comp", "node", "nb", "grams"])
+                sets += [np.unique(grams[at[d] : at[d + 1]]).tobytes() for d in range(last - first)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(sets, pa.binary())], names=["node", "bands", "groups", "grams"])
 
-    return wanted.mapInArrow(run, "comp binary, node binary, nb int, grams binary")
+    return wanted.select("text", "node", "bands", "groups").mapInArrow(run, schema)
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -131,9 +136,8 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 def _links(blocks: DataFrame, threshold: float) -> DataFrame:
     """(node, root, links) of each node in each task's blocks; root is the smallest linked one there."""
 
-    def settle(rows: list[tuple], across: bool) -> list[tuple]:
-        rows = list({r[0]: r for r in rows}.values())
-        sets = [np.frombuffer(r[2], U64) for r in rows]
+    def settle(rows: list[tuple], band: int, across: bool) -> list[tuple]:
+        sets = [np.frombuffer(r[3], U64) for r in rows]
         sizes = np.array([len(s) for s in sets], float)
         shared = shared_counts(sets)
         linked = shared >= threshold * (sizes[:, None] + sizes[None, :] - shared) - 1e-9
@@ -141,6 +145,10 @@ def _links(blocks: DataFrame, threshold: float) -> DataFrame:
         if across:  # pairs inside a block are another task's
             block = np.array([r[1] for r in rows])
             linked &= block[:, None] != block[None, :]
+        if band > 0:  # pairs that share an earlier band are that bucket's
+            bands = np.array([r[2] for r in rows])
+            for earlier in range(band):
+                linked &= bands[:, None, earlier] != bands[None, :, earlier]
         names = [r[0] for r in rows]
         # hang every node of a linked set under its smallest
         root = list(range(len(rows)))
@@ -161,54 +169,83 @@ def _links(blocks: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows, out = None, [], []
         for batch in batches:
-            for comp, i, j, node, block, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (comp, i, j) != current:
+            for comp, band, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (comp, band, i, j) != current:
                     if rows:
-                        out += settle(rows, current[1] != current[2])
-                    current, rows = (comp, i, j), []
+                        out += settle(rows, current[1], current[2] != current[3])
+                    current, rows = (comp, band, i, j), []
                     if len(out) > 10_000:
                         yield batch_of(out)
                         out = []
-                rows.append((node, block, grams))
+                rows.append(row)
         if rows:
-            out += settle(rows, current[1] != current[2])
+            out += settle(rows, current[1], current[2] != current[3])
         yield batch_of(out)
 
-    keys = ["comp", "i", "j"]
-    return blocks.select(*keys, "node", "block", "grams").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node binary, root binary, links long")
+    keys = ["comp", "band", "i", "j"]
+    return blocks.select(*keys, "node", "block", "bands", "grams").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node binary, root binary, links long")
 
 
-def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int | None = None) -> DataFrame:
-    """doc_id, node, first (of its class: doc_id and node), class_id, n_links, for every row of docs.
+def _groups(nodes: DataFrame, block: int) -> DataFrame:
+    """(node, comp, band, nb): the groups of candidates that a node is verified in, and into how many blocks each is split.
 
-    class_id is the smallest doc_id of the class; n_links counts the other texts
-    (not copies) whose similarity is the threshold or more.
+    comp is a component (band -1) or, of components that split better so, a bucket.
     """
-    block = block or BLOCK
+    banded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    buckets = written(banded.groupBy("band", "bucket").agg(F.count("*").alias("n"), F.min("node").alias("leader")).filter("n > 1"), "buckets")
+    mates = written(banded.join(buckets, ["band", "bucket"]), "mates")
+    found = components(mates.select("node", "leader"), "node", "leader")
+    members = written(found.union(found.select(F.col("root").alias("node"), "root").distinct()), "members")
+    parts = lambda n: F.ceil(F.col(n) / block).cast("int")
+    sizes = written(members.groupBy("root").agg(F.count("*").alias("size")).withColumn("nb", parts("size")), "sizes")
+    whole = lambda chosen: members.join(chosen, "root").select("node", F.col("root").alias("comp"), F.lit(-1).alias("band"), "nb")
+    if sizes.filter("nb > 1").isEmpty():
+        return whole(sizes.select("root", "nb"))
+    # sets sent if each bucket is split: a node goes once to each of its buckets for each of their blocks
+    large = written(members.join(sizes.filter("nb > 1"), "root"), "large")
+    sent = mates.join(large, "node").groupBy("root", "size", "nb").agg(F.sum(parts("n")).alias("sent"))
+    by_bucket = written(sent.filter(F.col("sent") < F.col("size") * F.col("nb")).select("root"), "by_bucket")
+    split = mates.join(written(large.join(by_bucket, "root").select("node"), "split"), "node")
+    return whole(sizes.join(by_bucket, "root", "left_anti").select("root", "nb")).union(split.select("node", F.encode(F.col("bucket").cast("string"), "utf-8").alias("comp"), "band", parts("n").alias("nb")))
+
+
+def _known(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float, recall: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of every row; and (node, first, n_links) of every node, first being the smallest (doc_id, node) of its class."""
     bands, rows = bands_for(threshold, recall)
-    plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    plain = docs.select(F.col(doc_id).alias("doc_id"), text_mark(text).alias("mark"), F.col(text).alias("text"))
     signed = written(with_bands(plain, "text", bands, rows, n), "bands")
-    nodes = written(signed.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "nodes")
-    banded = nodes.select("node", F.explode("bands").alias("bucket"))
-    leaders = banded.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1").select("bucket", "leader")
-    candidates = components(banded.join(leaders, "bucket").select("node", "leader"), "node", "leader")
-    members = candidates.union(candidates.select(F.col("root").alias("node"), "root").distinct())
-    sizes = candidates.groupBy("root").agg(F.ceil((F.count("*") + 1) / block).cast("int").alias("nb"))
-    wanted = nodes.select("node", "doc_id").join(members, "node").join(sizes, "root").select("doc_id", F.col("root").alias("comp"), "node", "nb")
-    texts = plain.join(wanted.withColumnRenamed("doc_id", "own"), F.col("doc_id").eqNullSafe(F.col("own"))).select("text", "comp", "node", "nb")
-    placed = _with_grams(texts, n).withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
+    nodes = written(signed.filter("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("own"), F.first("bands").alias("bands")), "nodes")
+    groups = _groups(nodes, block).groupBy("node").agg(F.collect_list(F.struct("comp", "band", "nb")).alias("groups"))
+    wanted = nodes.join(groups, "node").select(F.col("own.doc_id").alias("own_id"), F.col("own.mark").alias("own_mark"), "node", "bands", "groups")
+    # repeated rows are combined before the shuffle
+    once = plain.dropDuplicates(["doc_id", "mark"])
+    texts = once.join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark")))
+    in_groups = _with_grams(texts, n).select("node", "bands", "grams", F.explode("groups").alias("g")).select("node", "bands", "grams", "g.*")
+    placed = in_groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o")
-    blocks = placed.select("*", other).select("comp", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "node", "block", "grams")
+    blocks = placed.select("*", other).select("comp", "band", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "node", "block", "bands", "grams")
     links = written(_links(blocks, threshold), "links")
     roots = components(links.select("node", "root"), "node", "root")
-    counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
-    linked = nodes.select("node", "doc_id").join(roots, "node")
-    firsts = linked.groupBy("root").agg(F.min(F.struct("doc_id", "node")).alias("first"))
-    known = linked.join(firsts, "root").join(counts, "node").select("node", "first", "n_links")
-    own = nodes.select(F.col("node"), F.struct("doc_id", "node").alias("alone"))
-    known = own.join(known, "node", "left").select("node", F.coalesce("first", "alone").alias("first"), "n_links")
-    out = signed.select("doc_id", "node").join(known, "node", "left")
+    counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
+    names = nodes.select("node", F.struct("own.doc_id", "node").alias("alone"))
+    linked = names.join(roots, "node")
+    firsts = linked.groupBy("root").agg(F.min("alone").alias("first"))
+    linked = linked.join(firsts, "root").join(counts, "node").select("node", "first", "n_links")
+    known = written(names.join(linked, "node", "left").select("node", F.coalesce("first", "alone").alias("first"), "n_links"), "known")
+    forget(nodes, links)
+    return signed.select("doc_id", "node"), known
+
+
+def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int | None = None) -> DataFrame:
+    """doc_id, node, first (of its class: doc_id and node), class_id, n_links, for every row of docs.
+
+    class_id is the smallest doc_id of the class; n_links counts the other texts
+    (not copies) whose similarity is the threshold or more.
+    """
+    rows, known = _known(docs, doc_id, text, n, threshold, recall, block or BLOCK)
+    # all copies of a text have one node: a join of files, whose large keys Spark can split
+    out = rows.join(known, "node", "left")
     return out.select(
         "doc_id", "node", F.coalesce("first", F.struct("doc_id", "node")).alias("first"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
@@ -225,11 +262,14 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
     Of repeated rows with one doc_id and the same words, one stays.
     """
-    firsts = classes(docs, **options).filter("node is not null").select("first.doc_id", "first.node").distinct().select(F.col("doc_id").alias("first_id"), F.col("node").alias("first_node"))
-    whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("text"), F.col("doc_id").alias("doc_id"))
-    named = with_nodes(whole)
-    kept = named.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node")), "left_semi")
-    kept = kept.groupBy("doc_id", "node").agg(F.first("doc").alias("doc")).select("doc.*")
+    options = {"doc_id": "doc_id", "text": "text", "n": N, "threshold": THRESHOLD, "recall": RECALL, "block": BLOCK} | options
+    doc_id, text = options["doc_id"], options["text"]
+    _, known = _known(docs, **options)
+    firsts = written(known.select("first.doc_id", "first.node").distinct().select(F.col("doc_id").alias("first_id"), F.col("node").alias("first_node")), "firsts")
+    named = with_nodes(docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")))
+    # repeated rows are combined before the shuffle
+    once = named.filter("node is not null").groupBy("doc_id", "node").agg(F.first("doc").alias("doc"))
+    kept = once.join(firsts, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("node") == F.col("first_node")), "left_semi").select("doc.*")
     return kept.union(named.filter("node is null").select("doc.*"))
 
 

@@ -18,7 +18,7 @@ any substring at once, so suffixes compare by hashes:
    share enough bytes form classes, and a start is a repeat if another stretch is
    in its class on both sides. Neighbours that count as equal are compared byte
    by byte.
-4. A seed with more stretches than one sort holds (``CHUNK``) is made longer: the
+4. A seed with more stretches than ``GROUP`` is made longer: the
    starts in the first half before the seed all hold some bytes more before it,
    the others some bytes more after it. The stretch becomes two with longer
    seeds, which meet fewer others. After at most log2(length - seed) such steps
@@ -44,14 +44,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import U64, Hashes, slices, trim_powers, written
+from ._text import U64, Hashes, forget, slices, text_mark, trim_powers, written
 
 LENGTH = 200
 SEED = 80
-#: Stretches in one sort.
+#: Stretches of one seed in one task at most, and stretches in one sort.
+GROUP = 1_000
 CHUNK = 4_000
 #: Bytes of stretches in one batch.
 CONTEXTS = 8 << 20
@@ -85,14 +86,9 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, seed: int):
     return document, first, last, least[first]
 
 
-def _mark(text: str) -> Column:
-    """128 bits of a text's SHA-256."""
-    return F.unhex(F.substring(F.sha2(F.coalesce(F.col(text), F.lit("")), 256), 1, 32))
-
-
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """A text's key is its id and a 128-bit digest of it, so that repeated and missing ids do no harm."""
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), _mark(text).alias("mark"), F.col(text).alias("text"))
+    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), text_mark(text).alias("mark"), F.col(text).alias("text"))
 
 
 def stretch_rows(keyed: DataFrame, length: int, seed: int) -> DataFrame:
@@ -219,7 +215,7 @@ _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 def _packed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, key and the text as zstandard: what travels in a shuffle."""
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), _mark(text).alias("mark"), F.col(text).alias("text"))
+    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-(2**63))).alias("doc"), text_mark(text).alias("mark"), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -321,9 +317,9 @@ def _sorted_rims(rims: DataFrame, length: int) -> DataFrame:
 
 
 def _settled(rims: DataFrame, length: int) -> Iterator[DataFrame]:
-    """Spans (doc, mark, spans) of the repeats inside the rims; seeds with too many stretches are made longer until all fit a sort."""
+    """Spans (doc, mark, spans) of the repeats inside the rims; seeds with too many stretches are made longer until none has."""
     while True:
-        hot = written(rims.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK).select("key"), "hot")
+        hot = written(rims.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("key"), "hot")
         if hot.isEmpty():
             yield _sorted_rims(rims, length)
             return
@@ -341,6 +337,7 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     differ = (F.min("d1") < F.max("d1")) | (F.min("d2") < F.max("d2"))
     seeds = written(rows.groupBy("seed").agg(F.count("*").alias("n"), differ.alias("mixed")).filter("n > 1").select("seed", "mixed"), "seeds")
     again = written(rows.join(seeds, "seed"), "repeats")
+    forget(rows, seeds)
     full = F.array(F.struct(F.col("first").alias("start"), (F.col("last") + length).alias("end"))).alias("spans")
     mixed = again.filter("mixed").drop("mixed")
     classes = written(mixed.groupBy("seed", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("doc", "mark", "first", "last")).alias("one")), "classes")
@@ -350,14 +347,15 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     out = again.filter("not mixed").select("doc", "mark", full).union(mixed.join(equal, ["seed", "d1", "d2"]).select("doc", "mark", full))
     for found in _settled(rims, length):
         out = out.union(found)
-    return out
+    # a set: rows with one id and text have the same spans
+    spans = written(out.groupBy("doc", "mark").agg(F.flatten(F.collect_set("spans")).alias("spans")), "spans")
+    forget(again, classes, equal, rims)
+    return spans
 
 
 def cut_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """doc_id, n_bytes, spans (merged, in bytes) and kept (the remaining bytes) of every document."""
-    found = repeated_spans(docs, doc_id=doc_id, text=text, length=length, seed=seed)
-    # a set: rows with one id and text have the same spans
-    spans = written(found.groupBy("doc", "mark").agg(F.flatten(F.collect_set("spans")).alias("spans")), "spans")
+    spans = repeated_spans(docs, doc_id=doc_id, text=text, length=length, seed=seed)
     joined = _packed(docs, doc_id, text).join(spans, ["doc", "mark"], "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
