@@ -1,10 +1,15 @@
 import itertools
 import random
-import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import public_tokenizers
+from tokenizers import Tokenizer
+
 from zonalspark.llm import packing as pk
 
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
 
 def padding(histogram, limits):
     return sum(min(b for b in limits if b >= length) * rows - tokens for length, rows, tokens in histogram)
@@ -22,24 +27,49 @@ def test_boundaries_are_optimal():
             assert padding(histogram, got) == min(padding(histogram, [*c, max(lengths)]) for c in ends)
 
 
+def test_boundaries_of_free_lengths():
+    rng = random.Random(3)
+    for _ in range(20):
+        histogram = [(x, n := rng.randrange(1, 50), n * x) for x in rng.sample(range(1, 60), 7)]
+        ends = [c for n in range(3) for c in itertools.combinations(sorted(x for x, _, _ in histogram)[:-1], n)]
+        assert padding(histogram, pk.boundaries(histogram, 3)) == min(padding(histogram, [*c, max(histogram)[0]]) for c in ends)
+
+
 def test_packing(spark):
     rng = random.Random(2)
-    rows = [(i, " ".join(rng.choice(["a", "b,", "é"]) for _ in range(rng.choice([3, 10, 10, 40, 500])))) for i in range(300)] + [(900, None), (901, ""), (902, "w " * 10_000), (902, "w " * 10_000), (None, "x")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", pk.F.lit("mine")).repartition(3)
-    out = pk.pack(docs, max_len=256, budget=2048, buckets=4, part=7).collect()
-    count = lambda t: len(re.findall(r"\w+|[^\s\w]", t or "")) + 1
-    want = Counter((i, s // 256, s, min(256, count(t) - s)) for i, t in rows for s in range(0, count(t), 256))
-    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"]) for r in out) == want
+    rows = [(i, " ".join(rng.choice(["a", "b,", "é", "Walking"]) for _ in range(rng.choice([3, 10, 10, 40, 500])))) for i in range(300)] + [(900, None), (901, ""), (902, "w " * 10_000), (902, "w " * 10_000), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", pk.F.lit("mine")).withColumn("part", pk.F.lit(1)).repartition(3)
+    packed = pk.written(pk.pack(docs, PATH, max_len=256, budget=2048, buckets=4), "packed")
+    out = packed.collect()
+    tokenizer = Tokenizer.from_file(PATH)
+    ids_of = {i: [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for i, t in rows}
+    want = Counter((i, s // 256, s, tuple(ids_of[i][s : s + 256])) for i, _ in rows for s in range(0, len(ids_of[i]), 256))
+    assert Counter((r["doc_id"], r["piece"], r["start"], tuple(np.frombuffer(r["ids"], "<u2").tolist())) for r in out) == want
+    assert all(len(r["ids"]) == 2 * r["length"] for r in out)
     histogram = Counter()
-    for (_, _, _, n), k in want.items():
-        histogram[n] += k
-    limits = pk.boundaries([(-(-n // 8) * 8, k, n * k) for n, k in histogram.items()] and [(x, sum(k for n, k in histogram.items() if -(-n // 8) * 8 == x), sum(n * k for n, k in histogram.items() if -(-n // 8) * 8 == x)) for x in {-(-n // 8) * 8 for n in histogram}], 4)
-    batches = defaultdict(list)
+    for (_, _, _, ids), k in want.items():
+        histogram[len(ids)] += k
+    limits = pk.boundaries([(n, k, n * k) for n, k in histogram.items()], 4)
+    found = defaultdict(list)
     for r in out:
         assert r["padded_length"] == min(b for b in limits if b >= r["length"])
-        batches[r["bucket"], r["batch"]].append(r["slot"])
-    for (bucket, batch), slots in batches.items():
-        room = 2048 // limits[bucket]
-        full = batch < max(b for k, b in batches if k == bucket)
+        found[r["bucket"], r["batch"]].append(r["slot"])
+    for (bucket, batch), slots in found.items():
+        room = max(2048 // limits[bucket], 1)
+        full = batch < max(b for k, b in found if k == bucket)
         assert sorted(slots) == list(range(room if full else len(slots))) and len(slots) <= room
-    assert pk.pack(docs.limit(0)).count() == 0
+    # whole batches decode back to the texts
+    texts = defaultdict(list)
+    for b in pk.batches(packed).collect():
+        ids = np.frombuffer(b["ids"], "<u2").reshape(len(b["doc_ids"]), b["padded_length"])
+        assert ids.size <= 2048
+        for key, n, own in zip(b["doc_ids"], b["lengths"], ids.tolist()):
+            assert not any(own[n:])
+            texts[key].append(own[:n])
+    for i, t in rows[:300]:
+        joined = min((list(itertools.chain(*order)) for order in itertools.permutations(texts[i])), key=lambda x: x != ids_of[i])
+        plain = "".join(map(tokenizer.id_to_token, joined[:-1])).replace("</w>", "").encode("latin-1").decode()
+        assert joined == ids_of[i] and plain == t.lower().replace(" ", "")
+    assert pk.pack(docs.limit(0), PATH).count() == 0
+    rounded = pk.pack(docs, PATH, step=64).select("padded_length").distinct().collect()
+    assert all(r[0] % 64 == 0 for r in rounded)

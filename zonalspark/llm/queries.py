@@ -48,7 +48,9 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,8 +9,10 @@ number of frames, a descriptor and the magic number. A reader finds the table
 from the end of the file, and reads and decompresses only the frames it wants.
 
 Null is the empty text; an empty document still has its end id. Repeated
-doc_ids keep their rows, next to each other. A null doc_id sorts first. An
-empty table gives no files and no rows.
+doc_ids keep their rows, next to each other, in no order among themselves. A null
+doc_id sorts first. An empty table gives no files and no rows. Other columns play
+no part. A frame holds one document and the seek table has 4 bytes for its size:
+a document of 4 GiB of ids or more is an error.
 """
 
 from __future__ import annotations
@@ -50,14 +52,65 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def _same_bytes(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which strings of these sizes, at ``at`` in a and ``bt`` in b, are equal; 8 bytes at a time. Both have 8 bytes to spare."""
+    same = np.ones(len(sizes), bool)
+    left, right = (np.lib.stride_tricks.sliding_window_view(x, 8) for x in (a, b))
+    for k in range(0, int(sizes.max(initial=0)), 8):
+        own = np.flatnonzero(sizes > k)
+        if k >= 64:  # long ones one by one
+            for w in own.tolist():
+                n = sizes[w]
+                same[w] &= bool((a[at[w] : at[w] + n] == b[bt[w] : bt[w] + n]).all())
+            break
+        x, y = left[at[own] + k].view("<u8")[:, 0], right[bt[own] + k].view("<u8")[:, 0]
+        rest = np.minimum(sizes[own] - k, 8).astype(U64)
+        keep = np.where(rest == 8, U64(2**64 - 1), (U64(1) << (rest % U64(8) * U64(8))) - U64(1))
+        same[own] &= (x & keep) == (y & keep)
+    return same
+
+
+class WordIds:
+    """Words met so far, by hash, with their bytes and ids; forgotten when there are too many."""
+
+    def __init__(self, dtype: np.dtype):
+        self.dtype = dtype
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, U64)
+        self.text_at, self.size, self.id_at, self.n = (np.zeros(0, np.int32) for _ in range(4))
+        self.text, self.ids = np.zeros(8, np.uint8), np.zeros(0, self.dtype)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Place of each hash, or -1."""
+        at = np.searchsorted(self.hashes, hashes)
+        found = np.zeros(len(hashes), bool)
+        inside = at < len(self.hashes)
+        found[inside] = self.hashes[at[inside]] == hashes[inside]
+        return np.where(found, at, -1)
+
+    def add(self, hashes: np.ndarray, texts: list[bytes], ids: list[np.ndarray]) -> None:
+        size, n = np.array([len(t) for t in texts], np.int64), np.array([len(x) for x in ids], np.int64)
+        text_at, id_at = len(self.text) - 8 + np.cumsum(size) - size, len(self.ids) + np.cumsum(n) - n
+        self.text = np.concatenate((self.text[:-8], np.frombuffer(b"".join(texts), np.uint8), np.zeros(8, np.uint8)))
+        self.ids = np.concatenate((self.ids, *ids)).astype(self.dtype)
+        order = np.argsort(both := np.concatenate((self.hashes, hashes)), kind="stable")
+        self.hashes = both[order]
+        for name, new in (("text_at", text_at), ("size", size), ("id_at", id_at), ("n", n)):
+            setattr(self, name, np.concatenate((getattr(self, name), new.astype(np.int32)))[order])
+
+
 class WordEncoder:
-    """Encodes texts word by word, each different word of a block once.
+    """Encodes texts word by word, each different word once as long as it is remembered.
 
     For tokenizers whose normaliser and splitter never look across a space or a
     line end, as those of word_bpe_49k: the ids of a text are those of its words.
     """
 
     SEPARATOR = "\x01"
+    #: Words that are remembered, about, and bytes of a word that is.
+    WORDS, LONG = 1 << 21, 256
 
     def __init__(self, path: str):
         import os
@@ -66,6 +119,7 @@ class WordEncoder:
         self.tokenizer = _tokenizer(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.separator = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
+        self.known = WordIds(self.dtype)
 
     def words(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each word; many go through the tokenizer as one text, with a separator that none of them has."""
@@ -96,35 +150,30 @@ class WordEncoder:
             if i < j:
                 lo, hi = int(starts[i]), int(ends[j - 1])
                 hashes[i:j] = Hashes(data[lo:hi]).of(starts[i:j] - lo, ends[i:j] - lo)
-        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        texts = [raw[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        # a word must be its representative, byte by byte; compared 8 bytes at a time
-        same = sizes == sizes[first][inverse]
-        padded = np.concatenate((data, np.zeros(8, np.uint8)))
-        eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
-        for k in range(0, int(sizes.max()) if len(sizes) else 0, 8):
-            at = np.flatnonzero(sizes > k)
-            if k >= 64:  # long words one by one
-                for w in at[sizes[at] > 64].tolist():
-                    same[w] &= raw[starts[w] : ends[w]] == texts[inverse[w]]
-                break
-            a, b = eights[starts[at] + k].view("<u8")[:, 0], eights[starts[first][inverse[at]] + k].view("<u8")[:, 0]
-            left = np.minimum(sizes[at] - k, 8).astype(U64)
-            keep = np.where(left == 8, U64(2**64 - 1), (U64(1) << (left % U64(8) * U64(8))) - U64(1))
-            same[at] &= (a & keep) == (b & keep)
-        ids = self.words([t.decode() for t in texts])
-        lengths = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, self.dtype)
-        at = np.concatenate(([0], np.cumsum(lengths)))
-        if not same.all():
+        different, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        at, size, padded = starts[first], sizes[first], np.concatenate((data, np.zeros(8, np.uint8)))
+        known = self.known
+        if len(known.hashes) + len(different) > self.WORDS:
+            known.clear()
+        place = known.find(different)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            raw = data.tobytes()
+            texts = [raw[s : s + n] for s, n in zip(at[new].tolist(), size[new].tolist(), strict=True)]
+            known.add(different[new], texts, self.words([t.decode() for t in texts]))
+            place = known.find(different)
+        # a word must be the one that is remembered, byte by byte
+        if not ((size == known.size[place]).all() and (sizes == size[inverse]).all() and _same_bytes(padded, at, known.text, known.text_at[place].astype(np.int64), size).all() and _same_bytes(padded, starts, padded, at[inverse], sizes).all()):
             raise ValueError("two words share a 64-bit hash")  # the caller encodes this slice text by text
-        counts = lengths[inverse]
+        counts = known.n[place][inverse].astype(np.int64)
         ends_out = np.cumsum(counts)
         total = int(ends_out[-1]) if len(ends_out) else 0
-        index = np.arange(total) + np.repeat(at[inverse] - (ends_out - counts), counts)
+        index = np.arange(total) + np.repeat(known.id_at[place][inverse] - (ends_out - counts), counts)
         bounds = np.concatenate(([0], ends_out))[np.searchsorted(starts, offsets)]
-        return flat[index], bounds
+        out = known.ids[index], bounds
+        if (size > self.LONG).any():  # very long words would fill the memory
+            known.clear()
+        return out
 
     def slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         try:
@@ -135,6 +184,12 @@ class WordEncoder:
             return np.concatenate(ids), np.concatenate(([0], np.cumsum([len(x) for x in ids])))
 
 
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> WordEncoder:
+    """A worker's encoder; it remembers words from task to task."""
+    return WordEncoder(path)
+
+
 def _skippable(magic: int, body: bytes) -> bytes:
     return struct.pack("<II", magic, len(body)) + body
 
@@ -225,7 +280,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, *, end_id: i
             if not keys:
                 continue
             if writer is None:
-                encoder = WordEncoder(tokenizer_path)
+                encoder = encoder_of(tokenizer_path)
                 filesystem.create_dir(root, recursive=True)
                 writer = FrameWriter(filesystem.open_output_stream(f"{root}/{name}", compression=None), encoder.dtype.itemsize)
             end = np.array([end_id], encoder.dtype).tobytes()
