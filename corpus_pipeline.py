@@ -41,8 +41,11 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: every document in length buckets and batches."""
-    return packing.pack(docs)
+    """Operator 8: every document as token ids in length buckets and batches."""
+    import public_tokenizers
+
+    queries.ship(spark)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [
