@@ -46,3 +46,71 @@ def test_page_inside_a_form_and_named_headings():
         assert got.startswith("Title here Paragraph 0") and got.endswith("one subject.") and "Search" not in got
     got = hd.extract(f"<body><form><main><p>A main text that is the longer one.</p></main></form><form>{'<p>Pick one of these.</p>'}</form></body>")
     assert got == "A main text that is the longer one."
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    import time
+
+    kinds = ["<div>x ", "<b>x ", "<li>x ", "<ul><div>x ", "<ul><li>x ", "<p><b>x ", "<a>x ", "</b>x ", "<div class=ad>x ", "<option>x ", "<td>x ", "<b><div>x "]
+    for kind in kinds:
+        took = []
+        for n in (2_000, 16_000):
+            began = time.process_time()
+            text = hd.extract(page(kind * n))
+            took.append(time.process_time() - began)
+            assert set(text) <= {"x", " "}
+        assert took[1] < 24 * took[0] + 0.3, kind
+    began = time.process_time()
+    assert len(hd.extract("<div>x " * 150_000)) == 299_999
+    assert time.process_time() - began < 6
+
+
+def test_density_ties_and_empty_table(spark):
+    same = f"<div><p>{LONG}</p><p>{LONG}</p></div>"
+    assert hd.extract(page(same + same)) == " ".join((LONG * 4).split())
+    pages = spark.createDataFrame([(1, "u", "<p>one", 5), (None, None, None, 5), (1, "u", "<p>one", 5)], "page_id long, url string, html string, text int")
+    assert sorted((r["page_id"] or 0, r["text"], r["n_chars"]) for r in hd.report(pages).collect()) == [(0, "", 0), (1, "one", 3), (1, "one", 3)]
+    assert hd.report(pages.limit(0)).count() == 0
+
+
+def slow_text(html):
+    """A plain reading of simple, well-formed pages: the text of the article, or of all paragraphs of the densest div."""
+    import xml.etree.ElementTree as et
+
+    article = next(et.fromstring(html).iter("article"))
+    drop = {e for bad in ("nav", "aside", "form", "footer", "script") for top in article.iter(bad) for e in top.iter()}
+    parts = []
+
+    def walk(e):
+        if e in drop:
+            parts.append("" if e.tag == "script" else " ")
+            return
+        block = e.tag in ("p", "h1", "h2", "div", "li", "ul", "article", "section")
+        parts.append(" " if block else "")
+        parts.append(e.text or "")
+        for c in e:
+            walk(c)
+            parts.append(c.tail or "")
+        parts.append(" " if block else "")
+
+    walk(article)
+    return " ".join("".join(parts).split())
+
+
+def test_random_pages_against_a_tree_walk():
+    import random
+
+    rng = random.Random(2)
+
+    def inner(depth):
+        if depth == 0 or rng.random() < 0.3:
+            return rng.choice([LONG, "few words", "two &amp; three", ""])
+        tag = rng.choice(["p", "div", "b", "i", "span", "ul", "section", "aside", "nav", "script"])
+        body = "".join(inner(depth - 1) for _ in range(rng.randrange(1, 4))) if tag != "script" else "var x = 1"
+        if tag == "p":
+            body = rng.choice([LONG, "<b>bold</b> and <i>more</i>"])
+        return f"<{tag}>{body}</{tag}>"
+
+    for _ in range(200):
+        html = f"<html><body><nav><ul><li>Home</li></ul></nav><article><h1>Title</h1>{''.join(inner(4) for _ in range(4))}</article><footer>{LONG}</footer></body></html>"
+        assert hd.extract(html) == slow_text(html)

@@ -8,9 +8,14 @@ dense also counts, if it is text of its own (a heading, a paragraph, a list).
 Elements that by their tag, role or class are menus, headers, footers,
 sidebars, notices, adverts, forms or reader comments are cut beforehand.
 
-A content subtree inside an article or main element stands for all of it.
+A content subtree inside an article or main element stands for all of it. Of
+subtrees with one density sum the first in the page wins; elements that are as
+dense as the threshold count.
+
 Null, empty and text-less pages give the empty string. Unclosed tags, comments
-and quotes end where the page ends. Repeated rows each get a row.
+and quotes end where the page ends. A page of any length and depth is parsed whole,
+in time linear in it. Repeated rows each get a row; an empty table gives none.
+Extra columns of ``extract_pages`` stay, but for one named as its result.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,6 +41,8 @@ _NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+#: What shows nothing and parts no words.
+SILENT = frozenset("script style template noscript link meta".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table", "tbody", "thead", "tfoot"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select", "datalist", "optgroup"})}
 
@@ -52,13 +60,22 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 BESIDE = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre ul ol dl table figure section article main".split())
 
 
+#: Elements that decide where an open list item, cell or option ends.
+_LISTED = frozenset(x for tag, (same, scope) in SIBLINGS.items() for x in (tag, *same, *scope))
+
+
 class Node:
-    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "first", "last", "named")
+    """An element. near and block: the closest of it and its ancestors that is listed, or no plain inline element."""
+
+    __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "first", "last", "named", "in_link", "holds", "near", "block")
 
     def __init__(self, tag: str, parent: Node | None, first: int):
         self.tag, self.parent, self.children, self.cut, self.first, self.last, self.named = tag, parent, [], False, first, first, False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
+        self.in_link, self.holds = tag == "a" or (parent is not None and parent.in_link), False
+        self.near = self if tag in _LISTED or parent is None else parent.near
+        self.block = parent.block if tag in INLINE and parent is not None else self
 
 
 def _named_cut(attributes: str, heading: bool = False) -> bool:
@@ -74,10 +91,15 @@ def _named_cut(attributes: str, heading: bool = False) -> bool:
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
-    """The tree, and the texts in page order with the element that holds each; a None text ends a block."""
+    """The tree, and the texts in page order with the element that holds each; a None text ends a block.
+
+    Every step goes to an element that it closes, or to one that it knows: the time is linear in the page.
+    """
     root = Node("#root", None, 0)
     pieces: list[tuple[Node, str | None]] = []
     node, at = root, 0
+    opened: Counter[str] = Counter()  # elements that are open, by tag
+    order: list[Node] = []
 
     def text(upto: int) -> None:
         if at < upto:
@@ -90,6 +112,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
             if node.tag not in INLINE:
                 pieces.append((node, None))
                 node.last = len(pieces)
+            opened[node.tag] -= 1
             done, node = node is to, node.parent
             if done:
                 return
@@ -103,34 +126,31 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         if tag:
             tag, closing, attributes = tag.lower(), bool(match[1] or match[4]), match[3] or match[6] or ""
             if closing:
-                up = node
-                while up is not root and up.tag != tag:
-                    up = up.parent
-                if up is not root:
+                if opened[tag]:
+                    up = node
+                    while up.tag != tag:
+                        up = up.parent
                     close(up)
                 elif tag in ("p", "br"):
                     pieces.append((node, None))
             else:
                 if tag in CLOSES_P:
-                    up = node
-                    while up is not root and (up.tag in INLINE or up.tag == "p"):
-                        if up.tag == "p":
-                            close(up)
-                            break
-                        up = up.parent
+                    if node.block.tag == "p":
+                        close(node.block)
                 elif tag in SIBLINGS:
                     same, scope = SIBLINGS[tag]
-                    up = node
-                    while up is not root and up.tag not in scope:
+                    up = node.near
+                    while up is not root and up.tag not in scope and any(opened[x] for x in same):
                         if up.tag in same:
                             close(up)
-                            up = node
-                            continue
-                        up = up.parent
-                if tag not in INLINE:
+                            up = node.near
+                        else:
+                            up = up.parent.near
+                if tag not in INLINE and tag not in SILENT:
                     pieces.append((node, None))
                 child = Node(tag, node, len(pieces))
                 node.children.append(child)
+                order.append(child)
                 child.cut = tag in CUT_TAGS
                 if attributes and tag not in ("html", "body", "article", "main"):
                     child.named = _named_cut(attributes, tag in HEADINGS)
@@ -140,6 +160,7 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
                     at = stop.end() if stop else len(page)
                 elif tag not in VOID:  # HTML ignores a closing slash of elements that have content
                     node = child
+                    opened[tag] += 1
         elif match[0].startswith("<![CDATA["):
             pieces.append((node, entities.escape(match[0][9:].removesuffix("]]>"))))
         match = _TAG.search(page, at)
@@ -148,6 +169,9 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     while close_all is not None:
         close_all.last = len(pieces)
         close_all = close_all.parent
+    for child in reversed(order):  # children after their parents
+        if child.holds or child.tag in ("article", "main", "h1"):
+            child.parent.holds = True
     return root, pieces
 
 
@@ -155,7 +179,7 @@ def _spare_wrappers(root: Node, pieces: list[tuple[Node, str | None]]) -> None:
     order, stack = [], [root]
     while stack:
         node = stack.pop()
-        if (node.cut and node.tag not in WRAPPERS) or (node.named and not _holds_article(node)):
+        if (node.cut and node.tag not in WRAPPERS) or (node.named and not node.holds):
             continue
         order.append(node)
         stack += node.children
@@ -175,23 +199,13 @@ def _spare_wrappers(root: Node, pieces: list[tuple[Node, str | None]]) -> None:
             node.cut = False
 
 
-def _holds_article(node: Node) -> bool:
-    stack = list(node.children)
-    while stack:
-        x = stack.pop()
-        if x.tag in ("article", "main", "h1"):
-            return True
-        stack += x.children
-    return False
-
-
 def _measure(root: Node, pieces: list[tuple[Node, str | None]]) -> list[Node]:
     """Fills counts, densities and sums; returns the elements outside of cuts, parents first."""
     _spare_wrappers(root, pieces)
     order, stack = [], [root]
     while stack:
         node = stack.pop()
-        node.cut = node.cut or (node.named and not _holds_article(node))
+        node.cut = node.cut or (node.named and not node.holds)
         if node.cut:
             continue
         order.append(node)
@@ -201,10 +215,7 @@ def _measure(root: Node, pieces: list[tuple[Node, str | None]]) -> list[Node]:
         if text and id(node) in live:
             n = len("".join(text.split()))
             node.chars += n
-            up = node
-            while up is not None and up.tag != "a":
-                up = up.parent
-            if up is not None:
+            if node.in_link:
                 node.link_chars += n
     for node in reversed(order):
         for child in node.children:
