@@ -82,3 +82,56 @@ def test_every_licence_of_a_text():
     got = scanner.confirmed("é " * 3000 + text + " the copy" * 3000)
     assert [x["license"] for _, _, x in got] == ["all-rights-reserved", *WRAPPED, "MIT", "CC-BY-SA-4.0"]
     assert all(b <= c for (_, b, _), (c, _, _) in zip(got, got[1:]))
+
+
+def test_prose_is_no_block_and_long_lines_are_cut_near_the_word(spark):
+    cue = re.compile(ls.CUE)
+    assert ls.blocks("it was as is well known, under these conditions two copies and a notice; a licentious man, (c) and so on", cue) == []
+    words = " word" * 3000
+    text = "head" + words + " some license of ours" + words
+    [(start, block)] = ls.blocks(text, cue)
+    assert text[start : start + len(block)] == block and "some license of ours" in block and len(block) < 3 * ls.REACH
+    two = ls.blocks("license" + words + " copyrighted" + words + "\nlicense next", cue)
+    assert [b.split()[0] for _, b in two[:1]] == ["license"] and len(two) == 3 and two[2][1] == "license next"
+    docs = spark.createDataFrame([(1, words + " " + ls.TEMPLATES["MIT"] + words + " a warranty of some kind" + words)], "doc_id long, text string")
+    got = sorted((r["start"], r["license"]) for r in ls.scan(docs).collect())
+    assert got[0] == (len(words) + 1, "MIT") and got[1][1] == "unknown" and len(got) == 2
+
+
+def brute_align(template, own):
+    """Most template words in order, less those missing and in between, over every stretch of own."""
+    best = 0
+    for i in range(len(own)):
+        row = [0] + [-k for k in range(1, len(template) + 1)]
+        for b in range(i, len(own)):
+            new = [row[0] - 1]
+            for a in range(1, len(template) + 1):
+                new.append(max(row[a] - 1, new[a - 1] - 1, row[a - 1] + 1 if own[b] == template[a - 1] else -(10**6)))
+            row = new
+            best = max(best, row[-1])
+    return best
+
+
+def test_alignment_against_brute_force():
+    import random
+
+    rng = random.Random(7)
+    for _ in range(150):
+        template, own = ([rng.randrange(5) for _ in range(rng.randrange(1, n))] for n in (8, 14))
+        pairs = ls.align(ls.np.array(template), ls.np.array(own))
+        assert all(template[a] == own[b] for a, b in pairs) and pairs == sorted(pairs)
+        missing, between = len(template) - len(pairs), (pairs[-1][1] - pairs[0][1] + 1 - len(pairs)) if pairs else 0
+        if pairs:
+            assert len(pairs) - missing - between == brute_align(template, own) or brute_align(template, own) <= 0
+
+
+def test_reductions_are_those_of_raw_dictionaries():
+    import zstandard
+
+    scanner = ls.Scanner(ls.TEMPLATES)
+    block = ls.TEMPLATES["ISC"] + " and more"
+    alone = len(zstandard.ZstdCompressor(level=3).compress(block.encode()))
+    for (name, text), saved in zip(ls.TEMPLATES.items(), scanner.reductions(block)):
+        raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        assert saved == 1 - len(zstandard.ZstdCompressor(level=3, dict_data=raw).compress(block.encode())) / alone, name
+    assert scanner.unknown(block)["template"] == "ISC"

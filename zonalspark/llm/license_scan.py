@@ -11,8 +11,10 @@ Each row's text is compressed alone and with every template as a raw zstandard
 dictionary; the template that saves most is the likeliest licence of an unknown
 block, and decides between templates whose wording fits alike.
 
-Null and empty texts have no blocks. Repeated rows are each scanned. Extra columns
-play no part.
+Null and empty texts have no blocks. A text of any length is aligned whole; of an
+unknown block in one long line, what is near its licence words is ranked. Of
+templates that save alike, the first named wins. Repeated rows are each scanned; an
+empty table gives no rows. Extra columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -52,7 +54,10 @@ TEMPLATES = {
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
     "all-rights-reserved": "All rights reserved.",
 }
-CUE = r"(?i)licen[cs]|copyright|\(c\)|©|warrant|permission|redistribut|public domain|rights reserved|creative commons|\bCC[ -]BY|free software|as is|copies|conditions|notice"
+#: Whole words, as weaker ones (notice, copies, conditions) are common in prose.
+CUE = r"(?i)\b(?:licen[cs](?:e|es|ed|ing|or|ee)|copyrights?|copyrighted|warrant(?:y|ies)|permission is|redistribut(?:e|ed|ion|ions)|public domain|rights reserved|creative commons|CC[ -]BY|free software)\b|\(c\) ?\d{4}|©|['\"]as is['\"]"
+#: Characters of a long line around a licence word that are held against the templates.
+REACH = 600
 CONFIRMED = 0.9
 _WORDS = re.compile(r"[\w.]*\w", re.U)
 
@@ -163,23 +168,45 @@ class Scanner:
         return max(good, key=lambda x: len(self.words[self.names.index(x["template"])]) - 2 * len(x["missing"]) - len(x["between"])) if good else self.unknown(block)
 
 
+def _near(line: str, at: int, cue: re.Pattern) -> list[tuple[int, int]]:
+    """Places of a line: all of it if it is short, else what is near its licence words, to the next space."""
+    if len(line) <= 2 * REACH:
+        return [(at, at + len(line))]
+    out: list[tuple[int, int]] = []
+    for m in cue.finditer(line):
+        first, last = max(0, m.start() - REACH), min(len(line), m.end() + REACH)
+        first = line.find(" ", first, m.start()) + 1 or first if first else 0
+        last = (line.rfind(" ", m.end(), last) if last < len(line) else last) or last
+        last = max(last, m.end())
+        if out and first + at <= out[-1][1]:
+            out[-1] = (out[-1][0], max(last + at, out[-1][1]))
+        else:
+            out.append((first + at, last + at))
+    return out
+
+
 def blocks(text: str, cue: re.Pattern) -> list[tuple[int, str]]:
-    """(start, text) of the runs of lines with a licence word; one other line may stand between."""
-    out, at, run, gap = [], 0, None, 0
+    """(start, text) of the runs of lines with a licence word; one other line may stand between. Of long lines, only what is near the word."""
+    spans, at, run, gap, reached = [], 0, None, 0, 0
     for line in text.split("\n"):
         end = at + len(line)
         if cue.search(line):
-            run = (run[0] if run else at, end)
-            gap = 0
+            near = _near(line, at, cue)
+            if run and near[0][0] == at and run[1] == reached:
+                near[0] = (run[0], near[0][1])
+            elif run:
+                spans.append(run)
+            spans += near[:-1]
+            run, gap, reached = near[-1], 0, end
         elif run:
             gap += 1
             if gap > 1 or not line.strip():
-                out.append((run[0], text[run[0] : run[1]]))
+                spans.append(run)
                 run, gap = None, 0
         at = end + 1
     if run:
-        out.append((run[0], text[run[0] : run[1]]))
-    return out
+        spans.append(run)
+    return [(a, text[a:b]) for a, b in spans]
 
 
 _OUT = "start int, length int, license string, template string, reduction double, wording double, missing array<string>, between array<string>"
