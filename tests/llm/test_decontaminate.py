@@ -45,3 +45,20 @@ def test_automaton(items, text):
     spans, keys = dc.SuffixAutomaton(coded, 4).stream(dc.item_words(text))
     n, hit, n_items, _, _ = dc.brute_force(text, list(enumerate(items)), 4)
     assert (sum(e - s for s, e in spans), len(keys)) == (hit, n_items)
+
+
+def test_null_and_repeated_item_ids(spark):
+    items = [(None, "a b c d e f g h i j k l m n"), (7, "one two three"), (7, "four five"), (None, "six")]
+    docs = [(1, "x a b c d e f g h i j k l m one two three"), (2, "four five six"), (3, "none")]
+    got = sorted(tuple(r)[:6] for r in dc.report(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect())
+    assert got == sorted((i, *dc.brute_force(t, items)) for i, t in docs)
+    assert [r[3] for r in got] == [2, 2, 0]
+
+
+def test_windows_of_two_items_that_share_words(spark):
+    a, b = [f"a{i}" for i in range(13)], [f"b{i}" for i in range(13)]
+    b[:2] = a[-2:]
+    items = [(1, " ".join(a)), (2, " ".join(b))]
+    text = " ".join([*a, *b[2:], *(f"x{i}" for i in range(460))])
+    got = tuple(dc.report(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()[0])
+    assert got[:6] == (1, *dc.brute_force(text, items)) and got[2] == 24

@@ -6,13 +6,21 @@ stream through it; the longest match that ends at each word tells which windows
 words only decides which stretches can hold a window at all; the automaton, on
 the words themselves, decides what is hit.
 
+The benchmark goes through the driver, block by block, and is broadcast: it has to
+be a table of test items, of some hundred MB at most; each ``MAX_BLOCK_BYTES`` of it
+are one automaton and one more operator in the same pass over the documents.
+
 Null or word-less texts have no words and no hits. Repeated rows each get a row.
-Items without words are in no document. Extra columns are left alone.
+A text of any length is streamed whole. Items without words are in no document.
+A null item_id counts as the empty string; items of one id count once, and hit by
+the windows of each. An empty benchmark hits nothing; no documents give no rows.
+Extra columns are left alone, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,15 +43,15 @@ def item_words(text: str | None) -> list[bytes]:
 
 
 class SuffixAutomaton:
-    """Generalised suffix automaton over word ids, with the items of each state."""
+    """Generalised suffix automaton over word ids, with the items of each state that is a window's."""
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
         self.ids: dict[bytes, int] = {}
         self.step: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
         self.window = window
-        owners: dict[int, set[str]] = {}
-        whole: dict[int, list[tuple[int, str]]] = {}
+        self.owners: dict[int, set[str]] = {}
+        self.whole: dict[int, list[tuple[int, str]]] = {}
         coded = [(key, [self.ids.setdefault(w, len(self.ids)) for w in words]) for key, words in items]
         for _, word_ids in coded:
             last = 0
@@ -51,18 +59,21 @@ class SuffixAutomaton:
                 last = self._extend(last, c)
         for key, word_ids in coded:
             state = 0
-            for c in word_ids:
-                state = self.step[state][c]
-                owners.setdefault(state, set()).add(key)
+            for n, c in enumerate(word_ids, 1):
+                state = self._shorten(self.step[state][c])
+                if n >= window:
+                    self.owners.setdefault(state, set()).add(key)
             if len(word_ids) < window:
                 # the shortest state of the suffix chain that still holds the whole item
                 while self.length[self.link[state]] >= len(word_ids):
                     state = self.link[state]
-                whole.setdefault(state, []).append((len(word_ids), key))
-        for state in sorted(range(1, len(self.step)), key=self.length.__getitem__, reverse=True):
-            if state in owners and self.link[state] > 0:
-                owners.setdefault(self.link[state], set()).update(owners[state])
-        self.owners, self.whole = owners, whole
+                self.whole.setdefault(state, []).append((len(word_ids), key))
+
+    def _shorten(self, state: int) -> int:
+        """The state of the last ``window`` words of what state holds, or state if it holds no more."""
+        while self.length[self.link[state]] >= self.window:
+            state = self.link[state]
+        return state
 
     def _extend(self, last: int, c: int) -> int:
         step, link, length = self.step, self.link, self.length
@@ -108,16 +119,16 @@ class SuffixAutomaton:
                 state = self.link[state]
                 matched = self.length[state]
             if c in self.step[state]:
-                state = self.step[state][c]
-                matched += 1
+                state = self._shorten(self.step[state][c])
+                matched = min(matched + 1, self.window)
             else:
                 matched = 0
-            reach, p = 0, state
+            reach = 0
+            if matched == self.window:
+                reach = matched
+                items |= self.owners[state]
+            p = state if self.whole else 0
             while p > 0:
-                low = self.length[self.link[p]]
-                if matched >= self.window and low < self.window <= self.length[p]:
-                    reach = self.window
-                    items |= self.owners[p]
                 for size, key in self.whole.get(p, ()):
                     if size <= matched:
                         reach = max(reach, size)
@@ -168,21 +179,40 @@ def _matcher(items: list[tuple[str, list[bytes]]], window: int):
                         spans.setdefault(doc, []).extend((s + first, e + first) for s, e in got)
                         found.setdefault(doc, set()).update(keys)
                     a = upto
+        for doc, own in spans.items():  # stretches may share their last and first words
+            own.sort()
+            together = own[:1]
+            for start, end in own[1:]:
+                if start <= together[-1][1]:
+                    together[-1] = (together[-1][0], max(end, together[-1][1]))
+                else:
+                    together.append((start, end))
+            spans[doc] = together
         return np.diff(bounds), spans, found, starts, ends, bounds
 
     return match
 
 
 SPANS = "array<struct<start:int,end:int>>"
+_MATCHERS: dict = {}
+
+
+def _matcher_of(key: str, items, window: int):
+    """A worker's matcher of a block of items, made once for all its tasks; of the last two blocks."""
+    if key not in _MATCHERS:
+        while len(_MATCHERS) > 1:
+            _MATCHERS.pop(next(iter(_MATCHERS)))
+        _MATCHERS[key] = _matcher(items.value, window)
+    return _MATCHERS[key]
 
 
 def _pass(docs: DataFrame, text: str, items: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
     """docs with __n_words, __spans (in words, merged) and __items extended by one block of items."""
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared, key = docs.sparkSession.sparkContext.broadcast(items), uuid.uuid4().hex
     schema = T.StructType([*docs.schema.fields, *T._parse_datatype_string(f"__n int, __s {SPANS}, __i array<string>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = _matcher(shared.value, window)
+        match = _matcher_of(key, shared, window)
         for batch in batches:
             n_words, all_spans, all_items = [], [], []
             for first, last, data, offsets in slices(batch.column(batch.schema.get_field_index(text))):
@@ -215,7 +245,7 @@ def _merged(a: str, b: str):
 def item_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", max_bytes: int = MAX_BLOCK_BYTES) -> Iterator[list[tuple[str, list[bytes]]]]:
     """The items in blocks of bounded size; each block is one automaton and one pass."""
     block, size = [], 0
-    for row in benchmark.select(F.col(item_id).cast("string").alias("k"), F.col(text).alias("t")).toLocalIterator():
+    for row in benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("k"), F.col(text).alias("t")).toLocalIterator():
         words = item_words(row["t"])
         if not words:
             continue
@@ -272,6 +302,6 @@ def brute_force(text: str | None, items: list[tuple[str, str | None]], window: i
         for i in range(len(words) - n + 1 if n else 0):
             if tuple(words[i : i + n]) in windows:
                 hit |= set(range(i, i + n))
-                keys.add(str(key))
+                keys.add("" if key is None else str(key))
     digest = hashlib.sha256(",".join(sorted(keys)).encode()).hexdigest()
     return len(words), len(hit), len(keys), digest, bool(hit) and 20 * len(hit) >= len(words)
