@@ -22,7 +22,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # written, so that the join with the edges of a hub is one of files, which Spark can split
         leasts = [written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "least")]
-        large = written(both.join(leasts[0], "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        large = written(both.join(leasts[0], "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large")
         leasts.append(written(large.groupBy("u").agg(F.min("v").alias("m")), "least"))
         small = large.join(leasts[1], "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*").filter("u > v").distinct()
         old, now = now, written(small, "edges")

@@ -20,7 +20,7 @@ with the same word sequence are one node; only one of them goes on.
 
 Texts without a word (null, empty, marks only) are alone and have no links.
 Repeated rows are copies: same class, and only one of them goes on. Ids may repeat
-and be null: a text is named by its id and 128 bits of its SHA-256. A null doc_id
+and be null: a text is named by 128 bits of the SHA-256 of both. A null doc_id
 sorts before all others; of several smallest ids none is preferred, they are the
 same. A text is taken whole, whatever its length; its n-gram set has to fit a task.
 An empty table gives no rows. Other columns play no part in ``report``, and stay as
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._text import U64, forget, mix, shingle_hashes, slices, text_mark, word_hashes, written
+from ._text import U64, forget, mix, row_mark, shingle_hashes, slices, word_hashes, written
 from .graph import components
 
 N = 5
@@ -134,9 +134,9 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _links(blocks: DataFrame, threshold: float) -> DataFrame:
-    """(node, root, links) of each node in each task's blocks; root is the smallest linked one there."""
+    """(node, root, links, whole) of each node in each task's blocks; root is the smallest linked one there, and that of its class if the group is whole."""
 
-    def settle(rows: list[tuple], band: int, across: bool) -> list[tuple]:
+    def settle(rows: list[tuple], band: int, across: bool, whole: bool) -> list[tuple]:
         sets = [np.frombuffer(r[3], U64) for r in rows]
         sizes = np.array([len(s) for s in sets], float)
         shared = shared_counts(sets)
@@ -161,29 +161,29 @@ def _links(blocks: DataFrame, threshold: float) -> DataFrame:
                     if root[j] == j and names[j] > names[start]:
                         root[j] = start
                         todo.append(j)
-        return [(names[i], names[root[i]], int(k)) for i, k in enumerate(linked.sum(1)) if k]
+        return [(names[i], names[root[i]], int(k), whole) for i, k in enumerate(linked.sum(1)) if k]
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.int64())], names=["node", "root", "links"])
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.binary()), pa.array([r[1] for r in out], pa.binary()), pa.array([r[2] for r in out], pa.int64()), pa.array([r[3] for r in out], pa.bool_())], names=["node", "root", "links", "whole"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, rows, out = None, [], []
         for batch in batches:
-            for comp, band, i, j, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (comp, band, i, j) != current:
+            for comp, band, i, j, nb, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (comp, band, i, j, nb) != current:
                     if rows:
-                        out += settle(rows, current[1], current[2] != current[3])
-                    current, rows = (comp, band, i, j), []
+                        out += settle(rows, current[1], current[2] != current[3], current[1] < 0 and current[4] == 1)
+                    current, rows = (comp, band, i, j, nb), []
                     if len(out) > 10_000:
                         yield batch_of(out)
                         out = []
                 rows.append(row)
         if rows:
-            out += settle(rows, current[1], current[2] != current[3])
+            out += settle(rows, current[1], current[2] != current[3], current[1] < 0 and current[4] == 1)
         yield batch_of(out)
 
     keys = ["comp", "band", "i", "j"]
-    return blocks.select(*keys, "node", "block", "bands", "grams").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node binary, root binary, links long")
+    return blocks.select(*keys, "nb", "node", "block", "bands", "grams").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "node binary, root binary, links long, whole boolean")
 
 
 def _groups(nodes: DataFrame, block: int) -> DataFrame:
@@ -212,21 +212,22 @@ def _groups(nodes: DataFrame, block: int) -> DataFrame:
 def _known(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float, recall: float, block: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, node) of every row; and (node, first, n_links) of every node, first being the smallest (doc_id, node) of its class."""
     bands, rows = bands_for(threshold, recall)
-    plain = docs.select(F.col(doc_id).alias("doc_id"), text_mark(text).alias("mark"), F.col(text).alias("text"))
+    plain = docs.select(F.col(doc_id).alias("doc_id"), row_mark(doc_id, text).alias("mark"), F.col(text).alias("text"))
     signed = written(with_bands(plain, "text", bands, rows, n), "bands")
     nodes = written(signed.filter("node is not null").groupBy("node").agg(F.min(F.struct("doc_id", "mark")).alias("own"), F.first("bands").alias("bands")), "nodes")
     groups = _groups(nodes, block).groupBy("node").agg(F.collect_list(F.struct("comp", "band", "nb")).alias("groups"))
-    wanted = nodes.join(groups, "node").select(F.col("own.doc_id").alias("own_id"), F.col("own.mark").alias("own_mark"), "node", "bands", "groups")
+    wanted = nodes.join(groups, "node").select("own.mark", "node", "bands", "groups")
     # repeated rows are combined before the shuffle
-    once = plain.dropDuplicates(["doc_id", "mark"])
-    texts = once.join(wanted, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark")))
+    texts = plain.select("mark", "text").dropDuplicates(["mark"]).join(wanted, "mark")
     in_groups = _with_grams(texts, n).select("node", "bands", "grams", F.explode("groups").alias("g")).select("node", "bands", "grams", "g.*")
     placed = in_groups.withColumn("block", F.pmod(F.xxhash64("node"), F.col("nb").cast("long")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("o")
-    blocks = placed.select("*", other).select("comp", "band", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "node", "block", "bands", "grams")
+    blocks = placed.select("*", other).select("comp", "band", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"), "nb", "node", "block", "bands", "grams")
     links = written(_links(blocks, threshold), "links")
-    roots = components(links.select("node", "root"), "node", "root")
-    roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    roots, forest = links.filter("whole").select("node", "root"), links.filter("not whole").select("node", "root")
+    if not forest.isEmpty():
+        found = components(forest, "node", "root")
+        roots = roots.union(found).union(found.select(F.col("root").alias("node"), "root").distinct())
     counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
     names = nodes.select("node", F.struct("own.doc_id", "node").alias("alone"))
     linked = names.join(roots, "node")
