@@ -26,7 +26,9 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secret_scan.report(spark, _table(spark, sf_dir, "documents"))
+    import public_tokenizers
+
+    return secret_scan.report(spark, _table(spark, sf_dir, "documents"), secret_scan.words_of(public_tokenizers.path("word_bpe_49k.json")))
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,17 +1,22 @@
 """Operator 3: secret scan, with a random forest against false positives.
 
-One pattern finds candidates. Features of each - its length, the transitions
-between its characters, how much of it dictionary words cover, the path it is
-from, the words beside it - go through a random forest that is trained from
-labelled findings. The trees become one SQL expression, so that a text's
-candidates are found, judged and removed inside its row: no Python, no join, no
-shuffle, and no text leaves its task.
-
-Labelled findings come from ``labelled_findings`` (made by rules, as no table
-holds any; a bounded number) or from a table of the same columns.
-
-Null and empty texts have no findings. A text without candidates stays as it
-is. Repeated rows are scanned alike. Extra columns stay.
+One pattern finds candidates, in one pass over a text. Features of each - its
+length, the transitions between its characters, how much of it dictionary words
+cover, the path it is from, the words beside it - go through a random forest that
+is trained from labelled findings. The trees become one SQL expression, so that a
+text's candidates are found, judged and removed inside its row: no Python, no
+join, no shuffle, and no text leaves its task.
+
+Labelled findings come from ``labelled_findings`` (made by rules from hashes, the
+dictionary and syllables, as no table holds any; a bounded number) or from a table
+of the same columns. Both the dictionary (``words_of`` a public vocabulary, or any
+list) and the findings are parameters. An empty table of findings, or one with a
+single label, can't train a forest: that is an error.
+
+A candidate is matched, judged and masked whole, whatever its length. Null and
+empty texts have no findings; a text without candidates stays as it is. Repeated
+rows are scanned alike. An empty table gives no rows. Extra columns stay, whatever
+their names. A candidate with exactly the threshold's score is a secret.
 """
 
 from __future__ import annotations
@@ -32,7 +37,10 @@ CANDIDATE = (
 CUES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|passphrase"
 AGAINST = "commit|sha1|sha256|md5|checksum|digest|hash|uuid|guid|example|sample|dummy|placeholder|version|revision|isbn|doi|phone|card|order|invoice|etag|build"
 PATHS = "test|example|sample|fixture|mock|spec|docs?/"
-DICTIONARY = "the|and|for|with|that|this|from|have|user|name|value|data|file|path|index|config|default|example|sample|test|demo|change|your|here|password|secret|token|null|none|true|false|class|function|string|number|object|array|width|height|color|image|style|content|http|https|www|com|org|net|html|page|link|main|item|list|type|text|key|code|time|date|base|core|util|get|set|new"
+#: The dictionary where none is given: fixed words of program texts.
+WORDS = tuple("administrator battery because before believe between change children config correct country dragon example family favourite file football garden house index letter little manager master message minute moment monkey mountain name never number office other password people picture please question river school second secret should something staple summer sunshine table there think through thunder together token value voice water welcome where window winter world would yellow user data path default sample test demo your here".split())
+#: Letters of the words that count.
+SHORTEST, LONGEST = 4, 12
 PLACEHOLDER = "xxxx|0000|1234|abcd|aaaa|changeme|placeholder|redacted|example|your[_-]|<|\\\\*\\\\*"
 FEATURES = {
     "length": "cast(length(c) as double)",
@@ -44,11 +52,11 @@ FEATURES = {
     "letter_digit": "regexp_count(c, '[A-Za-z][0-9]|[0-9][A-Za-z]') / length(c)",
     "vowel_pairs": "regexp_count(lower(c), '[aeiou][bcdfghjklmnpqrstvwxyz]|[bcdfghjklmnpqrstvwxyz][aeiou]') / length(c)",
     "repeats": "regexp_count(c, '(.)(?=\\\\1)') / length(c)",
-    "different": "size(array_distinct(split(left(c, 512), ''))) / cast(least(length(c), 64) as double)",
+    "different": "size(array_distinct(split(c, ''))) / cast(least(length(c), 64) as double)",
     "hex": "if(c rlike '^[0-9a-fA-F]+$', 1D, 0D)",
     "uuid": "if(c rlike '^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$', 1D, 0D)",
     "known_form": "if(c rlike '^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}|^xox[abprs]-|^eyJ[A-Za-z0-9_-]{10,}|^sk_live_|^-----BEGIN', 1D, 0D)",
-    "dictionary": f"1 - length(regexp_replace(lower(c), '{DICTIONARY}', '')) / cast(length(c) as double)",
+    "dictionary": "{dictionary} / cast(length(c) as double)",
     "placeholder": f"if(lower(c) rlike '{PLACEHOLDER}', 1D, 0D)",
     "path": f"if(lower(p) rlike '{PATHS}', 1D, 0D)",
     "cue": f"if(b rlike '(?i)({CUES})[^A-Za-z0-9]{{0,6}}$', 1D, 0D)",
@@ -67,42 +75,74 @@ BESIDE = 40
 MASK = "<SECRET>"
 
 
-def labelled_findings(spark: SparkSession, n: int = FINDINGS) -> DataFrame:
+def words_of(vocabulary: str, most: int = 2000) -> tuple[str, ...]:
+    """The first whole words of SHORTEST to LONGEST letters of a tokenizer file whose words end in </w>; common words come first."""
+    from tokenizers import Tokenizer
+
+    ids = Tokenizer.from_file(vocabulary).get_vocab()
+    whole = (t.removesuffix("</w>") for t in sorted(ids, key=ids.__getitem__) if t.endswith("</w>"))
+    return tuple(w for w in whole if w.isascii() and w.isalpha() and w.islower() and SHORTEST <= len(w) <= LONGEST)[:most]
+
+
+def covered(words: tuple[str, ...]) -> str:
+    """SQL for the number of letters of c that words cover, the longest first, from left to right."""
+    by_size = {k: ", ".join(f"'{w}'" for w in words if len(w) == k) for k in range(LONGEST, SHORTEST - 1, -1)}
+    longest = "coalesce(" + ", ".join(f"if(substr(w, i, {k}) in ({some}), {k}, null)" for k, some in by_size.items() if some) + ", 0)"
+    step = f"if(i < s.next, s, transform(array({longest}), n -> named_struct('next', if(n > 0, i + n, s.next), 'n', s.n + n))[0])"
+    # runs in parts of bounded length: what is inside a part costs no more than its length
+    return f"aggregate(regexp_extract_all(lower(c), '[a-z]{{{SHORTEST},48}}', 0), 0, (t, w) -> t + aggregate(sequence(1, length(w) - {SHORTEST - 1}), named_struct('next', 1, 'n', 0), (s, i) -> {step}, s -> s.n))"
+
+
+def features(words: tuple[str, ...]) -> dict[str, str]:
+    return {k: sql.replace("{dictionary}", covered(words)) for k, sql in FEATURES.items()}
+
+
+def labelled_findings(spark: SparkSession, n: int = FINDINGS, words: tuple[str, ...] = WORDS) -> DataFrame:
     """(c, b, a, p, label): n findings of known kind, made by hashes: the same on every run."""
     df = spark.range(n).select("id", *(F.expr(f"sha2(concat('{k}', id), 256)").alias(f"h{k}") for k in "abcde"))
-    pick = lambda words, h: "element_at(array({}), 1 + cast(conv(substr({}, 1, 6), 16, 10) as int) % {})".format(", ".join(f"'{w}'" for w in words), h, len(words))
+    number = lambda h, at=1: f"cast(conv(substr({h}, {at}, 6), 16, 10) as int)"
+    pick = lambda some, h: "element_at(array({}), 1 + {} % {})".format(", ".join(f"'{w}'" for w in some), number(h), len(some))
+    df = df.withColumn("words", F.array(*map(F.lit, words[:: max(1, len(words) // 400)])))
+    df = df.withColumns({f"w{h}": F.expr(f"element_at(words, 1 + {number(f'h{h}')} % size(words))") for h in "abcde"})
+    # what can be spoken but is in no dictionary: syllables by hash
+    letters = {"ha": "bcdfghlmnprstvwk", "hb": "aeiouaeioaeiouea", "hc": "nrstlmnrstlmnrst"}
+    syllable = ", ".join(f"translate(substr({h}, k, 1), '0123456789abcdef', '{to}')" for h, to in letters.items())
+    df = df.withColumn("spoken", F.expr(f"array_join(transform(sequence(1, 3 + {number('he', 20)} % 4), k -> concat({syllable})), '')"))
+    name = f"case {number('hc', 9)} % 4 when 0 then concat(initcap(wc), initcap(wd), initcap(we)) when 1 then concat(wc, '_', wd, '_', we) when 2 then concat(wc, '-', wd, '-', spoken) else concat(spoken, '_', wd) end"
+    df = df.withColumns({
+        "name": F.expr(name), "phrase": F.expr(f"concat(wc, wd, we, if({number('ha', 9)} % 2 = 0, '', wb))"),
+        "cue": F.expr(pick(["password=", "token = \"", "secret: ", "api_key=", "\"access_key\": \"", "auth_token = ", "pwd=", "Bearer ", "PASSWORD: ", "credential = "], "hd")),
+        "own_cue": F.expr(pick(["password=", "password = ", "password = \"", "\"password\": \"", "passwd: ", "passphrase = \"", "pwd=", "pwd=\"", "PASSWORD: "], "hd")),
+        "no": F.expr(pick(["commit ", "sha256: ", "md5 = ", "checksum: ", "version ", "id=", "order ", "etag: \"", "see ", "revision ", "build: ", "card "], "hd")),
+        "prose": F.expr(f"concat({pick(['', 'the ', '(', 'and ', '- '], 'he')}, wa, ' ', if({number('hb', 9)} % 2 = 0, spoken, wb), {pick([' ', '. ', ', ', '; '], 'hc')})"),
+        "kind": F.expr(f"{number('he', 3)} % 28"),
+    })
     hexed = lambda k: f"substr(concat(ha, hb), 1, {k})"
     b64 = "replace(replace(base64(unhex(ha)), '=', ''), '/', '_')"
     upper = "translate(upper(substr(hb, 1, 16)), '01345', 'KQXZW')"
-    word = pick(["theandonre", "erthation", "configuration", "getDefaultValue", "user_account_name", "verlichkeiten", "mentequeria", "applicationIndex", "ofthatreand", "data-main-item"], "hc")
-    longer = f"concat({word}, {pick(['ingerstha', 'unglichkeit', 'ButtonLabel', '_list_item', 'ciondado', 'elleeaux', '-value'], 'hd')}, cast(conv(substr(he, 1, 2), 16, 10) as int) % 100)"
-    cue = pick(["password=", "token = \"", "secret: ", "api_key=", "\"access_key\": \"", "auth_token = ", "pwd=", "Bearer ", "PASSWORD: ", "credential = "], "hd")
-    no = pick(["commit ", "sha256: ", "md5 = ", "checksum: ", "version ", "id=", "order ", "etag: \"", "see ", "revision ", "build: ", "card "], "hd")
-    prose = pick(["the rest of ", "and then ", "sont dans ", "und der ", "de la ", "", "in the "], "he")
-    after = pick(["", " and the rest", "\" the others", " und so weiter", ". Then", "\"", ", etc"], "hc")
-    kind = "cast(conv(substr(he, 3, 4), 16, 10) as int) % 24"
     long = "left(repeat(replace(base64(unhex(concat(ha, hb, hc, hd, he, sha2(ha, 256)))), '\\n', ''), 42), 200 + cast(conv(substr(hd, 9, 4), 16, 10) as int) % 10000)"
-    own = f"({kind} < 10 or {kind} in (20, 21))"
+    own = f"(kind < 10 or kind in (20, 21, 24))"
     value = F.expr(
-        f"""case {kind} when 0 then {hexed(40)} when 1 then {hexed(32)} when 2 then {hexed(18)} when 3 then {hexed(64)} when 4 then concat('AKIA', {upper})
+        f"""case kind when 0 then {hexed(40)} when 1 then {hexed(32)} when 2 then {hexed(18)} when 3 then {hexed(64)} when 4 then concat('AKIA', {upper})
         when 5 then concat('AKIA', {upper}) when 6 then {b64} when 7 then concat('ghp_', substr({b64}, 1, 36)) when 8 then concat('eyJ', {b64}) when 9 then concat(substr({b64}, 1, 12), '!', substr(hb, 1, 3))
-        when 10 then {hexed(40)} when 11 then {hexed(32)} when 12 then {hexed(64)} when 13 then {longer} when 14 then translate(substr(ha, 1, 16), 'abcdef', '012345')
-        when 15 then concat_ws('-', substr(ha, 1, 8), substr(ha, 9, 4), substr(ha, 13, 4), substr(ha, 17, 4), substr(ha, 21, 12)) when 16 then concat('your_', {word}, '_1234')
-        when 17 then concat('xxxxxxxxxxxx', substr(ha, 1, 1)) when 18 then concat({word}, '/', {word}, '/2024-01-', 10 + id % 19) when 20 then {long} when 21 then concat('-----BEGIN ', {pick(['RSA ', 'EC ', '', 'OPENSSH '], 'hb')}, 'PRIVATE KEY-----\\n', regexp_replace(left({long}, 200 + id % 3000), '(.{{64}})', '$1\\n'), '\\n-----END PRIVATE KEY-----')
-        when 22 then {long} when 23 then {long} else concat({word}, id % 10) end"""
+        when 10 then {hexed(40)} when 11 then {hexed(32)} when 12 then {hexed(64)} when 13 then concat(name, {number('he', 9)} % 100) when 14 then translate(substr(ha, 1, 16), 'abcdef', '012345')
+        when 15 then concat_ws('-', substr(ha, 1, 8), substr(ha, 9, 4), substr(ha, 13, 4), substr(ha, 17, 4), substr(ha, 21, 12)) when 16 then concat('your_', wc, '_1234')
+        when 17 then concat('xxxxxxxxxxxx', substr(ha, 1, 1)) when 18 then concat(wc, '/', spoken, '/2024-01-', 10 + id % 19) when 19 then name when 20 then {long} when 21 then concat('-----BEGIN ', {pick(['RSA ', 'EC ', '', 'OPENSSH '], 'hb')}, 'PRIVATE KEY-----\\n', regexp_replace(left({long}, 200 + id % 3000), '(.{{64}})', '$1\\n'), '\\n-----END PRIVATE KEY-----')
+        when 22 then {long} when 23 then {long} when 24 then phrase when 25 then spoken when 26 then spoken else concat(wc, '-', wd, if(id % 2 = 0, '', string(id % 10))) end"""
     )
-    before = F.expr(f"case when {kind} in (4, 5, 7, 8, 21) then concat({prose}, if(id % 3 = 0, {cue}, '')) when {kind} < 10 or {kind} = 20 then concat({prose}, {cue}) when {kind} in (16, 17) then concat({prose}, {cue}) when {kind} = 14 then concat({prose}, if(id % 2 = 0, {no}, '')) when {kind} in (13, 18, 19) then concat({prose}, if(id % 4 = 0, 'http://www.', '')) when {kind} = 22 then concat({prose}, {pick(['<img src="data:image/png;base64,', 'url(data:font/woff2;base64,', '"image": "', '"data": "', ''], 'hd')}) else concat({prose}, {no}) end")
+    after = f"concat({pick(['', ' ', chr(34) + ' ', '. ', chr(34), ', ', chr(10)], 'hc')}, if({number('hd', 9)} % 3 = 0, '', concat(wd, ' ', spoken)))"
+    before = F.expr(f"case when kind in (4, 5, 7, 8, 21) then concat(prose, if(id % 3 = 0, cue, '')) when kind < 10 or kind in (16, 17, 20) then concat(prose, cue) when kind = 24 then concat(prose, own_cue) when kind = 14 then concat(prose, if(id % 2 = 0, no, '')) when kind in (13, 18, 19, 26) then concat(prose, if(id % 4 = 0, 'http://www.', '')) when kind = 25 then concat(prose, if(id % 3 = 0, cue, ': ')) when kind = 22 then concat(prose, {pick(['<img src=' + chr(34) + 'data:image/png;base64,', 'url(data:font/woff2;base64,', chr(34) + 'image' + chr(34) + ': ' + chr(34), chr(34) + 'data' + chr(34) + ': ' + chr(34), ''], 'hd')}) else concat(prose, no) end")
     path = F.expr(f"if(not {own} and id % 5 = 0, {pick(['src/test/x', 'docs/a.md', 'examples/b'], 'ha')}, {pick(['src3', 'app/main', 'web', 'config/prod'], 'hb')})")
     return df.select(value.alias("c"), before.alias("b"), F.expr(after).alias("a"), path.alias("p"), F.expr(f"cast({own} as double)").alias("label"))
 
 
-def train(findings: DataFrame, *, trees: int = TREES, depth: int = DEPTH) -> str:
+def train(findings: DataFrame, *, words: tuple[str, ...] = WORDS, trees: int = TREES, depth: int = DEPTH) -> str:
     """SQL for the share of the forest's votes, over the fields of a features struct f."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
     names = list(FEATURES)
-    table = findings.select("label", *(F.expr(sql).cast("double").alias(k) for k, sql in FEATURES.items()))
+    table = findings.select("label", *(F.expr(sql).cast("double").alias(k) for k, sql in features(words).items()))
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(table).select("label", "features")
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=7, featureSubsetStrategy="onethird").fit(vectors)
 
@@ -117,19 +157,20 @@ def train(findings: DataFrame, *, trees: int = TREES, depth: int = DEPTH) -> str
     return f"({votes}) / {trees}"
 
 
-def judged(docs: DataFrame, forest: str, *, text: str = "text", path: str | None = "source") -> DataFrame:
-    """docs with __gaps (the text between candidates), __found (candidates) and __scores."""
+def judged(docs: DataFrame, forest: str, *, words: tuple[str, ...] = WORDS, text: str = "text", path: str | None = "source") -> DataFrame:
+    """doc (the row), parts (texts between candidates and candidates in turn: one part without any) and scores (of the candidates)."""
     quoted = CANDIDATE.replace("\\", "\\\\").replace("'", "\\'")
-    p = f"coalesce(cast(`{path}` as string), '')" if path else "''"
-    fields = ", ".join(f"'{k}', cast({sql} as double)" for k, sql in FEATURES.items())
+    p = f"coalesce(cast(doc.`{path}` as string), '')" if path else "''"
+    fields = ", ".join(f"'{k}', cast({sql} as double)" for k, sql in features(words).items())
+    # \u0001\u0003 is put around candidates; a \u0001 of the text is kept apart from it, and neither can be in a candidate
+    marked = f"regexp_replace(replace(coalesce(doc.`{text}`, ''), '\\u0001', '\\u0001\\u0002'), '{quoted}', '\\u0001\\u0003$0\\u0001\\u0003')"
     return (
-        docs.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
-        .withColumn("__found", F.expr(f"regexp_extract_all(__text, '{quoted}', 0)"))
-        .withColumn("__gaps", F.expr(f"split(__text, '{quoted}', -1)"))
-        .withColumn("__beside", F.expr(f"transform(__found, (c, i) -> named_struct('c', c, 'b', right(get(__gaps, i), {BESIDE}), 'a', left(get(__gaps, i + 1), {BESIDE}), 'p', {p}))"))
-        .withColumn("__features", F.expr(f"transform(__beside, x -> {_over('x', fields)})"))
-        .withColumn("__scores", F.expr(f"transform(__features, f -> {forest})"))
-        .drop("__text", "__beside", "__features")
+        docs.select(F.struct(*docs.columns).alias("doc"))
+        .withColumn("marked", F.expr(f"split({marked}, '\\u0001\\u0003', -1)"))
+        .withColumn("parts", F.expr("if(size(marked) > 1, transform(marked, x -> replace(x, '\\u0001\\u0002', '\\u0001')), array())"))
+        .withColumn("beside", F.expr(f"if(size(parts) > 1, transform(sequence(1, size(parts) - 2, 2), k -> named_struct('c', parts[k], 'b', right(parts[k - 1], {BESIDE}), 'a', left(parts[k + 1], {BESIDE}), 'p', {p})), array())"))
+        .withColumn("features", F.expr(f"transform(beside, x -> {_over('x', fields)})"))
+        .select("doc", "parts", F.expr(f"transform(features, f -> {forest})").alias("scores"))
     )
 
 
@@ -140,29 +181,38 @@ def _over(struct: str, fields: str) -> str:
     return "named_struct(" + re.sub(r"(?<![\w'.\\])([cbap])(?= rlike|[,)])", rf"{struct}.\1", fields) + ")"
 
 
-def findings(docs: DataFrame, forest: str, *, doc_id: str = "doc_id", text: str = "text", path: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
+#: Lengths are summed up in runs of so many, so that the places of many findings in one text stay cheap.
+_RUN = 256
+_SUM = "aggregate({}, 0L, (s, x) -> s + x)"
+
+
+def findings(docs: DataFrame, forest: str, *, words: tuple[str, ...] = WORDS, doc_id: str = "doc_id", text: str = "text", path: str | None = "source", threshold: float = THRESHOLD) -> DataFrame:
     """One row per secret: doc_id, start (in characters), length, value, score."""
-    place = "aggregate(sequence(0, size(__found) - 1), cast(array() as array<bigint>), (s, i) -> array_append(s, if(i = 0, 0L, s[i - 1] + length(__found[i - 1])) + length(__gaps[i])))"
-    out = judged(docs, forest, text=text, path=path).filter(F.size("__found") > 0)
-    return (
-        out.select(F.col(doc_id).alias("doc_id"), F.explode(F.arrays_zip(F.expr(place).alias("start"), F.col("__found").alias("value"), F.col("__scores").alias("score"))).alias("x"))
-        .filter(F.col("x.score") >= threshold)
-        .select("doc_id", F.col("x.start").alias("start"), F.length("x.value").alias("length"), F.col("x.value").alias("value"), F.round("x.score", 6).alias("score"))
+    found = F.expr(f"filter(transform(scores, (s, i) -> named_struct('at', 2 * i + 1, 'score', s)), f -> f.score >= {threshold}D)")
+    out = judged(docs, forest, words=words, text=text, path=path).withColumn("found", found).filter(F.size("found") > 0)
+    out = out.withColumn("sizes", F.expr("transform(parts, x -> cast(length(x) as bigint))"))
+    out = out.withColumn("runs", F.expr(f"transform(sequence(0, (size(sizes) - 1) div {_RUN}), j -> {_SUM.format(f'slice(sizes, cast(j * {_RUN} as int) + 1, {_RUN})')})"))
+    out = out.withColumn("before", F.expr(f"transform(sequence(0, size(runs) - 1), j -> {_SUM.format('slice(runs, 1, j)')})"))
+    start = f"before[cast(f.at div {_RUN} as int)] + {_SUM.format(f'slice(sizes, cast(f.at div {_RUN} as int) * {_RUN} + 1, f.at % {_RUN})')}"
+    return out.select(F.col(f"doc.{doc_id}").alias("doc_id"), F.explode(F.expr(f"transform(found, f -> named_struct('start', {start}, 'value', parts[f.at], 'score', f.score))")).alias("x")).select(
+        "doc_id", "x.start", F.length("x.value").alias("length"), "x.value", F.round("x.score", 6).alias("score")
     )
 
 
-def redact(docs: DataFrame, forest: str, *, text: str = "text", path: str | None = "source", threshold: float = THRESHOLD, mask: str = MASK, length: str | None = None) -> DataFrame:
+def redact(docs: DataFrame, forest: str, *, words: tuple[str, ...] = WORDS, text: str = "text", path: str | None = "source", threshold: float = THRESHOLD, mask: str = MASK, length: str | None = None) -> DataFrame:
     """docs with every secret replaced by the mask; all other text and columns stay.
 
     ``length`` names a column, if there is one, with the number of characters of the text.
     """
-    clean = F.expr(f"array_join(transform(__gaps, (g, i) -> concat(g, coalesce(if(get(__scores, i) >= {threshold}D, '{mask}', get(__found, i)), ''))), '')")
-    own = F.expr(f"exists(__scores, s -> s >= {threshold}D)")
-    out = judged(docs, forest, text=text, path=path).withColumn("__own", own).withColumn(text, F.when(F.col("__own"), clean).otherwise(F.col(text)))
+    out = judged(docs, forest, words=words, text=text, path=path)
+    secret = F.expr(f"exists(scores, s -> s >= {threshold}D)")
+    clean = F.expr(f"array_join(transform(parts, (x, i) -> if(i % 2 = 1 and scores[cast(i div 2 as int)] >= {threshold}D, '{mask}', x)), '')")
+    out = out.withColumn("clean", F.when(secret, clean))
+    changed = {text: F.coalesce("clean", F.col(f"doc.`{text}`"))}
     if length in docs.columns:
-        out = out.withColumn(length, F.when(F.col("__own"), F.length(text).cast(docs.schema[length].dataType)).otherwise(F.col(length)))
-    return out.select(*docs.columns)
+        changed[length] = F.coalesce(F.length("clean").cast(docs.schema[length].dataType), F.col(f"doc.`{length}`"))
+    return out.select(*(changed.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns))
 
 
-def report(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    return findings(docs, train(labelled_findings(spark)))
+def report(spark: SparkSession, docs: DataFrame, words: tuple[str, ...] = WORDS) -> DataFrame:
+    return findings(docs, train(labelled_findings(spark, words=words), words=words), words=words)
