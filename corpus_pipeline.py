@@ -36,8 +36,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: secrets are replaced; n_chars follows the text."""
-    forest = secret_scan.train(secret_scan.labelled_findings(spark))
-    return secret_scan.redact(docs, forest, length="n_chars")
+    import public_tokenizers
+
+    words = secret_scan.words_of(public_tokenizers.path("word_bpe_49k.json"))
+    forest = secret_scan.train(secret_scan.labelled_findings(spark, words=words), words=words)
+    return secret_scan.redact(docs, forest, words=words, length="n_chars")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
