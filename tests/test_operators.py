@@ -11,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonalspark.functions import colour, formats
-from zonalspark.functions.tdist import p_value_sql
+from zonalspark.functions.tdist import p_value, p_value_sql
 from zonalspark.operators import compare, hist, regress, vector, zonal
+from zonalspark.operators.grid import Grid
 from zonalspark.params import Query
 from zonalspark.sources import files, sinks
 
@@ -55,6 +56,67 @@ def test_p_values(spark, t, df, p):
     assert spark.range(1).select(F.expr(p_value_sql(f"{t}e0", df))).first()[0] == pytest.approx(p, abs=1e-5)
 
 
+def test_p_values_of_any_df(spark):
+    cases = [(t, df) for t in (0.0, 0.3, 2.1, -2.1, 9.0) for df in (1, 2, 3, 4, 5, 8, 29, 30)]
+    rows = spark.createDataFrame(cases, "t double, df int").select("t", "df", p_value("t", "df").alias("p")).collect()
+    want = spark.range(1).select(*(F.expr(p_value_sql(f"({t}e0)", df)) for t, df in cases)).first()
+    assert [r["p"] for r in rows] == pytest.approx(list(want), abs=1e-12)
+    many = spark.createDataFrame([(1.984, 100), (1.962, 1000), (2.0, 0), (None, 5)], "t double, df int").select(p_value("t", "df")).collect()
+    assert many[0][0] == pytest.approx(0.05, abs=1e-4) and many[1][0] == pytest.approx(0.05, abs=1e-4) and many[2][0] is None and many[3][0] is None
+
+
+def test_long_series_have_a_p_value(spark):
+    rows = [(1, 1950 + i, 0.5 + 0.001 * i + (0.01 if i % 2 else -0.01), 1) for i in range(70)]
+    got = regress.ols(spark.createDataFrame(rows, "g int, year int, value double, n int"), ("g",)).first()
+    assert got["n_years"] == 70 and 0 <= got["p"] < 1e-6
+
+
+def test_histogram_of_keys_without_counts(spark):
+    df = spark.createDataFrame([("a", 0.1), ("a", 0.9), ("a", 5.0), ("b", 7.0), ("c", None)], "k string, value double")
+    got = hist.histogram(df, 0.0, 1.0, 4, keys=("k",)).orderBy("k", "bin").collect()
+    assert [(r["k"], r["bin"], r["count"], r["share"]) for r in got] == [(k, b, n, n / 2) for k in "abc" for b, n in enumerate([1, 0, 0, 1] if k == "a" else [0] * 4)]
+    table = {r["k"]: r for r in hist.percentile_table(df, (0.0, 1.0, 4), key="k").collect()}
+    assert set(table) == {"a", "b"} and table["a"]["valid"] == 3 and table["a"]["max"] == 5 and table["b"]["p50"] is None
+
+
+def test_merged_variance_keeps_its_digits(spark):
+    cells = spark.createDataFrame([(1, 1, 5, i % 3, 1e8 + i * 0.001) for i in range(9)], "year int, zone int, class int, block int, value double")
+    merged = zonal.merge_partials(zonal.zonal_partials(cells, ("year", "zone", "class", "block"))).first()
+    assert merged["std_pop"] == pytest.approx(0.001 * (60 / 9) ** 0.5, rel=1e-4)
+
+
+def _square(x, y, side):
+    return [[(x, y), (x + side, y), (x + side, y + side), (x, y + side), (x, y)]]
+
+
+def test_scanline_against_every_pixel(spark):
+    rng = np.random.RandomState(4)
+    shapes = [_square(1.03, 0.52, 2.2), [[(0.1, 0.2), (4.9, 2.3), (2.2, 4.8), (1.9, 1.7), (0.1, 0.2)]]]
+    for _ in range(6):
+        ring = [tuple(p) for p in (rng.rand(7, 2) * 6 - 0.5).tolist()]
+        shapes.append([[*ring, ring[0]], [(1.0, 1.0), (1.5, 1.0), (1.5, 1.5), (1.0, 1.5), (1.0, 1.0)]])
+    grid = Grid(0.0, 5.0, 0.25, 0.25, 20, 20)
+    rows = [(i, i, [[{"x": x, "y": y} for x, y in ring] for ring in s]) for i, s in enumerate(shapes)]
+    df = spark.createDataFrame(rows, "id int, ord int, rings array<array<struct<x:double,y:double>>>")
+    got = {(r["row"], r["col"]): r["value"] for r in vector.rasterize(df, grid).collect()}
+    want = {}
+    for i, s in enumerate(shapes):
+        for row in range(20):
+            for col in range(20):
+                x, y = grid.x0 + (col + 0.5) * grid.dx, grid.y0 - (row + 0.5) * grid.dy
+                crossings = sum(1 for ring in s for (x1, y1), (x2, y2) in zip(ring, ring[1:]) if (y1 > y) != (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1)
+                if crossings % 2:
+                    want[row, col] = i
+    assert got == want
+
+
+def test_points_that_share_an_id_keep_their_own_polygon(spark):
+    df = spark.createDataFrame([(7, [[{"x": x, "y": y} for x, y in r] for r in _square(0.0, 0.0, 1.0)]), (9, [[{"x": x, "y": y} for x, y in r] for r in _square(0.5, 0.5, 2.0)])], "id int, rings array<array<struct<x:double,y:double>>>")
+    points = spark.createDataFrame([(1, 0.2, 0.2), (1, 0.7, 0.7), (1, 9.0, 9.0), (1, 0.2, 0.2)], "point_id int, x double, y double")
+    assert sorted((r["x"], r["id"]) for r in vector.points_in_polygons(points, df, 0.5).collect()) == [(0.2, 7), (0.2, 7), (0.7, 9), (9.0, None)]
+    assert vector.points_in_polygons(points, df, 0.5, how="inner").count() == 3
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in (0.0, 0.5, 1.0, -0.1, 1.1)], "value double")
     assert [r["count"] for r in hist.histogram(df, 0.0, 1.0, 2).orderBy("bin").collect()] == [1, 2]

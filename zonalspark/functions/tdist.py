@@ -28,9 +28,21 @@ def p_value_sql(t: str, df: int) -> str:
     return f"(1e0 - sin({theta}) * ({' + '.join(terms)}))"
 
 
-def p_value(t: Column | str, df: Column | str, most: int) -> Column:
-    """p-value of the column named t with df degrees of freedom, from 1 to most; null outside."""
-    out = F.lit(None).cast("double")
-    for k in range(most, 0, -1):
-        out = F.when(F.col(df) == k, F.expr(p_value_sql(f"`{t}`", k))).otherwise(out)
-    return out
+def p_value(t: Column | str, df: Column | str) -> Column:
+    """p-value of t with any whole number of degrees of freedom; null where t is or df is below 1.
+
+    The finite sum is a fold over df / 2 terms, each the one before times a ratio and the squared cosine.
+    """
+    t, df = (F.col(x) if isinstance(x, str) else x for x in (t, df))
+    theta = F.atan(F.abs(t) / F.sqrt(df))
+    c, odd = F.cos(theta), df % 2
+    first = F.when(odd == 0, F.lit(1.0)).when(df > 1, c).otherwise(F.lit(0.0))
+    steps = F.floor(df / 2).cast("int") - 1
+    terms = F.when(steps >= 1, F.sequence(F.lit(1), steps)).otherwise(F.array().cast("array<int>"))
+    whole = F.aggregate(
+        terms, F.struct(first.alias("term"), first.alias("sum")),
+        lambda s, k: F.struct((s["term"] * (2 * k - 1 + odd) / (2 * k + odd) * c * c).alias("term"), (s["sum"] + s["term"] * (2 * k - 1 + odd) / (2 * k + odd) * c * c).alias("sum")),
+        lambda s: s["sum"],
+    )
+    inner = F.sin(theta) * whole
+    return F.when(df >= 1, 1 - F.when(odd == 0, inner).otherwise((theta + inner) * 2 / F.pi()))

@@ -14,10 +14,30 @@ EXTRA = {"change": (10.0, 20.0, 30.0), "slope": (1.0, 2.0, 3.0)}
 PAIRS = {95: (2.5, 97.5), 98: (1.0, 99.0), 99: (0.5, 99.5)}
 
 
-def spine(df: DataFrame, low: float, high: float, bins: int) -> DataFrame:
-    """(bin, bin_left, bin_right) of equal width."""
+def binned(df: DataFrame, low: float, high: float, bins: int, *, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
+    """One row per key: its counted bins as a sorted array, and all that can be said of its values, from one pass.
+
+    Values below and above the range are bins -1 and ``bins`` of the first aggregate; a key's array has at most ``bins`` entries.
+    """
+    v, width = F.col(value), (high - low) / bins
+    at = F.when(v < low, -1).when(v > high, bins).otherwise(F.least(F.floor((v - low) / width), F.lit(bins - 1)).cast("int"))
+    counts = df.groupBy(*keys, at.alias("bin")).agg(F.count(v).alias("count"), F.sum(v).alias("s"), F.min(v).alias("lo"), F.max(v).alias("hi"))
+    inside = F.col("bin").between(0, bins - 1)
+    entry = F.when(inside & (F.col("count") > 0), F.struct("bin", "count"))
+    some = lambda where: F.coalesce(F.sum(F.when(where, F.col("count"))), F.lit(0))
+    return counts.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(entry)).alias("entries"), F.sum("count").alias("valid"), F.min("lo").alias("min"), F.max("hi").alias("max"),
+        (F.sum("s") / F.nullif(F.sum("count"), F.lit(0))).alias("mean"), some(F.col("bin") == -1).alias("below"), some(F.col("bin") == bins).alias("above"), some(inside).alias("total"),
+    )
+
+
+def spread(table: DataFrame, low: float, high: float, bins: int, *keep: str) -> DataFrame:
+    """The rows of ``binned`` as histograms: the columns to keep, and every bin, counted or not."""
     width = (high - low) / bins
-    return df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), (low + F.col("id") * width).alias("bin_left"), (low + (F.col("id") + 1) * width).alias("bin_right"))
+    own = table.withColumn("e", F.expr(f"concat(array(named_struct('bin', -1, 'count', 0L)), entries)"))
+    filled = own.withColumn("b", F.expr(f"flatten(transform(e, (x, i) -> transform(sequence(x.bin, coalesce(get(e, i + 1).bin, {bins}) - 1), k -> named_struct('bin', k, 'count', if(k = x.bin, x.count, 0L)))))"))
+    rows = filled.select(*keep, "total", F.explode("b").alias("b")).filter("b.bin >= 0").select(*keep, "total", "b.*")
+    return rows.select(*keep, "bin", (low + F.col("bin") * width).alias("bin_left"), (low + (F.col("bin") + 1) * width).alias("bin_right"), "count", F.coalesce(F.col("count") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0)).alias("share"))
 
 
 def histogram(df: DataFrame, low: float, high: float, bins: int, *, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
@@ -25,15 +45,7 @@ def histogram(df: DataFrame, low: float, high: float, bins: int, *, value: str =
 
     Values outside the range are in no bin; shares are of those inside.
     """
-    v, width = F.col(value), (high - low) / bins
-    at = F.least(F.floor((v - low) / width), F.lit(bins - 1)).cast("int")
-    counts = df.filter(v.between(low, high)).groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("count"))
-    edges = spine(df, low, high, bins)
-    frame = edges.crossJoin(df.select(*keys).distinct()) if keys else edges
-    out = frame.join(counts, [*keys, "bin"], "left").withColumn("count", F.coalesce("count", F.lit(0).cast("long")))
-    totals = counts.groupBy(*keys).agg(F.sum("count").alias("total"))
-    out = out.join(totals, list(keys), "left") if keys else out.crossJoin(F.broadcast(totals))
-    return out.select(*keys, "bin", "bin_left", "bin_right", "count", F.coalesce(F.col("count") / F.col("total"), F.lit(0.0)).alias("share"))
+    return spread(binned(df, low, high, bins, value=value, keys=keys), low, high, bins, *keys)
 
 
 def range_stats(df: DataFrame, low: float, high: float, *, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
@@ -57,10 +69,10 @@ def percentiles(hist: DataFrame, wanted: tuple[float, ...] = PERCENTILES, *, key
 
 def percentile_table(df: DataFrame, kind: tuple[float, float, int] = LEVEL, *, value: str = "value", key: str = "year") -> DataFrame:
     """One row per year: valid cells, minimum, maximum, mean, and a column for each percentile (p0_5, p1, ...)."""
-    p = percentiles(histogram(df, *kind, value=value, keys=(key,)), keys=(key,))
+    own = (key, "valid", "min", "max", "mean")
+    p = percentiles(spread(binned(df, *kind, value=value, keys=(key,)), *kind, *own), keys=own)
     names = {q: f"p{q:g}".replace(".", "_") for q in PERCENTILES}
-    wide = p.groupBy(key).agg(*(F.max(F.when(F.col("percentile") == q, F.col("value"))).alias(n) for q, n in names.items()))
-    return range_stats(df, kind[0], kind[1], value=value, keys=(key,)).drop("below", "above").join(wide, key)
+    return p.groupBy(*own).agg(*(F.max(F.when(F.col("percentile") == q, F.col("value"))).alias(n) for q, n in names.items())).filter("valid > 0")
 
 
 def share_within(hist: DataFrame, ranges: DataFrame, m: str = "m") -> DataFrame:

@@ -33,32 +33,44 @@ def with_cells(polygons: DataFrame, cell: float) -> DataFrame:
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, *, key: str = "id", how: str = "left") -> DataFrame:
     """points (x, y) with the key of the polygon that they are in; the last key of several; null without one.
 
-    points need a column point_id.
+    The polygons that meet a cell are one row, so a point meets all of them by one
+    join and stays one row, whatever else it has.
     """
+    held = F.struct(F.col("polygon"), "box", "rings")
+    boxed = with_cells(polygons.select(F.col(key).alias("polygon"), "rings"), cell).groupBy("cx", "cy").agg(F.collect_list(held).alias("near"))
     placed = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
-    boxed = with_cells(polygons.select(F.col(key).alias("polygon"), "rings"), cell)
-    hit = placed.join(boxed, ["cx", "cy"]).filter(F.col("x").between(F.col("box.min_x"), F.col("box.max_x")) & F.col("y").between(F.col("box.min_y"), F.col("box.max_y")))
-    hit = hit.filter(geometry.within(F.col("x"), F.col("y"), F.col("rings"))).groupBy("point_id").agg(F.max("polygon").alias(key))
-    return points.join(hit, "point_id", how)
+    x, y = F.col("x"), F.col("y")
+    inside = lambda p: x.between(p["box"]["min_x"], p["box"]["max_x"]) & y.between(p["box"]["min_y"], p["box"]["max_y"]) & geometry.within(x, y, p["rings"])
+    out = placed.join(boxed, ["cx", "cy"], "left").withColumn(key, F.array_max(F.transform(F.filter("near", inside), lambda p: p["polygon"])))
+    return (out if how == "left" else out.filter(F.col(key).isNotNull())).select(*points.columns, key)
 
 
-def rasterize(polygons: DataFrame, grid: Grid, *, key: str = "id", order: str = "ord") -> DataFrame:
-    """(row, col, value) of the pixels whose centre is in a polygon; later features overwrite earlier ones.
+def runs(polygons: DataFrame, grid: Grid, *, key: str = "id", order: str = "ord") -> DataFrame:
+    """(id, ord, row, first, last): the runs of pixels of each grid row whose centres are in a polygon.
 
-    polygons: (key, ord, rings). Only pixels inside a polygon's bounds are ever made.
+    polygons: (key, ord, rings). A scanline: each edge gives its crossing with every
+    row that it spans, and a polygon's crossings of a row, in order, begin and end runs.
     """
-    box = geometry.bounds(F.get("rings", F.lit(0)))
-    out = polygons.select(F.col(key).alias("id"), F.col(order).alias("ord"), "rings", box.alias("box"))
+    numbered = polygons.select(F.col(key).alias("id"), F.col(order).alias("ord"), F.monotonically_increasing_id().alias("polygon"), "rings")
+    out = numbered.select("id", "ord", "polygon", F.explode(F.flatten(F.transform("rings", geometry.edges))).alias("e"))
+    low, high = F.least("e.y1", "e.y2"), F.greatest("e.y1", "e.y2")
+    # rows whose centre y has low <= y < high
+    first, last = F.greatest(F.floor(grid.place(F.lit(0.0), high)[0]) + 1, F.lit(0)), F.least(F.floor(grid.place(F.lit(0.0), low)[0]), F.lit(grid.height - 1))
+    out = out.filter(first <= last).select("id", "ord", "polygon", "e", F.explode(F.sequence(first, last)).alias("row"))
+    y = grid.centre(F.col("row"), F.lit(0))[1]
+    at = (F.col("e.x2") - F.col("e.x1")) * (y - F.col("e.y1")) / F.nullif(F.col("e.y2") - F.col("e.y1"), F.lit(0.0)) + F.col("e.x1")
+    crossed = out.groupBy("id", "ord", "polygon", "row").agg(F.array_sort(F.collect_list(at)).alias("xs"))
+    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size("xs") / 2).cast("int") - 1), lambda k: F.struct(F.get("xs", 2 * k).alias("a"), F.get("xs", 2 * k + 1).alias("b")))
+    cut = crossed.filter(F.size("xs") > 1).select("id", "ord", F.col("row").cast("int").alias("row"), F.explode(pairs).alias("p"))
+    column = lambda x: F.ceil(grid.place(F.lit(0.0), F.lit(0.0))[1] + x / grid.dx)
+    cut = cut.select("id", "ord", "row", F.greatest(column(F.col("p.a")), F.lit(0)).alias("first"), F.least(column(F.col("p.b")) - 1, F.lit(grid.width - 1)).alias("last"))
+    return cut.filter("first <= last")
 
-    def span(low, high, size):
-        first, last = F.greatest(F.ceil(low), F.lit(0)), F.least(F.floor(high), F.lit(size - 1))
-        return F.explode(F.when(first <= last, F.sequence(first, F.greatest(last, first))).otherwise(F.expr("cast(array() as array<bigint>)")))
 
-    r0, c0 = grid.place(F.col("box.min_x"), F.col("box.max_y"))
-    r1, c1 = grid.place(F.col("box.max_x"), F.col("box.min_y"))
-    out = out.withColumn("row", span(r0, r1, grid.height)).withColumn("col", span(c0, c1, grid.width))
-    x, y = grid.centre(F.col("row"), F.col("col"))
-    return out.filter(geometry.within(x, y, F.col("rings"))).groupBy(F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col")).agg(F.max_by("id", "ord").alias("value"))
+def rasterize(polygons: DataFrame, grid: Grid, *, key: str = "id", order: str = "ord") -> DataFrame:
+    """(row, col, value) of the pixels whose centre is in a polygon; later features overwrite earlier ones."""
+    pixels = runs(polygons, grid, key=key, order=order).select("id", "ord", "row", F.explode(F.sequence("first", "last")).alias("col"))
+    return pixels.groupBy("row", F.col("col").cast("int").alias("col")).agg(F.max_by("id", "ord").alias("value"))
 
 
 def douglas_peucker(points: np.ndarray, tolerance: float) -> np.ndarray:

@@ -22,16 +22,23 @@ def zonal_stats(cells: DataFrame, keys: tuple[str, ...] = ("year", "zone", "clas
 
 
 def zonal_partials(cells: DataFrame, keys: tuple[str, ...] = ("year", "zone", "class")) -> DataFrame:
-    """Mergeable sums: count, sum, sum of squares, minimum, maximum."""
+    """Mergeable parts: count, mean, sum of squared distances from it, minimum, maximum."""
     v = F.col("value")
-    return valid_cells(cells).groupBy(*keys).agg(F.count(v).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("ss"), F.min(v).alias("min"), F.max(v).alias("max"))
+    return valid_cells(cells).groupBy(*keys).agg(F.count(v).alias("n"), F.avg(v).alias("m"), (F.var_pop(v) * F.count(v)).alias("m2"), F.min(v).alias("min"), F.max(v).alias("max"))
 
 
 def merge_partials(partials: DataFrame, keys: tuple[str, ...] = ("year", "zone", "class")) -> DataFrame:
-    """Statistics from partial sums of any number of blocks; the variance is clamped at 0."""
-    out = partials.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss"), F.min("min").alias("min"), F.max("max").alias("max"))
-    mean = F.col("s") / F.col("n")
-    return out.select(*keys, "n", mean.alias("mean"), F.sqrt(F.greatest(F.col("ss") / F.col("n") - mean * mean, F.lit(0.0))).alias("std_pop"), "min", "max")
+    """Statistics from the parts of any number of blocks.
+
+    Squared distances move to the whole mean part by part: nothing large is subtracted from something large.
+    """
+    from pyspark.sql.window import Window
+
+    by = Window.partitionBy(*keys)
+    moved = partials.withColumn("mean", F.sum(F.col("n") * F.col("m")).over(by) / F.sum("n").over(by))
+    m2 = F.sum(F.col("m2") + F.col("n") * (F.col("m") - F.col("mean")) * (F.col("m") - F.col("mean")))
+    out = moved.groupBy(*keys).agg(F.sum("n").alias("n"), F.first("mean").alias("mean"), m2.alias("m2"), F.min("min").alias("min"), F.max("max").alias("max"))
+    return out.select(*keys, "n", "mean", F.sqrt(F.col("m2") / F.col("n")).alias("std_pop"), "min", "max")
 
 
 def zonal_matrix(zonal: DataFrame, classes: list[int], value: str = "mean", keys: tuple[str, ...] = ("year", "zone")) -> DataFrame:
@@ -41,9 +48,8 @@ def zonal_matrix(zonal: DataFrame, classes: list[int], value: str = "mean", keys
 
 def area_summary(cells: DataFrame, lookup: DataFrame, unit: float = 1.0) -> DataFrame:
     """Polygons and area by class, for the classes of the lookup: in all and in hectares and square kilometres."""
-    counts = cells.groupBy("class").agg(F.count("*").alias("polygon_count"))
-    area = cells.groupBy("class").agg(F.sum("area").alias("area"))
-    out = lookup.join(counts, "class").join(area, "class", "left").withColumn("area_m2", F.coalesce("area", F.lit(0.0)) * unit).drop("area")
+    sums = cells.groupBy("class").agg(F.count("*").alias("polygon_count"), F.sum("area").alias("area"))
+    out = lookup.join(sums, "class").withColumn("area_m2", F.coalesce("area", F.lit(0.0)) * unit).drop("area")
     return out.withColumn("area_ha", F.col("area_m2") / 10_000).withColumn("area_km2", F.col("area_m2") / 1_000_000)
 
 

@@ -38,8 +38,8 @@ def bucket_shares(spark, d):
 
 
 def indicator_mean(spark, d):
-    """Three runs of twenty columns of the grid as three layers; negative cells are nodata."""
-    layers = [grid(spark, d).filter(f"col >= {20 * k} AND col < {20 * k + 20}").select("row", (F.col("col") - 20 * k).alias("col"), F.when(F.col("value") >= -0.2, F.col("value")).alias("value")) for k in range(3)]
+    """The grid and the grid moved by 20 and by 40 columns as three layers; cells below -0.2 are nodata."""
+    layers = [grid(spark, d).select("row", ((F.col("col") + 20 * k) % 64).alias("col"), F.when(F.col("value") >= -0.2, F.col("value")).alias("value")) for k in range(3)]
     return even(compare.composite_indicator(*layers))
 
 
@@ -180,7 +180,7 @@ _LV = f"{_ZY}, lv AS (SELECT zone, region, value FROM zy WHERE bucket = 'I' AND
 _CG = f"{_ZY}, lv AS (SELECT zone, any_value(region) AS region, max(CASE WHEN year = {LAST} THEN value END) - max(CASE WHEN year = {FIRST} THEN value END) AS value FROM zy WHERE bucket = 'I' AND year IN ({FIRST}, {LAST}) GROUP BY zone)"
 _MO = f"{_LV}, mo AS (SELECT a.zone, any_value(a.region) AS region, any_value(a.value) AS value, median(b.value) AS median_others FROM lv a LEFT JOIN lv b ON a.region = b.region AND a.zone <> b.zone GROUP BY a.zone)"
 _BOARD = ", n AS (SELECT count(*) AS n FROM lv WHERE value IS NOT NULL), board AS (SELECT 'worst' AS side, row_number() OVER (ORDER BY value, zone) AS place, zone, value FROM lv WHERE value IS NOT NULL UNION ALL SELECT 'best', row_number() OVER (ORDER BY value DESC, zone DESC), zone, value FROM lv WHERE value IS NOT NULL), top AS (SELECT board.* FROM board, n WHERE place <= least(5, n // 2))"
-_LAYERS = "l AS (SELECT row, col % 20 AS c, CASE WHEN value >= -0.2e0 THEN value END AS v FROM grid WHERE col < 60)"
+_LAYERS = "l AS (SELECT row, (col + k) % 64 AS c, CASE WHEN value >= -0.2e0 THEN value END AS v FROM grid, (VALUES (0), (20), (40)) AS m(k))"
 _WIDE = ", ".join(f"max(CASE WHEN bucket = '{b}' THEN value END) AS {b}" for b in ("I", *BUCKETS))
 _ALL = ("I", *BUCKETS)
 

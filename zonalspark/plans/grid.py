@@ -9,17 +9,23 @@ from ..operators import grid as g
 from ..tables import GRID_SQL, grid
 from .common import even, even_sql
 
-#: The grid in units of ten, and a coarser, shifted one inside of it.
-OWN = g.Grid(0.0, 1000.0, 10.0, 10.0, 64, 100)
-TARGET = g.Grid(23.0, 941.0, 17.0, 13.0, 30, 50)
+#: Pixels of the grid, in units of ten, and of a coarser one that is shifted inside of it.
+PIXEL, COARSE, SHIFT = (10.0, 10.0), (17.0, 13.0), (23.0, 59.0)
 SIZE = 35.0
 TILE = 16
 STACK = 4
 
 
 def _part(spark, d):
-    """The first hundred rows: the extent of OWN."""
-    return grid(spark, d).filter("row < 100").select("row", "col", "value")
+    return grid(spark, d).select("row", "col", "value")
+
+
+def _grids(spark, d) -> tuple[g.Grid, g.Grid]:
+    """The grid of the whole table, its upper edge at the height of its rows, and the coarser one over all of it."""
+    height, width = (n + 1 for n in grid(spark, d).agg(F.max("row"), F.max("col")).first())
+    top = height * PIXEL[1]
+    own = g.Grid(0.0, top, *PIXEL, width, height)
+    return own, g.Grid(SHIFT[0], top - SHIFT[1], *COARSE, int(width * PIXEL[0] // COARSE[0]), int(top // COARSE[1]))
 
 
 def _layers(spark, d):
@@ -28,11 +34,11 @@ def _layers(spark, d):
 
 
 def grid_nearest(spark, d):
-    return even(g.resample(_part(spark, d), OWN, TARGET, "nearest"))
+    return even(g.resample(_part(spark, d), *_grids(spark, d), "nearest"))
 
 
 def grid_bilinear(spark, d):
-    return even(g.resample(_part(spark, d), OWN, TARGET))
+    return even(g.resample(_part(spark, d), *_grids(spark, d)))
 
 
 def grid_downsample_avg(spark, d):
@@ -96,8 +102,10 @@ def mercator_tiles(spark, d):
     return even(_part(spark, d).select("row", "col", x.alias("x"), y.alias("y"), back[0].alias("lon"), back[1].alias("lat"), tx.alias("tx"), ty.alias("ty")), 4)
 
 
-_P = f"WITH {GRID_SQL}, p AS (SELECT row, col, value FROM grid WHERE row < 100)"
-_T = f"t AS (SELECT r, c, ({OWN.y0}e0 - ({TARGET.y0}e0 - (r + 0.5e0) * {TARGET.dy}e0)) / {OWN.dy}e0 - 0.5e0 AS fr, ({TARGET.x0}e0 + (c + 0.5e0) * {TARGET.dx}e0 - {OWN.x0}e0) / {OWN.dx}e0 - 0.5e0 AS fc FROM (SELECT unnest(range({TARGET.height})) AS r) a, (SELECT unnest(range({TARGET.width})) AS c) b)"
+_P = f"WITH {GRID_SQL}, p AS (SELECT row, col, value FROM grid)"
+_T = f"""e AS (SELECT (max(row) + 1) * {PIXEL[1]}e0 AS top, (max(col) + 1) * {PIXEL[0]}e0 AS wide FROM grid),
+ t AS (SELECT r, c, (top - (top - {SHIFT[1]}e0 - (r + 0.5e0) * {COARSE[1]}e0)) / {PIXEL[1]}e0 - 0.5e0 AS fr, ({SHIFT[0]}e0 + (c + 0.5e0) * {COARSE[0]}e0) / {PIXEL[0]}e0 - 0.5e0 AS fc
+  FROM (SELECT top, unnest(range(CAST(floor(top / {COARSE[1]}e0) AS BIGINT))) AS r FROM e) a, (SELECT unnest(range(CAST(floor(wide / {COARSE[0]}e0) AS BIGINT))) AS c FROM e) b)"""
 _LY = f"WITH {GRID_SQL}, l AS (SELECT col // 16 AS year, row, col % 16 AS col, CASE WHEN value >= -0.25e0 THEN value END AS value FROM grid)"
 
 
