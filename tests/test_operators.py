@@ -225,3 +225,30 @@ def test_failures_are_reported():
             raise ValueError("no")
 
     assert sinks.each("abc", work) == [("b", "ValueError: no")]
+
+
+def test_national_grid_and_its_datum(spark):
+    from zonalspark.functions import krovak, tiles
+
+    one = spark.range(1)
+    # the example of the public guidance note, on the grid's own ellipsoid
+    lon, lat = 16 + 50 / 60 + 59.179 / 3600, 50 + 12 / 60 + 32.442 / 3600
+    x, y = one.select(*krovak.grid_of(F.lit(lon), F.lit(lat))).first()
+    assert (x, y) == (pytest.approx(-568990.995, abs=0.02), pytest.approx(-1050538.631, abs=0.02))
+    assert tuple(one.select(*krovak.degrees_of(F.lit(x), F.lit(y))).first()) == (pytest.approx(lon, abs=1e-9), pytest.approx(lat, abs=1e-9))
+    for lon, lat in ((14.4378, 50.0755), (12.2, 50.1), (18.8, 49.5), (16.6, 48.7)):
+        for epsg in (5514, 3857, 32633):
+            back = one.select(*tiles.project(*tiles.project(F.lit(lon), F.lit(lat), 4326, epsg), epsg, 4326)).first()
+            assert tuple(back) == (pytest.approx(lon, abs=3e-8), pytest.approx(lat, abs=3e-8))  # 3 mm
+    x, y = one.select(*tiles.project(F.lit(14.4378), F.lit(50.0755), 4326, 5514)).first()
+    assert abs(x + 743_000) < 1500 and abs(y + 1_043_500) < 1500  # the middle of Prague
+    # on the central meridian, north is the scaled length of the meridian
+    assert tuple(one.select(*tiles.to_utm(F.lit(15.0), F.lit(50.0), 33)).first()) == (pytest.approx(500000), pytest.approx(5538630.7, abs=0.1))
+
+
+def test_grid_checks():
+    own = Grid.of_bounds(0.0, 0.0, 95.0, 41.0, 10.0)
+    assert (own.width, own.height, own.dx, own.dy, own.y0) == (10, 5, 9.5, 8.2, 41.0)
+    own.same(Grid.of_bounds(0.0, 0.0, 95.0, 41.0, 10.0))
+    with pytest.raises(ValueError, match="grids differ"):
+        own.same(Grid.of_bounds(0.0, 0.0, 95.0, 42.0, 10.0))

@@ -1,4 +1,4 @@
-"""Web-Mercator, UTM and tile arithmetic as column expressions."""
+"""Projections (Web Mercator, UTM, national Krovak) and tile arithmetic as column expressions."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import krovak
+
 #: The sphere and the ellipsoid of these projections, and the pixel of zoom 0.
 RADIUS = 6378137.0
 PIXEL_0 = 156543.03392804097
@@ -33,11 +35,51 @@ def to_utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
     alpha = (n / 2 - 2 / 3 * n**2 + 5 / 16 * n**3, 13 / 48 * n**2 - 3 / 5 * n**3, 61 / 240 * n**3)
     k = 2 * math.sqrt(n) / (1 + n)
     phi, lam = F.radians(lat), F.radians(lon - (6 * zone - 183))
-    t = F.sinh(F.atanh(F.sin(phi)) - k * F.atanh(k * F.sin(phi)))
-    xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))
-    east = eta + sum(c * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, c in enumerate(alpha, 1))
-    north = xi + sum(c * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, c in enumerate(alpha, 1))
-    return UTM_EAST + UTM_SCALE * a * east, UTM_SCALE * a * north
+
+    def place(xi: Column, eta: Column) -> Column:
+        east = eta + sum(c * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, c in enumerate(alpha, 1))
+        north = xi + sum(c * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, c in enumerate(alpha, 1))
+        return F.struct((UTM_EAST + UTM_SCALE * a * east).alias("x"), (UTM_SCALE * a * north).alias("y"))
+
+    sphere = lambda t, lam: krovak.bind(place, xi=F.atan2(t, F.cos(lam)), eta=F.atanh(F.sin(lam) / F.sqrt(1 + t * t)))
+    out = krovak.bind(sphere, t=F.sinh(F.atanh(F.sin(phi)) - k * F.atanh(k * F.sin(phi))), lam=lam)
+    return out["x"], out["y"]
+
+
+def from_utm(x: Column, y: Column, zone: int) -> tuple[Column, Column]:
+    """Degrees of northern UTM, by the same series the other way."""
+    n = FLATTENING / (2 - FLATTENING)
+    a = RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    beta = (n / 2 - 2 / 3 * n**2 + 37 / 96 * n**3, n**2 / 48 + n**3 / 15, 17 / 480 * n**3)
+    delta = (2 * n - 2 / 3 * n**2 - 2 * n**3, 7 / 3 * n**2 - 8 / 5 * n**3, 56 / 15 * n**3)
+
+    def sphere(xi: Column, eta: Column) -> Column:
+        north = xi - sum(c * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, c in enumerate(beta, 1))
+        east = eta - sum(c * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, c in enumerate(beta, 1))
+        return krovak.bind(degrees, chi=F.asin(F.sin(north) / F.cosh(east)), lam=F.atan2(F.sinh(east), F.cos(north)))
+
+    def degrees(chi: Column, lam: Column) -> Column:
+        lat = chi + sum(c * F.sin(2 * j * chi) for j, c in enumerate(delta, 1))
+        return F.struct((F.degrees(lam) + (6 * zone - 183)).alias("x"), F.degrees(lat).alias("y"))
+
+    out = krovak.bind(sphere, xi=y / (UTM_SCALE * a), eta=(x - UTM_EAST) / (UTM_SCALE * a))
+    return out["x"], out["y"]
+
+
+#: From and to degrees, by EPSG number.
+PROJECTIONS = {
+    4326: (lambda lon, lat: (lon, lat), lambda x, y: (x, y)),
+    3857: (to_mercator, from_mercator),
+    32633: (lambda lon, lat: to_utm(lon, lat, 33), lambda x, y: from_utm(x, y, 33)),
+    5514: (krovak.forward, krovak.inverse),
+}
+
+
+def project(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
+    """A point of one projection in another, by EPSG numbers."""
+    if source == target:
+        return x, y
+    return PROJECTIONS[target][0](*PROJECTIONS[source][1](x, y))
 
 
 def tile_of(x: Column, y: Column, zoom: int) -> tuple[Column, Column]:

@@ -68,6 +68,18 @@ def to_pixels(tile_table: DataFrame) -> DataFrame:
     return out.select((F.col("tile_row") * F.col("h") + F.floor(F.col("k") / F.col("w"))).cast("int").alias("row"), (F.col("tile_col") * F.col("w") + F.col("k") % F.col("w")).cast("int").alias("col"), "value")
 
 
+def overlay(zones: DataFrame, classes: DataFrame, values: DataFrame) -> DataFrame:
+    """(zone, class, value) of every pixel of three tile tables of one tiling: what zonal statistics read.
+
+    Tiles meet, not pixels: a join row is a tile with its arrays, and pixels are only
+    made from them, side by side, inside the task that counts them.
+    """
+    keys = ["tile_row", "tile_col", "h", "w"]
+    named = lambda df, name: df.select(*keys, F.col("cells").alias(name))
+    met = named(zones, "zone").join(named(classes, "class"), keys).join(named(values, "value"), keys)
+    return met.select(F.inline(F.arrays_zip("zone", "class", "value")))
+
+
 def mosaic(layers: DataFrame, order: str = "layer", keys: tuple[str, ...] = ("row", "col")) -> DataFrame:
     """The first value in layer order that is not nodata (0 or null)."""
     return layers.filter("value IS NOT NULL AND value <> 0").groupBy(*keys).agg(F.min_by("value", order).alias("value"))
@@ -79,13 +91,14 @@ def targets(spark, grid: Grid) -> DataFrame:
     return spark.range(grid.width * grid.height).select(F.floor(F.col("id") / n).cast("int").alias("row"), (F.col("id") % n).cast("int").alias("col"))
 
 
-def resample(source: DataFrame, own: Grid, target: Grid, method: str = "bilinear") -> DataFrame:
-    """source on the target grid: nearest (classes) or bilinear (values); both grids in one projection.
+def resample(source: DataFrame, own: Grid, target: Grid, method: str = "bilinear", *, own_epsg: int = 4326, target_epsg: int = 4326) -> DataFrame:
+    """source on the target grid: nearest (classes) or bilinear (values), from one projection to another.
 
     Bilinear weights are shared among the corners that have a value; a pixel without any is null.
     """
     pixels = targets(source.sparkSession, target)
-    row, col = own.place(*target.centre(F.col("row"), F.col("col")))
+    x, y = tiles.project(*target.centre(F.col("row"), F.col("col")), target_epsg, own_epsg)
+    row, col = own.place(x, y)
     if method == "nearest":
         corners = F.array(F.struct(F.floor(row + 0.5).cast("int").alias("r"), F.floor(col + 0.5).cast("int").alias("c"), F.lit(1.0).alias("w")))
     else:
@@ -130,5 +143,6 @@ def summary(pixels: DataFrame, value: str = "value", p: str | None = None) -> Da
     return pixels.filter(v.isNotNull()).agg(F.count(v).alias("valid"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"), share.alias("share_significant"))
 
 
-def zoom_pixel(zoom: int = 12) -> float:
-    return tiles.pixel_size(zoom)
+def zoom_grid(min_x: float, min_y: float, max_x: float, max_y: float, zoom: int = 12) -> Grid:
+    """The grid of a zoom's pixels (in Web Mercator) over bounds."""
+    return Grid.of_bounds(min_x, min_y, max_x, max_y, tiles.pixel_size(zoom))

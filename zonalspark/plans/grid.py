@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from ..functions import colour, tiles
 from ..operators import grid as g
+from ..operators import zonal
 from ..tables import GRID_SQL, grid
 from .common import even, even_sql
 
 #: Pixels of the grid, in units of ten, and of a coarser one that is shifted inside of it.
 PIXEL, COARSE, SHIFT = (10.0, 10.0), (17.0, 13.0), (23.0, 59.0)
+#: The corner 12 E, 50 N in Web Mercator.
+MERCATOR = (1335833.8895192828, 6446275.841017161)
 SIZE = 35.0
 TILE = 16
 STACK = 4
@@ -41,6 +44,38 @@ def grid_bilinear(spark, d):
     return even(g.resample(_part(spark, d), *_grids(spark, d)))
 
 
+def _degree_grids(spark, d) -> tuple[g.Grid, g.Grid]:
+    """The grid as a hundredth of a degree for each pixel, from 12 E and 50 N, and Web Mercator pixels of 900 m over it."""
+    height, width = (n + 1 for n in grid(spark, d).agg(F.max("row"), F.max("col")).first())
+    return g.Grid(12.0, 50.0, 0.01, 0.001, width, height), g.Grid(MERCATOR[0], MERCATOR[1], 900.0, 180.0, int(width * 1100 // 900), height)
+
+
+def grid_reproject(spark, d):
+    """Degrees to Web Mercator, bilinear."""
+    return even(g.resample(_part(spark, d), *_degree_grids(spark, d), own_epsg=4326, target_epsg=3857))
+
+
+def grid_reproject_nearest(spark, d):
+    return even(g.resample(_part(spark, d), *_degree_grids(spark, d), "nearest", own_epsg=4326, target_epsg=3857))
+
+
+def reprojected_points(spark, d):
+    """Points in degrees, to each of three projections and back."""
+    lon, lat = 12.1 + F.col("col") / 10.0, 48.6 + F.col("row") % 100 / 50.0
+    out = _part(spark, d).select("row", "col", lon.alias("lon"), lat.alias("lat"))
+    back = {f"{axis}_{epsg}": tiles.project(*tiles.project(F.col("lon"), F.col("lat"), 4326, epsg), epsg, 4326)[i] for epsg in (3857, 5514, 32633) for i, axis in enumerate(("lon", "lat"))}
+    return even(out.select("row", "col", *(c.alias(k) for k, c in back.items())))
+
+
+def zonal_three_grids(spark, d):
+    """Statistics of a value grid by a grid of zones and a grid of classes, tile by tile."""
+    pixels = grid(spark, d)
+    layer = lambda c: g.to_tiles(pixels.select("row", "col", c.alias("value")), TILE)
+    zones, classes = F.floor(F.col("row") / 40).cast("int"), (F.col("col") % 7).cast("int")
+    cells = g.overlay(layer(zones), layer(classes), layer(F.when(F.col("value") > -0.25, F.col("value"))))
+    return even(zonal.zonal_stats(cells, ("zone", "class")))
+
+
 def grid_downsample_avg(spark, d):
     points = grid(spark, d).select((F.col("col") * 10.0 + 5).alias("x"), (F.col("row") * 10.0 + 5).alias("y"), "value")
     return even(g.downsample(points, SIZE))
@@ -106,6 +141,9 @@ _P = f"WITH {GRID_SQL}, p AS (SELECT row, col, value FROM grid)"
 _T = f"""e AS (SELECT (max(row) + 1) * {PIXEL[1]}e0 AS top, (max(col) + 1) * {PIXEL[0]}e0 AS wide FROM grid),
  t AS (SELECT r, c, (top - (top - {SHIFT[1]}e0 - (r + 0.5e0) * {COARSE[1]}e0)) / {PIXEL[1]}e0 - 0.5e0 AS fr, ({SHIFT[0]}e0 + (c + 0.5e0) * {COARSE[0]}e0) / {PIXEL[0]}e0 - 0.5e0 AS fc
   FROM (SELECT top, unnest(range(CAST(floor(top / {COARSE[1]}e0) AS BIGINT))) AS r FROM e) a, (SELECT unnest(range(CAST(floor(wide / {COARSE[0]}e0) AS BIGINT))) AS c FROM e) b)"""
+_M = f"""e AS (SELECT max(row) + 1 AS height, max(col) + 1 AS width FROM grid),
+ c AS (SELECT r, c, {MERCATOR[0]}e0 + (c + 0.5e0) * 900 AS x, {MERCATOR[1]}e0 - (r + 0.5e0) * 180 AS y FROM (SELECT unnest(range(height)) AS r FROM e) a, (SELECT unnest(range(CAST(floor(width * 1100 / 900) AS BIGINT))) AS c FROM e) b),
+ t AS (SELECT r, c, (50e0 - degrees(2 * atan(exp(y / 6378137e0)) - pi() / 2)) / 0.001e0 - 0.5e0 AS fr, (degrees(x / 6378137e0) - 12e0) / 0.01e0 - 0.5e0 AS fc FROM c)"""
 _LY = f"WITH {GRID_SQL}, l AS (SELECT col // 16 AS year, row, col % 16 AS col, CASE WHEN value >= -0.25e0 THEN value END AS value FROM grid)"
 
 
@@ -134,6 +172,13 @@ QUERIES = {
         grid_bilinear,
         even_sql(f"{_P}, {_T}, k AS (SELECT r, c, floor(fr) + i AS pr, floor(fc) + j AS pc, (CASE i WHEN 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE j WHEN 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) AS w FROM t, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS q(i, j)) --\nSELECT r AS row, c AS col, sum(value * w) / nullif(sum(CASE WHEN value IS NOT NULL THEN w END), 0) AS value FROM k LEFT JOIN p ON p.row = pr AND p.col = pc WHERE w > 0 GROUP BY r, c", "row col", "value"),
     ),
+    "grid_reproject": (
+        grid_reproject,
+        even_sql(f"{_P}, {_M}, k AS (SELECT r, c, floor(fr) + i AS pr, floor(fc) + j AS pc, (CASE i WHEN 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE j WHEN 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) AS w FROM t, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS q(i, j)) --\nSELECT r AS row, c AS col, sum(value * w) / nullif(sum(CASE WHEN value IS NOT NULL THEN w END), 0) AS value FROM k LEFT JOIN p ON p.row = pr AND p.col = pc WHERE w > 0 GROUP BY r, c", "row col", "value"),
+    ),
+    "grid_reproject_nearest": (grid_reproject_nearest, even_sql(f"{_P}, {_M} --\nSELECT r AS row, c AS col, value FROM t LEFT JOIN p ON p.row = floor(fr + 0.5e0) AND p.col = floor(fc + 0.5e0)", "row col", "value")),
+    "reprojected_points": (reprojected_points, even_sql(f"{_P} --\nSELECT row, col, " + ", ".join(f"12.1e0 + col / 10e0 AS lon_{k}, 48.6e0 + row % 100 / 50e0 AS lat_{k}" for k in (3857, 5514, 32633)) + " FROM p", "row col", "lon_3857 lat_3857 lon_5514 lat_5514 lon_32633 lat_32633")),
+    "zonal_three_grids": (zonal_three_grids, even_sql(f"WITH {GRID_SQL} --\nSELECT row // 40 AS zone, col % 7 AS class, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS std_pop, min(value) AS min, max(value) AS max FROM grid WHERE value > -0.25e0 AND row // 40 > 0 AND col % 7 > 0 GROUP BY 1, 2", "zone class n", "mean std_pop min max")),
     "grid_downsample_avg": (grid_downsample_avg, even_sql(f"WITH {GRID_SQL} --\nSELECT floor((col * 10e0 + 5) / {SIZE}e0) AS tap_x, floor((row * 10e0 + 5) / {SIZE}e0) AS tap_y, avg(value) AS value, count(value) AS n FROM grid GROUP BY 1, 2", "tap_x tap_y n", "value")),
     "tile_pyramid": (tile_pyramid, even_sql(f"WITH {GRID_SQL} --\nSELECT z, floor((col // 8) / power(2, 6 - z)) AS x, floor((row // 8) / power(2, 6 - z)) AS y, count(*) AS n, avg(value) AS mean FROM grid, (SELECT unnest(range(7)) AS z) AS zooms GROUP BY 1, 2, 3", "z x y n", "mean")),
     "tile_round_trip": (tile_round_trip, even_sql(f"WITH {GRID_SQL} --\nSELECT * FROM grid", "row col", "value")),
