@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 CHANGE_RAMP = ((0.0, "#B54836"), (1 / 6, "#CE8579"), (2 / 6, "#E6C2BC"), (0.5, "#FFFFFF"), (4 / 6, "#BBCFE2"), (5 / 6, "#769EC5"), (1.0, "#326EA8"))
 ABSOLUTE_RAMP = ((0.0, "#b23a2e"), (0.5, "#e8c547"), (1.0, "#1f7a3d"))
 NO_VALUE = "#cccccc"
+BUCKET_COLOURS = {"F": "#1b5e20", "A": "#c9962c", "G": "#7cb342", "U": "#757575", "X": "#e0e0e0"}
 TILE_WHITE, TILE_RED, TILE_GREEN = 253, 169, 253
 
 
@@ -96,3 +97,24 @@ def recolour(r: Column, g: Column, b: Column, a: Column, low: int = 15, high: in
     own = [F.when(bright > low, new[n]).otherwise(c).cast("int").alias(n) for n, c in zip("rgb", (r, g, b), strict=True)]
     alpha = F.when(bright <= low, 0).when(bright < high, half_up(a * ((bright - low) / (high - low)))).otherwise(a)
     return F.struct(*own, alpha.cast("int").alias("a"))
+
+
+def _text(rgb: Column) -> Column:
+    return F.lower(to_hex(rgb))
+
+
+def fill_level(value: Column, low: Column, high: Column) -> Column:
+    """Colour text of a level of a bucket or of the composite; grey without a value."""
+    return _text(absolute_colour(value, low, high))
+
+
+def fill_class(bucket: Column) -> Column:
+    """Colour text of the dominant class; grey without one."""
+    known = F.create_map(*[F.lit(x) for kv in BUCKET_COLOURS.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, bucket), F.lit(NO_VALUE))
+
+
+def fill_change(before: Column, after: Column, most: Column) -> Column:
+    """Colour text of a change; grey if one of its years has no value."""
+    gone = before.isNull() | after.isNull()
+    return F.when(gone, F.lit(NO_VALUE)).otherwise(_text(difference_colour(after - before, most)))

@@ -47,6 +47,26 @@ def arrow(slope: Column, threshold: float = 0.0005) -> Column:
     return F.when(slope > threshold, "up").when(slope < -threshold, "down").otherwise("flat")
 
 
+def level(x: Column, language: str = "en") -> Column:
+    """A level of 0..1 in whole percent."""
+    return F.coalesce(F.concat(number(x * 100, 0, language), F.lit(" %" if language == "cz" else "%")), F.lit("n/a"))
+
+
+def change(x: Column, threshold: float = 0.0005, language: str = "en") -> Column:
+    """An arrow and points of a difference."""
+    sign = F.when(F.abs(x) < threshold, "→ ").when(x > 0, "▲ ").otherwise("▼ ")
+    return F.coalesce(F.concat(sign, points(x, language)), F.lit("n/a"))
+
+
+def level_tip(name: Column, label: Column, year: Column, value: Column, median: Column) -> Column:
+    """What is shown of a zone's level: its name, the level of a year, and its region's median."""
+    return F.concat_ws("\n", name, F.concat_ws(" ", label, F.concat(year.cast("string"), F.lit(":")), level(value)), F.concat(F.lit("Region median: "), level(median)))
+
+
+def change_tip(name: Column, label: Column, first: Column, last: Column, value: Column) -> Column:
+    return F.concat_ws("\n", name, F.concat(label, F.lit(" "), first.cast("string"), F.lit("→"), last.cast("string"), F.lit(": "), change(value)))
+
+
 def legend_ends(m: Column, clipping: bool) -> tuple[Column, Column]:
     """Labels of the ends of a symmetric scale in points: no digit for whole numbers, else one."""
     text = F.when(F.abs(m - F.round(m)) < 1e-9, number(m, 0)).otherwise(number(m, 1))

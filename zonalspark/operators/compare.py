@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions import colour
 from ..tables import BUCKETS, COMPOSITE
 
 NATIONAL = "NATIONAL"
@@ -181,7 +182,7 @@ def composite_indicator(a: DataFrame, b: DataFrame, c: DataFrame, keys: tuple[st
 def export_levels(zone_year: DataFrame, names: DataFrame) -> DataFrame:
     """zone, name, region, year and a column of percent for each bucket, by zone number and year."""
     wide = zone_year.groupBy("zone", "region", "year").pivot("bucket", [COMPOSITE, *BUCKETS]).agg(F.first("value"))
-    return names.join(wide, "zone").select("zone", "name", "region", "year", *(F.round(F.col(b) * 100, 1).alias(f"{b}_pct") for b in (COMPOSITE, *BUCKETS)))
+    return names.join(wide, "zone").select("zone", "name", "region", "year", *(F.round(F.col(b) * 100, 1).alias(f"{b}_pct") for b in (COMPOSITE, *BUCKETS))).orderBy("zone", "year")
 
 
 def export_change(zone_year: DataFrame, names: DataFrame, first: int, last: int) -> DataFrame:
@@ -194,3 +195,27 @@ def export_trend(trends: DataFrame, names: DataFrame) -> DataFrame:
     """trends: (zone, bucket, slope)."""
     wide = trends.groupBy("zone").pivot("bucket", [COMPOSITE, *BUCKETS]).agg(F.first("slope"))
     return names.join(wide, "zone").select("zone", "name", *(F.round(F.col(b) * 100, 2).alias(f"{b}_slope_pp_per_year") for b in (COMPOSITE, *BUCKETS)))
+
+
+def in_name_order(names: DataFrame, name: str = "name", locale: str = "cs") -> DataFrame:
+    """names with their place in the order of a language, from 1. They are a dimension: one partition orders them."""
+    return names.withColumn("place", F.row_number().over(Window.orderBy(F.collate(name, locale), name)))
+
+
+def fills(zone_years: DataFrame, year: int, first: int, last: int) -> DataFrame:
+    """zone, and the colours of its levels in a year, of its dominant class, and of its changes between two years.
+
+    Levels are coloured over the domain of their bucket, changes over its largest one.
+    """
+    own, order = F.col("bucket"), F.array_position(F.array(*map(F.lit, BUCKETS)), F.col("bucket"))
+    domains = zone_years.groupBy("bucket").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
+    share = F.max(F.when(F.col("year") == year, F.col("share")))
+    wide = zone_years.groupBy("zone", "bucket").agg(at(year).alias("level"), at(first).alias("before"), at(last).alias("after"), share.alias("share"))
+    most = wide.groupBy("bucket").agg(F.max(F.abs(F.col("after") - F.col("before"))).alias("most"))
+    both = wide.join(domains, "bucket").join(most, "bucket")
+    return both.groupBy("zone").agg(
+        colour.fill_class(F.max_by("bucket", F.when(own.isin(*BUCKETS) & F.col("share").isNotNull(), F.struct("share", -order)))).alias("dominant"),
+        *(F.max(F.when(own == b, colour.fill_level(F.col("level"), F.col("low"), F.col("high")))).alias(f"{b}_level") for b in (COMPOSITE, *BUCKETS)),
+        *(F.max(F.when(own == b, colour.fill_change(F.col("before"), F.col("after"), F.col("most")))).alias(f"{b}_change") for b in (COMPOSITE, *BUCKETS)),
+    )

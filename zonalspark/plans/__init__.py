@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compare, grid, hist, stream, trends, vector, zonal
+from . import compare, grid, hist, stream, texts, trends, vector, zonal
 
-MODULES = (zonal, trends, compare, hist, grid, vector, stream)
+MODULES = (zonal, trends, compare, hist, grid, vector, texts, stream)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
