@@ -252,3 +252,106 @@ def test_grid_checks():
     own.same(Grid.of_bounds(0.0, 0.0, 95.0, 41.0, 10.0))
     with pytest.raises(ValueError, match="grids differ"):
         own.same(Grid.of_bounds(0.0, 0.0, 95.0, 42.0, 10.0))
+
+
+def _plain_simplify(points, tolerance):
+    """Douglas-Peucker as it is told, by recursion."""
+    if len(points) < 3:
+        return points
+    (ax, ay), (bx, by) = points[0], points[-1]
+    length = np.hypot(bx - ax, by - ay)
+    away = [np.hypot(x - ax, y - ay) if length == 0 else abs((bx - ax) * (ay - y) - (ax - x) * (by - ay)) / length for x, y in points[1:-1]]
+    k = int(np.argmax(away)) + 1
+    if away[k - 1] <= tolerance:
+        return [points[0], points[-1]]
+    return _plain_simplify(points[: k + 1], tolerance)[:-1] + _plain_simplify(points[k:], tolerance)
+
+
+def test_simplify_against_recursion(spark):
+    rng = np.random.RandomState(6)
+    rings = []
+    for i in range(30):
+        n = rng.randint(3, 60)
+        ring = [tuple(p) for p in (rng.rand(n, 2)).tolist()]
+        rings.append((i, [*ring, ring[0]], float(rng.choice([0.01, 0.1, 0.3]))))
+    df = spark.createDataFrame([(i, [{"x": x, "y": y} for x, y in r], t) for i, r, t in rings], "id int, ring array<struct<x:double,y:double>>, tolerance double")
+    got = {r["id"]: [(p["x"], p["y"]) for p in r["ring"]] for r in vector.simplify(df).collect()}
+    for i, ring, tolerance in rings:
+        want = _plain_simplify(ring, tolerance)
+        assert got[i] == (ring if len(ring) < 5 or len(want) < 4 else want)
+
+
+def _polygon(*rings):
+    return [[{"x": float(x), "y": float(y)} for x, y in [*r, r[0]]] for r in rings]
+
+
+def test_dissolve_keeps_lobes_and_real_holes(spark):
+    ring = [(0, 0), (3, 0), (3, 1), (1, 1), (1, 2), (3, 2), (3, 3), (0, 3)]  # a C, closed by a bar: the hole is the region's
+    bar = [(2, 1), (3, 1), (3, 2), (2, 2)]
+    c = [(0, 0), (3, 0), (3, 1), (2, 1), (1, 1), (1, 2), (2, 2), (3, 2), (3, 3), (0, 3)]
+    rows = [
+        (1, "A", _polygon(c)), (2, "A", _polygon(bar[::-1])), (3, "A", _polygon([(9, 9), (9.001, 9), (9.001, 9.001), (9, 9.001)])),
+        (4, "B", _polygon([(20, 0), (20.001, 0), (20.001, 0.001), (20, 0.001)])), (5, "D", _polygon([(30, 0), (31, 0), (31, 1), (30, 1)], [(30.2, 0.2), (30.3, 0.2), (30.3, 0.3), (30.2, 0.3)], [(30.5, 0.5), (30.5001, 0.5), (30.5001, 0.5001), (30.5, 0.5001)])),
+    ]
+    df = spark.createDataFrame(rows, "id int, region string, rings array<array<struct<x:double,y:double>>>")
+    got = {r["region"]: r["rings"] for r in vector.dissolve_polygons(df).collect()}
+    assert {k: len(v) for k, v in got.items()} == {"A": 2, "B": 1, "D": 2}  # slivers go, but for the only lobe of B
+    assert {(p["x"], p["y"]) for p in got["A"][1]} == {(1, 1), (2, 1), (2, 2), (1, 2)} and len(ring) == 8
+    same = spark.createDataFrame([(1, "E", _polygon([(0, 0), (1, 0), (1, 1)])), (2, "E", _polygon([(0, 0), (1, 0), (1, 1)]))], df.schema)
+    assert [len(r["rings"]) for r in vector.dissolve_polygons(same, least_m2=0.0).collect()] == [1, 1]  # every edge cancels: the members stay
+
+
+def test_unique_and_duplicate_years(spark, tmp_path):
+    from zonalspark.operators import reshape
+
+    df = spark.createDataFrame([(1, 2, "a"), (1, 3, "b")], "zone int, class int, v string")
+    assert sorted(map(tuple, reshape.unique(df, "zone", "class").collect())) == [(1, 2, "a"), (1, 3, "b")]
+    with pytest.raises(Exception, match="comes twice"):
+        reshape.unique(df, "zone").collect()
+    twice = spark.createDataFrame([(5, 1, 1, 0.1), (5, 1, 1, 0.2)], "year int, zone int, class int, mean double")
+    with pytest.raises(Exception, match="comes twice"):
+        zonal.zonal_matrix(twice, [1]).collect()
+    for name in ("a_2019.csv", "b_2019.csv", "c_2020.csv"):
+        (tmp_path / name).write_text("v\n1\n")
+    with pytest.raises(ValueError, match="2019"):
+        files.yearly_csv(spark, str(tmp_path), "v int")
+    (tmp_path / "b_2019.csv").unlink()
+    assert sorted(tuple(r) for r in files.yearly_csv(spark, str(tmp_path), "v int").collect()) == [(1, 2019), (1, 2020)]
+
+
+@pytest.mark.parametrize(("kind", "pack"), [("u1", True), ("i2", False), ("f4", True), ("f8", False)])
+def test_tiff_round_trip(spark, tmp_path, kind, pack):
+    from zonalspark.sources import rasters
+
+    values = (np.arange(70 * 33).reshape(70, 33) % 201).astype(kind)
+    (tmp_path / "a.tif").write_bytes(rasters.tiff_bytes(values, x0=100.0, y0=200.0, dx=2.0, dy=3.0, nodata=7, rows=16, pack=pack))
+    got = {(r["row"], r["col"]): r["value"] for r in rasters.pixels(rasters.read_tiff(spark, str(tmp_path))).collect()}
+    assert got == {(r, c): None if values[r, c] == 7 else float(values[r, c]) for r in range(70) for c in range(33)}
+    assert rasters.read_tiff(spark, str(tmp_path)).count() == 5
+    assert tuple(rasters.placement(spark, str(tmp_path)).first()) == ("a.tif", 100.0, 200.0, 2.0, 3.0, 33, 70)
+
+
+def test_tiled_tiff_with_differences(spark, tmp_path):
+    import zlib
+
+    from zonalspark.sources import rasters
+
+    values = np.arange(5 * 6, dtype=">u2").reshape(5, 6) * 3
+    padded = np.zeros((8, 8), ">u2")
+    padded[:5, :6] = values
+    tiles = []
+    for r in (0, 4):
+        for c in (0, 4):
+            part = padded[r : r + 4, c : c + 4].astype(np.int64)
+            tiles.append(zlib.compress((np.diff(part, axis=1, prepend=0) % 65536).astype(">u2").tobytes()))
+    tags = [(256, 3, [6]), (257, 3, [5]), (258, 3, [16]), (259, 3, [8]), (317, 3, [2]), (322, 3, [4]), (323, 3, [4]), (324, 4, [0] * 4), (325, 4, [len(t) for t in tiles]), (339, 3, [1])]
+    at = 8 + 2 + 12 * len(tags) + 4
+    firsts = [at + 32 + sum(len(t) for t in tiles[:k]) for k in range(4)]
+    head = b""
+    for tag, kind, v in tags:
+        body = struct.pack(f">{len(v)}{'HI'[kind == 4]}", *v)
+        head += struct.pack(">HHI", tag, kind, len(v)) + (body.ljust(4, b"\0") if len(body) <= 4 else struct.pack(">I", at if tag == 324 else at + 16))
+    raw = b"MM\0*" + struct.pack(">IH", 8, len(tags)) + head + bytes(4) + struct.pack(">4I", *firsts) + struct.pack(">4I", *map(len, tiles)) + b"".join(tiles)
+    (tmp_path / "t.tif").write_bytes(raw)
+    got = {(r["row"], r["col"]): r["value"] for r in rasters.pixels(rasters.read_tiff(spark, str(tmp_path))).collect()}
+    assert got == {(r, c): float(values[r, c]) for r in range(5) for c in range(6)}

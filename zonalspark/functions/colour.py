@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .formats import mapped
+
 #: The ramps.
 CHANGE_RAMP = ((0.0, "#B54836"), (1 / 6, "#CE8579"), (2 / 6, "#E6C2BC"), (0.5, "#FFFFFF"), (4 / 6, "#BBCFE2"), (5 / 6, "#769EC5"), (1.0, "#326EA8"))
 ABSOLUTE_RAMP = ((0.0, "#b23a2e"), (0.5, "#e8c547"), (1.0, "#1f7a3d"))
@@ -110,8 +112,7 @@ def fill_level(value: Column, low: Column, high: Column) -> Column:
 
 def fill_class(bucket: Column) -> Column:
     """Colour text of the dominant class; grey without one."""
-    known = F.create_map(*[F.lit(x) for kv in BUCKET_COLOURS.items() for x in kv])
-    return F.coalesce(F.try_element_at(known, bucket), F.lit(NO_VALUE))
+    return F.coalesce(mapped(bucket, BUCKET_COLOURS), F.lit(NO_VALUE))
 
 
 def fill_change(before: Column, after: Column, most: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,16 +46,18 @@ def without(df: DataFrame, other: DataFrame, key: str) -> DataFrame:
     return df.join(other, key, "left_anti")
 
 
-def mapped(column: Column, pairs: dict) -> Column:
-    """The value of each key; null for others."""
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv]), column)
-
-
 def duplicate_keys(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that come more than once, such as a year with two files."""
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def unique(df: DataFrame, *keys: str, what: str = "key") -> DataFrame:
+    """df; running it fails if a key comes twice. The keys are counted where the rows are: one aggregate, no join."""
+    once = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*df.columns)).alias("__row"))
+    checked = once.filter(F.assert_true(F.col("__n") == 1, F.concat(F.lit(f"{what} comes twice: "), F.to_json(F.struct(*keys)))).isNull())
+    return checked.select("__row.*")
+
+
 def find_zone(zones: DataFrame, text: str, name: str = "name", region: str = "region_name") -> DataFrame:
     """Zones of exactly that name; if there are none, those of the region of that name."""
     same = zones.filter(F.col(name) == text)

@@ -17,9 +17,21 @@ from ..functions import geometry
 from .grid import Grid
 
 
-def parts(features: DataFrame, key: str = "id") -> DataFrame:
-    """(key, part, rings): multipolygons as single polygons."""
-    return features.select(key, F.posexplode("polygons").alias("part", "rings"))
+def parts(features: DataFrame, *keys: str) -> DataFrame:
+    """(keys, part, rings): multipolygons as single polygons."""
+    return features.select(*keys, F.posexplode("polygons").alias("part", "rings"))
+
+
+def whole(rings: DataFrame, *keys: str) -> DataFrame:
+    """(keys, polygons): single polygons back in the order of their parts; the other way of ``parts``."""
+    return rings.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("part", "rings"))).alias("p")).select(*keys, F.col("p.rings").alias("polygons"))
+
+
+def simplify_features(features: DataFrame, tolerance: float, *keys: str) -> DataFrame:
+    """features (keys, polygons) with every ring simplified: parts and rings apart, each simplified, and put back."""
+    rings = parts(features, *keys).select(*keys, "part", F.posexplode("rings").alias("at", "ring")).withColumn("tolerance", F.lit(float(tolerance)))
+    done = simplify(rings).groupBy(*keys, "part").agg(F.array_sort(F.collect_list(F.struct("at", "ring"))).alias("r"))
+    return whole(done.select(*keys, "part", F.col("r.ring").alias("rings")), *keys)
 
 
 def with_cells(polygons: DataFrame, cell: float) -> DataFrame:
@@ -177,6 +189,36 @@ def dissolve(polygons: DataFrame, *, region: str = "region", least_m2: float = 0
     return sized.withColumn("largest", largest).filter((F.col("area") >= least_m2) | (F.col("largest") < least_m2)).drop("largest")
 
 
+def turned(polygons: DataFrame) -> DataFrame:
+    """polygons with outer rings counter-clockwise and holes clockwise, so that the inside is on the left of every edge."""
+    ring = lambda r, i: F.when((geometry.signed_area(r) > 0) == (i == 0), r).otherwise(F.reverse(r))
+    return polygons.withColumn("rings", F.transform("rings", ring))
+
+
+def dissolve_polygons(polygons: DataFrame, *, region: str = "region", least_m2: float = 2e6, area=geometry.geodesic_area) -> DataFrame:
+    """(region, rings, area): the lobes of each region, each with its holes; area: of the outer ring.
+
+    Lobes and holes below ``least_m2`` are slivers and go, but for the largest lobe of a
+    region without another. A region whose edges close no ring keeps its members' polygons.
+    """
+    own = turned(polygons)
+    rings = dissolve(own, region=region).withColumn("size", area(F.col("ring")))
+    lobes = rings.filter(geometry.signed_area(F.col("ring")) > 0).select(region, "ring", "size", F.xxhash64("ring").alias("lobe"))
+    holes = rings.filter((geometry.signed_area(F.col("ring")) < 0) & (F.col("size") >= least_m2)).select(region, F.col("ring").alias("hole"), F.col("ring")[0].alias("p"))
+    # a region's rings are few; a hole is in the smallest lobe that holds a point of its edge
+    first, second = F.col("hole")[0], F.col("hole")[1]
+    x, y = (first["x"] + second["x"]) / 2, (first["y"] + second["y"]) / 2
+    inside = holes.join(lobes, region).filter(geometry.within(x, y, F.array("ring")) | F.exists("ring", lambda q: (q["x"] == first["x"]) & (q["y"] == first["y"])))
+    placed = inside.groupBy(region, "hole").agg(F.min_by("lobe", F.struct("size", "lobe")).alias("lobe")).groupBy(region, "lobe").agg(F.collect_list("hole").alias("holes"))
+    from pyspark.sql.window import Window
+
+    largest = F.max("size").over(Window.partitionBy(region))
+    kept = lobes.withColumn("largest", largest).filter((F.col("size") >= least_m2) | ((F.col("largest") < least_m2) & (F.col("size") == F.col("largest"))))
+    out = kept.join(placed, [region, "lobe"], "left").select(region, F.concat(F.array("ring"), F.coalesce("holes", F.array().cast(f"array<{geometry.RING}>"))).alias("rings"), F.col("size").alias("area"))
+    rest = own.join(lobes.select(region).distinct(), region, "left_anti").select(region, "rings", area(F.col("rings")[0]).alias("area"))
+    return out.union(rest)
+
+
 def adjacency(polygons: DataFrame, key: str = "zone") -> DataFrame:
     """(zone, neighbor) of zones that share an edge, both ways. An edge has two sides, so its group is two rows."""
     sides = ring_edges(polygons, key).groupBy("a", "b").agg(F.collect_set(key).alias("zones")).filter(F.size("zones") > 1)

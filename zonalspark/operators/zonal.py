@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import valid
+from .reshape import unique
 
 
 def valid_cells(cells: DataFrame, nodata: float | None = None) -> DataFrame:
@@ -42,8 +43,11 @@ def merge_partials(partials: DataFrame, keys: tuple[str, ...] = ("year", "zone",
 
 
 def zonal_matrix(zonal: DataFrame, classes: list[int], value: str = "mean", keys: tuple[str, ...] = ("year", "zone")) -> DataFrame:
-    """One row per zone, one column per class (c1, c2, ...); the classes are given, so no extra job finds them."""
-    return zonal.groupBy(*keys).pivot("class", classes).agg(F.first(value)).withColumnsRenamed({str(c): f"c{c}" for c in classes})
+    """One row per zone, one column per class (c1, c2, ...); the classes are given, so no extra job finds them.
+
+    A zone and class that comes twice is an error.
+    """
+    return unique(zonal.select(*keys, "class", value), *keys, "class", what="a zone's class").groupBy(*keys).pivot("class", classes).agg(F.first(value)).withColumnsRenamed({str(c): f"c{c}" for c in classes})
 
 
 def area_summary(cells: DataFrame, lookup: DataFrame, unit: float = 1.0) -> DataFrame:
@@ -89,10 +93,3 @@ def assign_ids(existing: DataFrame, seen: DataFrame, code: str = "code", number:
 def first_names(names: DataFrame, key: str, value: str, *order: str) -> DataFrame:
     """The first non-null value of each key in scan order."""
     return names.filter(F.col(value).isNotNull()).groupBy(key).agg(F.min_by(value, F.struct(*order)).alias(value))
-
-
-def unique_or_fail(df: DataFrame, key: str, what: str) -> DataFrame:
-    """df; running it fails if a key comes twice."""
-    twice = df.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").agg(F.count("*").alias("twice"))
-    check: Column = F.assert_true(F.col("twice") == 0, F.lit(f"{what} is not unique")).isNull()
-    return df.crossJoin(F.broadcast(twice)).filter(check).drop("twice")

@@ -22,7 +22,7 @@ def _boxes(spark, d):
 
 
 def _parts(spark, d):
-    return _boxes(spark, d).select("zone", "region", F.posexplode("polygons").alias("part", "rings"))
+    return vector.parts(_boxes(spark, d), "zone", "region")
 
 
 def _points(spark, d):
@@ -76,6 +76,18 @@ def dissolve_rings(spark, d):
     return even(out.select("region", "area", F.size("ring").alias("points")))
 
 
+def dissolved_regions(spark, d):
+    """Area of the lobes of each region less their holes, and how many holes there are."""
+    out = vector.dissolve_polygons(_parts(spark, d), least_m2=0.0, area=lambda ring: F.abs(geometry.signed_area(ring)))
+    return even(out.groupBy("region").agg(F.sum(geometry.polygon_area(F.col("rings"))).alias("area")))
+
+
+def multipart_round_trip(spark, d):
+    """Polygons simplified ring by ring with no tolerance: what goes in comes out."""
+    out = vector.simplify_features(_boxes(spark, d), 0.0, "zone")
+    return even(out.select("zone", F.size("polygons").alias("parts"), geometry.vertex_count(F.col("polygons")).alias("points"), geometry.polygon_area(F.col("polygons")[0]).alias("area")))
+
+
 def _zigzag(spark, d):
     """A closed ring for each supplier, with small and large teeth."""
     k = F.col("s_suppkey")
@@ -109,6 +121,8 @@ QUERIES = {
     "adjacency": (adjacency, even_sql(f"{_EDGES} --\nSELECT DISTINCT m.zone, n.zone AS neighbor FROM e m JOIN e n ON m.a = n.a AND m.b = n.b AND m.zone <> n.zone", "zone neighbor")),
     "dissolve_edges": (dissolve_edges, even_sql(f"{_EDGES} --\nSELECT region, any_value(x1) AS x1, any_value(y1) AS y1, any_value(x2) AS x2, any_value(y2) AS y2 FROM e GROUP BY region, a, b HAVING count(*) = 1", "region", "x1 y1 x2 y2")),
     "dissolve_rings": (dissolve_rings, None),
+    "dissolved_regions": (dissolved_regions, even_sql(f"WITH {_BOX} --\nSELECT region, sum(CASE WHEN zone = 12 THEN 0.75e0 ELSE 1e0 END) AS area FROM z GROUP BY region", "region", "area")),
+    "multipart_round_trip": (multipart_round_trip, even_sql(f"WITH {_BOX} --\nSELECT zone, 1 AS parts, CASE WHEN zone = 12 THEN 10 ELSE 5 END AS points, CASE WHEN zone = 12 THEN 0.75e0 ELSE 1e0 END AS area FROM z", "zone parts points", "area")),
     "simplify_dp": (simplify_dp, None),
     "simplify_sweep": (simplify_sweep, None),
 }

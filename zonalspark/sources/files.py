@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geometry import RING
+from ..operators.reshape import duplicate_keys
 
 _COORDINATES = {"Polygon": "array<array<array<double>>>", "MultiPolygon": "array<array<array<array<double>>>>"}
 
@@ -49,7 +50,13 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataF
 
 
 def yearly_csv(spark: SparkSession, folder: str, schema: str, pattern: str = "*.csv") -> DataFrame:
-    """All CSV files of a folder with the year of each file's name; files without a year are left out."""
+    """All CSV files of a folder with the year of each file's name; files without a year are left out.
+
+    Two files of one year are an error: the listing is checked before anything is read.
+    """
+    years = listing(spark, folder, pattern).withColumn("year", year_of(F.col("path"))).filter("year IS NOT NULL")
+    if twice := [r["year"] for r in duplicate_keys(years, "year").collect()]:
+        raise ValueError(f"several files of the years {sorted(twice)}")
     out = spark.read.option("header", True).option("pathGlobFilter", pattern).schema(schema).csv(folder)
     return out.withColumn("year", year_of(F.col("_metadata.file_path"))).filter("year IS NOT NULL")
 

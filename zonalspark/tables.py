@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.formats import mapped
+
 #: Counted buckets in their order, the composite, and the unclassified.
 BUCKETS = ("F", "A", "G", "U")
 COMPOSITE = "I"
@@ -44,7 +46,7 @@ def cells(spark: SparkSession, sf_dir: str, zone: str = "nation", nodata: bool =
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
     class_id = F.array_position(F.array(*map(F.lit, TYPES)), F.col("p_type")).cast("int")
-    bucket = F.element_at(F.create_map(*[F.lit(x) for kv in CLASS_BUCKET.items() for x in kv]), class_id)
+    bucket = mapped(class_id, CLASS_BUCKET)
     value = F.col("l_extendedprice") / 110000.0
     return (
         line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
