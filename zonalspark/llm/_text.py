@@ -6,6 +6,7 @@ Texts are handled as whole documents, in slices of documents of about
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import numpy as np
@@ -45,6 +46,15 @@ def trim_powers(keep: int = 1 << 21) -> None:
             _POWERS[k] = _POWERS[k][:keep].copy()
 
 
+def release() -> None:
+    """Gives memory that is free back to the system: a worker lives on, for tasks of other kinds."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library has no such call
+        pass
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> U64(32))
     x = x * U64(0xD6E8FEB86659FD93)
@@ -80,6 +90,7 @@ def slices(column, max_bytes: int = 1 << 20):
         last = min(last, n)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
+    release()
 
 
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

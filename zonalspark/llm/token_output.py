@@ -40,7 +40,8 @@ DESCRIPTOR = 0x80  # entries have checksums
 FOOTER = struct.Struct("<IBI")
 DIRECTORY = struct.Struct("<BBxxI")  # version, bytes of an id, number of documents
 
-BLOCK = 12 << 20
+#: Bytes of text that are encoded at once; words are remembered beyond it.
+BLOCK = 4 << 20
 _SPACE = np.ones(256, bool)
 _SPACE[[10, 32]] = False
 
@@ -110,7 +111,7 @@ class WordEncoder:
 
     SEPARATOR = "\x01"
     #: Words that are remembered, about, and bytes of a word that is.
-    WORDS, LONG = 1 << 21, 256
+    WORDS, LONG = 1 << 20, 256
 
     def __init__(self, path: str):
         import os
