@@ -36,7 +36,7 @@ def test_stages(spark, tmp_path):
         docs = cp._text.written(stage(spark, docs, str(tmp_path)), name)
         kept[name] = {r["doc_id"] for r in docs.collect()}
         if name == "toxicity":
-            model = tx.fit(*tx.training_rows(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet")))
+            model = tx.fit(tx.training_rows(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet")))
             scores = {r["doc_id"]: r["score"] for r in tx.score(spark.read.parquet(f"{tmp_path}/documents.parquet"), model).collect()}
             assert kept[name] == {i for i, s in scores.items() if s < tx.THRESHOLD}
             assert len({i for i in range(600) if i % 5 == 0 and i % 50 != 1} & kept[name]) < 10 and len(kept[name]) > 460

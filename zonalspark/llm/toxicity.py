@@ -8,11 +8,14 @@ the sentences, and the trained sentence scores then tell where the offence is.
 A word's features are its hash and those of its beginnings and endings, so that
 unseen forms of a seen stem count. Nothing but the text is ever an input.
 
-The model is fit on the driver, on a bounded sample of labelled rows
-(``max_rows`` documents of each label, chosen by a hash of the text); scoring covers
-every whole text. Null and empty texts have no sentence and score 0. Without
-labels of both kinds every score is that of the untrained model. Repeated rows
-each get a row; a document with several labels is a training row for each.
+The model is fit on a bounded sample of labelled rows (``max_rows`` documents of
+each label, chosen by a hash of the id); scoring covers every whole text. Null and
+empty texts have no sentence and score 0. Without labels of both kinds, or without
+a telling word, every score is that of the untrained model. Repeated rows each get
+a row; a document with several labels, or several rows, is a training row for each.
+A text of any length is scored whole, in its task. No documents give no rows. A
+score of exactly the threshold counts as toxic. Extra columns stay, but for those
+named as the results of ``score``; ``remove_toxic`` keeps all, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._text import U64, WORD, Hashes, runs, slices
+from ._text import U64, WORD, Hashes, forget, runs, slices, written
 
 BITS = 20
 PREFIXES = (3, 4, 5, 6, 7)
@@ -77,55 +80,43 @@ def noisy_or(p: np.ndarray, document: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(document, np.log1p(-np.minimum(p, 1 - 1e-12)), n))
 
 
-def _telling(types: np.ndarray, word: np.ndarray, document: np.ndarray, y: np.ndarray, evidence: float) -> np.ndarray:
-    """Which features the documents of label 1 have more often: a log-likelihood ratio of evidence or more."""
-    ones, zeros = np.zeros(1 << BITS), np.zeros(1 << BITS)
-    order = np.argsort(document, kind="stable")
-    cuts = np.searchsorted(document[order], np.arange(len(y) + 1))
-    for d in range(len(y)):
-        own = np.unique(types[word[order[cuts[d] : cuts[d + 1]]]])
-        (ones if y[d] else zeros)[own] += 1
-    n1, n0 = y.sum(), len(y) - y.sum()
+def _presence(data: np.ndarray, offsets: np.ndarray):
+    """(document, feature) of a slice: each feature once for each document that has it."""
+    numbers, sentence, document, _ = features(data, offsets)
+    owner = document[sentence] if len(sentence) else np.zeros(0, np.int64)
+    both = np.unique((owner[:, None] << BITS | numbers).ravel())
+    return both >> BITS, (both & ((1 << BITS) - 1)).astype(np.int64)
+
+
+def _telling(ones, zeros, n1, n0, evidence: float, log=np.log, where=np.where):
+    """Whether documents of label 1 have a feature more often: a log-likelihood ratio of evidence or more."""
     rate = (ones + zeros) / (n1 + n0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = sum(np.where(k > 0, k * np.log(k / n / r), 0) for k, n, r in ((ones, n1, rate), (n1 - ones, n1, 1 - rate), (zeros, n0, rate), (n0 - zeros, n0, 1 - rate)))
+    gain = sum(where(k > 0, k * log(where(k > 0, k, 1.0) / n / where(k > 0, r, 1.0)), 0.0) for k, n, r in ((ones, n1, rate), (n1 - ones, n1, 1 - rate), (zeros, n0, rate), (n0 - zeros, n0, 1 - rate)))
     return (2 * gain >= evidence) & (ones / n1 > zeros / n0)
 
 
-def fit(texts: list[str], labels: list[int], *, rounds: int = 150, rate: float = 0.05, decay: float = 3e-5, evidence: float = 15.0, clean: float = 0.8) -> Model:
-    """Adam on the loss of the document labels; label 0 has ``clean`` of the weight.
+def _busy(data: np.ndarray, offsets: np.ndarray, used: np.ndarray):
+    """(sentences of each document, document, sentence in it, features as places in used) of the words with a telling feature.
 
-    Only features that documents of label 1 have significantly more often get a
-    weight; the many that occur once or twice would only be learnt by heart.
+    All other features are one more place, whose weight stays 0.
     """
+    numbers, sentence, document, _ = features(data, offsets)
+    place = np.full(1 << BITS, len(used), np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    compact = place[numbers]
+    rows = np.flatnonzero((compact < len(used)).any(axis=1))
+    sizes = np.bincount(document, minlength=len(offsets) - 1)
+    firsts = np.cumsum(sizes) - sizes
+    owner = document[sentence[rows]]
+    return sizes, owner, sentence[rows] - firsts[owner], compact[rows]
+
+
+def _descend(y: np.ndarray, sizes: np.ndarray, sentence: np.ndarray, compact: np.ndarray, used: np.ndarray, rounds: int, rate: float, decay: float, clean: float) -> Model:
+    """Adam on the loss of the document labels; label 0 has ``clean`` of the weight."""
     weights, bias = np.zeros(1 << BITS, np.float32), -5.0
-    y = np.array(labels, float)
-    if not len(y) or y.min() == y.max():
-        return Model(weights, bias)
-    parts, first_doc, first_sentence = [], 0, 0
-    for a, b, data, offsets in slices(pa.array(texts, pa.string())):
-        numbers, sentence, document, _ = features(data, offsets)
-        types, inverse = np.unique(numbers, axis=0, return_inverse=True) if len(numbers) else (numbers, np.zeros(0, np.int64))
-        parts.append((types, inverse.reshape(-1), sentence + first_sentence, document + first_doc))
-        first_doc += b - a
-        first_sentence += len(document)
-    sizes = np.cumsum([0] + [len(p[0]) for p in parts])
-    types, kind = np.unique(np.concatenate([p[0] for p in parts]), axis=0, return_inverse=True)
-    kind = kind.reshape(-1)
-    word = np.concatenate([kind[s + p[1]] for s, p in zip(sizes, parts, strict=False)])
-    sentence = np.concatenate([p[2] for p in parts])
-    document = np.concatenate([p[3] for p in parts])
-    telling = _telling(types, word, document[sentence], y, evidence)
-    if not telling.any():
-        return Model(weights, bias)
-    used, compact = np.unique(types[telling[types]], return_inverse=True)[0], np.zeros(1 << BITS, np.int64)
-    compact[used] = np.arange(len(used))
-    # all other features go to one more place, whose weight stays 0
-    compact = np.where(telling[types], compact[types], len(used))
-    busy = telling[types].any(1)
-    rows = np.flatnonzero(busy[word])
-    word, sentence = (np.cumsum(busy) - 1)[word[rows]], sentence[rows]
-    compact = compact[busy]
+    document = np.repeat(np.arange(len(y)), sizes)
+    compact, word = np.unique(compact, axis=0, return_inverse=True)
+    word = word.reshape(-1)
     w, m, v = (np.zeros(len(used) + 1) for _ in range(3))
     b_m = b_v = 0.0
     share = np.where(y == 1, (1 - clean) / y.sum(), clean / (len(y) - y.sum()))
@@ -149,21 +140,74 @@ def fit(texts: list[str], labels: list[int], *, rounds: int = 150, rate: float =
     return Model(weights, float(bias))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_ROWS) -> tuple[list[str], list[int]]:
-    """At most max_rows texts of each label, from rows whose crc32 of the id is not held out."""
+def _untrained() -> Model:
+    return Model(np.zeros(1 << BITS, np.float32), -5.0)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_rows: int = MAX_ROWS) -> DataFrame:
+    """(id, text, y): at most max_rows labelled documents of each label, from rows whose crc32 of the id is not held out.
+
+    A hash of the id decides who is in: the same rows on every run.
+    """
     known = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1) and id is not null").filter(~held_out(F.col("id")))
-    few = []
-    for y in (0, 1):
-        # a hash decides who is in: the same rows on every run, no order over all rows
-        own = known.filter(F.col("y") == y)
-        few.append(own.orderBy(F.xxhash64("id"), "id").limit(max_rows))
-    chosen = few[0].union(few[1])
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("id", "text", "y").orderBy("id", "y", "text").toLocalIterator()
-    texts, ys = [], []
-    for r in rows:
-        texts.append(r["text"] or "")
-        ys.append(r["y"])
-    return texts, ys
+    few = [known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_rows) for y in (0, 1)]
+    return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(few[0].union(few[1])), "id").select("id", "text", "y")
+
+
+def fit(rows: DataFrame, *, rounds: int = 150, rate: float = 0.05, decay: float = 3e-5, evidence: float = 15.0, clean: float = 0.8) -> Model:
+    """The model of labelled rows (id, text, y).
+
+    Only features that documents of label 1 have significantly more often get a
+    weight; the many that occur once or twice would only be learnt by heart. Texts
+    stay in their tasks: these count the features, and then send the few words that
+    have a telling one. The descent over these is on the driver.
+    """
+    rows = written(rows, "labelled")
+    totals = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if set(totals) != {0, 1}:
+        forget(rows)
+        return _untrained()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros((2, 1 << BITS), np.int64)
+        for batch in batches:
+            y = batch.column(1).to_numpy(zero_copy_only=False)
+            for first, _, data, offsets in slices(batch.column(0)):
+                document, feature = _presence(data, offsets)
+                np.add.at(found, (y[first + document], feature), 1)
+        used = np.flatnonzero(found.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(found[1, used]), pa.array(found[0, used])], names=["feature", "ones", "zeros"])
+
+    counts = rows.select("text", "y").mapInArrow(count, "feature int, ones long, zeros long").groupBy("feature").agg(F.sum("ones").cast("double").alias("ones"), F.sum("zeros").cast("double").alias("zeros"))
+    telling = _telling(F.col("ones"), F.col("zeros"), float(totals[1]), float(totals[0]), evidence, F.log, lambda c, a, b: F.when(c, a).otherwise(b))
+    used = np.array(sorted(r[0] for r in counts.filter(telling).select("feature").collect()), np.int64)
+    if not len(used):
+        forget(rows)
+        return _untrained()
+
+    def busy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for first, last, data, offsets in slices(batch.column(0)):
+                sizes, owner, sentence, compact = _busy(data, offsets, used)
+                cuts = np.searchsorted(owner, np.arange(last - first + 1))
+                for d in range(last - first):
+                    a, b = cuts[d], cuts[d + 1]
+                    out.append((int(sizes[d]), sentence[a:b].astype(np.int32).tobytes(), compact[a:b].tobytes()))
+            columns = [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), *columns], names=["id", "y", "sentences", "sentence", "features"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    found = rows.select("text", "id", "y").mapInArrow(busy, f"id {kind}, y int, sentences int, sentence binary, features binary")
+    y, sizes, sentences, parts, before = [], [], [], [], 0
+    for r in found.orderBy("id", "y", "sentences", "sentence", "features").toLocalIterator():
+        y.append(r["y"])
+        sizes.append(r["sentences"])
+        sentences.append(np.frombuffer(r["sentence"], np.int32).astype(np.int64) + before)
+        parts.append(np.frombuffer(r["features"], np.int32).reshape(-1, 1 + len(PREFIXES) + len(SUFFIXES)))
+        before += r["sentences"]
+    forget(rows)
+    return _descend(np.array(y, float), np.array(sizes), np.concatenate(sentences), np.concatenate(parts), used, rounds, rate, decay, clean)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -196,13 +240,13 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", threshold: float
 
 def report(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, offending."""
-    model = fit(*training_rows(docs, labels, max_rows=max_rows))
+    model = fit(training_rows(docs, labels, max_rows=max_rows))
     out = score(docs.select("doc_id", "text"), model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "offending")
 
 
 def remove_toxic(docs: DataFrame, labels: DataFrame, *, max_rows: int = MAX_ROWS) -> DataFrame:
     """docs without those whose score is THRESHOLD or more; all columns stay as they were."""
-    model = fit(*training_rows(docs, labels, max_rows=max_rows))
+    model = fit(training_rows(docs, labels, max_rows=max_rows))
     whole = docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("text"))
     return score(whole, model, spans=False).filter(F.col("score") < THRESHOLD).select("doc.*")
