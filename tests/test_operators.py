@@ -355,3 +355,64 @@ def test_tiled_tiff_with_differences(spark, tmp_path):
     (tmp_path / "t.tif").write_bytes(raw)
     got = {(r["row"], r["col"]): r["value"] for r in rasters.pixels(rasters.read_tiff(spark, str(tmp_path))).collect()}
     assert got == {(r, c): float(values[r, c]) for r in range(5) for c in range(6)}
+
+
+def test_nodata_is_each_files_own(spark, tmp_path):
+    from zonalspark.sources import rasters
+
+    for name, nodata in (("a_2019.tif", 1), ("b_2020.tif", 2)):
+        (tmp_path / name).write_bytes(rasters.tiff_bytes(np.array([[1, 2, 3]], "u1"), nodata=nodata))
+    got = rasters.pixels(rasters.read_tiff(spark, str(tmp_path))).groupBy("file").agg(F.array_sort(F.collect_list("value")).alias("v")).collect()
+    assert {r["file"]: r["v"] for r in got} == {"a_2019.tif": [2, 3], "b_2020.tif": [1, 3]}
+
+
+def test_grids_of_one_shape_in_two_places_differ():
+    with pytest.raises(ValueError, match="grids differ"):
+        Grid(0.0, 10.0, 1.0, 1.0, 5, 5).same(Grid(1.0, 10.0, 1.0, 1.0, 5, 5))
+
+
+def test_resampling_keeps_fractions(spark):
+    from zonalspark.operators import grid as g
+
+    own = Grid(0.0, 2.0, 1.0, 1.0, 2, 2)
+    source = spark.createDataFrame([(0, 0, 0.25), (0, 1, 0.75), (1, 0, None), (1, 1, 0.5)], "row int, col int, value double")
+    same = {(r["row"], r["col"]): r["value"] for r in g.resample(source, own, own).collect()}
+    assert same == {(0, 0): 0.25, (0, 1): 0.75, (1, 0): None, (1, 1): 0.5}
+
+
+def test_points_are_shown_within_a_hundred(spark):
+    rows = spark.createDataFrame([(x,) for x in (2.0, -2.0, 0.0004, -0.0004, None)], "x double").select(formats.points(F.col("x")).alias("t"), formats.change(F.col("x")).alias("c"), formats.level(F.col("x")).alias("l")).collect()
+    unit = formats.NBSP + "p.p."
+    assert [r["t"] for r in rows] == ["+100.0" + unit, formats.MINUS + "100.0" + unit, "0.0" + unit, "0.0" + unit, None]
+    assert [r["c"][:2] for r in rows[:4]] == ["▲ ", "▼ ", "→ ", "→ "] and rows[4]["c"] == rows[4]["l"] == "n/a"
+
+
+def test_an_id_with_two_classes_counts_for_both(spark):
+    from zonalspark.operators import reshape
+
+    long = spark.createDataFrame([(2019, 1, 7, 0.5)], "year int, zone int, class int, value double")
+    lookup = spark.createDataFrame([(7, "A"), (7, "A"), (7, "B")], "class int, name string")
+    assert sorted(r["name"] for r in reshape.lookup_mean(long, lookup).collect()) == ["A", "B"]
+    with pytest.raises(Exception, match="comes twice"):
+        reshape.unique(lookup.distinct(), "class").collect()
+
+
+def test_an_interrupted_result_is_no_result(spark, tmp_path):
+    path = str(tmp_path / "out")
+    sinks.write_once(spark.range(3), path)
+    sinks.write_once(spark.range(9), path)  # left as it is
+    assert spark.read.parquet(path).count() == 3 and (tmp_path / "out" / "_SUCCESS").exists()
+    sinks.write_once(spark.range(9), path, force=True)
+    assert spark.read.parquet(path).count() == 9
+
+
+def test_p_values_of_the_published_trend_agree_with_its_r2(spark):
+    # t follows from r2: with 9 years, t = r * sqrt(7 / (1 - r2))
+    rows = spark.createDataFrame([(r2,) for r2 in (0.05, 0.3, 0.62, 0.9)], "r2 double")
+    got = rows.select(p_value(F.sqrt(F.col("r2") * 7 / (1 - F.col("r2"))), F.lit(7)).alias("p")).collect()
+    assert [r["p"] for r in got] == pytest.approx([0.5620, 0.1269, 0.0117, 0.0001], abs=2e-3)
+
+
+def test_zones_without_a_value_have_no_place(spark):
+    df = spark.createDataFrame([(i, 1, None if i == 3 else float(i)) for i in range(8)], "zone int, region int, value double")
+    assert 3 not in {r["zone"] for r in compare.leaderboard(df).collect()} | {r["zone"] for r in compare.ranks(df).collect()}

@@ -11,16 +11,16 @@ MINUS, NBSP = "−", " "
 
 
 def number(x: Column, digits: int, language: str = "en") -> Column:
-    """x with a fixed number of digits, a true minus, and a decimal comma in Czech."""
+    """x with a fixed number of digits, a true minus, and a decimal comma in Czech; null stays null."""
     text = F.format_string(f"%.{digits}f", F.round(x, digits))
     text = F.regexp_replace(text, "^-(0[.]?0*)$", "$1")
     text = F.regexp_replace(text, "^-", MINUS)
-    return F.translate(text, ".", ",") if language == "cz" else text
+    return F.when(x.isNotNull(), F.translate(text, ".", ",") if language == "cz" else text)
 
 
 def points(x: Column, language: str = "en", digits: int = 1) -> Column:
     """Percentage points of a difference of 0..1 values, with a plus only if it rounds above 0."""
-    v = F.greatest(F.least(x * 100, F.lit(100.0)), F.lit(-100.0))
+    v = F.when(x.isNotNull(), F.greatest(F.least(x * 100, F.lit(100.0)), F.lit(-100.0)))  # least and greatest pass over nulls
     plus = F.when(F.round(v, digits) > 0, "+").otherwise("")
     return F.concat(plus, number(v, digits, language), F.lit(f"{NBSP}p.{NBSP}b." if language == "cz" else f"{NBSP}p.p."))
 
@@ -40,7 +40,7 @@ def significance(p: Column, level: float = 0.05) -> Column:
 
 
 def p_text(p: Column) -> Column:
-    return F.when(p < 0.001, "<0.001").otherwise(F.format_string("%.3f", p))
+    return F.when(p < 0.001, "<0.001").when(p.isNotNull(), F.format_string("%.3f", p))
 
 
 def arrow(slope: Column, threshold: float = 0.0005) -> Column:

@@ -132,7 +132,7 @@ QUERIES = {
     "legend_labels": (legend_labels, even_sql(f"{_CG} --\nSELECT zone, '{formats.MINUS}' || {_END} AS low, '+' || {_END} AS high, '≤ {formats.MINUS}' || {_END} AS below, '≥ +' || {_END} AS above FROM lv", "zone", "", "low high below above")),
     "shade_colours": (shade_colours, even_sql(f"--\n{_shade_sql()}", "p_partkey", "", "shade")),
     "line_distances": (line_distances, even_sql(f"{_XY} --\nSELECT point_id, abs(5 * (0.5e0 - y) - (0 - x) * 2.5e0) / sqrt(25 + 6.25e0) AS line, sqrt((x - 1) * (x - 1) + (y - 1) * (y - 1)) AS point FROM p", "point_id", "line point", digits=6)),
-    "significance_texts": (significance_texts, even_sql(f"{_S}, g AS (SELECT zone, class, {_TVALUE} AS tv FROM f WHERE k = {YEARS}), h AS (SELECT zone, class, {p_value_sql('tv', _DF)} AS p FROM g) --\nSELECT zone, class, CASE WHEN p IS NULL THEN 'unknown' WHEN p < 0.05e0 THEN 'significant' ELSE 'not significant' END AS kind, CASE WHEN round(p, 4) < 0.001e0 THEN '<0.001' ELSE printf('%.3f', round(round(p, 4), 3)) END AS text FROM h", "zone class", "", "kind text")),
+    "significance_texts": (significance_texts, even_sql(f"{_S}, g AS (SELECT zone, class, {_TVALUE} AS tv FROM f WHERE k = {YEARS}), h AS (SELECT zone, class, {p_value_sql('tv', _DF)} AS p FROM g) --\nSELECT zone, class, CASE WHEN p IS NULL THEN 'unknown' WHEN p < 0.05e0 THEN 'significant' ELSE 'not significant' END AS kind, CASE WHEN round(p, 4) < 0.001e0 THEN '<0.001' WHEN p IS NOT NULL THEN printf('%.3f', round(round(p, 4), 3)) END AS text FROM h", "zone class", "", "kind text")),
     "template_texts": (template_texts, even_sql("--\nSELECT n_nationkey + 1 AS zone, n_name || ' is zone ' || (n_nationkey + 1) || ' of ' || n_name AS text FROM nation", "zone", "", "text")),
     "fixed_digits": (fixed_digits, even_sql("--\nSELECT o_custkey % 50 AS bin, printf('%.6f', o_custkey % 50 / 64e0) AS edge, printf('%.8f', count(*) / 7e0) AS share FROM orders GROUP BY 1, 2", "bin", "", "edge share")),
     "names_in_order": (names_in_order, even_sql("--\nSELECT n_nationkey + 1 AS zone, n_name AS name, row_number() OVER (ORDER BY n_name) AS place FROM nation", "zone place", "", "name")),
