@@ -14,7 +14,7 @@ from .common import even, even_sql
 def _folder(spark) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="stream-")
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
