@@ -10,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_topk, html_density, license_scan, ngram_join, packing, secret_scan, suffix_dedup, token_output, toxicity
+from . import decontaminate, exact_topk, fill_in_middle, hilbert_shards, html_density, license_scan, ngram_join, packing, secret_scan, suffix_dedup, token_output, toxicity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,18 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_shards.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the executors this package, once for each Spark context."""
     context = spark.sparkContext
@@ -86,4 +98,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_fill_in_middle": fill_in_middle.SQL}
