@@ -10,7 +10,7 @@ from .formats import mapped
 #: The ramps.
 CHANGE_RAMP = ((0.0, "#B54836"), (1 / 6, "#CE8579"), (2 / 6, "#E6C2BC"), (0.5, "#FFFFFF"), (4 / 6, "#BBCFE2"), (5 / 6, "#769EC5"), (1.0, "#326EA8"))
 ABSOLUTE_RAMP = ((0.0, "#b23a2e"), (0.5, "#e8c547"), (1.0, "#1f7a3d"))
-NO_VALUE = "#cccccc"
+NO_VALUE, NO_DATA = "#cccccc", "#e2e7e4"
 BUCKET_COLOURS = {"F": "#1b5e20", "A": "#c9962c", "G": "#7cb342", "U": "#757575", "X": "#e0e0e0"}
 TILE_WHITE, TILE_RED, TILE_GREEN = 253, 169, 253
 
@@ -105,17 +105,17 @@ def _text(rgb: Column) -> Column:
     return F.lower(to_hex(rgb))
 
 
-def fill_level(value: Column, low: Column, high: Column) -> Column:
-    """Colour text of a level of a bucket or of the composite; grey without a value."""
-    return _text(absolute_colour(value, low, high))
+def fill_level(value: Column, low: Column, high: Column, without: Column | None = None) -> Column:
+    """Colour text of a level of a bucket or of the composite."""
+    return F.when(value.isNull(), F.lit(NO_VALUE) if without is None else without).otherwise(_text(absolute_colour(value, low, high)))
 
 
 def fill_class(bucket: Column) -> Column:
-    """Colour text of the dominant class; grey without one."""
-    return F.coalesce(mapped(bucket, BUCKET_COLOURS), F.lit(NO_VALUE))
+    """Colour text of the dominant class."""
+    return F.coalesce(mapped(bucket, BUCKET_COLOURS), F.lit(NO_DATA))
 
 
 def fill_change(before: Column, after: Column, most: Column) -> Column:
-    """Colour text of a change; grey if one of its years has no value."""
+    """Colour text of a change; that of no data if one of its years has no value."""
     gone = before.isNull() | after.isNull()
-    return F.when(gone, F.lit(NO_VALUE)).otherwise(_text(difference_colour(after - before, most)))
+    return F.when(gone, F.lit(NO_DATA)).otherwise(_text(difference_colour(after - before, most)))

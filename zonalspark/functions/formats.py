@@ -49,18 +49,29 @@ def arrow(slope: Column, threshold: float = 0.0005) -> Column:
 
 def level(x: Column, language: str = "en") -> Column:
     """A level of 0..1 in whole percent."""
-    return F.coalesce(F.concat(number(x * 100, 0, language), F.lit(" %" if language == "cz" else "%")), F.lit("n/a"))
+    return F.coalesce(F.concat(number(x * 100, 0, language), F.lit(" %" if language == "cz" else "%")), F.lit(NOT_AVAILABLE))
 
 
 def change(x: Column, threshold: float = 0.0005, language: str = "en") -> Column:
     """An arrow and points of a difference."""
     sign = F.when(F.abs(x) < threshold, "→ ").when(x > 0, "▲ ").otherwise("▼ ")
-    return F.coalesce(F.concat(sign, points(x, language)), F.lit("n/a"))
+    return F.coalesce(F.concat(sign, points(x, language)), F.lit(NOT_AVAILABLE))
 
 
-def level_tip(name: Column, label: Column, year: Column, value: Column, median: Column) -> Column:
-    """What is shown of a zone's level: its name, the level of a year, and its region's median."""
-    return F.concat_ws("\n", name, F.concat_ws(" ", label, F.concat(year.cast("string"), F.lit(":")), level(value)), F.concat(F.lit("Region median: "), level(median)))
+#: Fixed texts of tips.
+NOT_AVAILABLE, REGION_MEDIAN, DOMINANT, SHARE = "n/a", "Regional median", "Dominant class", "share of area"
+
+
+def level_tip(name: Column, label: Column, year: Column, value: Column, median: Column | None = None) -> Column:
+    """What is shown of a zone's level: its name, the level of a year, and its region's median if there is a place for one."""
+    lines = [name, F.concat_ws(" ", label, F.concat(year.cast("string"), F.lit(":")), level(value))]
+    return F.concat_ws("\n", *lines, *([] if median is None else [F.concat(F.lit(f"{REGION_MEDIAN}: "), level(median))]))
+
+
+def dominant_tip(name: Column, label: Column, share: Column) -> Column:
+    """A zone's name and its largest class with its share."""
+    part = F.when(share.isNotNull(), F.concat(level(share), F.lit(f" {SHARE}"))).otherwise(NOT_AVAILABLE)
+    return F.concat_ws("\n", name, F.concat(F.lit(f"{DOMINANT}: "), F.coalesce(label, F.lit(NOT_AVAILABLE)), F.lit(" ("), part, F.lit(")")))
 
 
 def change_tip(name: Column, label: Column, first: Column, last: Column, value: Column) -> Column:

@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import colour
-from ..tables import BUCKETS, COMPOSITE
+from ..functions import colour, formats
+from ..tables import BUCKET_NAMES, BUCKETS, COMPOSITE
 
 NATIONAL = "NATIONAL"
+#: The ends of the composite's colour scale.
+HEALTH_DOMAIN = (0.35, 0.75)
 
 
 def zone_years(cells: DataFrame) -> DataFrame:
@@ -21,11 +23,13 @@ def zone_years(cells: DataFrame) -> DataFrame:
     Shares are of the counted buckets, so that the composite is the sum of value * share.
     """
     counted = cells.filter(F.col("bucket").isin(*BUCKETS) & F.col("value").isNotNull())
-    by_bucket = counted.groupBy("zone", "region", "year", "bucket").agg((F.sum(F.col("value") * F.col("area")) / F.sum("area")).alias("value"), F.sum("area").alias("area"))
-    by = Window.partitionBy("zone", "year")
-    shared = by_bucket.withColumn("share", F.col("area") / F.sum("area").over(by))
-    whole = shared.groupBy("zone", "region", "year").agg(F.sum(F.col("value") * F.col("share")).alias("value"))
-    return shared.select("zone", "region", "year", "bucket", "value", "share").unionByName(whole.select("zone", "region", "year", F.lit(COMPOSITE).alias("bucket"), "value", F.lit(None).cast("double").alias("share")))
+    by_bucket = counted.groupBy("zone", "region", "year", "bucket").agg(F.sum(F.col("value") * F.col("area")).alias("weighted"), F.sum("area").alias("area"))
+    # a zone's year has one row for each bucket at most: brought together, no second branch reads the cells again
+    own = F.collect_list(F.struct("bucket", "weighted", "area"))
+    years = by_bucket.groupBy("zone", "region", "year").agg(own.alias("own"), F.sum("weighted").alias("weighted"), F.sum("area").alias("area"))
+    each = F.transform("own", lambda b: F.struct(b["bucket"].alias("bucket"), (b["weighted"] / b["area"]).alias("value"), (b["area"] / F.col("area")).alias("share")))
+    whole = F.struct(F.lit(COMPOSITE).alias("bucket"), (F.col("weighted") / F.col("area")).alias("value"), F.lit(None).cast("double").alias("share"))
+    return years.select("zone", "region", "year", F.inline(F.concat(each, F.array(whole))))
 
 
 def delta(zone_year: DataFrame, first: int, last: int, bucket: str = COMPOSITE) -> DataFrame:
@@ -49,21 +53,21 @@ def region_median_of_others(df: DataFrame, value: str = "value", zone: str = "zo
     """df with the median of the other zones of its region, null if there are none.
 
     Leaving out one of n sorted values only moves the middle by one place, so four
-    values in the middle of each region decide: no join of zones with zones.
+    values in the middle of each region decide: no join, one shuffle on the region.
     """
-    by = Window.partitionBy(region).orderBy(value, zone)
-    known = df.filter(F.col(value).isNotNull()).withColumn("at", F.row_number().over(by)).withColumn("n", F.count("*").over(Window.partitionBy(region)))
-    # of n - 1 others the middle ones are places low and high
-    low, high = F.floor(F.col("n") / 2), F.floor((F.col("n") - 1) / 2) + 1
-    near = known.filter(F.col("at").between(low - 1, high + 1)).groupBy(region).agg(F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("at", value))).alias("mid"))
-    own = known.select(F.col(zone).alias("k_zone"), "at", F.col(region).alias("k_region"))
-    out = df.join(own, (df[zone] == own["k_zone"]) & (df[region] == own["k_region"]), "left").drop("k_zone", "k_region").join(near, region, "left")
+    whole = Window.partitionBy(region)
+    known = df.withColumns({"__at": F.row_number().over(whole.orderBy(F.col(value).asc_nulls_last(), zone)), "__n": F.count(value).over(whole)})
+    known = known.withColumn("__at", F.when(F.col(value).isNotNull(), F.col("__at")))
+    at, n = F.col("__at"), F.col("__n")
+    # of n - 1 others the middle ones are places n / 2 and (n - 1) / 2 + 1, one further from the zone's own place on
+    first = F.floor(n / 2) - 1
+    middle = F.array(*(F.max(F.when(at == first + i, F.col(value))).over(whole) for i in range(4)))
     # a zone without a value leaves none out
-    k = F.when(F.col("at").isNull(), F.col("n")).otherwise(F.col("n") - 1)
-    lo, hi = F.floor((k + 1) / 2), F.floor(k / 2) + 1
-    place = lambda j: F.try_element_at("mid", F.when(F.col("at") <= j, j + 1).otherwise(j).cast("int"))
-    median = F.when(k > 0, (place(lo) + place(hi)) / 2)
-    return out.withColumn("median_others", median).drop("at", "n", "mid")
+    k = F.when(at.isNull(), n).otherwise(n - 1)
+    low, high = F.floor((k + 1) / 2), F.floor(k / 2) + 1
+    place = lambda j: F.get("__middle", (F.when(at <= j, j + 1).otherwise(j) - first).cast("int"))
+    out = known.withColumn("__middle", middle).withColumn("median_others", F.when(k > 0, (place(low) + place(high)) / 2))
+    return out.drop("__at", "__n", "__middle")
 
 
 def neighbour_median(df: DataFrame, neighbours: DataFrame, value: str = "value") -> DataFrame:
@@ -78,12 +82,9 @@ def ranks(df: DataFrame, value: str = "value") -> DataFrame:
     The national order is over zones, a dimension; the counts come from an aggregate.
     """
     known = df.filter(F.col(value).isNotNull() & (F.col("zone").cast("string") != NATIONAL))
-    by = Window.partitionBy("region").orderBy(F.desc(value))
-    total = known.agg(F.count("*").alias("nation_n"))
-    return (
-        known.withColumn("region_rank", F.rank().over(by)).withColumn("region_n", F.count("*").over(Window.partitionBy("region")))
-        .withColumn("nation_rank", F.rank().over(Window.orderBy(F.desc(value)))).crossJoin(F.broadcast(total))
-    )
+    region, nation = Window.partitionBy("region"), Window.partitionBy()
+    counts = {"region_n": F.count("*").over(region), "nation_n": F.count("*").over(nation)}
+    return known.withColumns({"region_rank": F.rank().over(region.orderBy(F.desc(value))), "nation_rank": F.rank().over(nation.orderBy(F.desc(value))), **counts})
 
 
 def leaderboard(df: DataFrame, value: str = "value", *, region: int | None = None, most: int = 5) -> DataFrame:
@@ -94,11 +95,13 @@ def leaderboard(df: DataFrame, value: str = "value", *, region: int | None = Non
     known = df.filter(F.col(value).isNotNull() & (F.col("zone").cast("string") != NATIONAL))
     if region is not None:
         known = known.filter(F.col("region") == region)
-    n = known.agg(F.count("*").alias("n"))
-    worst = known.orderBy(value, "zone").limit(most).withColumn("place", F.row_number().over(Window.orderBy(value, "zone"))).withColumn("side", F.lit("worst"))
-    best = known.orderBy(F.desc(value), F.desc("zone")).limit(most).withColumn("place", F.row_number().over(Window.orderBy(F.desc(value), F.desc("zone")))).withColumn("side", F.lit("best"))
-    half = F.least(F.lit(most), F.floor(F.col("n") / 2))
-    return worst.union(best).crossJoin(F.broadcast(n)).filter(F.col("place") <= half).select("side", F.col("place").cast("int"), "zone", value)
+    # zones are a dimension: their order is made once, and both ends are read from it
+    placed = known.withColumns({"__at": F.row_number().over(Window.orderBy(value, "zone")), "__n": F.count("*").over(Window.partitionBy())})
+    at, n = F.col("__at"), F.col("__n")
+    half = F.least(F.lit(most), F.floor(n / 2))
+    worst = at <= half
+    ends = placed.filter(worst | (at > n - half))
+    return ends.select(F.when(worst, "worst").otherwise("best").alias("side"), F.when(worst, at).otherwise(n - at + 1).cast("int").alias("place"), "zone", value)
 
 
 def leaderboard_titles(board: DataFrame, value: str) -> DataFrame:
@@ -114,9 +117,9 @@ def leaderboard_titles(board: DataFrame, value: str) -> DataFrame:
 def region_ranking(df: DataFrame, value: str = "value") -> DataFrame:
     """Regions by their median, highest first, with a bar of max(4, |median| / largest * 100)."""
     medians = df.groupBy("region").agg(F.median(value).alias("median")).filter("median IS NOT NULL")
-    largest = medians.agg(F.max(F.abs("median")).alias("largest"))
-    bar = F.greatest(F.lit(4), F.floor(F.abs("median") / F.nullif("largest", F.lit(0.0)) * 100 + 0.5)).cast("int")
-    return medians.crossJoin(F.broadcast(largest)).select("region", "median", F.rank().over(Window.orderBy(F.desc("median"))).alias("rank"), F.coalesce(bar, F.lit(4)).alias("bar"))
+    largest = F.max(F.abs("median")).over(Window.partitionBy())
+    bar = F.greatest(F.lit(4), F.floor(F.abs("median") / F.nullif(largest, F.lit(0.0)) * 100 + 0.5)).cast("int")
+    return medians.select("region", "median", F.rank().over(Window.orderBy(F.desc("median"))).alias("rank"), F.coalesce(bar, F.lit(4)).alias("bar"))
 
 
 def contribution(zone_year: DataFrame) -> DataFrame:
@@ -148,16 +151,24 @@ def top_and_other(counts: DataFrame, k: int = 6, keys: tuple[str, ...] = ("zone"
 def bucket_domains(zone_year: DataFrame, pad: float = 0.08) -> DataFrame:
     """Smallest and largest value of each bucket with padding, inside 0..1; 0..1 if they are the same."""
     ends = zone_year.filter("value IS NOT NULL").groupBy("bucket").agg(F.min("value").alias("a"), F.max("value").alias("b"))
-    room = (F.col("b") - F.col("a")) * pad
-    wide = F.col("b") > F.col("a")
-    return ends.select("bucket", F.when(wide, F.greatest(F.col("a") - room, F.lit(0.0))).otherwise(0.0).alias("low"), F.when(wide, F.least(F.col("b") + room, F.lit(1.0))).otherwise(1.0).alias("high"))
+    low, high = padded(F.col("a"), F.col("b"), pad)
+    return ends.select("bucket", low.alias("low"), high.alias("high"))
+
+
+def padded(a: Column, b: Column, pad: float = 0.08) -> tuple[Column, Column]:
+    """The ends of a colour scale over values from a to b."""
+    room, wide = (b - a) * pad, b > a
+    return F.when(wide, F.greatest(a - room, F.lit(0.0))).otherwise(0.0), F.when(wide, F.least(b + room, F.lit(1.0))).otherwise(1.0)
 
 
 def change_range(zone_year: DataFrame, step: float = 0.05) -> DataFrame:
     """Half-width of the change scale of each bucket: the widest spread of a zone over its years, rounded up to the step."""
     spread = zone_year.filter("value IS NOT NULL").groupBy("zone", "bucket").agg((F.max("value") - F.min("value")).alias("spread"))
-    up = F.ceil(F.round(F.max("spread") / step, 9)) * step
-    return spread.groupBy("bucket").agg(F.greatest(up, F.lit(step)).alias("m"))
+    return spread.groupBy("bucket").agg(change_half_width(F.max("spread"), step).alias("m"))
+
+
+def change_half_width(spread: Column, step: float = 0.05) -> Column:
+    return F.greatest(F.ceil(F.round(spread / step, 9)) * step, F.lit(step))
 
 
 def axis_top(largest: Column) -> Column:
@@ -179,22 +190,32 @@ def composite_indicator(a: DataFrame, b: DataFrame, c: DataFrame, keys: tuple[st
     return layers.groupBy(*keys).agg(F.count("value").alias("n"), F.sum("value").alias("s"), F.count("*").alias("m")).filter("m = 3").select(*keys, F.when(F.col("n") == 3, F.col("s") / 3).alias("value"))
 
 
-def export_levels(zone_year: DataFrame, names: DataFrame) -> DataFrame:
-    """zone, name, region, year and a column of percent for each bucket, by zone number and year."""
-    wide = zone_year.groupBy("zone", "region", "year").pivot("bucket", [COMPOSITE, *BUCKETS]).agg(F.first("value"))
-    return names.join(wide, "zone").select("zone", "name", "region", "year", *(F.round(F.col(b) * 100, 1).alias(f"{b}_pct") for b in (COMPOSITE, *BUCKETS))).orderBy("zone", "year")
+def export_levels(zone_year: DataFrame, zones: DataFrame) -> DataFrame:
+    """zone, name, region, year and a column of percent for each bucket, by zone number and year.
+
+    zones: (zone, name, region). Every zone has a row for every year that any zone has, without values where it has none.
+    """
+    known = zone_year.groupBy("zone").pivot("bucket", [COMPOSITE, *BUCKETS]).agg(F.map_from_entries(F.collect_list(F.struct("year", "value"))))
+    # zones and years are dimensions: the years of all of them are one short array
+    years = F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.map_keys(COMPOSITE)).over(Window.partitionBy()))))
+    wide = zones.join(known, "zone", "left").withColumn("years", years).withColumn("year", F.explode("years"))
+    percent = lambda b: F.round(F.try_element_at(b, F.col("year")) * 100, 2).alias(f"{b}_pct")
+    return wide.select("zone", "name", "region", "year", *map(percent, (COMPOSITE, *BUCKETS))).orderBy(F.col("zone").cast("int"), "year")
 
 
-def export_change(zone_year: DataFrame, names: DataFrame, first: int, last: int) -> DataFrame:
+def export_change(zone_year: DataFrame, zones: DataFrame, first: int, last: int) -> DataFrame:
+    """zone, name, region, the years, and the change of each bucket in points, by zone number; every zone has a row."""
     at = lambda b, y: F.max(F.when((F.col("bucket") == b) & (F.col("year") == y), F.col("value")))
-    wide = zone_year.groupBy("zone", "region").agg(*((at(b, last) - at(b, first)).alias(b) for b in (COMPOSITE, *BUCKETS)))
-    return names.join(wide, "zone").select("zone", "name", "region", F.lit(first).alias("from_year"), F.lit(last).alias("to_year"), *(F.round(F.col(b) * 100, 1).alias(f"{b}_change_pp") for b in (COMPOSITE, *BUCKETS)))
+    wide = zone_year.groupBy("zone").agg(*((at(b, last) - at(b, first)).alias(b) for b in (COMPOSITE, *BUCKETS)))
+    points = [F.round(F.col(b) * 100, 2).alias(f"{b}_change_pp") for b in (COMPOSITE, *BUCKETS)]
+    return zones.join(wide, "zone", "left").select("zone", "name", "region", F.lit(first).alias("from_year"), F.lit(last).alias("to_year"), *points).orderBy(F.col("zone").cast("int"))
 
 
-def export_trend(trends: DataFrame, names: DataFrame) -> DataFrame:
-    """trends: (zone, bucket, slope)."""
+def export_trend(trends: DataFrame, zones: DataFrame) -> DataFrame:
+    """zone, name, region and the slope of each bucket in points a year, by zone number; every zone has a row. trends: (zone, bucket, slope)."""
     wide = trends.groupBy("zone").pivot("bucket", [COMPOSITE, *BUCKETS]).agg(F.first("slope"))
-    return names.join(wide, "zone").select("zone", "name", *(F.round(F.col(b) * 100, 2).alias(f"{b}_slope_pp_per_year") for b in (COMPOSITE, *BUCKETS)))
+    slopes = [F.round(F.col(b) * 100, 3).alias(f"{b}_slope_pp_per_year") for b in (COMPOSITE, *BUCKETS)]
+    return zones.join(wide, "zone", "left").select("zone", "name", "region", *slopes).orderBy(F.col("zone").cast("int"))
 
 
 def in_name_order(names: DataFrame, name: str = "name", locale: str = "cs") -> DataFrame:
@@ -205,17 +226,49 @@ def in_name_order(names: DataFrame, name: str = "name", locale: str = "cs") -> D
 def fills(zone_years: DataFrame, year: int, first: int, last: int) -> DataFrame:
     """zone, and the colours of its levels in a year, of its dominant class, and of its changes between two years.
 
-    Levels are coloured over the domain of their bucket, changes over its largest one.
+    The composite has a fixed domain, a bucket the range of all zones and years with its
+    padding; changes are coloured over the same range for every pair of years. Zones and
+    buckets are a small table, made once: their ends come from windows over it.
     """
     own, order = F.col("bucket"), F.array_position(F.array(*map(F.lit, BUCKETS)), F.col("bucket"))
-    domains = zone_years.groupBy("bucket").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    at = lambda y: F.max(F.when(F.col("year") == y, F.col("value")))
-    share = F.max(F.when(F.col("year") == year, F.col("share")))
-    wide = zone_years.groupBy("zone", "bucket").agg(at(year).alias("level"), at(first).alias("before"), at(last).alias("after"), share.alias("share"))
-    most = wide.groupBy("bucket").agg(F.max(F.abs(F.col("after") - F.col("before"))).alias("most"))
-    both = wide.join(domains, "bucket").join(most, "bucket")
-    return both.groupBy("zone").agg(
+    at = lambda y, what="value": F.max(F.when(F.col("year") == y, F.col(what)))
+    wide = zone_years.groupBy("zone", "bucket").agg(
+        at(year).alias("level"), at(first).alias("before"), at(last).alias("after"), at(year, "share").alias("share"), F.max(F.col("year") == year).alias("has_year"),
+        F.min("value").alias("least"), F.max("value").alias("most"),
+    )
+    by = Window.partitionBy("bucket")
+    ends = padded(F.min("least").over(by), F.max("most").over(by))
+    ranged = wide.withColumns({"low": ends[0], "high": ends[1], "m": change_half_width(F.max(F.col("most") - F.col("least")).over(by))})
+    fixed = lambda i: F.when(own == COMPOSITE, F.lit(HEALTH_DOMAIN[i])).otherwise(F.col(("low", "high")[i]))
+    level = colour.fill_level(F.col("level"), fixed(0), fixed(1), F.when((own == COMPOSITE) & F.col("has_year"), colour.NO_VALUE).otherwise(colour.NO_DATA))
+    moved = colour.fill_change(F.col("before"), F.col("after"), F.col("m"))
+    return ranged.groupBy("zone").agg(
         colour.fill_class(F.max_by("bucket", F.when(own.isin(*BUCKETS) & F.col("share").isNotNull(), F.struct("share", -order)))).alias("dominant"),
-        *(F.max(F.when(own == b, colour.fill_level(F.col("level"), F.col("low"), F.col("high")))).alias(f"{b}_level") for b in (COMPOSITE, *BUCKETS)),
-        *(F.max(F.when(own == b, colour.fill_change(F.col("before"), F.col("after"), F.col("most")))).alias(f"{b}_change") for b in (COMPOSITE, *BUCKETS)),
+        *(F.coalesce(F.max(F.when(own == b, level)), F.lit(colour.NO_DATA)).alias(f"{b}_level") for b in (COMPOSITE, *BUCKETS)),
+        *(F.coalesce(F.max(F.when(own == b, moved)), F.lit(colour.NO_DATA)).alias(f"{b}_change") for b in (COMPOSITE, *BUCKETS)),
+    )
+
+
+def tips(zone_years: DataFrame, names: DataFrame, year: int, first: int, last: int) -> DataFrame:
+    """(zone, dominant, and for the composite and each bucket a tip of its level and of its change): the texts that a map shows at a zone.
+
+    A bucket's level comes with the median of the region's other zones, the composite's does not.
+    """
+    by = Window.partitionBy("zone", "bucket")
+    ends = zone_years.filter(F.col("year").isin(year, first, last)).withColumns({"before": F.max(F.when(F.col("year") == first, F.col("value"))).over(by), "after": F.max(F.when(F.col("year") == last, F.col("value"))).over(by)})
+    levels = region_median_of_others(ends.filter(F.col("year") == year).withColumn("part", F.concat_ws(":", "region", "bucket")), region="part")
+    label = lambda b: "IEI" if b == COMPOSITE else f"IEI ({BUCKET_NAMES[b]})"
+    order, own = F.array_position(F.array(*map(F.lit, BUCKETS)), F.col("bucket")), F.col("bucket")
+    wide = levels.groupBy("zone").agg(
+        F.max_by(F.struct("bucket", "share"), F.when(F.col("share").isNotNull(), F.struct("share", -order))).alias("top"),
+        *(F.max(F.when(own == b, F.struct("value", "median_others", (F.col("after") - F.col("before")).alias("moved")))).alias(b) for b in (COMPOSITE, *BUCKETS)),
     )
+    name = F.col("name")
+    texts = [formats.dominant_tip(name, formats.mapped(F.col("top.bucket"), BUCKET_NAMES), F.col("top.share")).alias("dominant")]
+    for b in (COMPOSITE, *BUCKETS):
+        median = None if b == COMPOSITE else F.col(f"{b}.median_others")
+        texts += [
+            formats.level_tip(name, F.lit(label(b)), F.lit(year), F.col(f"{b}.value"), median).alias(f"{b}_level"),
+            formats.change_tip(name, F.lit(label(b)), F.lit(first), F.lit(last), F.col(f"{b}.moved")).alias(f"{b}_change"),
+        ]
+    return names.join(wide, "zone").select("zone", *texts)

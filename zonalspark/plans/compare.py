@@ -29,6 +29,11 @@ def _names(spark, d):
     return spark.read.parquet(f"{d}/nation.parquet").select((F.col("n_nationkey") + 1).cast("int").alias("zone"), F.col("n_name").alias("name"))
 
 
+def _zones(spark, d):
+    """(zone, name, region)."""
+    return spark.read.parquet(f"{d}/nation.parquet").select((F.col("n_nationkey") + 1).cast("int").alias("zone"), F.col("n_name").alias("name"), (F.col("n_regionkey") + 1).alias("region"))
+
+
 def composite_index(spark, d):
     return even(_zone_years(spark, d).filter("bucket = 'I'").select("zone", "year", "value"))
 
@@ -160,16 +165,16 @@ def value_texts(spark, d):
 
 
 def export_levels(spark, d):
-    return even(compare.export_levels(_zone_years(spark, d), _names(spark, d)), 1)
+    return even(compare.export_levels(_zone_years(spark, d), _zones(spark, d)), 2)
 
 
 def export_change(spark, d):
-    return even(compare.export_change(_zone_years(spark, d), _names(spark, d), FIRST, LAST), 1)
+    return even(compare.export_change(_zone_years(spark, d), _zones(spark, d), FIRST, LAST), 2)
 
 
 def export_trend(spark, d):
     slopes = regress.ols(_zone_years(spark, d), ("zone", "bucket")).select("zone", "bucket", "slope")
-    return even(compare.export_trend(slopes, _names(spark, d)), 2)
+    return even(compare.export_trend(slopes, _zones(spark, d)), 3)
 
 
 _IN = "('F', 'A', 'G', 'U')"
@@ -212,7 +217,7 @@ QUERIES = {
     "zone_search": (zone_search, even_sql("WITH z AS (SELECT n_nationkey AS zone, n_name AS name, r_name AS region_name FROM nation JOIN region ON n_regionkey = r_regionkey) --\nSELECT *, 'region' AS asked FROM z WHERE region_name = 'EUROPE' UNION ALL SELECT *, 'zone' FROM z WHERE name = (SELECT name FROM z WHERE zone = 7)", "zone", "", "name region_name asked")),
     "duplicate_years": (duplicate_years, even_sql("SELECT n, count(*) AS days FROM (SELECT count(*) AS n FROM orders GROUP BY o_custkey, o_orderdate HAVING count(*) > 1) GROUP BY n", "n days")),
     "value_texts": (value_texts, even_sql(f"{_CG} --\nSELECT zone, sign(round(value * 100, 1)) AS sign, CASE WHEN value > 0.005e0 THEN 'up' WHEN value < -0.005e0 THEN 'down' ELSE 'flat' END AS arrow FROM lv", "zone sign", "", "arrow")),
-    "export_levels": (export_levels, even_sql(f"{_ZY}, w AS (SELECT zone, region, year, {_WIDE} FROM zy GROUP BY zone, region, year) --\nSELECT zone, n_name AS name, region, year, " + ", ".join(f"{b} * 100 AS {b}_pct" for b in _ALL) + " FROM w JOIN nation ON zone = n_nationkey + 1", "zone region year", " ".join(f"{b}_pct" for b in _ALL), "name", digits=1)),
-    "export_change": (export_change, even_sql(f"{_ZY}, w AS (SELECT zone, region, " + ", ".join(f"max(CASE WHEN bucket = '{b}' AND year = {LAST} THEN value END) - max(CASE WHEN bucket = '{b}' AND year = {FIRST} THEN value END) AS {b}" for b in _ALL) + f" FROM zy GROUP BY zone, region) --\nSELECT zone, n_name AS name, region, {FIRST} AS from_year, {LAST} AS to_year, " + ", ".join(f"{b} * 100 AS {b}_change_pp" for b in _ALL) + " FROM w JOIN nation ON zone = n_nationkey + 1", "zone region from_year to_year", " ".join(f"{b}_change_pp" for b in _ALL), "name", digits=1)),
-    "export_trend": (export_trend, even_sql(f"{_ZY}, s AS (SELECT zone, bucket, regr_slope(value, year - 2000e0) AS m FROM zy GROUP BY zone, bucket HAVING count(value) >= 4) --\nSELECT zone, n_name AS name, " + ", ".join(f"max(CASE WHEN bucket = '{b}' THEN m END) * 100 AS {b}_slope_pp_per_year" for b in _ALL) + " FROM s JOIN nation ON zone = n_nationkey + 1 GROUP BY zone, n_name", "zone", " ".join(f"{b}_slope_pp_per_year" for b in _ALL), "name", digits=2)),
+    "export_levels": (export_levels, even_sql(f"{_ZY}, w AS (SELECT zone, year, {_WIDE} FROM zy GROUP BY zone, year), ys AS (SELECT DISTINCT year FROM zy) --\nSELECT n_nationkey + 1 AS zone, n_name AS name, n_regionkey + 1 AS region, ys.year, " + ", ".join(f"{b} * 100 AS {b}_pct" for b in _ALL) + " FROM nation CROSS JOIN ys LEFT JOIN w ON w.zone = n_nationkey + 1 AND w.year = ys.year", "zone region year", " ".join(f"{b}_pct" for b in _ALL), "name", digits=2)),
+    "export_change": (export_change, even_sql(f"{_ZY}, w AS (SELECT zone, " + ", ".join(f"max(CASE WHEN bucket = '{b}' AND year = {LAST} THEN value END) - max(CASE WHEN bucket = '{b}' AND year = {FIRST} THEN value END) AS {b}" for b in _ALL) + f" FROM zy GROUP BY zone) --\nSELECT n_nationkey + 1 AS zone, n_name AS name, n_regionkey + 1 AS region, {FIRST} AS from_year, {LAST} AS to_year, " + ", ".join(f"{b} * 100 AS {b}_change_pp" for b in _ALL) + " FROM nation LEFT JOIN w ON zone = n_nationkey + 1", "zone region from_year to_year", " ".join(f"{b}_change_pp" for b in _ALL), "name", digits=2)),
+    "export_trend": (export_trend, even_sql(f"{_ZY}, s AS (SELECT zone, bucket, regr_slope(value, year - 2000e0) AS m FROM zy GROUP BY zone, bucket HAVING count(value) >= 4), w AS (SELECT zone, " + ", ".join(f"max(CASE WHEN bucket = '{b}' THEN m END) AS {b}" for b in _ALL) + " FROM s GROUP BY zone) --\nSELECT n_nationkey + 1 AS zone, n_name AS name, n_regionkey + 1 AS region, " + ", ".join(f"{b} * 100 AS {b}_slope_pp_per_year" for b in _ALL) + " FROM nation LEFT JOIN w ON zone = n_nationkey + 1", "zone region", " ".join(f"{b}_slope_pp_per_year" for b in _ALL), "name", digits=3)),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import colour, formats, geometry
 from ..operators import compare, regress
 from ..sources import sinks
+from ..tables import BUCKET_NAMES
 from .common import even, even_sql
 from .compare import _ALL, _CG, _ZY, FIRST, LAST, _change, _names, _zone_years
 from .grid import _hex_sql
@@ -23,13 +24,8 @@ def choropleth_fills(spark, d):
 
 
 def zone_tips(spark, d):
-    """The tips of each zone's composite: its level with the region's median, and its change."""
-    years = _zone_years(spark, d).filter("bucket = 'I'")
-    level = years.filter(f"year = {LAST}")
-    medians = level.groupBy("region").agg(F.median("value").alias("median"))
-    label, name = F.lit("Composite"), F.col("name")
-    out = level.join(medians, "region").join(_names(spark, d), "zone").join(_change(spark, d).select("zone", F.col("value").alias("moved")), "zone", "left")
-    return even(out.select("zone", formats.level_tip(name, label, F.col("year"), F.col("value"), F.col("median")).alias("level"), formats.change_tip(name, label, F.lit(FIRST), F.lit(LAST), F.col("moved")).alias("change")))
+    """Every tip of each zone: its dominant class, and levels and changes of the composite and the buckets."""
+    return even(compare.tips(_zone_years(spark, d), _names(spark, d), LAST, FIRST, LAST))
 
 
 def legend_labels(spark, d):
@@ -84,18 +80,40 @@ def grid_shapes(spark, d):
 
 
 def _fills_sql() -> str:
-    level = f"CASE WHEN level IS NULL THEN '{colour.NO_VALUE}' ELSE {_hex_sql('((level - low) / (high - low))', colour.ABSOLUTE_RAMP)} END"
-    moved = f"CASE WHEN before IS NULL OR after IS NULL THEN '{colour.NO_VALUE}' ELSE {_hex_sql('(((after - before) / most + 1) / 2)', colour.CHANGE_RAMP)} END"
-    at = lambda y: f"max(CASE WHEN year = {y} THEN value END)"
-    own = "CASE arg_max(bucket, share) FILTER (share IS NOT NULL) " + " ".join(f"WHEN '{b}' THEN '{c}'" for b, c in colour.BUCKET_COLOURS.items()) + f" ELSE '{colour.NO_VALUE}' END"
-    columns = [f"max(CASE WHEN bucket = '{b}' THEN {kind} END) AS {b}_{name}" for name, kind in (("level", "lv"), ("change", "ch")) for b in _ALL]
-    return f"""{_ZY}, dm AS (SELECT bucket, min(value) AS low, max(value) AS high FROM zy GROUP BY bucket),
- wd AS (SELECT zone, bucket, {at(LAST)} AS level, {at(FIRST)} AS before, {at(LAST)} AS after, max(CASE WHEN year = {LAST} THEN share END) AS share FROM zy GROUP BY zone, bucket),
- ms AS (SELECT bucket, max(abs(after - before)) AS most FROM wd GROUP BY bucket),
+    """Domains and ranges over all zones and years, as the map's rules say: none of it is taken from the chosen years."""
+    none, grey = f"'{colour.NO_DATA}'", f"'{colour.NO_VALUE}'"
+    level = f"CASE WHEN level IS NULL THEN CASE WHEN bucket = 'I' AND has_year THEN {grey} ELSE {none} END ELSE {_hex_sql('((level - low) / (high - low))', colour.ABSOLUTE_RAMP)} END"
+    moved = f"CASE WHEN before IS NULL OR after IS NULL THEN {none} ELSE {_hex_sql('(((after - before) / m + 1) / 2)', colour.CHANGE_RAMP)} END"
+    at = lambda y, what="value": f"max(CASE WHEN year = {y} THEN {what} END)"
+    own = "CASE arg_max(bucket, share) FILTER (share IS NOT NULL) " + " ".join(f"WHEN '{b}' THEN '{c}'" for b, c in colour.BUCKET_COLOURS.items()) + f" ELSE {none} END"
+    columns = [f"coalesce(max(CASE WHEN bucket = '{b}' THEN {kind} END), {none}) AS {b}_{name}" for name, kind in (("level", "lv"), ("change", "ch")) for b in _ALL]
+    return f"""{_ZY}, ends AS (SELECT bucket, min(value) AS a, max(value) AS b FROM zy GROUP BY bucket),
+ dm AS (SELECT bucket, CASE WHEN bucket = 'I' THEN 0.35e0 WHEN a = b THEN 0 ELSE greatest(0, a - (b - a) * 0.08e0) END AS low, CASE WHEN bucket = 'I' THEN 0.75e0 WHEN a = b THEN 1 ELSE least(1, b + (b - a) * 0.08e0) END AS high FROM ends),
+ sp AS (SELECT zone, bucket, max(value) - min(value) AS spread FROM zy GROUP BY zone, bucket),
+ ms AS (SELECT bucket, greatest(0.05e0, ceil(round(max(spread) * 20, 9)) / 20) AS m FROM sp GROUP BY bucket),
+ wd AS (SELECT zone, bucket, {at(LAST)} AS level, {at(FIRST)} AS before, {at(LAST)} AS after, {at(LAST, 'share')} AS share, bool_or(year = {LAST}) AS has_year FROM zy GROUP BY zone, bucket),
  k AS (SELECT zone, bucket, share, {level} AS lv, {moved} AS ch FROM wd JOIN dm USING (bucket) JOIN ms USING (bucket)) --
 SELECT zone, {own} AS dominant, {", ".join(columns)} FROM k GROUP BY zone"""
 
 
+def _tips_sql() -> str:
+    labels = {"I": "IEI", "F": "IEI (Forest)", "A": "IEI (Agricultural Land)", "G": "IEI (Grassland)", "U": "IEI (Urban Areas)"}
+    names = "CASE bucket " + " ".join(f"WHEN '{b}' THEN '{x}'" for b, x in BUCKET_NAMES.items()) + " END"
+    percent = lambda v: f"CASE WHEN {v} IS NULL THEN 'n/a' ELSE printf('%.0f', round({v} * 100)) || '%' END"
+    moved = f"CASE WHEN moved IS NULL THEN 'n/a' ELSE CASE WHEN abs(moved) < 0.0005e0 THEN '→ ' WHEN moved > 0 THEN '▲ ' ELSE '▼ ' END || {_points_sql('moved')} END"
+    columns = []
+    for b, label in labels.items():
+        own = lambda x: f"max(CASE WHEN bucket = '{b}' THEN {x} END)"  # noqa: B023, E731
+        columns.append(f"n_name || chr(10) || '{label} {LAST}: ' || coalesce({own(percent('value'))}, 'n/a')" + ("" if b == "I" else f" || chr(10) || 'Regional median: ' || coalesce({own(percent('others'))}, 'n/a')") + f" AS {b}_level")
+        columns.append(f"n_name || chr(10) || '{label} {FIRST}→{LAST}: ' || coalesce({own(moved)}, 'n/a') AS {b}_change")
+    return f"""{_ZY}, a AS (SELECT zone, bucket, max(CASE WHEN year = {LAST} THEN value END) - max(CASE WHEN year = {FIRST} THEN value END) AS moved FROM zy GROUP BY zone, bucket),
+ lv AS (SELECT * FROM zy JOIN a USING (zone, bucket) WHERE year = {LAST}),
+ ot AS (SELECT x.zone, x.bucket, any_value(x.value) AS value, any_value(x.share) AS share, any_value(x.moved) AS moved, median(y.value) AS others FROM lv x LEFT JOIN lv y ON x.region = y.region AND x.bucket = y.bucket AND x.zone <> y.zone GROUP BY x.zone, x.bucket),
+ top AS (SELECT zone, {names} AS kind, share, row_number() OVER (PARTITION BY zone ORDER BY share DESC, strpos('FAGU', bucket)) AS rn FROM ot WHERE share IS NOT NULL) --
+SELECT ot.zone, n_name || chr(10) || 'Dominant class: ' || any_value(kind) || ' (' || any_value({percent('top.share')}) || ' share of area)' AS dominant, {", ".join(columns)}
+ FROM ot JOIN top ON ot.zone = top.zone AND rn = 1 JOIN nation ON ot.zone = n_nationkey + 1 GROUP BY ot.zone, n_name"""
+
+
 def _points_sql(v: str) -> str:
     """Percentage points as text."""
     v = f"greatest(least({v} * 100, 100), -100)"
@@ -117,18 +135,12 @@ def _shade_sql() -> str:
 
 _M = "round(abs(value) * 100, 3)"
 _END = f"CASE WHEN abs({_M} - round({_M})) < 1e-9 THEN printf('%.0f', {_M}) ELSE printf('%.1f', round({_M}, 1)) END"
-_PCT = lambda v: f"printf('%.0f', round({v} * 100)) || '%'"
-_TIP = f"""{_ZY}, lv AS (SELECT zone, region, value, median(value) OVER (PARTITION BY region) AS mid FROM zy WHERE bucket = 'I' AND year = {LAST}),
- mv AS (SELECT zone, max(CASE WHEN year = {LAST} THEN value END) - max(CASE WHEN year = {FIRST} THEN value END) AS moved FROM zy WHERE bucket = 'I' GROUP BY zone) --
-SELECT zone, n_name || chr(10) || 'Composite {LAST}: ' || {_PCT('value')} || chr(10) || 'Region median: ' || {_PCT('mid')} AS level,
- n_name || chr(10) || 'Composite {FIRST}→{LAST}: ' || CASE WHEN moved IS NULL THEN 'n/a' ELSE CASE WHEN abs(moved) < 0.0005e0 THEN '→ ' WHEN moved > 0 THEN '▲ ' ELSE '▼ ' END || {_points_sql('moved')} END AS change
- FROM lv LEFT JOIN mv USING (zone) JOIN nation ON zone = n_nationkey + 1"""
 _XY = "WITH p AS (SELECT c_custkey AS point_id, (c_custkey * 37 % 577) / 100e0 AS x, (c_custkey * 91 % 563) / 100e0 AS y FROM customer)"
 _BOX = "WITH z AS (SELECT n_regionkey AS region, min(n_nationkey % 5) AS x0, min(n_nationkey // 5) AS y0, max(n_nationkey % 5) + 1e0 AS x1, max(n_nationkey // 5) + 1e0 AS y1 FROM nation GROUP BY 1)"
 
 QUERIES = {
     "choropleth_fills": (choropleth_fills, even_sql(_fills_sql(), "zone", "", "dominant " + " ".join(f"{b}_{k}" for k in ("level", "change") for b in _ALL))),
-    "zone_tips": (zone_tips, even_sql(_TIP, "zone", "", "level change")),
+    "zone_tips": (zone_tips, even_sql(_tips_sql(), "zone", "", "dominant " + " ".join(f"{b}_{k}" for b in _ALL for k in ("level", "change")))),
     "legend_labels": (legend_labels, even_sql(f"{_CG} --\nSELECT zone, '{formats.MINUS}' || {_END} AS low, '+' || {_END} AS high, '≤ {formats.MINUS}' || {_END} AS below, '≥ +' || {_END} AS above FROM lv", "zone", "", "low high below above")),
     "shade_colours": (shade_colours, even_sql(f"--\n{_shade_sql()}", "p_partkey", "", "shade")),
     "line_distances": (line_distances, even_sql(f"{_XY} --\nSELECT point_id, abs(5 * (0.5e0 - y) - (0 - x) * 2.5e0) / sqrt(25 + 6.25e0) AS line, sqrt((x - 1) * (x - 1) + (y - 1) * (y - 1)) AS point FROM p", "point_id", "line point", digits=6)),
