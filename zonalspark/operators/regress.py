@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.tdist import p_value
 
@@ -154,8 +155,16 @@ def cell_change(series: DataFrame, keys: tuple[str, ...], first: int, last: int,
     return sums.filter(F.col("k") == years).select(*keys, ((F.col("b") - F.col("a")) * 100).alias("change_pp"), (F.col("m") * 100).alias("slope_pp"))
 
 
-def trend_line(zone_year: DataFrame, trends: DataFrame, key: str = "zone") -> DataFrame:
-    """The line rebuilt from slope and means over the valid years, in percentage points."""
-    known = zone_year.filter("value IS NOT NULL")
-    means = known.groupBy(key).agg(F.avg("value").alias("ym"), F.avg("year").alias("xm"))
-    return known.join(means, key).join(trends.select(key, "slope"), key).select(key, "year", ((F.col("ym") + F.col("slope") * (F.col("year") - F.col("xm"))) * 100).alias("line_pp"))
+def trend_line(zone_year: DataFrame, trends: DataFrame | None = None, key: str = "zone", least: int = MIN_YEARS) -> DataFrame:
+    """The line rebuilt from slope and means over the valid years, in percentage points.
+
+    trends: (key, slope); without it, each group's own fit if it has years enough. One shuffle on the key.
+    """
+    by = Window.partitionBy(key)
+    known = zone_year.filter("value IS NOT NULL").withColumns({"ym": F.avg("value").over(by), "xm": F.avg("year").over(by)})
+    if trends is not None:
+        known = known.join(trends.select(key, "slope"), key)
+    else:
+        sums = {k: v.over(by) for k, v in _sums("year", "value").items() if k in ("n", "sxx", "sxy")}
+        known = known.withColumns(sums).filter(F.col("n") >= least).withColumn("slope", F.col("sxy") / _nonzero(F.col("sxx")))
+    return known.select(key, "year", ((F.col("ym") + F.col("slope") * (F.col("year") - F.col("xm"))) * 100).alias("line_pp"))

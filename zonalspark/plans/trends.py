@@ -65,9 +65,7 @@ def cell_slope(spark, d):
 
 
 def trend_line(spark, d):
-    series = _supplier_series(spark, d)
-    fits = regress.ols(series, ("zone",)).select("zone", "slope")
-    return even(regress.trend_line(series, fits))
+    return even(regress.trend_line(_supplier_series(spark, d)))
 
 
 _Z = f"WITH {cells_sql()}, z AS (SELECT zone, class, year, year - 2000e0 AS x, count(value) AS n, avg(value) AS y FROM cells WHERE value IS NOT NULL GROUP BY zone, class, year)"
