@@ -13,7 +13,8 @@ of the same columns. Both the dictionary (``words_of`` a public vocabulary, or a
 list) and the findings are parameters. An empty table of findings, or one with a
 single label, can't train a forest: that is an error.
 
-A candidate is matched, judged and masked whole, whatever its length. Null and
+A candidate is matched, judged and masked whole, whatever its length and its marks:
+what a name with a cue assigns runs to its closing quote, or to white space. Null and
 empty texts have no findings; a text without candidates stays as it is. Repeated
 rows are scanned alike. An empty table gives no rows. Extra columns stay, whatever
 their names. A candidate with exactly the threshold's score is a secret.
@@ -24,18 +25,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Private keys from BEGIN to END (or to their last long line), values after an assignment, and long runs with a digit.
-#: No upper bounds: possessive quantifiers and a run's one start keep it linear.
+#: Private keys from BEGIN to END (or to their last long line), values by what stands before them, and long runs with a digit.
+#: No upper bounds on a candidate: possessive quantifiers and a run's one start keep it linear. What is looked at before one is bounded.
 _BEGIN, _END = (rf"-----{k} [A-Z ]{{0,30}}PRIVATE KEY(?: BLOCK)?-----" for k in ("BEGIN", "END"))
+_CUES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|passphrase"
+#: The name of a value with a cue in it, and what assigns it.
+_KEY = rf"(?i:{_CUES})[\w.-]{{0,24}}['\")\]]{{0,2}}[ \t]{{0,2}}[=:]{{1,2}}>?[ \t]{{0,2}}"
 CANDIDATE = (
     rf"{_BEGIN}(?:(?:\s|\\[nr])*+[A-Z][A-Za-z-]{{1,30}}+: [^\r\n\\]*+)*+(?:[A-Za-z0-9+/=\s\\\"',;:#*>|]|-(?!----(?:BEGIN|END) ))*+{_END}"
     rf"|{_BEGIN}(?:(?:\s|\\[nr])*+[A-Za-z0-9+/]{{40,}}+={{0,2}})*+"
-    # neither begins inside a word: looked at first, as most places are
-    r"|(?<![A-Za-z0-9])(?:(?<=[=:'\" ])(?<=[=:]['\" ]{0,2})[A-Za-z0-9!@#$%^&*+/_~-]{8,}+={0,2}"
+    # what is assigned: in quotes to the closing one, else to white space or to a quote that closes something around it
+    r"|(?<=[=:>'\" \t])(?<=[=:][> \t'\"]{0,4})(?:"
+    rf"(?<={_KEY}\")(?:[^\"\\\r\n]|\\[^\r\n])++(?=\")|(?<={_KEY}')(?:[^'\\\r\n]|\\[^\r\n])++(?=')"
+    rf"|(?<={_KEY}['\"]?)(?!(?i:bearer|basic|digest) )[^\s'\"](?:[^\s'\"]|['\"](?![,;:}}\])>\s]|$))*+"
+    # a password of an address
+    r"|(?<=:)(?<=[A-Za-z0-9+]://[^\s/:@'\"]{0,64}:)[^\s/@'\"]++(?=@)"
+    r"|(?<=[=:]['\" ]{0,2})[A-Za-z0-9!@#$%^&*+/_~-]{8,}+={0,2})"
+    r"|(?<= )(?<=(?i:bearer|basic|digest) )(?<=(?i:authorization)['\"]{0,1}[ ]{0,2}[=:][ ]{0,2}['\"]{0,1}[A-Za-z]{5,6} )[^\s'\"]++"
+    # tokens in parts, and runs: neither begins inside a word
+    r"|(?<![A-Za-z0-9])(?:(?:eyJ[A-Za-z0-9_-]{4,}+|SG)(?:[.][A-Za-z0-9_-]{4,}+){1,4}"
     r"|(?:(?<![+/_-])|(?<=KEY-----))(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}+={0,2})"
 )
 #: Fixed words that, before a candidate, speak for or against a secret.
-CUES = "password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth|bearer|passphrase"
+CUES = _CUES
 AGAINST = "commit|sha1|sha256|md5|checksum|digest|hash|uuid|guid|example|sample|dummy|placeholder|version|revision|isbn|doi|phone|card|order|invoice|etag|build"
 PATHS = "test|example|sample|fixture|mock|spec|docs?/"
 #: The dictionary where none is given: fixed words of program texts.
@@ -43,6 +55,8 @@ WORDS = tuple("administrator battery because before believe between change child
 #: Letters of the words that count.
 SHORTEST, LONGEST = 4, 12
 PLACEHOLDER = "xxxx|0000|1234|abcd|aaaa|changeme|placeholder|redacted|example|your[_-]|<|\\\\*\\\\*"
+#: Values that name another one, or none.
+REFERENCE = "^[$<{%(\\\\[]|^[A-Za-z_.]+[(\\\\[]|^[a-z_]+([.][a-z_]+)+;?$|^(?i:none|null|nil|true|false|str|string|text|bytes|int|undefined|required|optional|unset|empty)[,;)]*$|^[*x.]+$"
 FEATURES = {
     "length": "cast(length(c) as double)",
     "digits": "regexp_count(c, '[0-9]') / length(c)",
@@ -56,13 +70,17 @@ FEATURES = {
     "different": "size(array_distinct(split(c, ''))) / cast(least(length(c), 64) as double)",
     "hex": "if(c rlike '^[0-9a-fA-F]+$', 1D, 0D)",
     "uuid": "if(c rlike '^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$', 1D, 0D)",
-    "known_form": "if(c rlike '^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}|^xox[abprs]-|^eyJ[A-Za-z0-9_-]{10,}|^sk_live_|^-----BEGIN', 1D, 0D)",
+    "known_form": "if(c rlike '^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{30,}|^xox[abprs]-|^eyJ[A-Za-z0-9_-]{10,}|^sk_live_|^sk-[A-Za-z0-9_-]{20,}|^AIza[A-Za-z0-9_-]{30,}|^SG[.]|^glpat-|^npm_[A-Za-z0-9]{30,}|^-----BEGIN', 1D, 0D)",
     "dictionary": "{dictionary} / cast(length(c) as double)",
     "placeholder": f"if(lower(c) rlike '{PLACEHOLDER}', 1D, 0D)",
     "path": f"if(lower(p) rlike '{PATHS}', 1D, 0D)",
     "cue": f"if(b rlike '(?i)({CUES})[^A-Za-z0-9]{{0,6}}$', 1D, 0D)",
     "near_cue": f"if(b rlike '(?i){CUES}', 1D, 0D)",
     "against": f"if(b rlike '(?i){AGAINST}', 1D, 0D)",
+    "equals": "if(b rlike '=[\\'\"]?$', 1D, 0D)",
+    "address": "if(b rlike '://[^ /:@]{0,64}:$' and a rlike '^@', 1D, 0D)",
+    "plain_word": "if(c rlike '^[A-Za-z]+[.,;:!?)]*$', 1D, 0D)",
+    "reference": f"if(c rlike '{REFERENCE}', 1D, 0D)",
     "assigned": "if(b rlike '[=:][\\'\" ]{0,2}$', 1D, 0D)",
     "quoted": "if(b rlike '[\\'\"]$' and a rlike '^[\\'\"]', 1D, 0D)",
     "link": "if(b rlike '(://|www[.]|href|src=)[^ ]*$', 1D, 0D)",
@@ -116,23 +134,31 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS, words: tuple[str,
         "own_cue": F.expr(pick(["password=", "password = ", "password = \"", "\"password\": \"", "passwd: ", "passphrase = \"", "pwd=", "pwd=\"", "PASSWORD: "], "hd")),
         "no": F.expr(pick(["commit ", "sha256: ", "md5 = ", "checksum: ", "version ", "id=", "order ", "etag: \"", "see ", "revision ", "build: ", "card "], "hd")),
         "prose": F.expr(f"concat({pick(['', 'the ', '(', 'and ', '- '], 'he')}, wa, ' ', if({number('hb', 9)} % 2 = 0, spoken, wb), {pick([' ', '. ', ', ', '; '], 'hc')})"),
-        "kind": F.expr(f"{number('he', 3)} % 30"),
+        "kind": F.expr(f"case {number('he', 3)} % 45 when 42 then 20 when 43 then 22 when 44 then 10 else {number('he', 3)} % 45 end"),
+        "address": F.expr(f"concat({pick(['postgres', 'mysql', 'redis', 'https', 'amqp', 'mongodb+srv', 'ftp'], 'hc')}, '://', {pick(['admin', 'root', 'app', 'user1', ''], 'hd')}, ':')"),
+        "mark": F.expr("substr('!@#$%^&*?.,;+-_=~|/()[]{}<>', 1 + cast(conv(substr(hd, 2, 4), 16, 10) as int) % 27, 1)"),
+        "reference": F.expr(pick(["None", "null", "true", "String", "str,", "required", "getpass()", "${PASSWORD}", "{{ token }}", "$TOKEN", "os.environ[", "<password>", "********", "request.token", "false;", "undefined", "config.secret", "input(", "%s", "self.token", "String;", "process.env.SECRET", "null)", "None)", "true)"], "hd")),
+        "colon_cue": F.expr(pick(["password: ", "token: ", "secret: ", "Token: ", "the password: ", "auth: ", "credential: ", "Secrets: "], "ha")),
     })
     hexed = lambda k: f"substr(concat(ha, hb), 1, {k})"
     b64 = "replace(replace(base64(unhex(ha)), '=', ''), '/', '_')"
     upper = "translate(upper(substr(hb, 1, 16)), '01345', 'KQXZW')"
     long = "left(repeat(replace(base64(unhex(concat(ha, hb, hc, hd, he, sha2(ha, 256)))), '\\n', ''), 42), 200 + cast(conv(substr(hd, 9, 4), 16, 10) as int) % 10000)"
-    own = "(kind < 10 or kind in (20, 21, 24, 28, 29))"
+    own = "(kind < 10 or kind in (20, 21, 24, 28, 29) or kind between 30 and 37)"
     value = F.expr(
         f"""case kind when 0 then {hexed(40)} when 1 then {hexed(32)} when 2 then {hexed(18)} when 3 then {hexed(64)} when 4 then concat('AKIA', {upper})
         when 5 then concat('AKIA', {upper}) when 6 then {b64} when 7 then concat('ghp_', substr({b64}, 1, 36)) when 8 then concat('eyJ', {b64}) when 9 then concat(substr({b64}, 1, 12), '!', substr(hb, 1, 3))
         when 10 then {hexed(40)} when 11 then {hexed(32)} when 12 then {hexed(64)} when 13 then concat(name, {number('he', 9)} % 100) when 14 then translate(substr(ha, 1, 16), 'abcdef', '012345')
         when 15 then concat_ws('-', substr(ha, 1, 8), substr(ha, 9, 4), substr(ha, 13, 4), substr(ha, 17, 4), substr(ha, 21, 12)) when 16 then concat('your_', wc, '_1234')
         when 17 then concat('xxxxxxxxxxxx', substr(ha, 1, 1)) when 18 then concat(wc, '/', spoken, '/2024-01-', 10 + id % 19) when 19 then name when 20 then {long} when 21 then concat('-----BEGIN ', {pick(['RSA ', 'EC ', '', 'OPENSSH '], 'hb')}, 'PRIVATE KEY-----\\n', regexp_replace(left({long}, 200 + id % 3000), '(.{{64}})', '$1\\n'), '\\n-----END PRIVATE KEY-----')
-        when 22 then {long} when 23 then {long} when 24 then phrase when 28 then phrase when 29 then phrase when 25 then spoken when 26 then spoken else concat(wc, '-', wd, if(id % 2 = 0, '', string(id % 10))) end"""
+        when 22 then {long} when 23 then {long} when 24 then phrase when 28 then phrase when 29 then phrase when 25 then spoken when 26 then spoken
+        when 30 then concat(left(if(id % 2 = 0, spoken, wa), 6), {number('hb', 3)} % 1000) when 31 then concat(initcap(left(wa, 5)), mark, {number('hb', 3)} % 100, left(wb, id % 4)) when 32 then concat(wa, ' ', mark, wb, ' ', {number('hb', 3)} % 10)
+        when 33 then concat(left(wa, id % 7), left({b64}, 4 + id % 12)) when 34 then concat('eyJ', left({b64}, 16), '.eyJ', {b64}, '.', substr({b64}, 3, 30)) when 35 then concat(element_at(array('AIza', 'sk-', 'glpat-', 'SG.'), 1 + cast(id % 4 as int)), substr(replace(base64(unhex(concat(ha, hb))), '/', '-'), 1, 35))
+        when 36 then concat(left({b64}, 7), mark, left(wa, 3), '.', mark, substr(hb, 1, 9)) when 37 then wd when 38 then concat(wd, if(id % 3 = 0, '.', '')) when 39 then reference when 40 then {pick(['the', 'a', 'it', 'this', 'see', 'and', 'not', 'is', 'please', 'we'], 'hc')} when 41 then reference
+        else concat(wc, '-', wd, if(id % 2 = 0, '', string(id % 10))) end"""
     )
-    after = f"concat({pick(['', ' ', chr(34) + ' ', '. ', chr(34), ', ', chr(10)], 'hc')}, if({number('hd', 9)} % 3 = 0, '', concat(wd, ' ', spoken)))"
-    before = F.expr(f"case when kind in (4, 5, 7, 8, 21) then concat(prose, if(id % 3 = 0, cue, '')) when kind < 10 or kind in (16, 17, 20) then concat(prose, cue) when kind in (24, 28, 29) then concat(prose, own_cue) when kind = 14 then concat(prose, if(id % 2 = 0, no, '')) when kind in (13, 18, 19, 26) then concat(prose, if(id % 4 = 0, 'http://www.', '')) when kind = 25 then concat(prose, if(id % 3 = 0, cue, ': ')) when kind = 22 then concat(prose, {pick(['<img src=' + chr(34) + 'data:image/png;base64,', 'url(data:font/woff2;base64,', chr(34) + 'image' + chr(34) + ': ' + chr(34), chr(34) + 'data' + chr(34) + ': ' + chr(34), ''], 'hd')}) else concat(prose, no) end")
+    after = f"case when kind = 33 then concat('@', wd, '.net/', we) when kind in (38, 40) then concat(' ', wd, ' ', spoken) when kind = 32 then if(own_cue like '%\"', '\" ', '\"') else concat({pick(['', ' ', chr(34) + ' ', '. ', chr(34), ', ', chr(10)], 'hc')}, if({number('hd', 9)} % 3 = 0, '', concat(wd, ' ', spoken))) end"
+    before = F.expr(f"case when kind in (4, 5, 7, 8, 21, 34, 35) then concat(prose, if(id % 3 = 0, cue, '')) when kind = 33 then concat(prose, address) when kind = 32 then concat(prose, if(own_cue like '%\"', own_cue, concat(rtrim(own_cue), '\"'))) when kind = 37 then concat(prose, if(own_cue like '%: ', 'password=', own_cue)) when kind in (38, 40) then concat(prose, colon_cue) when kind in (39, 41) then concat(prose, if(own_cue like '%\"', 'token = ', own_cue)) when kind < 10 or kind in (16, 17, 20) then concat(prose, cue) when kind in (24, 28, 29, 30, 31, 36) then concat(prose, own_cue) when kind = 14 then concat(prose, if(id % 2 = 0, no, '')) when kind in (13, 18, 19, 26) then concat(prose, if(id % 4 = 0, 'http://www.', '')) when kind = 25 then concat(prose, if(id % 3 = 0, cue, ': ')) when kind = 22 then concat(prose, {pick(['<img src=' + chr(34) + 'data:image/png;base64,', 'url(data:font/woff2;base64,', chr(34) + 'image' + chr(34) + ': ' + chr(34), chr(34) + 'data' + chr(34) + ': ' + chr(34), ''], 'hd')}) else concat(prose, no) end")
     path = F.expr(f"if(not {own} and id % 5 = 0, {pick(['src/test/x', 'docs/a.md', 'examples/b'], 'ha')}, {pick(['src3', 'app/main', 'web', 'config/prod'], 'hb')})")
     return df.select(value.alias("c"), before.alias("b"), F.expr(after).alias("a"), path.alias("p"), F.expr(f"cast({own} as double)").alias("label"))
 
