@@ -114,3 +114,107 @@ def test_random_pages_against_a_tree_walk():
     for _ in range(200):
         html = f"<html><body><nav><ul><li>Home</li></ul></nav><article><h1>Title</h1>{''.join(inner(4) for _ in range(4))}</article><footer>{LONG}</footer></body></html>"
         assert hd.extract(html) == slow_text(html)
+
+
+def test_quotes_that_open_no_value():
+    assert hd.extract('<p class="a"">Text one is here</p><p class="b"">Text two is here</p>') == "Text one is here Text two is here"
+    assert hd.extract("<p title=it's>Hello there</p><p title=it's>World out there</p>") == "Hello there World out there"
+    assert hd.extract('<p "quoted" a=\'x>y\' b="1>0">one</p><p = >two</p><p a==b c= >three</p><p/ d>four</p>') == "one two three four"
+    assert hd.extract('<p title="never closed>five</p><p>six</p>') == "five six"
+    assert hd.extract("<p title = 'a' class=\"x\"y>seven</p>") == "seven"
+
+
+def test_names_are_those_of_attributes():
+    assert hd.extract('<div title="class=nav" data-x="id=menu hidden"><p>kept</p></div>') == "kept"
+    assert hd.extract('<div CLASS = nav><p>gone</p></div><p>kept</p>') == "kept"
+    assert hd.extract('<div class="a"class="nav"><p>gone</p></div><p>kept</p>') == "kept"
+
+
+def test_content_with_a_name_of_something_else_is_spared():
+    body = f"<p>{LONG}</p>" * 8
+    text = " ".join((LONG + " ") * 8).replace("  ", " ").split() and " ".join((LONG + " ").split() * 8)
+    for name in ("widget content", "legal", "search-results", "popular", "share", "related", "disclaimer"):
+        assert hd.extract(f'<html><body><h1>Title</h1><div id="content" class="{name}">{body}</div><div class="{name}"><p>little</p></div></body></html>').endswith(text), name
+    # not so menus, comments and sidebars, nor anything beside an article
+    for name in ("comments", "sidebar widget", "nav", "widget comments"):
+        assert hd.extract(f'<html><body><div><p>{LONG}</p></div><div class="{name}">{body}</div></body></html>') == " ".join(LONG.split()), name
+    assert hd.extract(f'<html><body><article><p>{LONG}</p></article><div class="related">{body}</div></body></html>') == " ".join(LONG.split())
+
+
+def test_choice_of_subtree_against_the_definition():
+    """Trees of divs, paragraphs and links: densities by plain recursion, the subtree with the largest sum, and what stands beside it."""
+    import math
+    import random
+
+    rng = random.Random(5)
+
+    def tree(depth):
+        tag = rng.choice(["div", "div", "p", "span", "a"]) if depth else rng.choice(["p", "span", "a"])
+        words = " ".join("x" * rng.randrange(1, 9) for _ in range(rng.choice([0, 1, 5, 40])))
+        inner = [tree(depth - 1) for _ in range(rng.randrange(1, 5))] if tag == "div" and depth else []
+        return tag, words, inner
+
+    def html(t):
+        return f"<{t[0]}>{t[1]}{''.join(map(html, t[2]))}</{t[0]}>"
+
+    def counts(t):
+        """(characters, tags, link characters, link tags) of what is in t."""
+        c, n, lc, ln = len(t[1].replace(" ", "")), 0, 0, 0
+        if t[0] == "a":
+            lc = c
+        for child in t[2]:
+            a, b, d, e = counts(child)
+            c, n, lc, ln = c + a, n + b + 1, lc + d, ln + e + (child[0] == "a")
+        return c, n, lc, ln
+
+    def density(t, body):
+        c, n, lc, ln = counts(t)
+        if not c:
+            return 0.0
+        n, ratio = max(n, 1), body[2] / max(body[0], 1)
+        base = math.log(math.log(c / max(c - lc, 1) * lc + ratio * c + math.e)) if math.log(c / max(c - lc, 1) * lc + ratio * c + math.e) > 1.001 else None
+        log = math.log(max(c / max(lc, 1) * n / max(ln, 1), 1.0))
+        return c / n * (log / base if base else log)
+
+    def text(t):
+        block = t[0] in ("div", "p")
+        return (" " if block else "") + t[1] + "".join(map(text, t[2])) + (" " if block else "")
+
+    chosen = 0
+    for _ in range(150):
+        top = ("body", "", [tree(3) for _ in range(rng.randrange(1, 4))])
+        body = counts(top)
+        nodes, stack = [], [(top, [])]
+        while stack:
+            t, above = stack.pop()
+            nodes.append((t, above))
+            stack += [(x, [*above, t]) for x in reversed(t[2])]
+        sums = [sum(density(x, body) for x in t[2]) for t, _ in nodes]
+        if not body[0]:
+            assert hd.extract(f"<html>{html(top)}</html>") == ""
+            continue
+        if max(sums) == 0:
+            continue
+        best, above = nodes[sums.index(max(sums))]
+        threshold = min(density(x, body) for x in [*above, best])
+        pieces = []
+
+        def take(t, inside):
+            whole = inside or t is best
+            on_path = any(t is x for x in above)
+            if not whole and not on_path:
+                if density(t, body) >= threshold and density(t, body) > 0 and t[0] == "p":
+                    pieces.append(text(t))
+                else:
+                    pieces.append(" ")
+                return
+            if whole:
+                pieces.append(text(t))
+                return
+            for x in t[2]:
+                take(x, False)
+
+        take(top, False)
+        assert hd.extract(f"<html>{html(top)}</html>") == " ".join("".join(pieces).split())
+        chosen += best is not top
+    assert chosen > 20

@@ -6,7 +6,8 @@ the largest sum is the content. The smallest density on the path from there to
 the body is the threshold: what stands beside that path and is at least as
 dense also counts, if it is text of its own (a heading, a paragraph, a list).
 Elements that by their tag, role or class are menus, headers, footers,
-sidebars, notices, adverts, forms or reader comments are cut beforehand.
+sidebars, notices, adverts, forms or reader comments are cut beforehand; not so
+forms, headers and elements with a name such as "widget" that hold most of the text.
 
 A content subtree inside an article or main element stands for all of it. Of
 subtrees with one density sum the first in the page wins; elements that are as
@@ -31,11 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
-    re.S,
-)
-_NAMES = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: An attribute as the tokenizer of HTML reads it: a quote counts only right after the equals sign, anywhere else it is a letter.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]++)"""
+_ATTRIBUTE = rf"""=?[^\s/>=]++(?:\s*+=\s*+{_VALUE}?+)?+"""
+_TAG = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_ATTRIBUTE}|=)*+)(?:>|\Z)""", re.S)
+_NAMES = re.compile(rf"""(=?[^\s/>=]++)(?:\s*+=\s*+({_VALUE})?+)?+""")
+_NAMED = frozenset("class id role hidden aria-hidden style".split())
 
 #: Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,6 +56,11 @@ CUT_NAMES = frozenset(
     "warning modal popup popover overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations widget widgets toolbar "
     "pagination pager copyright disclaimer legal popular trending feedback skip form forms search".split()
 )
+#: Names that also stand at the content itself: an element that has no other one is spared if it holds most of the text.
+WEAK_NAMES = frozenset(
+    "promo promotion sponsor sponsored header headers banner notice notices alert alerts warning modal overlay login signup share sharing social related recommended recommendations "
+    "widget widgets copyright disclaimer legal popular trending feedback skip form forms search".split()
+)
 #: Cut unless they hold an article, main or most of the text that is in no other cut.
 WRAPPERS = frozenset("form header fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -70,7 +77,7 @@ class Node:
     __slots__ = ("tag", "parent", "children", "cut", "chars", "tags", "link_chars", "link_tags", "density", "total", "first", "last", "named", "in_link", "holds", "near", "block")
 
     def __init__(self, tag: str, parent: Node | None, first: int):
-        self.tag, self.parent, self.children, self.cut, self.first, self.last, self.named = tag, parent, [], False, first, first, False
+        self.tag, self.parent, self.children, self.cut, self.first, self.last, self.named = tag, parent, [], False, first, first, 0
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
         self.in_link, self.holds = tag == "a" or (parent is not None and parent.in_link), False
@@ -78,16 +85,21 @@ class Node:
         self.block = parent.block if tag in INLINE and parent is not None else self
 
 
-def _named_cut(attributes: str, heading: bool = False) -> bool:
+def _named_cut(attributes: str, heading: bool = False) -> int:
+    """2 if what the attributes say cuts the element, 1 if only unless it holds most of the text, else 0."""
+    out = 0
     for name, value in _NAMES.findall(attributes):
-        name, value = name.lower(), value.strip("\"'").lower()
+        name = name.lower()
+        if name not in _NAMED:
+            continue
+        value = entities.unescape(value.strip("\"'")).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
-            return True
+            return 2
         if name == "role" and CUT_ROLES.intersection(value.split()):
-            return True
-        if not heading and name in ("class", "id") and CUT_NAMES.intersection(re.split(r"[\s_\-:.]+|(?<=[a-z])\d+", value)):
-            return True
-    return False
+            return 2
+        if not heading and name in ("class", "id") and (found := CUT_NAMES.intersection(re.split(r"[\s_\-:.]+|(?<=[a-z])\d+", value))):
+            out = max(out, 1 if found <= WEAK_NAMES else 2)
+    return out
 
 
 def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
@@ -122,9 +134,9 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
         start, end = match.span()
         text(start)
         at = end
-        tag = match[2] or match[5]
+        tag = match[2]
         if tag:
-            tag, closing, attributes = tag.lower(), bool(match[1] or match[4]), match[3] or match[6] or ""
+            tag, closing, attributes = tag.lower(), bool(match[1]), match[3]
             if closing:
                 if opened[tag]:
                     up = node
@@ -175,15 +187,16 @@ def parse(page: str) -> tuple[Node, list[tuple[Node, str]]]:
     return root, pieces
 
 
-def _spare_wrappers(root: Node, pieces: list[tuple[Node, str | None]]) -> None:
+def _spare(root: Node, pieces: list[tuple[Node, str | None]]) -> None:
+    """Takes back the cuts of wrappers, and those by weak names, of elements that hold the content."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
-        if (node.cut and node.tag not in WRAPPERS) or (node.named and not node.holds):
+        if (node.cut and node.tag not in WRAPPERS) or (node.named == 2 and not node.holds):
             continue
         order.append(node)
         stack += node.children
-    if not any(x.cut for x in order):
+    if not any(x.cut or x.named for x in order):
         return
     chars, whole = dict.fromkeys(map(id, order), 0), set()
     for node, text in pieces:
@@ -195,13 +208,16 @@ def _spare_wrappers(root: Node, pieces: list[tuple[Node, str | None]]) -> None:
             if node.tag in ("article", "main") or id(node) in whole:
                 whole.add(id(node.parent))
     for node in order:
-        if node.cut and (id(node) in whole or 2 * chars[id(node)] > chars[id(root)]):
+        most = 2 * chars[id(node)] > chars[id(root)]
+        if node.cut and (id(node) in whole or most):
             node.cut = False
+        if most and id(root) not in whole:  # an article elsewhere is the content
+            node.named = 0
 
 
 def _measure(root: Node, pieces: list[tuple[Node, str | None]]) -> list[Node]:
     """Fills counts, densities and sums; returns the elements outside of cuts, parents first."""
-    _spare_wrappers(root, pieces)
+    _spare(root, pieces)
     order, stack = [], [root]
     while stack:
         node = stack.pop()
