@@ -135,3 +135,76 @@ def test_reductions_are_those_of_raw_dictionaries():
         raw = zstandard.ZstdCompressionDict(text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         assert saved == 1 - len(zstandard.ZstdCompressor(level=3, dict_data=raw).compress(block.encode())) / alone, name
     assert scanner.unknown(block)["template"] == "ISC"
+
+
+def test_the_ranking_decides(monkeypatch):
+    """GPL and AGPL notices differ in a word, so either wording is confirmed: the one that saves more wins, and another ranking another one."""
+    scanner = ls.Scanner(ls.TEMPLATES)
+    text = "Head of a file.\n" + WRAPPED["GPL-3.0"]
+    assert [x["license"] for _, _, x in scanner.confirmed(text)] == ["GPL-3.0"]
+    other, plain = scanner.names.index("AGPL-3.0"), ls.Scanner.reductions
+
+    def turned(self, block):
+        out = plain(self, block)
+        out[other] = out.max() + 0.01
+        return out
+
+    monkeypatch.setattr(ls.Scanner, "reductions", turned)
+    assert [(x["license"], x["missing"], x["between"]) for _, _, x in scanner.confirmed(text)] == [("AGPL-3.0", ["affero"], [])]
+    # a top rank without the wording is passed over
+    other = scanner.names.index("Unlicense")
+    assert [x["license"] for _, _, x in scanner.confirmed(text)] == ["GPL-3.0"]
+
+
+def test_every_block_is_compressed_with_every_template(monkeypatch):
+    seen, plain = [], ls.Scanner.reductions
+    monkeypatch.setattr(ls.Scanner, "reductions", lambda self, block: seen.append(block) or plain(self, block))
+    scanner = ls.Scanner(ls.TEMPLATES)
+    aligned, align = [], ls.align
+    monkeypatch.setattr(ls, "align", lambda template, own: aligned.append(len(seen)) or align(template, own))
+    assert scanner.confirmed("x " * 50 + WRAPPED["MIT"])[0][2]["license"] == "MIT"
+    assert seen and min(aligned) > 0  # nothing is aligned before its block was ranked
+
+
+def test_full_texts_are_found_whole(spark):
+    import random
+
+    rng = random.Random(4)
+    texts = ls.full_texts()
+    assert {"Apache-2.0-text", "GPL-3.0-text", "MPL-2.0-text"} <= set(texts)
+    rows, want = [], {}
+    for i, (name, text) in enumerate(texts.items()):
+        own = text.split()
+        for _ in range(len(own) // 60):  # a word changed, lost or new now and then
+            at = rng.randrange(len(own))
+            own[at : at + 1] = rng.choice([[], ["other"], [own[at], "more"]])
+        rows.append((i, "prose before it " * 30 + "\n" + (text if i % 2 else " ".join(own)) + "\nprose after it " * 30))
+        want[i] = name.removesuffix("-text")
+    got = ls.scan(spark.createDataFrame(rows, "doc_id long, text string")).filter("template like '%-text'").collect()
+    assert {r["doc_id"]: r["license"] for r in got} == want and len(got) == len(want)
+    for r in got:
+        assert r["length"] > 0.95 * len(" ".join(texts[r["template"]].split())) and (r["wording"] == 1) == (r["doc_id"] % 2 == 1)
+
+
+def test_alignment_in_halves_is_as_good(monkeypatch):
+    import random
+
+    rng = random.Random(9)
+    for _ in range(100):
+        template, own = (ls.np.array([rng.randrange(6) for _ in range(rng.randrange(1, n))]) for n in (30, 50))
+        monkeypatch.setattr(ls, "CELLS", 1 << 22)
+        whole = ls.align(template, own)
+        monkeypatch.setattr(ls, "CELLS", 40)
+        parts = ls.align(template, own)
+        assert parts == sorted(set(parts)) and all(template[a] == own[b] for a, b in parts)
+        score = lambda pairs: len(pairs) - (len(template) - len(pairs)) - ((pairs[-1][1] - pairs[0][1] + 1 - len(pairs)) if pairs else 0)
+        assert score(parts) == score(whole)
+
+
+def test_long_unknown_blocks_are_ranked_by_windows():
+    scanner = ls.Scanner(ls.TEMPLATES | ls.full_texts())
+    filler = "a license of ours that says little and lasts long\n" * 400
+    head = " ".join(ls.full_texts()["Apache-2.0-text"].split()[:500])
+    got = scanner.unknown(filler + head + "\n" + filler)
+    assert (got["license"], got["template"]) == ("unknown", "Apache-2.0-text") and got["reduction"] > 0.3
+    assert len(got["missing"]) + len(got["between"]) < 3000
