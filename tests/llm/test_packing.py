@@ -73,3 +73,18 @@ def test_packing(spark):
     assert pk.pack(docs.limit(0), PATH).count() == 0
     rounded = pk.pack(docs, PATH, step=64).select("padded_length").distinct().collect()
     assert all(r[0] % 64 == 0 for r in rounded)
+
+
+def test_many_lengths_take_little_time():
+    import time
+
+    rng = random.Random(6)
+    histogram = [(x, n := rng.randrange(1, 50), n * x) for x in range(1, 8193)]
+    began = time.process_time()
+    got = pk.boundaries(histogram, 16)
+    assert time.process_time() - began < 6 and len(got) == 16 and got[-1] == 8192
+    # no boundary can be moved by one for less padding
+    least = padding(histogram[:], got)
+    for k in range(15):
+        for step in (-1, 1):
+            assert padding(histogram, [b + step * (i == k) for i, b in enumerate(got)]) >= least

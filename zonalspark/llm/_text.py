@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -183,9 +184,34 @@ def written(df, kind: str):
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._folder = path
+    if _OPEN:
+        _OPEN[-1].append(out)
     return out
 
 
+#: Tables of the scopes that are open, the innermost last.
+_OPEN: list[list] = []
+
+
+@contextmanager
+def scratch():
+    """Tables written inside are deleted at the end, but for those that are given to what this yields: a result reads them."""
+    kept = []
+
+    def keep(df):
+        kept.append(df)
+        return df
+
+    _OPEN.append([])
+    try:
+        yield keep
+    finally:
+        tables = _OPEN.pop()
+        forget(*(t for t in tables if not any(t is k for k in kept)))
+        if _OPEN:
+            _OPEN[-1] += kept
+
+
 def forget(*tables) -> None:
     """Deletes tables of ``written`` that nothing reads any more: all that was made of them is written too."""
     for df in tables:

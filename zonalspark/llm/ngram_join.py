@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._text import U64, forget, mix, row_mark, shingle_hashes, slices, word_hashes, written
+from ._text import U64, mix, row_mark, scratch, shingle_hashes, slices, word_hashes, written
 from .graph import components
 
 N = 5
@@ -234,8 +234,7 @@ def _known(docs: DataFrame, doc_id: str, text: str, n: int, threshold: float, re
     firsts = linked.groupBy("root").agg(F.min("alone").alias("first"))
     linked = linked.join(firsts, "root").join(counts, "node").select("node", "first", "n_links")
     known = written(names.join(linked, "node", "left").select("node", F.coalesce("first", "alone").alias("first"), "n_links"), "known")
-    forget(nodes, links)
-    return signed.select("doc_id", "node"), known
+    return signed, known
 
 
 def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, block: int | None = None) -> DataFrame:
@@ -244,9 +243,10 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", n: i
     class_id is the smallest doc_id of the class; n_links counts the other texts
     (not copies) whose similarity is the threshold or more.
     """
-    rows, known = _known(docs, doc_id, text, n, threshold, recall, block or BLOCK)
+    with scratch() as keep:
+        rows, known = (keep(df) for df in _known(docs, doc_id, text, n, threshold, recall, block or BLOCK))
     # all copies of a text have one node: a join of files, whose large keys Spark can split
-    out = rows.join(known, "node", "left")
+    out = rows.select("doc_id", "node").join(known, "node", "left")
     return out.select(
         "doc_id", "node", F.coalesce("first", F.struct("doc_id", "node")).alias("first"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
@@ -265,8 +265,9 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """
     options = {"doc_id": "doc_id", "text": "text", "n": N, "threshold": THRESHOLD, "recall": RECALL, "block": BLOCK} | options
     doc_id, text = options["doc_id"], options["text"]
-    _, known = _known(docs, **options)
-    firsts = written(known.select("first.doc_id", "first.node").distinct().select(F.col("doc_id").alias("first_id"), F.col("node").alias("first_node")), "firsts")
+    with scratch() as keep:
+        _, known = _known(docs, **options)
+        firsts = keep(written(known.select("first.doc_id", "first.node").distinct().select(F.col("doc_id").alias("first_id"), F.col("node").alias("first_node")), "firsts"))
     named = with_nodes(docs.select(F.struct(*docs.columns).alias("doc"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id")))
     # repeated rows are combined before the shuffle
     once = named.filter("node is not null").groupBy("doc_id", "node").agg(F.first("doc").alias("doc"))

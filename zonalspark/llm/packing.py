@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ._text import slices, written
+from ._text import scratch, slices, written
 from .token_output import BLOCK, encoder_of
 
 MAX_LEN = 2048
@@ -47,21 +47,29 @@ def boundaries(histogram: list[tuple[int, int, int]], buckets: int = BUCKETS) ->
     lengths, rows, tokens = (np.array(x, float) for x in zip(*sorted(histogram), strict=True))
     m = len(lengths)
     c, s = np.concatenate(([0], np.cumsum(rows))), np.concatenate(([0], np.cumsum(tokens)))
-    # cost[i, j]: the lengths i..j-1 padded to the last of them
-    i, j = np.arange(m)[:, None], np.arange(1, m + 1)[None, :]
-    cost = np.where(i < j, lengths[None, :] * (c[j] - c[i]) - (s[j] - s[i]), np.inf)
+    # lengths i..j-1 padded to the last of them: the larger j, the larger the best i, as more rows at i cost more the longer the last one is
+    cost = lambda i, j: lengths[j - 1] * (c[j] - c[i]) - (s[j] - s[i])
     best, choice = np.full(m + 1, np.inf), []
     best[0] = 0
-    for _ in range(min(buckets, m)):
-        whole = best[:m, None] + cost
-        at = whole.argmin(0)
-        now = np.concatenate(([np.inf], whole[at, np.arange(m)]))
+    for layer in range(min(buckets, m)):
+        now, at = np.full(m + 1, np.inf), np.zeros(m + 1, np.int64)
+        stack = [(layer + 1, m, layer, m - 1)]
+        while stack:
+            low, high, first, last = stack.pop()
+            if low > high:
+                continue
+            j = (low + high) // 2
+            i = np.arange(first, min(last, j - 1) + 1)
+            values = best[i] + cost(i, j)
+            k = int(values.argmin())
+            now[j], at[j] = values[k], first + k
+            stack += [(low, j - 1, first, first + k), (j + 1, high, first + k, last)]
         choice.append(at)
         best = now
     out, end = [], m
     for at in reversed(choice):
         out.append(int(lengths[end - 1]))
-        end = int(at[end - 1])
+        end = int(at[end])
     return out[::-1]
 
 
@@ -104,18 +112,19 @@ def pieces(docs: DataFrame, tokenizer_path: str, *, doc_id: str = "doc_id", text
 
 def pack(docs: DataFrame, tokenizer_path: str, *, max_len: int = MAX_LEN, step: int = 1, buckets: int = BUCKETS, budget: int = BUDGET, **options) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, padded_length, bucket, batch, slot, ids (as in ``pieces``)."""
-    cut = written(pieces(docs, tokenizer_path, max_len=max_len, **options), "pieces")
-    rounded = (F.ceil(F.col("length") / step) * step).cast("long")
-    histogram = [tuple(r) for r in cut.groupBy(rounded.alias("rounded")).agg(F.count("*"), F.sum("length")).collect()]
-    bounds = F.array(*map(F.lit, boundaries(histogram, buckets) or [max_len]))
-    at = F.size(F.filter(bounds, lambda b: b < F.col("length"))).cast("int")
-    counts = written(cut.groupBy("part", "length").agg(F.count("*").alias("n")).withColumn("bucket", at), "counts")
-    # what comes before: other tasks in the bucket, then shorter lengths of the task in it
-    tasks = counts.groupBy("bucket", "part").agg(F.sum("n").alias("n"))
-    rest = Window.rowsBetween(Window.unboundedPreceding, -1)
-    tasks = tasks.select("bucket", "part", F.coalesce(F.sum("n").over(rest.partitionBy("bucket").orderBy("part")), F.lit(0)).alias("others"))
-    own = F.coalesce(F.sum("n").over(rest.partitionBy("bucket", "part").orderBy("length")), F.lit(0))
-    before = written(counts.withColumn("own", own).join(tasks, ["bucket", "part"]).select("part", "length", "bucket", (F.col("own") + F.col("others")).alias("before")), "offsets")
+    with scratch() as keep:
+        cut = keep(written(pieces(docs, tokenizer_path, max_len=max_len, **options), "pieces"))
+        rounded = (F.ceil(F.col("length") / step) * step).cast("long")
+        histogram = [tuple(r) for r in cut.groupBy(rounded.alias("rounded")).agg(F.count("*"), F.sum("length")).collect()]
+        bounds = F.array(*map(F.lit, boundaries(histogram, buckets) or [max_len]))
+        at = F.size(F.filter(bounds, lambda b: b < F.col("length"))).cast("int")
+        counts = written(cut.groupBy("part", "length").agg(F.count("*").alias("n")).withColumn("bucket", at), "counts")
+        # what comes before: other tasks in the bucket, then shorter lengths of the task in it
+        tasks = counts.groupBy("bucket", "part").agg(F.sum("n").alias("n"))
+        rest = Window.rowsBetween(Window.unboundedPreceding, -1)
+        tasks = tasks.select("bucket", "part", F.coalesce(F.sum("n").over(rest.partitionBy("bucket").orderBy("part")), F.lit(0)).alias("others"))
+        own = F.coalesce(F.sum("n").over(rest.partitionBy("bucket", "part").orderBy("length")), F.lit(0))
+        before = keep(written(counts.withColumn("own", own).join(tasks, ["bucket", "part"]).select("part", "length", "bucket", (F.col("own") + F.col("others")).alias("before")), "offsets"))
     row = F.col("before") + F.col("rank")
     room = F.greatest(F.floor(F.lit(budget) / F.col("padded_length")), F.lit(1)).cast("long")
     return (

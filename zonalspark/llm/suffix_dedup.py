@@ -47,7 +47,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._text import U64, Hashes, forget, slices, text_mark, trim_powers, written
+from ._text import U64, Hashes, forget, scratch, slices, text_mark, trim_powers, written
 
 LENGTH = 200
 SEED = 80
@@ -349,13 +349,13 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         out = out.union(found)
     # a set: rows with one id and text have the same spans
     spans = written(out.groupBy("doc", "mark").agg(F.flatten(F.collect_set("spans")).alias("spans")), "spans")
-    forget(again, classes, equal, rims)
     return spans
 
 
 def cut_documents(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """doc_id, n_bytes, spans (merged, in bytes) and kept (the remaining bytes) of every document."""
-    spans = repeated_spans(docs, doc_id=doc_id, text=text, length=length, seed=seed)
+    with scratch() as keep:
+        spans = keep(repeated_spans(docs, doc_id=doc_id, text=text, length=length, seed=seed))
     joined = _packed(docs, doc_id, text).join(spans, ["doc", "mark"], "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
