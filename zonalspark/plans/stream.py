@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
+from ..session import shared_folder
 from ..streaming import zonal
 from .common import even, even_sql
 
 
-def _folder(spark) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="stream-")
-    return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _cells(events):
     return events.select(F.lit(2024).alias("year"), (F.col("user_id") + 1).cast("int").alias("zone"), (F.ascii("event_type") - 96).alias("class"), "value", F.col("ts").cast("timestamp").alias("ts"))
 
@@ -27,7 +16,7 @@ def _cells(events):
 def stream_zonal(spark, d):
     """Events as a stream, to its end, in micro-batches."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
-    folder = _folder(spark)
+    folder = shared_folder(spark, "stream")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4).option("pathGlobFilter", "events.parquet").parquet(d)
     zonal.write_partials(_cells(stream), folder).awaitTermination()
     return even(zonal.merge(spark, folder), 7)
