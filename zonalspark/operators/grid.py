@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import colour, tiles
+from ..functions import colour, krovak, tiles
+from ..session import written
 
 
 @dataclass(frozen=True)
@@ -74,10 +75,12 @@ def overlay(zones: DataFrame, classes: DataFrame, values: DataFrame) -> DataFram
     Tiles meet, not pixels: a join row is a tile with its arrays, and pixels are only
     made from them, side by side, inside the task that counts them.
     """
-    keys = ["tile_row", "tile_col", "h", "w"]
-    named = lambda df, name: df.select(*keys, F.col("cells").alias(name))
+    keys = ["tile_row", "tile_col"]
+    named = lambda df, name: df.select(*keys, F.col("cells").alias(name), F.struct("h", "w").alias(f"{name}_shape"))
     met = named(zones, "zone").join(named(classes, "class"), keys).join(named(values, "value"), keys)
-    return met.select(F.inline(F.arrays_zip("zone", "class", "value")))
+    # the shapes are no keys: tables that are bucketed by tile need no shuffle
+    same = (F.col("zone_shape") == F.col("class_shape")) & (F.col("class_shape") == F.col("value_shape"))
+    return met.select(F.inline(F.when(same, F.arrays_zip("zone", "class", "value"))))
 
 
 def mosaic(layers: DataFrame, order: str = "layer", keys: tuple[str, ...] = ("row", "col")) -> DataFrame:
@@ -112,6 +115,90 @@ def resample(source: DataFrame, own: Grid, target: Grid, method: str = "bilinear
     return got.groupBy("row", "col").agg((F.sum(F.col("v") * w) / F.nullif(F.sum(w), F.lit(0.0))).alias("value"))
 
 
+def _tile_keys(row: Column, col: Column, size: int) -> tuple[Column, Column]:
+    return F.floor(row / size).cast("int"), F.floor(col / size).cast("int")
+
+
+def warp_tiles(source: DataFrame, own: Grid, target: Grid, *, size: int, own_size: int, method: str = "bilinear", own_epsg: int = 4326, target_epsg: int = 4326, halo: int = 2) -> DataFrame:
+    """Tile table of the target grid from the source's, as ``resample``, but tile by tile: no pixel is a row of a shuffle.
+
+    source: tiles of own_size * own_size; the result has tiles of size * size. A target
+    tile meets the source tiles under its outline: points all over the tile are projected,
+    and their bounds, with a halo of pixels and a fiftieth of their extent, are the rows and
+    columns it needs. Its values are then interpolated in the arrays of the joined row.
+    """
+    down, across = -(-target.height // size), -(-target.width // size)
+    high, wide = -(-own.height // own_size), -(-own.width // own_size)
+    made = source.sparkSession.range(down * across).select(F.floor(F.col("id") / across).cast("int").alias("tile_row"), (F.col("id") % across).cast("int").alias("tile_col"))
+    there = lambda row, col: own.place(*tiles.project(*target.centre(row, col), target_epsg, own_epsg))
+
+    def spot(p: Column) -> Column:
+        row, col = there(F.col("tile_row") * size - 0.5 + p["u"] * size, F.col("tile_col") * size - 0.5 + p["v"] * size)
+        return F.struct(row.alias("r"), col.alias("c"))
+
+    spots = F.transform(F.array(*(F.struct(F.lit(i / 8).alias("u"), F.lit(j / 8).alias("v")) for i in range(9) for j in range(9))), spot)
+    ends = {}
+    for k, most in (("r", high), ("c", wide)):
+        values = F.col(f"spots.{k}")
+        room = F.lit(halo) + (F.array_max(values) - F.array_min(values)) / 50
+        ends[f"{k}0"] = F.greatest(F.floor((F.array_min(values) - room) / own_size), F.lit(0)).cast("int")
+        ends[f"{k}1"] = F.least(F.floor((F.array_max(values) + room) / own_size), F.lit(most - 1)).cast("int")
+    outlined = made.withColumn("spots", spots).withColumns(ends).drop("spots")
+    steps = lambda a, b: F.when(F.col(a) <= F.col(b), F.sequence(a, b))
+    wanted = outlined.withColumn("sr", F.explode_outer(steps("r0", "r1"))).withColumn("sc", F.explode_outer(steps("c0", "c1")))
+    given = source.select(F.col("tile_row").alias("sr"), F.col("tile_col").alias("sc"), "cells")
+    keys = ["tile_row", "tile_col", "r0", "r1", "c0", "c1"]
+    n = F.col("c1") - F.col("c0") + 1
+    entry = F.when(F.col("cells").isNotNull(), F.struct(((F.col("sr") - F.col("r0")) * n + F.col("sc") - F.col("c0")).alias("k"), "cells"))
+    met = wanted.join(given, ["sr", "sc"], "left").groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("held"))
+    count = F.greatest((F.col("r1") - F.col("r0") + 1) * n, F.lit(0))
+    near = met.withColumn("near", F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda k: F.try_element_at("held", k))))
+
+    def value(r: Column, c: Column) -> Column:
+        """A source pixel; null outside of the tiles at hand."""
+        (tr, tc), (r, c) = _tile_keys(r, c, own_size), (r.cast("int"), c.cast("int"))
+        here = tr.between(F.col("r0"), F.col("r1")) & tc.between(F.col("c0"), F.col("c1"))
+        return F.when(here, F.get(F.get("near", (tr - F.col("r0")) * n + tc - F.col("c0")), F.pmod(r, F.lit(own_size)) * own_size + F.pmod(c, F.lit(own_size))))
+
+    def bilinear(row: Column, col: Column) -> Column:
+        r, c = F.floor(row), F.floor(col)
+        corners = [(value(r + i, c + j), (row - r if i else 1 - (row - r)) * (col - c if j else 1 - (col - c))) for i in (0, 1) for j in (0, 1)]
+        mean = lambda *k: sum(F.coalesce(v * w, F.lit(0.0)) for v, w in zip(k[::2], k[1::2])) / F.nullif(sum(F.when(v.isNotNull(), w).otherwise(0.0) for v, w in zip(k[::2], k[1::2])), F.lit(0.0))
+        return krovak.bind(mean, **{f"{x}{i}": part for i, corner in enumerate(corners) for x, part in zip("vw", corner, strict=True)})
+
+    def pixel(k: Column) -> Column:
+        row, col = F.col("tile_row") * size + F.floor(k / size), F.col("tile_col") * size + k % size
+        inside = (row < target.height) & (col < target.width)
+        source_row, source_col = there(row, col)
+        pick = (lambda r, c: value(F.floor(r + 0.5), F.floor(c + 0.5))) if method == "nearest" else bilinear
+        return F.when(inside, krovak.bind(lambda r, c: pick(r, c), r=source_row, c=source_col))
+
+    cells = F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), pixel)
+    return near.select("tile_row", "tile_col", F.lit(size).alias("h"), F.lit(size).alias("w"), cells.alias("cells"))
+
+
+def area_average(source: DataFrame, own: Grid, target: Grid) -> DataFrame:
+    """(row, col, value, area): the mean of the source on the target grid of the same projection, each pixel by the area that it shares.
+
+    The overlap of two pixels is the product of those of their rows and columns. area is
+    what the valid pixels cover, so that value * area adds up to that of the source.
+    """
+    def overlaps(at: Column, start: float, step: float, other: float, width: float, n: int, down: bool) -> Column:
+        # both in units along the axis, from the target's first edge
+        near = (other - start if down else start - other) + at * step
+        far = near + step
+        first, last = F.greatest(F.floor(near / width), F.lit(0)), F.least(F.ceil(far / width) - 1, F.lit(n - 1))
+        part = lambda k: F.struct(k.cast("int").alias("k"), (F.least(far, (k + 1) * width) - F.greatest(near, k * width)).alias("w"))
+        return F.when(first <= last, F.filter(F.transform(F.sequence(first, last), part), lambda p: p["w"] > 0))
+
+    rows = overlaps(F.col("row"), own.y0, own.dy, target.y0, target.dy, target.height, True)
+    columns = overlaps(F.col("col"), own.x0, own.dx, target.x0, target.dx, target.width, False)
+    split = source.filter("value IS NOT NULL").select("value", F.explode(rows).alias("r"), columns.alias("c")).select("value", "r", F.explode("c").alias("c"))
+    w = F.col("r.w") * F.col("c.w")
+    met = split.groupBy(F.col("r.k").alias("row"), F.col("c.k").alias("col")).agg(F.sum(F.col("value") * w).alias("s"), F.sum(w).alias("area"))
+    return met.select("row", "col", (F.col("s") / F.col("area")).alias("value"), "area")
+
+
 def downsample(points: DataFrame, size: float, x: str = "x", y: str = "y", value: str = "value") -> DataFrame:
     """Mean of the values in square pixels aligned to multiples of size (tap_x, tap_y from the west and south)."""
     return points.filter(F.col(value).isNotNull()).groupBy(F.floor(F.col(x) / size).cast("int").alias("tap_x"), F.floor(F.col(y) / size).cast("int").alias("tap_y")).agg(F.avg(value).alias("value"), F.count(value).alias("n"))
@@ -128,6 +215,46 @@ def pyramid(pixels: DataFrame, deepest: int, size: int = 256) -> DataFrame:
     return up.groupBy("k.z", "k.x", "k.y").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).select("z", "x", "y", "n", (F.col("s") / F.col("n")).alias("mean"))
 
 
+def quad_tree(deepest: DataFrame, zoom: int, size: int) -> dict[int, DataFrame]:
+    """The tiles of every zoom from ``zoom`` up to 0: (z, x, y, n, s), counts and sums of the valid deepest pixels under each pixel.
+
+    deepest: (tile_row, tile_col, cells) of size * size. Four children give one parent: a
+    child first adds up its squares of four pixels, so that a quarter of a tile is shuffled.
+    """
+    half = size // 2
+    valid = lambda name, f: F.transform("cells", f).alias(name)
+    level = deepest.select(F.lit(zoom).alias("z"), F.col("tile_col").alias("x"), F.col("tile_row").alias("y"), valid("n", lambda v: F.when(v.isNotNull(), 1).otherwise(0).cast("long")), valid("s", lambda v: F.coalesce(v, F.lit(0.0))))
+    out = {zoom: level}
+    for z in range(zoom - 1, -1, -1):
+        corner = lambda k: 2 * F.floor(k / half).cast("int") * size + 2 * (k % half)
+        added = lambda name: F.transform(F.sequence(F.lit(0), F.lit(half * half - 1)), lambda k: sum(F.get(name, corner(k) + d) for d in (1, size, size + 1)) + F.get(name, corner(k))).alias(name)
+        quarter = (F.col("y") % 2 * 2 + F.col("x") % 2).cast("int")
+        parts = out[z + 1].select(F.floor(F.col("x") / 2).cast("int").alias("x"), F.floor(F.col("y") / 2).cast("int").alias("y"), F.struct(quarter.alias("q"), added("n"), added("s")).alias("p"))
+        met = parts.groupBy("x", "y").agg(F.map_from_entries(F.collect_list(F.struct("p.q", "p"))).alias("m"))
+        # the quarter of a parent's pixel, and the place in it
+        q = lambda k: (F.floor(k / (size * half)) * 2 + F.floor((k % size) / half)).cast("int")
+        at = lambda k: F.floor(k / size).cast("int") % half * half + k % half
+        held = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.try_element_at("m", i))
+        laid = lambda name, none: F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda k: F.coalesce(F.get(F.get("held", q(k))[name], at(k)), F.lit(none))).alias(name)
+        out[z] = written(met.withColumn("held", held).select(F.lit(z).alias("z"), "x", "y", laid("n", 0), laid("s", 0.0)), "zoom")
+    return out
+
+
+def means(level: DataFrame) -> DataFrame:
+    """(z, x, y, cells): the means of a zoom's pixels; null without a valid one."""
+    return level.select("z", "x", "y", F.zip_with("s", "n", lambda s, n: s / F.nullif(n, F.lit(0))).alias("cells"))
+
+
+def co_partitioned(tile_table: DataFrame, name: str, buckets: int, path: str | None = None) -> DataFrame:
+    """tile_table as a table with so many buckets by tile: tables that are made alike meet without a shuffle.
+
+    Zones and classes are written so once, and every year's values once, however often they are joined.
+    """
+    out = tile_table.write.bucketBy(buckets, "tile_row", "tile_col").sortBy("tile_row", "tile_col").mode("overwrite")
+    (out.option("path", path) if path else out).saveAsTable(name)
+    return tile_table.sparkSession.table(name)
+
+
 def colour_relief(pixels: DataFrame, low: float, high: float) -> DataFrame:
     """(row, col, r, g, b, a): the change ramp over [low, high], clamped; nodata is transparent."""
     rgb = colour.change_colour((F.col("value") - low) / (high - low))

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..functions import colour, tiles
 from ..operators import grid as g
 from ..operators import zonal
+from ..session import shared_folder
+from ..sources import rasters
 from ..tables import GRID_SQL, grid
 from .common import even, even_sql
 
@@ -15,6 +20,8 @@ PIXEL, COARSE, SHIFT = (10.0, 10.0), (17.0, 13.0), (23.0, 59.0)
 #: The corner 12 E, 50 N in Web Mercator.
 MERCATOR = (1335833.8895192828, 6446275.841017161)
 SIZE = 35.0
+#: A pixel that is no multiple of the grid's.
+FRACTION = (23.7, 17.3)
 TILE = 16
 STACK = 4
 
@@ -76,6 +83,54 @@ def zonal_three_grids(spark, d):
     return even(zonal.zonal_stats(cells, ("zone", "class")))
 
 
+def _warped(spark, d, grids, size=16, own_size=32, **options):
+    """The whole grid as tiles, warped tile by tile; its pixels."""
+    own, target = grids(spark, d)
+    out = g.to_pixels(g.warp_tiles(g.to_tiles(_part(spark, d), own_size), own, target, size=size, own_size=own_size, **options))
+    return even(out.filter((F.col("row") < target.height) & (F.col("col") < target.width)))
+
+
+def warp_bilinear(spark, d):
+    return _warped(spark, d, _grids)
+
+
+def warp_nearest(spark, d):
+    return _warped(spark, d, _grids, method="nearest")
+
+
+def warp_reproject(spark, d):
+    return _warped(spark, d, _degree_grids, target_epsg=3857)
+
+
+def area_average(spark, d):
+    """The grid on pixels of another size, each by the area that it shares."""
+    height, width = (n + 1 for n in grid(spark, d).agg(F.max("row"), F.max("col")).first())
+    own = g.Grid(0.0, 0.0, *PIXEL, width, height)
+    target = g.Grid(0.0, 0.0, *FRACTION, -int(-width * PIXEL[0] // FRACTION[0]), -int(-height * PIXEL[1] // FRACTION[1]))
+    return even(g.area_average(_part(spark, d), own, target))
+
+
+def pyramid_pixels(spark, d):
+    """The pixels of every zoom of the grid, in tiles of eight."""
+    most = grid(spark, d).agg(F.greatest(F.max("row"), F.max("col")) + 1).first()[0]
+    zoom = max(0, math.ceil(math.log2(most / 8)))
+    levels = g.quad_tree(g.to_tiles(_part(spark, d), 8), zoom, 8)
+    out = reduce(lambda a, b: a.union(b), map(g.means, levels.values()))
+    each = out.select("z", "x", "y", F.posexplode("cells").alias("k", "mean")).filter("mean IS NOT NULL")
+    return even(each.select("z", (F.col("y") * 8 + F.floor(F.col("k") / 8)).alias("row"), (F.col("x") * 8 + F.col("k") % 8).alias("col"), "mean"))
+
+
+def raster_round_trip(spark, d):
+    """The grid as TIFF files, one for each window, and read back window by window."""
+    height, width = (n + 1 for n in grid(spark, d).agg(F.max("row"), F.max("col")).first())
+    tiles = g.to_tiles(_part(spark, d), TILE)
+    blocks = tiles.select((F.col("tile_row") * TILE).alias("row"), (F.col("tile_col") * TILE).alias("col"), "h", "w", "cells")
+    folder = shared_folder(spark, "rasters")
+    rasters.write_tiff(blocks, folder, width=width, height=height, window=128, tile=32, dtype="f8", x0=1000.0, y0=9000.0, dx=2.0, dy=2.0, epsg=3857)
+    back = rasters.in_grid(rasters.read_tiff(spark, folder, window=64), rasters.placement(spark, folder), x0=1000.0, y0=9000.0, dx=2.0, dy=2.0)
+    return even(rasters.pixels(back).filter("value IS NOT NULL").select("row", "col", "value"))
+
+
 def grid_downsample_avg(spark, d):
     points = grid(spark, d).select((F.col("col") * 10.0 + 5).alias("x"), (F.col("row") * 10.0 + 5).alias("y"), "value")
     return even(g.downsample(points, SIZE))
@@ -178,6 +233,16 @@ QUERIES = {
     ),
     "grid_reproject_nearest": (grid_reproject_nearest, even_sql(f"{_P}, {_M} --\nSELECT r AS row, c AS col, value FROM t LEFT JOIN p ON p.row = floor(fr + 0.5e0) AND p.col = floor(fc + 0.5e0)", "row col", "value")),
     "reprojected_points": (reprojected_points, even_sql(f"{_P} --\nSELECT row, col, " + ", ".join(f"12.1e0 + col / 10e0 AS lon_{k}, 48.6e0 + row % 100 / 50e0 AS lat_{k}" for k in (3857, 5514, 32633)) + " FROM p", "row col", "lon_3857 lat_3857 lon_5514 lat_5514 lon_32633 lat_32633")),
+    "area_average": (
+        area_average,
+        even_sql(
+            f"WITH {GRID_SQL}, o AS (SELECT value, row * {PIXEL[1]}e0 AS t, (row + 1) * {PIXEL[1]}e0 AS b, col * {PIXEL[0]}e0 AS l, (col + 1) * {PIXEL[0]}e0 AS r FROM grid), k AS (SELECT *, unnest(range(CAST(floor(t / {FRACTION[1]}e0) AS BIGINT), CAST(ceil(b / {FRACTION[1]}e0) AS BIGINT))) AS row FROM o),"
+            f" m AS (SELECT *, unnest(range(CAST(floor(l / {FRACTION[0]}e0) AS BIGINT), CAST(ceil(r / {FRACTION[0]}e0) AS BIGINT))) AS col FROM k), w AS (SELECT row, col, value, (least(b, (row + 1) * {FRACTION[1]}e0) - greatest(t, row * {FRACTION[1]}e0)) * (least(r, (col + 1) * {FRACTION[0]}e0) - greatest(l, col * {FRACTION[0]}e0)) AS a FROM m) --\nSELECT row, col, sum(value * a) / sum(a) AS value, sum(a) AS area FROM w WHERE a > 0 GROUP BY row, col",
+            "row col", "value area",
+        ),
+    ),
+    "pyramid_pixels": (pyramid_pixels, even_sql(f"WITH {GRID_SQL}, e AS (SELECT CAST(greatest(0, ceil(log2((greatest(max(row), max(col)) + 1) / 8e0))) AS BIGINT) AS zoom FROM grid), z AS (SELECT zoom, unnest(range(zoom + 1)) AS z FROM e) --\nSELECT z, row >> CAST(zoom - z AS INT) AS row, col >> CAST(zoom - z AS INT) AS col, avg(value) AS mean FROM grid, z GROUP BY 1, 2, 3", "z row col", "mean")),
+    "raster_round_trip": (raster_round_trip, even_sql(f"WITH {GRID_SQL} --\nSELECT * FROM grid", "row col", "value")),
     "zonal_three_grids": (zonal_three_grids, even_sql(f"WITH {GRID_SQL} --\nSELECT row // 40 AS zone, col % 7 AS class, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS std_pop, min(value) AS min, max(value) AS max FROM grid WHERE value > -0.25e0 AND row // 40 > 0 AND col % 7 > 0 GROUP BY 1, 2", "zone class n", "mean std_pop min max")),
     "grid_downsample_avg": (grid_downsample_avg, even_sql(f"WITH {GRID_SQL} --\nSELECT floor((col * 10e0 + 5) / {SIZE}e0) AS tap_x, floor((row * 10e0 + 5) / {SIZE}e0) AS tap_y, avg(value) AS value, count(value) AS n FROM grid GROUP BY 1, 2", "tap_x tap_y n", "value")),
     "tile_pyramid": (tile_pyramid, even_sql(f"WITH {GRID_SQL} --\nSELECT z, floor((col // 8) / power(2, 6 - z)) AS x, floor((row // 8) / power(2, 6 - z)) AS y, count(*) AS n, avg(value) AS mean FROM grid, (SELECT unnest(range(7)) AS z) AS zooms GROUP BY 1, 2, 3", "z x y n", "mean")),
@@ -194,3 +259,6 @@ QUERIES = {
     "overzoom_tiles": (overzoom_tiles, even_sql(f"{_P} --\nSELECT row, col, 12 AS z, row * 37 // 8 AS x, col * 91 // 8 AS y, 8 AS factor, row * 37 % 8 AS sub_x, col * 91 % 8 AS sub_y FROM p", "row col z x y factor sub_x sub_y")),
     "mercator_tiles": (mercator_tiles, even_sql(f"{_P}, m AS (SELECT row, col, {_X} AS x, {_Y} AS y, 12 + col / 10e0 AS lon, 48 + row / 40e0 AS lat FROM p) --\nSELECT *, floor((x + pi() * 6378137e0) / (2 * pi() * 6378137e0 / 4096)) AS tx, floor((pi() * 6378137e0 - y) / (2 * pi() * 6378137e0 / 4096)) AS ty FROM m", "row col tx ty", "x y lon lat", digits=4)),
 }
+
+#: Tile by tile the same values as pixel by pixel.
+QUERIES |= {k: (f, QUERIES[same][1]) for k, f, same in (("warp_bilinear", warp_bilinear, "grid_bilinear"), ("warp_nearest", warp_nearest, "grid_nearest"), ("warp_reproject", warp_reproject, "grid_reproject"))}

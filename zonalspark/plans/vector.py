@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geometry
-from ..operators import vector
+from ..operators import topology, vector
 from ..operators.grid import Grid
 from .common import even, even_sql
 
@@ -104,6 +104,25 @@ def simplify_sweep(spark, d):
     return even(vector.tolerance_sweep(_zigzag(spark, d)))
 
 
+def simplified_coverage(spark, d):
+    """Boxes with rough outer sides, which neighbours share, simplified together: neighbours, points and area of each."""
+    def rough(e):
+        """Eight points of an edge; those between its ends are moved by what their place says, the same for both sides."""
+        def point(t):
+            x, y = e["x1"] + (e["x2"] - e["x1"]) * t / 8, e["y1"] + (e["y2"] - e["y1"]) * t / 8
+            off = F.when(t > 0, F.sin(x * 40 + y * 90) / 50).otherwise(0.0)
+            level = e["y1"] == e["y2"]
+            return F.struct((x + F.when(level, 0.0).otherwise(off)).alias("x"), (y + F.when(level, off).otherwise(0.0)).alias("y"))
+
+        return F.transform(F.sequence(F.lit(0), F.lit(7)), point)
+
+    ring = lambda r: F.concat(F.flatten(F.transform(geometry.edges(r), rough)), F.array(r[0]))
+    rings = F.transform("polygons", lambda polygon: F.transform(polygon, lambda r, i: F.when(i == 0, ring(r)).otherwise(r)))
+    out = topology.simplify_coverage(_boxes(spark, d).withColumn("polygons", rings).select("zone", "polygons"), 0.05, "zone")
+    near = vector.adjacency(vector.parts(out, "zone").select("zone", "rings")).groupBy("zone").agg(F.count("*").alias("neighbours"))
+    return even(out.join(near, "zone").select("zone", "neighbours", geometry.vertex_count(F.col("polygons")).alias("points"), geometry.polygon_area(F.col("polygons")[0]).alias("area")))
+
+
 _BOX = "z AS (SELECT n_nationkey AS zone, n_regionkey AS region, CAST(n_nationkey % 5 AS DOUBLE) AS x, CAST(n_nationkey // 5 AS DOUBLE) AS y FROM nation)"
 _PT = "p AS (SELECT c_custkey AS point_id, c_custkey * 37 % 577 / 100e0 AS x, c_custkey * 91 % 563 / 100e0 AS y FROM customer)"
 _IN = "p.x >= z.x AND p.x < z.x + 1 AND p.y >= z.y AND p.y < z.y + 1 AND NOT (zone = 12 AND p.x >= z.x + 0.25e0 AND p.x < z.x + 0.75e0 AND p.y >= z.y + 0.25e0 AND p.y < z.y + 0.75e0)"
@@ -123,6 +142,7 @@ QUERIES = {
     "dissolve_rings": (dissolve_rings, None),
     "dissolved_regions": (dissolved_regions, even_sql(f"WITH {_BOX} --\nSELECT region, sum(CASE WHEN zone = 12 THEN 0.75e0 ELSE 1e0 END) AS area FROM z GROUP BY region", "region", "area")),
     "multipart_round_trip": (multipart_round_trip, even_sql(f"WITH {_BOX} --\nSELECT zone, 1 AS parts, CASE WHEN zone = 12 THEN 10 ELSE 5 END AS points, CASE WHEN zone = 12 THEN 0.75e0 ELSE 1e0 END AS area FROM z", "zone parts points", "area")),
+    "simplified_coverage": (simplified_coverage, even_sql(f"WITH {_BOX} --\nSELECT a.zone, count(*) AS neighbours, CASE WHEN a.zone = 12 THEN 10 ELSE 5 END AS points, CASE WHEN a.zone = 12 THEN 0.75e0 ELSE 1e0 END AS area FROM z a JOIN z b ON abs(a.x - b.x) + abs(a.y - b.y) = 1 GROUP BY a.zone", "zone neighbours points", "area")),
     "simplify_dp": (simplify_dp, None),
     "simplify_sweep": (simplify_sweep, None),
 }

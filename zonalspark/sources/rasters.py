@@ -337,6 +337,13 @@ def placement(spark: SparkSession, folder: str, pattern: str = "*.tif") -> DataF
     return paths.mapInArrow(run, "file string, x0 double, y0 double, dx double, dy double, width int, height int")
 
 
+def in_grid(blocks: DataFrame, places: DataFrame, *, x0: float, y0: float, dx: float, dy: float) -> DataFrame:
+    """Blocks of several files with row and col of one grid; places: (file, x0, y0), a row for each file."""
+    shift = places.select("file", F.round((F.lit(y0) - F.col("y0")) / dy).cast("int").alias("down"), F.round((F.col("x0") - x0) / dx).cast("int").alias("right"))
+    # the blocks of a file meet its one row: few files, however many blocks
+    return blocks.join(shift, "file").select("file", (F.col("row") + F.col("down")).alias("row"), (F.col("col") + F.col("right")).alias("col"), "h", "w", "cells")
+
+
 def pixels(blocks: DataFrame) -> DataFrame:
     """(file, row, col, value) of blocks."""
     out = blocks.select("file", "row", "col", "w", F.posexplode("cells").alias("k", "value"))
