@@ -6,14 +6,17 @@ go by a cell key, so that they are equi joins with a residual test.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions import geometry
+from ..session import forget, written
 from .grid import Grid
 
 
@@ -148,32 +151,91 @@ def outline(polygons: DataFrame, region: str = "region") -> DataFrame:
     return ring_edges(polygons, region).groupBy(region, "a", "b").agg(F.count("*").alias("n"), F.first("x1").alias("x1"), F.first("y1").alias("y1"), F.first("x2").alias("x2"), F.first("y2").alias("y2")).filter("n = 1").drop("n", "a", "b")
 
 
+def _clockwise(incoming: tuple[float, float], outgoing: tuple[float, float]) -> float:
+    """The angle, clockwise, from the way back along an edge to another one; straight back comes last."""
+    turn = math.atan2(-incoming[1], -incoming[0]) - math.atan2(outgoing[1], outgoing[0])
+    return turn % (2 * math.pi) or 2 * math.pi
+
+
 def stitch(edges: list[tuple[float, float, float, float]]) -> list[list[tuple[float, float]]]:
-    """Directed edges to closed rings."""
+    """Directed edges to closed rings; where rings touch, each goes on around its own inside, on the left."""
     after: dict[tuple[float, float], list[tuple[float, float]]] = {}
     for x1, y1, x2, y2 in sorted(edges):
         after.setdefault((x1, y1), []).append((x2, y2))
     rings = []
     while after:
         start = next(iter(after))
-        ring, at = [start], start
+        first = after[start].pop()
+        if not after[start]:
+            del after[start]
+        ring, before, at = [start, first], start, first
         while at in after:
-            nxt = after[at].pop()
+            way = (at[0] - before[0], at[1] - before[1])
+            ways = after[at] + ([first] if at == start else [])  # the ring's own first edge ends it, if it is the next one
+            nxt = min(ways, key=lambda p: _clockwise(way, (p[0] - at[0], p[1] - at[1])))
+            if at == start and nxt == first:
+                break
+            after[at].remove(nxt)
             if not after[at]:
                 del after[at]
             ring.append(nxt)
-            at = nxt
-            if at == start:
-                break
+            before, at = at, nxt
         if len(ring) > 3 and ring[0] == ring[-1]:
             rings.append(ring)
     return rings
 
 
-def dissolve(polygons: DataFrame, *, region: str = "region", least_m2: float = 0.0) -> DataFrame:
+def followers(edges: DataFrame, *keys: str) -> DataFrame:
+    """(id, next): the edge that follows each edge (keys, id, x1, y1, x2, y2) at its end, by the same rule; null without one.
+
+    The edges of a point are a few. They are taken in turn clockwise, the ways back along
+    those that come in and those that go out, so that no two are followed by the same.
+    """
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    comes = edges.select(*keys, F.col("x2").alias("x"), F.col("y2").alias("y"), F.struct((-F.atan2(-dy, -dx)).alias("turn"), "id").alias("in"), F.lit(None).cast("struct<turn:double,id:bigint>").alias("out"))
+    goes = edges.select(*keys, F.col("x1").alias("x"), F.col("y1").alias("y"), F.lit(None).cast("struct<turn:double,id:bigint>").alias("in"), F.struct((-F.atan2(dy, dx)).alias("turn"), "id").alias("out"))
+    met = comes.union(goes).groupBy(*keys, "x", "y").agg(F.array_sort(F.collect_list("in")).alias("ins"), F.array_sort(F.collect_list("out")).alias("outs"))
+    # the first edge out that is further clockwise than the first one in
+    first = F.expr("size(filter(outs, o -> o.turn <= ins[0].turn))")
+    pair = F.expr("transform(ins, (e, i) -> named_struct('id', e.id, 'next', if(i < size(outs), outs[(i + first) % size(outs)].id, null)))")
+    return met.filter(F.size("ins") > 0).withColumn("first", first).select(F.inline(pair))
+
+
+def ranked_rings(edges: DataFrame, *keys: str) -> DataFrame:
+    """(keys, ring): the closed rings of directed edges (keys, x1, y1, x2, y2), however long, by list ranking.
+
+    Every edge points to its follower; in each round pointers double their reach, so that
+    an edge learns the smallest edge of its ring, and how far it is, in the logarithm of
+    the ring's length. Rounds are written; no group but a point's few edges is in one task.
+    Edges that close no ring are left out.
+    """
+    numbered = written(edges.select(*keys, "x1", "y1", "x2", "y2").withColumn("id", F.monotonically_increasing_id()), "edges")
+    state = written(followers(numbered, *keys).select("id", "next", F.col("id").alias("best"), F.lit(0).cast("long").alias("far")), "rank")
+    step, before = 1, None
+    while True:
+        now = tuple(state.agg(F.sum(F.col("best").cast("decimal(38,0)")), F.count("next")).collect()[0])
+        if now == before:
+            break
+        other = state.select(F.col("id").alias("next"), F.col("next").alias("over"), F.col("best").alias("their"), F.col("far").alias("further"))
+        less = F.col("their") < F.col("best")
+        both = state.join(other, "next", "left").select("id", F.col("over").alias("next"), F.when(less, F.col("their")).otherwise(F.col("best")).alias("best"), F.when(less, F.col("further") + step).otherwise(F.col("far")).alias("far"))
+        old, state = state, written(both, "rank")
+        forget(old)
+        step, before = 2 * step, now
+    place = F.when(F.col("far") == 0, F.lit(-(1 << 62))).otherwise(-F.col("far"))
+    points = numbered.join(state.filter("next IS NOT NULL"), "id").groupBy(*keys, "best").agg(F.array_sort(F.collect_list(F.struct(place.alias("k"), F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")).alias("p")))).alias("v"))
+    return points.filter(F.size("v") > 2).select(*keys, F.expr("concat(v.p, array(v[0].p))").alias("ring"))
+
+
+#: Edges of a region that one task stitches.
+GROUP = 100_000
+
+
+def dissolve(polygons: DataFrame, *, region: str = "region", least_m2: float = 0.0, group: int = GROUP) -> DataFrame:
     """(region, ring, area): outlines of the regions, lobes apart, small ones left out unless all are.
 
-    A region's outline is a few thousand edges: one group is one region's.
+    A region with at most ``group`` edges is stitched in one task, others by list ranking.
+    Rings are written, so that what is made of them does not stitch again.
     """
     kind = polygons.schema[region].dataType.simpleString()
 
@@ -181,9 +243,14 @@ def dissolve(polygons: DataFrame, *, region: str = "region", least_m2: float = 0
         found = stitch(list(pdf[["x1", "y1", "x2", "y2"]].itertuples(index=False, name=None)))
         return pd.DataFrame({region: [pdf[region].iloc[0]] * len(found), "ring": [[{"x": x, "y": y} for x, y in r] for r in found]})
 
-    rings = outline(polygons, region).groupBy(region).applyInPandas(run, f"{region} {kind}, ring {geometry.RING}")
-    from pyspark.sql.window import Window
-
+    edges = written(outline(polygons, region), "outline")
+    large = edges.groupBy(region).agg(F.count("*").alias("n")).filter(F.col("n") > group).select(region)
+    some = edges if large.isEmpty() else edges.join(large, region, "left_anti")
+    rings = some.groupBy(region).applyInPandas(run, f"{region} {kind}, ring {geometry.RING}")
+    if some is not edges:
+        rings = rings.union(ranked_rings(edges.join(large, region, "left_semi"), region))
+    rings = written(rings, "rings")
+    forget(edges)
     sized = rings.withColumn("area", F.abs(geometry.signed_area(F.col("ring"))))
     largest = F.max("area").over(Window.partitionBy(region))
     return sized.withColumn("largest", largest).filter((F.col("area") >= least_m2) | (F.col("largest") < least_m2)).drop("largest")
@@ -210,8 +277,6 @@ def dissolve_polygons(polygons: DataFrame, *, region: str = "region", least_m2:
     x, y = (first["x"] + second["x"]) / 2, (first["y"] + second["y"]) / 2
     inside = holes.join(lobes, region).filter(geometry.within(x, y, F.array("ring")) | F.exists("ring", lambda q: (q["x"] == first["x"]) & (q["y"] == first["y"])))
     placed = inside.groupBy(region, "hole").agg(F.min_by("lobe", F.struct("size", "lobe")).alias("lobe")).groupBy(region, "lobe").agg(F.collect_list("hole").alias("holes"))
-    from pyspark.sql.window import Window
-
     largest = F.max("size").over(Window.partitionBy(region))
     kept = lobes.withColumn("largest", largest).filter((F.col("size") >= least_m2) | ((F.col("largest") < least_m2) & (F.col("size") == F.col("largest"))))
     out = kept.join(placed, [region, "lobe"], "left").select(region, F.concat(F.array("ring"), F.coalesce("holes", F.array().cast(f"array<{geometry.RING}>"))).alias("rings"), F.col("size").alias("area"))
