@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -37,26 +37,76 @@ def simplify_features(features: DataFrame, tolerance: float, *keys: str) -> Data
     return whole(done.select(*keys, "part", F.col("r.ring").alias("rings")), *keys)
 
 
-def with_cells(polygons: DataFrame, cell: float) -> DataFrame:
-    """A row for each grid cell that a polygon's bounds meet."""
-    box = geometry.bounds(F.get("rings", F.lit(0)))
-    out = polygons.withColumn("box", box)
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(f"box.{a}") / cell), F.floor(F.col(f"box.{b}") / cell)))
-    return out.withColumn("cx", span("min_x", "max_x")).withColumn("cy", span("min_y", "max_y"))
+def covering(polygons: DataFrame, cell: float, key: str = "id") -> DataFrame:
+    """(cx, cy, key, inside, edges): the cells that a polygon meets, with the edges that pass through each.
+
+    inside says whether the cell's south-west corner is in the polygon. A cell without
+    edges is inside whole, and needs no further test; no cell has rings of its own.
+    Overlapping rows of one key are separate polygons.
+    """
+    own = polygons.select(F.col(key).alias("polygon"), "rings").withColumn("shape", F.xxhash64("rings")).groupBy("polygon", "shape").agg(F.first("rings").alias("rings"))
+    edges = own.select("polygon", "shape", F.explode(F.flatten(F.transform("rings", geometry.edges))).alias("e"))
+    y1, y2, x1, x2 = (F.col(f"e.{k}") for k in ("y1", "y2", "x1", "x2"))
+    low, high, left, right = F.least(y1, y2), F.greatest(y1, y2), F.least(x1, x2), F.greatest(x1, x2)
+    at = lambda y: F.when(y1 == y2, x1).otherwise((x2 - x1) * (y - y1) / F.nullif(y2 - y1, F.lit(0.0)) + x1)
+    # the cells that an edge passes, row by row of them, a little more rather than less
+    room = 1e-9
+    rows = edges.withColumn("cy", F.explode(F.sequence(F.floor(low / cell - room), F.floor(high / cell + room))))
+    a, b = (at(F.greatest(low, F.least(high, (F.col("cy") + k) * cell))) for k in (0, 1))
+    flat = y1 == y2
+    first, last = F.when(flat, left).otherwise(F.greatest(left, F.least(a, b))), F.when(flat, right).otherwise(F.least(right, F.greatest(a, b)))
+    touched = rows.withColumn("cx", F.explode(F.sequence(F.floor(first / cell - room), F.floor(last / cell + room))))
+    passed = touched.groupBy("polygon", "shape", "cx", "cy").agg(F.collect_list("e").alias("edges"))
+    # the edges that cross the lower line of each row of cells, from the west
+    lines = edges.filter(low < high).withColumn("cy", F.explode(F.expr(f"filter(sequence(cast(ceil(least(e.y1, e.y2) / {cell}D - {room}D) as bigint), cast(ceil(greatest(e.y1, e.y2) / {cell}D + {room}D) as bigint)), r -> least(e.y1, e.y2) <= r * {cell}D and r * {cell}D < greatest(e.y1, e.y2))")))
+    crossing = F.struct(at(F.col("cy") * cell).alias("at"), "e")
+    crossed = lines.groupBy("polygon", "shape", "cy").agg(F.array_sort(F.collect_list(crossing)).alias("line"))
+    x0, y0 = F.col("cx") * cell, F.col("cy") * cell
+    west = F.size(F.filter(F.coalesce("line", F.array()), lambda c: ~_east(c["e"], x0, y0)))
+    boundary = passed.join(crossed, ["polygon", "shape", "cy"], "left").select("cx", "cy", "polygon", "shape", (west % 2 == 1).alias("inside"), "edges")
+    # between an odd crossing and the next one corners are inside
+    runs = F.transform(F.sequence(F.lit(1), F.floor(F.size("line") / 2).cast("int")), lambda k: F.struct(F.ceil(F.get("line", 2 * k - 2)["at"] / cell).alias("a"), (F.ceil(F.get("line", 2 * k - 1)["at"] / cell) - 1).alias("b")))
+    inner = crossed.filter(F.size("line") > 1).select("polygon", "shape", "cy", F.explode(runs).alias("r")).filter("r.a <= r.b").select("polygon", "shape", "cy", F.explode(F.sequence("r.a", "r.b")).alias("cx"))
+    inner = inner.join(passed.select("polygon", "shape", "cx", "cy"), ["polygon", "shape", "cx", "cy"], "left_anti")
+    return boundary.unionByName(inner.withColumn("inside", F.lit(True)).withColumn("edges", F.array().cast(boundary.schema["edges"].dataType))).select("cx", "cy", F.col("polygon").alias(key), "inside", "edges")
+
+
+def _spans(e: Column, x0: Column) -> Column:
+    """Whether an edge passes the vertical line at x0."""
+    return (e["x1"] <= x0) != (e["x2"] <= x0)
+
+
+def _height(e: Column, x0: Column) -> Column:
+    return (e["y2"] - e["y1"]) * (x0 - e["x1"]) / F.nullif(e["x2"] - e["x1"], F.lit(0.0)) + e["y1"]
+
+
+def _east(e: Column, x0: Column, y: Column) -> Column:
+    """Whether an edge that passes height y does so east of x0: by its height there, if it passes x0 too, as that is also what crossings of the line at x0 go by."""
+    rises = (e["x2"] > e["x1"]) == (e["y2"] > e["y1"])
+    return F.when(_spans(e, x0), (_height(e, x0) <= y) == rises).otherwise(e["x1"] > x0)
+
+
+def _in_cell(held: Column, x: Column, y: Column, x0: Column, y0: Column) -> Column:
+    """Whether a point is in a polygon, by the edges of its cell: crossings on the way up from the corner, and from there to the east."""
+    up = lambda e: _spans(e, x0) & (_height(e, x0) > y0) & (_height(e, x0) <= y)
+    at = lambda e: (e["x2"] - e["x1"]) * (y - e["y1"]) / F.nullif(e["y2"] - e["y1"], F.lit(0.0)) + e["x1"]
+    along = lambda e: ((e["y1"] > y) != (e["y2"] > y)) & _east(e, x0, y) & ~(x < at(e))
+    n = F.aggregate(held["edges"], F.lit(0), lambda acc, e: acc + F.coalesce(up(e), F.lit(False)).cast("int") + F.coalesce(along(e), F.lit(False)).cast("int"))
+    return held["inside"] != (n % 2 == 1)
 
 
 def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float, *, key: str = "id", how: str = "left") -> DataFrame:
     """points (x, y) with the key of the polygon that they are in; the last key of several; null without one.
 
-    The polygons that meet a cell are one row, so a point meets all of them by one
-    join and stays one row, whatever else it has.
+    The polygons that meet a cell are one row, each with its edges in that cell only, so a
+    point meets all of them by one join and stays one row, whatever else it has.
     """
-    held = F.struct(F.col("polygon"), "box", "rings")
-    boxed = with_cells(polygons.select(F.col(key).alias("polygon"), "rings"), cell).groupBy("cx", "cy").agg(F.collect_list(held).alias("near"))
+    held = F.struct(F.col(key).alias("polygon"), "inside", "edges")
+    near = covering(polygons, cell, key).groupBy("cx", "cy").agg(F.collect_list(held).alias("near"))
     placed = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
-    x, y = F.col("x"), F.col("y")
-    inside = lambda p: x.between(p["box"]["min_x"], p["box"]["max_x"]) & y.between(p["box"]["min_y"], p["box"]["max_y"]) & geometry.within(x, y, p["rings"])
-    out = placed.join(boxed, ["cx", "cy"], "left").withColumn(key, F.array_max(F.transform(F.filter("near", inside), lambda p: p["polygon"])))
+    x, y, x0, y0 = F.col("x"), F.col("y"), F.col("cx") * cell, F.col("cy") * cell
+    inside = lambda p: _in_cell(p, x, y, x0, y0)
+    out = placed.join(near, ["cx", "cy"], "left").withColumn(key, F.array_max(F.transform(F.filter("near", inside), lambda p: p["polygon"])))
     return (out if how == "left" else out.filter(F.col(key).isNotNull())).select(*points.columns, key)
 
 
