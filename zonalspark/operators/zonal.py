@@ -45,9 +45,11 @@ def merge_partials(partials: DataFrame, keys: tuple[str, ...] = ("year", "zone",
 def zonal_matrix(zonal: DataFrame, classes: list[int], value: str = "mean", keys: tuple[str, ...] = ("year", "zone")) -> DataFrame:
     """One row per zone, one column per class (c1, c2, ...); the classes are given, so no extra job finds them.
 
-    A zone and class that comes twice is an error.
+    A zone and class that comes twice is an error: its rows are counted where they meet, in the pivot.
     """
-    return unique(zonal.select(*keys, "class", value), *keys, "class", what="a zone's class").groupBy(*keys).pivot("class", classes).agg(F.first(value)).withColumnsRenamed({str(c): f"c{c}" for c in classes})
+    wide = zonal.groupBy(*keys).pivot("class", classes).agg(F.first(value).alias("v"), F.count(F.lit(1)).alias("n"))
+    twice = lambda c: F.concat(F.lit(f"a zone's class comes twice: class {c} of "), F.to_json(F.struct(*keys)))
+    return wide.select(*keys, *(F.when(F.assert_true(F.coalesce(f"{c}_n", F.lit(0)) <= 1, twice(c)).isNull(), F.col(f"{c}_v")).alias(f"c{c}") for c in classes))
 
 
 def area_summary(cells: DataFrame, lookup: DataFrame, unit: float = 1.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import formats
-from ..operators import compare, regress, reshape
+from ..operators import compare, order, regress, reshape
 from ..tables import BUCKETS, GRID_SQL, cells, cells_sql, grid
 from .common import even, even_sql
 
@@ -104,6 +104,13 @@ def rank_region_nation(spark, d):
     return even(compare.ranks(_level(spark, d)))
 
 
+def rank_cells(spark, d):
+    """Every cell with a value in the order of values and keys, over all rows: its rank by value, and the number of values up to it."""
+    lines = spark.read.parquet(f"{d}/lineitem.parquet").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    out = order.ranked(lines, F.desc("l_extendedprice"))
+    return even(out.select("l_orderkey", "l_linenumber", "rank", "dense", "total"))
+
+
 def leaderboard_level(spark, d):
     return even(compare.leaderboard(_level(spark, d)))
 
@@ -205,6 +212,7 @@ QUERIES = {
     "region_median": (region_median, even_sql(f"{_ZY} --\nSELECT region, year, bucket, median(value) AS median, count(value) AS n FROM zy GROUP BY region, year, bucket", "region year n", "median", "bucket")),
     "region_ranking": (region_ranking, even_sql(f"{_LV}, m AS (SELECT region, median(value) AS median FROM lv GROUP BY region) --\nSELECT region, median, rank() OVER (ORDER BY median DESC) AS rank, greatest(4, floor(abs(median) / max(abs(median)) OVER () * 100 + 0.5e0)) AS bar FROM m", "region rank bar", "median")),
     "rank_region_nation": (rank_region_nation, even_sql(f"{_LV} --\nSELECT zone, region, value, rank() OVER (PARTITION BY region ORDER BY value DESC) AS region_rank, count(*) OVER (PARTITION BY region) AS region_n, rank() OVER (ORDER BY value DESC) AS nation_rank, count(*) OVER () AS nation_n FROM lv WHERE value IS NOT NULL", "zone region region_rank region_n nation_rank nation_n", "value")),
+    "rank_cells": (rank_cells, even_sql("--\nSELECT l_orderkey, l_linenumber, rank() OVER w AS rank, dense_rank() OVER w AS dense, count(*) OVER () AS total FROM lineitem WINDOW w AS (ORDER BY l_extendedprice DESC)", "l_orderkey l_linenumber rank dense total")),
     "leaderboard_level": (leaderboard_level, even_sql(f"{_LV}{_BOARD} --\nSELECT * FROM top", "place zone", "value", "side")),
     "leaderboard_change": (leaderboard_change, even_sql(f"{_CG}{_BOARD} --\nSELECT * FROM top", "place zone", "value", "side")),
     "leaderboard_region": (leaderboard_region, even_sql(f"{_ZY}, lv AS (SELECT zone, region, value FROM zy WHERE bucket = 'I' AND year = {LAST} AND region = 2){_BOARD} --\nSELECT * FROM top", "place zone", "value", "side")),

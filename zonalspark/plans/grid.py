@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ..functions import colour, tiles
+from ..functions import colour, krovak, tiles
 from ..operators import grid as g
 from ..operators import zonal
 from ..session import shared_folder
@@ -74,6 +74,14 @@ def reprojected_points(spark, d):
     return even(out.select("row", "col", *(c.alias(k) for k, c in back.items())))
 
 
+def projected_points(spark, d):
+    """Points in degrees on the national grid and in UTM 33, to the centimetre."""
+    lon, lat = 12.1 + F.col("col") / 10.0, 48.6 + F.col("row") % 100 / 50.0
+    out = _part(spark, d).select("row", "col", lon.alias("lon"), lat.alias("lat"))
+    there = {f"{axis}_{epsg}": tiles.project(F.col("lon"), F.col("lat"), 4326, epsg)[i] for epsg in (5514, 32633) for i, axis in enumerate("xy")}
+    return even(out.select("row", "col", *(c.alias(k) for k, c in there.items())), 2)
+
+
 def zonal_three_grids(spark, d):
     """Statistics of a value grid by a grid of zones and a grid of classes, tile by tile."""
     pixels = grid(spark, d)
@@ -221,6 +229,37 @@ _X = "radians(12 + col / 10e0) * 6378137e0"
 _Y = "ln(tan(pi() / 4 + radians(48 + row / 40e0) / 2)) * 6378137e0"
 _RELIEF = ", ".join(f"CASE WHEN value IS NULL THEN 0 ELSE {_ramp_sql('(value - (-0.3e0)) / 0.6e0', k, colour.CHANGE_RAMP)} END AS {n}" for k, n in enumerate("rgb"))
 
+def _projected_sql() -> str:
+    """The formulas of the projections step by step: on WGS 84 in space, shifted to the Bessel ellipsoid, to the sphere, to the oblique cone; and UTM by its series of sines."""
+    (a, f), (a2, f2) = krovak.WGS84, krovak.BESSEL
+    e2, t2 = 2 * f - f * f, 2 * f2 - f2 * f2
+    m, (rx, ry, rz) = 1 + krovak.PPM / 1e6, (math.radians(r / 3600) for r in krovak.ROTATION)
+    e, centre, cone, parallel = math.sqrt(t2), math.radians(krovak.LAT_CENTRE), math.radians(krovak.CONE_COLATITUDE), math.radians(krovak.PSEUDO_PARALLEL)
+    b = math.sqrt(1 + t2 * math.cos(centre) ** 4 / (1 - t2))
+    u0 = math.asin(math.sin(centre) / b)
+    k0 = math.tan(u0 / 2 + math.pi / 4) * ((1 + e * math.sin(centre)) / (1 - e * math.sin(centre))) ** (e * b / 2) / math.tan(centre / 2 + math.pi / 4) ** b
+    r0 = krovak.SCALE * a2 * math.sqrt(1 - t2) / (1 - t2 * math.sin(centre) ** 2) / math.tan(parallel)
+    n = f / (2 - f)
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    alpha = (n / 2 - 2 / 3 * n**2 + 5 / 16 * n**3, 13 / 48 * n**2 - 3 / 5 * n**3, 61 / 240 * n**3)
+    k = 2 * math.sqrt(n) / (1 + n)
+    sinh, cosh = (lambda v: f"((exp({v}) - exp(-({v}))) / 2)"), (lambda v: f"((exp({v}) + exp(-({v}))) / 2)")
+    atanh = lambda v: f"(ln((1 + ({v})) / (1 - ({v}))) / 2)"
+    east = " + ".join(f"{c!r} * cos({2 * j} * xi) * {sinh(f'{2 * j} * eta')}" for j, c in enumerate(alpha, 1))
+    north = " + ".join(f"{c!r} * sin({2 * j} * xi) * {cosh(f'{2 * j} * eta')}" for j, c in enumerate(alpha, 1))
+    return f"""{_P}, d0 AS (SELECT row, col, radians(12.1e0 + col / 10e0) AS lam, radians(48.6e0 + row % 100 / 50e0) AS phi FROM p), d1 AS (SELECT *, {a!r} / sqrt(1 - {e2!r} * sin(phi) ** 2) AS nu FROM d0),
+ d2 AS (SELECT *, (nu * cos(phi) * cos(lam) - {krovak.SHIFT[0]}e0) / {m!r} AS gx, (nu * cos(phi) * sin(lam) - {krovak.SHIFT[1]}e0) / {m!r} AS gy, (nu * (1 - {e2!r}) * sin(phi) - {krovak.SHIFT[2]}e0) / {m!r} AS gz FROM d1),
+ d3 AS (SELECT *, gx + {rz!r} * gy - {ry!r} * gz AS bx, gy - {rz!r} * gx + {rx!r} * gz AS bz0, gz + {ry!r} * gx - {rx!r} * gy AS bz FROM d2),
+ d4 AS (SELECT *, sqrt(bx * bx + bz0 * bz0) AS pr, atan2(bz * {a2!r}, sqrt(bx * bx + bz0 * bz0) * {a2 * (1 - f2)!r}) AS th FROM d3),
+ d5 AS (SELECT *, atan2(bz0, bx) AS blam, atan2(bz + {t2 / (1 - t2) * a2 * (1 - f2)!r} * sin(th) ** 3, pr - {t2 * a2!r} * cos(th) ** 3) AS bphi FROM d4),
+ d6 AS (SELECT *, 2 * (atan({k0!r} * tan(bphi / 2 + pi() / 4) ** {b!r} / ((1 + {e!r} * sin(bphi)) / (1 - {e!r} * sin(bphi))) ** {e * b / 2!r}) - pi() / 4) AS u, {b!r} * ({math.radians(krovak.LON_ORIGIN)!r} - blam) AS v FROM d5),
+ d7 AS (SELECT *, asin({math.cos(cone)!r} * sin(u) + {math.sin(cone)!r} * cos(u) * cos(v)) AS t FROM d6),
+ d8 AS (SELECT *, {math.sin(parallel)!r} * asin(cos(u) * sin(v) / cos(t)) AS ang, {r0!r} * ({math.tan(parallel / 2 + math.pi / 4)!r} / tan(t / 2 + pi() / 4)) ** {math.sin(parallel)!r} AS rad FROM d7),
+ d9 AS (SELECT *, ln(tan(pi() / 4 + phi / 2)) - {k!r} * {atanh(f"{k!r} * sin(phi)")} AS q, lam - radians(15) AS dl FROM d8), d10 AS (SELECT *, {sinh("q")} AS tt FROM d9),
+ d11 AS (SELECT *, atan2(tt, cos(dl)) AS xi, {atanh("sin(dl) / sqrt(1 + tt * tt)")} AS eta FROM d10) --
+SELECT row, col, -rad * sin(ang) AS x_5514, -rad * cos(ang) AS y_5514, 500000 + 0.9996e0 * {radius!r} * (eta + {east}) AS x_32633, 0.9996e0 * {radius!r} * (xi + {north}) AS y_32633 FROM d11"""
+
+
 QUERIES = {
     "grid_nearest": (grid_nearest, even_sql(f"{_P}, {_T} --\nSELECT r AS row, c AS col, value FROM t LEFT JOIN p ON p.row = floor(fr + 0.5e0) AND p.col = floor(fc + 0.5e0)", "row col", "value")),
     "grid_bilinear": (
@@ -243,6 +282,7 @@ QUERIES = {
     ),
     "pyramid_pixels": (pyramid_pixels, even_sql(f"WITH {GRID_SQL}, e AS (SELECT CAST(greatest(0, ceil(log2((greatest(max(row), max(col)) + 1) / 8e0))) AS BIGINT) AS zoom FROM grid), z AS (SELECT zoom, unnest(range(zoom + 1)) AS z FROM e) --\nSELECT z, row >> CAST(zoom - z AS INT) AS row, col >> CAST(zoom - z AS INT) AS col, avg(value) AS mean FROM grid, z GROUP BY 1, 2, 3", "z row col", "mean")),
     "raster_round_trip": (raster_round_trip, even_sql(f"WITH {GRID_SQL} --\nSELECT * FROM grid", "row col", "value")),
+    "projected_points": (projected_points, even_sql(_projected_sql(), "row col", "x_5514 y_5514 x_32633 y_32633", digits=2)),
     "zonal_three_grids": (zonal_three_grids, even_sql(f"WITH {GRID_SQL} --\nSELECT row // 40 AS zone, col % 7 AS class, count(*) AS n, avg(value) AS mean, stddev_pop(value) AS std_pop, min(value) AS min, max(value) AS max FROM grid WHERE value > -0.25e0 AND row // 40 > 0 AND col % 7 > 0 GROUP BY 1, 2", "zone class n", "mean std_pop min max")),
     "grid_downsample_avg": (grid_downsample_avg, even_sql(f"WITH {GRID_SQL} --\nSELECT floor((col * 10e0 + 5) / {SIZE}e0) AS tap_x, floor((row * 10e0 + 5) / {SIZE}e0) AS tap_y, avg(value) AS value, count(value) AS n FROM grid GROUP BY 1, 2", "tap_x tap_y n", "value")),
     "tile_pyramid": (tile_pyramid, even_sql(f"WITH {GRID_SQL} --\nSELECT z, floor((col // 8) / power(2, 6 - z)) AS x, floor((row // 8) / power(2, 6 - z)) AS y, count(*) AS n, avg(value) AS mean FROM grid, (SELECT unnest(range(7)) AS z) AS zooms GROUP BY 1, 2, 3", "z x y n", "mean")),
