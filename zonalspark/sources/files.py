@@ -1,21 +1,10 @@
-"""Files as tables: names and years of a folder, CSV, GeoJSON, and zipped shapefiles.
-
-All readers go through Spark, so that any store that Spark reads will do.
-"""
+"""Files as tables: names and years of a folder, CSV, GeoJSON, and shapefiles (in ``shapefiles``)."""
 
 from __future__ import annotations
 
-import io
-import re
-import struct
-import zipfile
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.geometry import RING
 from ..operators.reshape import duplicate_keys
 
 _COORDINATES = {"Polygon": "array<array<array<double>>>", "MultiPolygon": "array<array<array<array<double>>>>"}
@@ -74,55 +63,8 @@ def read_geojson(spark: SparkSession, path: str, properties: str) -> DataFrame:
     return out.withColumn("polygons", points).drop("kind", "text")
 
 
-def _rings(record: bytes) -> list[list[dict[str, float]]]:
-    """Rings of one polygon record: box, counts, first point of each ring, points."""
-    if len(record) < 44 or struct.unpack_from("<i", record)[0] not in (5, 15, 25):
-        return []
-    n, m = struct.unpack_from("<2i", record, 36)
-    firsts = [*struct.unpack_from(f"<{n}i", record, 44), m]
-    xy = struct.unpack_from(f"<{2 * m}d", record, 44 + 4 * n)
-    return [[{"x": xy[2 * i], "y": xy[2 * i + 1]} for i in range(a, b)] for a, b in zip(firsts[:-1], firsts[1:], strict=True)]
-
-
-def _attributes(table: bytes, names: list[str]) -> Iterator[list[str | None]]:
-    """The named fields of each row of a dBase table, as text."""
-    rows, head, size = struct.unpack_from("<IHH", table, 4)
-    fields, at, place = {}, 32, 1
-    while table[at] != 0x0D:
-        name = table[at : at + 11].split(b"\0")[0].decode()
-        fields[name] = (place, place + table[at + 16])
-        place += table[at + 16]
-        at += 32
-    for k in range(rows):
-        row = table[head + k * size : head + (k + 1) * size]
-        texts = [row[slice(*fields[n])].decode("utf-8", "replace").strip() if n in fields else "" for n in names]
-        yield [t or None for t in texts]
+def read_shapefiles(spark: SparkSession, folder: str, names: list[str], pattern: str = "*.zip", geometry: bool = True, **options) -> DataFrame:
+    """(file, recno, names..., rings) of polygon shapefiles: see ``shapefiles``."""
+    from . import shapefiles
 
-
-def read_shapefiles(spark: SparkSession, folder: str, names: list[str], pattern: str = "*.zip", geometry: bool = True) -> DataFrame:
-    """(file, recno, names..., rings) of zipped polygon shapefiles: one archive is one task.
-
-    geometry=False reads only the attribute tables.
-    """
-    columns = ", ".join(f"`{n}` string" for n in names)
-    schema = f"file string, recno int, {columns}" + (f", rings array<{RING}>" if geometry else "")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for path, content in zip(batch["path"], batch["content"], strict=True):
-                archive = zipfile.ZipFile(io.BytesIO(content))
-                shape = one_shapefile(archive.namelist())
-                table = archive.read(re.sub(r"\.shp$", ".dbf", shape, flags=re.I))
-                out = pd.DataFrame(_attributes(table, names), columns=names)
-                out.insert(0, "recno", range(len(out)))
-                out.insert(0, "file", path.rsplit("/", 1)[-1])
-                if geometry:
-                    raw, at, found = archive.read(shape), 100, []
-                    while at < len(raw):
-                        words = struct.unpack_from(">i", raw, at + 4)[0]
-                        found.append(_rings(raw[at + 8 : at + 8 + 2 * words]))
-                        at += 8 + 2 * words
-                    out["rings"] = found
-                yield out
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path", "content").mapInPandas(run, schema)
+    return shapefiles.read_shapefiles(spark, folder, names, pattern, geometry, **options)
