@@ -104,13 +104,17 @@ def leaderboard(df: DataFrame, value: str = "value", *, region: int | None = Non
     return ends.select(F.when(worst, "worst").otherwise("best").alias("side"), F.when(worst, at).otherwise(n - at + 1).cast("int").alias("place"), "zone", value)
 
 
+#: Fixed texts: titles of the best and of the worst zones, by the sign of the change.
+BEST_TITLES, WORST_TITLES = ("largest increase", "smallest decrease"), ("smallest increase", "largest decrease")
+
+
 def leaderboard_titles(board: DataFrame, value: str) -> DataFrame:
     """(best_title, worst_title) by the signs of the values as shown (rounded to 0.1 points)."""
     sign = F.signum(F.round(F.col(value) * 100, 1))
     best, worst = F.col("side") == "best", F.col("side") == "worst"
     return board.agg(
-        F.when(F.max(F.when(best, sign)) > 0, "largest increase").otherwise("smallest decrease").alias("best_title"),
-        F.when(F.min(F.when(worst, sign)) > 0, "smallest increase").otherwise("largest decrease").alias("worst_title"),
+        F.when(F.max(F.when(best, sign)) > 0, BEST_TITLES[0]).otherwise(BEST_TITLES[1]).alias("best_title"),
+        F.when(F.min(F.when(worst, sign)) > 0, WORST_TITLES[0]).otherwise(WORST_TITLES[1]).alias("worst_title"),
     )
 
 
