@@ -58,10 +58,12 @@ def complete(series: DataFrame, years: int, keys: tuple[str, ...] = ("row", "col
 
 
 def to_tiles(pixels: DataFrame, size: int) -> DataFrame:
-    """Pixel table to tile table; a tile has size * size values at most."""
+    """Pixel table to tile table; a tile has size * size values at most. Values are looked up line by line, as a map is searched from its start."""
     inside = F.pmod("row", F.lit(size)) * size + F.pmod("col", F.lit(size))
-    got = pixels.groupBy(F.floor(F.col("row") / size).cast("int").alias("tile_row"), F.floor(F.col("col") / size).cast("int").alias("tile_col")).agg(F.map_from_entries(F.collect_list(F.struct(inside.alias("k"), "value"))).alias("m"))
-    return got.select("tile_row", "tile_col", F.lit(size).alias("h"), F.lit(size).alias("w"), F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda k: F.try_element_at("m", k)).alias("cells"))
+    got = pixels.groupBy(F.floor(F.col("row") / size).cast("int").alias("tile_row"), F.floor(F.col("col") / size).cast("int").alias("tile_col")).agg(F.collect_list(F.struct(inside.alias("k"), "value")).alias("e"))
+    steps = F.sequence(F.lit(0), F.lit(size - 1))
+    line = lambda r: krovak.bind(lambda m: F.transform(steps, lambda c: F.try_element_at(m, r * size + c)), m=F.map_from_entries(F.filter("e", lambda x: F.floor(x["k"] / size) == r)))
+    return got.select("tile_row", "tile_col", F.lit(size).alias("h"), F.lit(size).alias("w"), F.flatten(F.transform(steps, line)).alias("cells"))
 
 
 def to_pixels(tile_table: DataFrame) -> DataFrame:
