@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from itertools import pairwise
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import krovak
@@ -28,58 +29,85 @@ def from_mercator(x: Column, y: Column) -> tuple[Column, Column]:
     return F.degrees(x / RADIUS), F.degrees(2 * F.atan(F.exp(y / RADIUS)) - math.pi / 2)
 
 
-def to_utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
+def utm_steps(zone: int) -> krovak.Steps:
     """Northern UTM by the usual series in the third flattening: millimetres within the zone."""
     n = FLATTENING / (2 - FLATTENING)
     a = RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (n / 2 - 2 / 3 * n**2 + 5 / 16 * n**3, 13 / 48 * n**2 - 3 / 5 * n**3, 61 / 240 * n**3)
     k = 2 * math.sqrt(n) / (1 + n)
-    phi, lam = F.radians(lat), F.radians(lon - (6 * zone - 183))
 
-    def place(xi: Column, eta: Column) -> Column:
+    def place(xi: Column, eta: Column) -> dict[str, Column]:
         east = eta + sum(c * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, c in enumerate(alpha, 1))
         north = xi + sum(c * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, c in enumerate(alpha, 1))
-        return F.struct((UTM_EAST + UTM_SCALE * a * east).alias("x"), (UTM_SCALE * a * north).alias("y"))
+        return {"x": UTM_EAST + UTM_SCALE * a * east, "y": UTM_SCALE * a * north}
 
-    sphere = lambda t, lam: krovak.bind(place, xi=F.atan2(t, F.cos(lam)), eta=F.atanh(F.sin(lam) / F.sqrt(1 + t * t)))
-    out = krovak.bind(sphere, t=F.sinh(F.atanh(F.sin(phi)) - k * F.atanh(k * F.sin(phi))), lam=lam)
-    return out["x"], out["y"]
+    return (
+        lambda x, y: {"sine": F.sin(F.radians(y)), "lam": F.radians(x - (6 * zone - 183))},
+        lambda sine, lam: {"t": F.sinh(F.atanh(sine) - k * F.atanh(k * sine)), "lam": lam},
+        lambda t, lam: {"xi": F.atan2(t, F.cos(lam)), "eta": F.atanh(F.sin(lam) / F.sqrt(1 + t * t))},
+        place,
+    )
 
 
-def from_utm(x: Column, y: Column, zone: int) -> tuple[Column, Column]:
+def from_utm_steps(zone: int) -> krovak.Steps:
     """Degrees of northern UTM, by the same series the other way."""
     n = FLATTENING / (2 - FLATTENING)
     a = RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     beta = (n / 2 - 2 / 3 * n**2 + 37 / 96 * n**3, n**2 / 48 + n**3 / 15, 17 / 480 * n**3)
     delta = (2 * n - 2 / 3 * n**2 - 2 * n**3, 7 / 3 * n**2 - 8 / 5 * n**3, 56 / 15 * n**3)
 
-    def sphere(xi: Column, eta: Column) -> Column:
+    def sphere(xi: Column, eta: Column) -> dict[str, Column]:
         north = xi - sum(c * F.sin(2 * j * xi) * F.cosh(2 * j * eta) for j, c in enumerate(beta, 1))
         east = eta - sum(c * F.cos(2 * j * xi) * F.sinh(2 * j * eta) for j, c in enumerate(beta, 1))
-        return krovak.bind(degrees, chi=F.asin(F.sin(north) / F.cosh(east)), lam=F.atan2(F.sinh(east), F.cos(north)))
+        return {"north": north, "east": east}
 
-    def degrees(chi: Column, lam: Column) -> Column:
+    def degrees(chi: Column, lam: Column) -> dict[str, Column]:
         lat = chi + sum(c * F.sin(2 * j * chi) for j, c in enumerate(delta, 1))
-        return F.struct((F.degrees(lam) + (6 * zone - 183)).alias("x"), F.degrees(lat).alias("y"))
+        return {"x": F.degrees(lam) + (6 * zone - 183), "y": F.degrees(lat)}
+
+    return (
+        lambda x, y: {"xi": y / (UTM_SCALE * a), "eta": (x - UTM_EAST) / (UTM_SCALE * a)}, sphere,
+        lambda north, east: {"chi": F.asin(F.sin(north) / F.cosh(east)), "lam": F.atan2(F.sinh(east), F.cos(north))}, degrees,
+    )
 
-    out = krovak.bind(sphere, xi=y / (UTM_SCALE * a), eta=(x - UTM_EAST) / (UTM_SCALE * a))
+
+def to_utm(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
+    out = krovak.nested(utm_steps(zone), x=lon, y=lat)
     return out["x"], out["y"]
 
 
-#: From and to degrees, by EPSG number.
-PROJECTIONS = {
-    4326: (lambda lon, lat: (lon, lat), lambda x, y: (x, y)),
-    3857: (to_mercator, from_mercator),
-    32633: (lambda lon, lat: to_utm(lon, lat, 33), lambda x, y: from_utm(x, y, 33)),
-    5514: (krovak.forward, krovak.inverse),
+def from_utm(x: Column, y: Column, zone: int) -> tuple[Column, Column]:
+    out = krovak.nested(from_utm_steps(zone), x=x, y=y)
+    return out["x"], out["y"]
+
+
+#: The steps from and to degrees, by EPSG number.
+PROJECTIONS: dict[int, tuple[krovak.Steps, krovak.Steps]] = {
+    4326: ((), ()),
+    3857: ((lambda x, y: dict(zip("xy", to_mercator(x, y), strict=True)),), (lambda x, y: dict(zip("xy", from_mercator(x, y), strict=True)),)),
+    32633: (utm_steps(33), from_utm_steps(33)),
+    5514: (krovak.FORWARD, krovak.INVERSE),
 }
 
 
+def _steps(*route: int) -> krovak.Steps:
+    """The steps from the first projection by way of the others to the last one."""
+    return tuple(step for a, b in pairwise(route) if a != b for step in PROJECTIONS[a][1] + PROJECTIONS[b][0])
+
+
 def project(x: Column, y: Column, source: int, target: int) -> tuple[Column, Column]:
-    """A point of one projection in another, by EPSG numbers."""
-    if source == target:
-        return x, y
-    return PROJECTIONS[target][0](*PROJECTIONS[source][1](x, y))
+    """A point of one projection in another, by EPSG numbers, as expressions. For a whole table see ``projected``."""
+    steps = _steps(source, target)
+    if len(steps) < 2:
+        out = steps[0](x, y) if steps else {"x": x, "y": y}
+    else:
+        out = krovak.nested(steps, x=x, y=y)
+    return out["x"], out["y"]
+
+
+def projected(df: DataFrame, x: Column, y: Column, *route: int, names: tuple[str, str]) -> DataFrame:
+    """df with a point of the first projection in the last one, by way of those between, as two columns. Both are computed at once, step by step."""
+    return krovak.chained(df, _steps(*route), dict(zip("xy", names, strict=True)), x=x, y=y)
 
 
 def tile_of(x: Column, y: Column, zoom: int) -> tuple[Column, Column]:

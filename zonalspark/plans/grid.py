@@ -66,20 +66,26 @@ def grid_reproject_nearest(spark, d):
     return even(g.resample(_part(spark, d), *_degree_grids(spark, d), "nearest", own_epsg=4326, target_epsg=3857))
 
 
+def _places(spark, d):
+    """Pixels with a place in degrees. Vectors are dealt to all tasks first: a file is a task to a row group, and projecting costs more than reading."""
+    lon, lat = 12.1 + F.col("col") / 10.0, 48.6 + F.col("row") % 100 / 50.0
+    return grid(spark, d, spread=True).select("row", "col", lon.alias("lon"), lat.alias("lat"))
+
+
 def reprojected_points(spark, d):
     """Points in degrees, to each of three projections and back."""
-    lon, lat = 12.1 + F.col("col") / 10.0, 48.6 + F.col("row") % 100 / 50.0
-    out = _part(spark, d).select("row", "col", lon.alias("lon"), lat.alias("lat"))
-    back = {f"{axis}_{epsg}": tiles.project(*tiles.project(F.col("lon"), F.col("lat"), 4326, epsg), epsg, 4326)[i] for epsg in (3857, 5514, 32633) for i, axis in enumerate(("lon", "lat"))}
-    return even(out.select("row", "col", *(c.alias(k) for k, c in back.items())))
+    out = _places(spark, d)
+    for epsg in (3857, 5514, 32633):
+        out = tiles.projected(out, F.col("lon"), F.col("lat"), 4326, epsg, 4326, names=(f"lon_{epsg}", f"lat_{epsg}"))
+    return even(out.drop("lon", "lat"))
 
 
 def projected_points(spark, d):
     """Points in degrees on the national grid and in UTM 33, to the centimetre."""
-    lon, lat = 12.1 + F.col("col") / 10.0, 48.6 + F.col("row") % 100 / 50.0
-    out = _part(spark, d).select("row", "col", lon.alias("lon"), lat.alias("lat"))
-    there = {f"{axis}_{epsg}": tiles.project(F.col("lon"), F.col("lat"), 4326, epsg)[i] for epsg in (5514, 32633) for i, axis in enumerate("xy")}
-    return even(out.select("row", "col", *(c.alias(k) for k, c in there.items())), 2)
+    out = _places(spark, d)
+    for epsg in (5514, 32633):
+        out = tiles.projected(out, F.col("lon"), F.col("lat"), 4326, epsg, names=(f"x_{epsg}", f"y_{epsg}"))
+    return even(out.drop("lon", "lat"), 2)
 
 
 def zonal_three_grids(spark, d):

@@ -71,9 +71,10 @@ def cells_sql(zone: str = "nation", nodata: bool = True) -> str:
       FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 
-def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as a raster: row = vec_id, col = place in the vector, label = class."""
-    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("row"), F.col("label").alias("class"), F.posexplode("embedding").alias("col", "v")).select("row", "col", "class", F.col("v").cast("double").alias("value"))
+def grid(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Embeddings as a raster: row = vec_id, col = place in the vector, label = class. spread: vectors are dealt evenly to tasks first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return (vectors.hint("rebalance") if spread else vectors).select(F.col("vec_id").cast("int").alias("row"), F.col("label").alias("class"), F.posexplode("embedding").alias("col", "v")).select("row", "col", "class", F.col("v").cast("double").alias("value"))
 
 
 GRID_SQL = """grid AS (SELECT CAST(vec_id AS INT) AS row, CAST(i - 1 AS INT) AS col, label AS class, CAST(embedding[i] AS DOUBLE) AS value
