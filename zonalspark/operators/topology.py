@@ -11,14 +11,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geometry
 from ..session import forget, written
-from .vector import douglas_peucker
+from .vector import shortened
 
 RING = ["part", "hole"]
 
@@ -60,18 +60,17 @@ def arcs(rings: DataFrame, *keys: str) -> DataFrame:
 
 def simplify_lines(lines: DataFrame, tolerance: float) -> DataFrame:
     """lines (any columns, line) with ``short``: the ends stay; a closed line that would have fewer than four points stays whole."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    at = lines.columns.index("line")
+
+    def collapsed(xy: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return (xy[ends[:-1]] == xy[ends[1:] - 1]).all(axis=1) & (counts < 4)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = []
-            for line in batch["line"]:
-                xy = np.array([(p["x"], p["y"]) for p in line], float).reshape(-1, 2)
-                keep = douglas_peucker(xy, tolerance)
-                if (xy[0] == xy[-1]).all() and keep.sum() < 4:
-                    keep[:] = True
-                done.append([{"x": x, "y": y} for x, y in xy[keep].tolist()])
-            yield batch.assign(short=done)
-
-    return lines.mapInPandas(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in lines.schema)}, short {geometry.RING}")
+            short = shortened(batch.column(at), np.full(batch.num_rows, float(tolerance)), collapsed)
+            yield pa.RecordBatch.from_arrays([*batch.columns, short], names=[*batch.schema.names, "short"])
+
+    return lines.mapInArrow(run, f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in lines.schema)}, short {geometry.RING}")
 
 
 def crossings(lines: DataFrame, cell: float, name: str = "arc", line: str = "now") -> DataFrame:

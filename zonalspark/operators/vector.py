@@ -11,6 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -138,25 +140,53 @@ def rasterize(polygons: DataFrame, grid: Grid, *, key: str = "id", order: str =
     return pixels.groupBy("row", F.col("col").cast("int").alias("col")).agg(F.max_by("id", "ord").alias("value"))
 
 
+#: Points of lines that are cut together.
+POINTS = 250_000
+
+
+def survival(points: np.ndarray, first: np.ndarray, last: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """For every point the tolerance below which Douglas-Peucker keeps it; infinite at the ends of lines.
+
+    Line k has points[first[k]] to points[last[k]]. Where a line is cut does not depend on
+    the tolerance, only how far the cutting goes: a point stays if it, and all points that
+    the line was cut at before it, are farther than the tolerance from their chords. The
+    pieces of all lines are cut in rounds; those within least[k] are not cut further, and
+    their points have minus infinity.
+    """
+    out = np.full(len(points), -np.inf)
+    x, y = points[:, 0], points[:, 1]
+    some = first <= last
+    out[first[some]] = out[last[some]] = np.inf
+    a, b, reach = first, last, np.full(len(first), np.inf)
+    while True:
+        long = b - a > 1
+        a, b, least, reach = a[long], b[long], least[long], reach[long]
+        if not len(a):
+            return out
+        inner = b - a - 1
+        begin = np.cumsum(inner) - inner
+        piece = np.repeat(np.arange(len(a)), inner)
+        at = np.arange(len(piece)) + (a + 1 - begin)[piece]
+        ax, ay, dx, dy = x[a], y[a], x[b] - x[a], y[b] - y[a]
+        length = np.hypot(dx, dy)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            distance = np.abs(dx[piece] * (ay[piece] - y[at]) - (ax[piece] - x[at]) * dy[piece]) / length[piece]
+        closed = np.flatnonzero((length == 0)[piece])
+        distance[closed] = np.hypot(x[at[closed]] - ax[piece[closed]], y[at[closed]] - ay[piece[closed]])
+        most = np.maximum.reduceat(distance, begin)
+        # the first of the farthest points of each piece
+        hit = np.flatnonzero(distance == most[piece])
+        k, where = np.unique(piece[hit], return_index=True)
+        far = most[k] > least[k]
+        k, cut = k[far], at[hit[where]][far]
+        out[cut] = np.minimum(reach[k], most[k])
+        a, b, least, reach = np.concatenate((a[k], cut)), np.concatenate((cut, b[k])), np.tile(least[k], 2), np.tile(out[cut], 2)
+
+
 def douglas_peucker(points: np.ndarray, tolerance: float) -> np.ndarray:
-    """Which points stay: an explicit stack instead of recursion; the farthest point stays if farther than the tolerance."""
-    keep = np.zeros(len(points), bool)
+    """Which points stay: rounds instead of recursion; the farthest point stays if farther than the tolerance."""
+    keep = survival(points, np.array([0]), np.array([len(points) - 1]), np.array([tolerance])) > tolerance
     keep[[0, -1]] = True
-    todo = [(0, len(points) - 1)]
-    while todo:
-        a, b = todo.pop()
-        if b - a < 2:
-            continue
-        (ax, ay), (bx, by), middle = points[a], points[b], points[a + 1 : b]
-        length = np.hypot(bx - ax, by - ay)
-        if length == 0:
-            distance = np.hypot(middle[:, 0] - ax, middle[:, 1] - ay)
-        else:
-            distance = np.abs((bx - ax) * (ay - middle[:, 1]) - (ax - middle[:, 0]) * (by - ay)) / length
-        k = int(np.argmax(distance))
-        if distance[k] > tolerance:
-            keep[a + 1 + k] = True
-            todo += [(a, a + 1 + k), (a + 1 + k, b)]
     return keep
 
 
@@ -168,25 +198,67 @@ def simplify_ring(ring: np.ndarray, tolerance: float) -> np.ndarray:
     return out if len(out) >= 4 else ring
 
 
+def _together(lines: pa.ListArray) -> Iterator[tuple[slice, pa.StructArray, np.ndarray, np.ndarray]]:
+    """(which lines, points, their x and y, ends) of as many lines at a time as have ``POINTS`` points; ends: where each line's points end, after a zero."""
+    sizes = pc.fill_null(pc.list_value_length(lines), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    group = (np.cumsum(sizes) - 1) // POINTS
+    for part in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(group)) + 1):
+        if len(part):
+            some = slice(int(part[0]), int(part[-1]) + 1)
+            points = lines[some].flatten()
+            xy = np.column_stack([points.field(k).to_numpy(zero_copy_only=False).astype(float) for k in "xy"])
+            yield some, points, xy, np.concatenate(([0], np.cumsum(sizes[some])))
+
+
+def _ring_stays(xy: np.ndarray, ends: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Which rings stay whole, by the rules of ``simplify_ring``."""
+    return (np.diff(ends) < 5) | (counts < 4)
+
+
+def _stay(xy: np.ndarray, ends: np.ndarray, survives: np.ndarray, tolerance: np.ndarray, whole=_ring_stays) -> tuple[np.ndarray, np.ndarray]:
+    """(which points stay, how many of each line)."""
+    count = lambda: np.diff(np.concatenate(([0], np.cumsum(keep)))[ends])
+    keep = survives > np.repeat(tolerance, np.diff(ends))
+    keep[ends[:-1][ends[:-1] < ends[1:]]] = keep[ends[1:][ends[:-1] < ends[1:]] - 1] = True
+    keep |= np.repeat(whole(xy, ends, count()), np.diff(ends))
+    return keep, count()
+
+
+def shortened(lines: pa.ListArray, tolerance: np.ndarray, whole=_ring_stays) -> pa.ListArray:
+    """Lines, each by its tolerance; whole says which of them stay as they are: a function of x and y, the lines' ends, and how many points each would keep."""
+    done = []
+    for some, points, xy, ends in _together(lines):
+        keep, counts = _stay(xy, ends, survival(xy, ends[:-1], ends[1:] - 1, tolerance[some]), tolerance[some], whole)
+        starts = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+        done.append(pa.ListArray.from_arrays(starts, points.filter(pa.array(keep)), type=lines.type, mask=lines[some].is_null()))
+    return pa.concat_arrays(done) if done else lines
+
+
 def simplify(rings: DataFrame, tolerance: str = "tolerance") -> DataFrame:
-    """rings (any columns, ring, tolerance) with simplified rings; recursion needs Python, in Arrow batches."""
-    schema = rings.schema
+    """rings (any columns, ring, tolerance) with simplified rings; the rings of an Arrow batch are cut together."""
+    at, limit_at = rings.columns.index("ring"), rings.columns.index(tolerance)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = []
-            for ring, limit in zip(batch["ring"], batch[tolerance], strict=True):
-                xy = np.array([(p["x"], p["y"]) for p in ring], float).reshape(-1, 2)
-                done.append([{"x": x, "y": y} for x, y in simplify_ring(xy, limit).tolist()])
-            yield batch.assign(ring=done)
+            arrays = batch.columns
+            arrays[at] = shortened(arrays[at], arrays[limit_at].to_numpy(zero_copy_only=False).astype(float))
+            yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
 
-    return rings.mapInPandas(run, schema)
+    return rings.mapInArrow(run, rings.schema)
 
 
 def tolerance_sweep(rings: DataFrame, tolerances: tuple[float, ...] = (0.0005, 0.0008, 0.0012, 0.002)) -> DataFrame:
-    """Points before and after for each tolerance."""
-    each = rings.select("ring", F.size("ring").alias("before"), F.explode(F.array(*map(F.lit, tolerances))).alias("tolerance"))
-    return simplify(each).groupBy("tolerance").agg(F.sum("before").alias("points_before"), F.sum(F.size("ring")).alias("points_after"))
+    """Points before and after for each tolerance. A ring is cut once, as far as the least of them goes; each task adds up its points."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, points, xy, ends in _together(batch.column(0)):
+                n = len(ends) - 1
+                survives = survival(xy, ends[:-1], ends[1:] - 1, np.full(n, min(tolerances)))
+                after = [int(_stay(xy, ends, survives, np.full(n, t))[1].sum()) for t in tolerances]
+                yield pa.RecordBatch.from_pydict({"tolerance": [float(t) for t in tolerances], "before": [len(points)] * len(after), "after": after})
+
+    counted = rings.select("ring").mapInArrow(run, "tolerance double, before bigint, after bigint")
+    return counted.groupBy("tolerance").agg(F.sum("before").alias("points_before"), F.sum("after").alias("points_after"))
 
 
 def ring_edges(polygons: DataFrame, *keys: str) -> DataFrame:
